@@ -65,7 +65,7 @@ def _ms(col: str):
 DOC_POSTS = (f"doc_posts AS (SELECT doc_id AS id, text, {sql_dominant_tag('text', DOCUMENT_TAGS)} AS tag "
              f"FROM documents WHERE lang = 'en')")
 EV_POSTS = (f"ev AS (SELECT event_type AS tag, event_id AS id, props AS text, ts, "
-            f"epoch_us(ts) AS us, epoch_ms(ts) AS ms, {sql_int('value')} AS followers, "
+            f"epoch_us(ts) AS us, epoch_us(ts) // 1000 AS ms, {sql_int('value')} AS followers, "
             f"{sql_k()} AS k, CAST(user_id AS INTEGER) AS statuses FROM events)")
 EV_MEASURES = (f"evm AS (SELECT *, {sql_max_word_length('text')} AS mwl, {sql_words_per_post('text')} AS words, "
                f"{sql_utf16_length('text')} AS len FROM ev)")
@@ -357,3 +357,125 @@ def q_predict_sma(spark, sf):
 @register("predict_sma_bucketed", _sma_sql())
 def q_predict_sma_bucketed(spark, sf):
     return _sma(spark, sf, True)
+
+
+# --------------------------------------------------------------- K1 + S2/S4
+ARCHIVE_SQL = f"""WITH {EV_POSTS}
+SELECT id, tag, text, followers AS followersCount, statuses AS statusesCount, k AS retweetCount, ms AS createdAt,
+  strftime(ts, '%B %d %Y, %H:%M:%S.%g') AS timestamp, id AS retweet_id, k AS retweet_retweetCount,
+  ms - ms % {ARCHIVE_BUCKET_MS} AS bucket FROM ev"""
+
+
+@register("archive_roundtrip", ARCHIVE_SQL)
+def q_archive_roundtrip(spark, sf):
+    from ..session import scratch_path
+    from ..sinks.archive import write_archive
+    from ..sources.posts import read_archive
+    path = scratch_path(spark, "archive")
+    write_archive(_events(spark, sf), path)
+    a = read_archive(spark, path)
+    return a.select("id", "tag", "text", "followersCount", "statusesCount", "retweetCount", "createdAt",
+                    "timestamp", F.col("retweet.id").alias("retweet_id"),
+                    F.col("retweet.retweetCount").alias("retweet_retweetCount"),
+                    F.col("bucket").cast("bigint").alias("bucket"))
+
+
+# --------------------------------------------------------------- streaming forms
+def _event_stream(spark, sf):
+    from ..sources.posts import stream_table
+    return event_posts(stream_table(spark, sf, "events"))
+
+
+@register("stream_tumbling_stats", ORACLE["tumbling_stats"])
+def q_stream_tumbling_stats(spark, sf):
+    from ..streaming.live import live_stats
+    from ..streaming.runner import materialise_stream
+    s = live_stats(_event_stream(spark, sf), window=STAT_WINDOW, watermark="1 hour")
+    out = materialise_stream(spark, s, ["window_start", "tag"], "stream_tumbling_stats")
+    return out.select(_ms("window_start"), "tag", "max_word_length",
+                      *_round6(["avg_words", "avg_length", "avg_followers", "avg_reretweets"]))
+
+
+STREAM_WATERMARK_MS = 3_600_000
+# Streaming session windows only run in append mode: a session is emitted once
+# the watermark (max event time in ms minus the delay) reaches its end, so on
+# a finite input the sessions still open at the end are not (yet) emitted.
+STREAM_SESSION_SQL = (SESSION_SQL.replace("SELECT min(us) // 1000", "SELECT * FROM (SELECT min(us) // 1000")
+                      + f") WHERE window_end * 1000 <= ((SELECT max(epoch_us(ts)) FROM events) // 1000 "
+                        f"- {STREAM_WATERMARK_MS}) * 1000")
+
+
+@register("stream_session_stats", STREAM_SESSION_SQL)
+def q_stream_session_stats(spark, sf):
+    from ..streaming.live import live_stats
+    from ..streaming.runner import materialise_stream
+    s = live_stats(_event_stream(spark, sf), window=None, session_gap=SESSION_GAP, watermark="1 hour")
+    out = materialise_stream(spark, s, ["window_start", "tag"], "stream_session_stats",
+                             output_mode="append")
+    return out.select(_ms("window_start"), _ms("window_end"), "tag", "max_word_length",
+                      *_round6(["avg_words", "avg_length", "avg_followers", "avg_reretweets"]))
+
+
+@register("stream_word_count", ORACLE["tumbling_word_count"])
+def q_stream_word_count(spark, sf):
+    from ..streaming.live import live_word_count
+    from ..streaming.runner import materialise_stream
+    s = live_word_count(_event_stream(spark, sf), window=STAT_WINDOW, watermark="1 hour")
+    out = materialise_stream(spark, s, ["window_start", "tag", "word"], "stream_word_count")
+    return out.select(_ms("window_start"), "tag", "word", "n")
+
+
+@register("stream_live_vs_historic", ORACLE["live_vs_historic"])
+def q_stream_live_vs_historic(spark, sf):
+    from ..session import scratch_path
+    from ..streaming.live import live_stats, start_compare
+    from ..streaming.runner import latest_rows
+    base = scratch_path(spark, "stream_compare")
+    # history: aggregated once over the archive and written as a small table
+    compare.archive_averages(_events(spark, sf)).write.parquet(f"{base}/historic")
+    hist = spark.read.parquet(f"{base}/historic")
+    live = live_stats(_event_stream(spark, sf), window=STAT_WINDOW, watermark="1 hour")
+    q = start_compare(live, hist, f"{base}/out", f"{base}/checkpoint", trigger={"availableNow": True})
+    q.awaitTermination()
+    out = latest_rows(spark, f"{base}/out", ["name", "window_start", "tag"],
+                      ["name", "window_start", "window_end", "tag", "diff"])
+    return out.select("name", _ms("window_start"), "tag", F.round("diff", 6).alias("diff"))
+
+
+def _stream_predict(spark, sf, kind):
+    from ..streaming import predictors as sp
+    from ..streaming.runner import materialise_stream
+    s = _event_stream(spark, sf)
+    if kind == "ewma":
+        p = sp.stream_ewma(s, "followersCount")
+        out = materialise_stream(spark, p, None, "stream_ewma", output_mode="append")
+        return out.select(F.col("id").alias("event_id"), "tag",
+                          F.round("predicted_value", 6).alias("predicted_value"), "real")
+    if kind == "sma":
+        p = sp.stream_sma(s, "followersCount")
+    elif kind == "retweets":
+        p = sp.stream_regression(s.where(F.col("retweet.id") != 0), "retweetCount", "followersCount")
+    else:
+        p = sp.stream_regression(s.where(F.col("id") != 0), "statusesCount", "followersCount")
+    out = materialise_stream(spark, p, None, f"stream_{kind}", output_mode="append")
+    return out.select(F.col("id").alias("event_id"), "tag", "predicted", "real")
+
+
+@register("stream_predict_ewma", ORACLE["predict_ewma"])
+def q_stream_predict_ewma(spark, sf):
+    return _stream_predict(spark, sf, "ewma")
+
+
+@register("stream_predict_sma", ORACLE["predict_sma"])
+def q_stream_predict_sma(spark, sf):
+    return _stream_predict(spark, sf, "sma")
+
+
+@register("stream_predict_regression_retweets", ORACLE["predict_regression_retweets"])
+def q_stream_predict_regression_retweets(spark, sf):
+    return _stream_predict(spark, sf, "retweets")
+
+
+@register("stream_predict_regression_followers", ORACLE["predict_regression_followers"])
+def q_stream_predict_regression_followers(spark, sf):
+    return _stream_predict(spark, sf, "followers")
