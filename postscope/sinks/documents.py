@@ -15,7 +15,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..schema import POST_COLUMNS
 
-NOW_MS = F.unix_millis(F.current_timestamp())
+
+def now_ms():
+    return F.unix_millis(F.current_timestamp())
+
 
 # Index name -> (source column -> document field), in order.
 LAYOUTS: dict[str, list[tuple[str, str]]] = {
@@ -52,7 +55,7 @@ def to_documents(df: DataFrame, index: str) -> DataFrame:
     """Rename to the document layout of ``index`` and stamp the write time."""
     if index == "twitter":
         return df.select(*POST_COLUMNS)
-    return df.select(*[(NOW_MS if src == "__now" else F.col(src)).alias(dst) for src, dst in LAYOUTS[index]])
+    return df.select(*[(now_ms() if src == "__now" else F.col(src)).alias(dst) for src, dst in LAYOUTS[index]])
 
 
 def stat_documents(stats: DataFrame, measure: str) -> DataFrame:
