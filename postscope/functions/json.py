@@ -1,8 +1,11 @@
 """Raw JSON post -> typed post record (normalise, flatten, label).
 
-Everything is native: the raw string is parsed once into a VARIANT and the
-needed paths are read with ``try_variant_get``, which coerces numeric strings
-and yields NULL on a type mismatch; NULL then falls back to the field default.
+Everything is native. The raw string is parsed once with ``from_json``
+against a pruned schema that holds only the paths the record needs (a
+large post is not materialised beyond them). Leaf fields are read as
+strings: Spark keeps a JSON number's text for a string field, so
+``try_cast`` accepts numbers and numeric strings alike and yields NULL for
+anything else; NULL then falls back to the field default.
 
 Rows whose ``lang`` is not ``en`` are dropped. English rows that cannot be
 turned into a record (no ``user`` object, missing or unparsable
@@ -16,58 +19,65 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import POST_COLUMNS
 from ..vocab import DEFAULT_TAGS
-from .tagging import dominant_tag
+from .tagging import with_dominant_tag
 from .time import display_time, parse_created_at
 
+_S = T.StringType()
+_USER = T.StructType([T.StructField(n, _S) for n in
+                      ("name", "followers_count", "statuses_count", "favourites_count")])
+_BASE = [T.StructField(n, _S) for n in ("created_at", "id", "text", "retweet_count")] + \
+        [T.StructField("user", _USER)]
+RAW_POST_SCHEMA = T.StructType(
+    _BASE + [T.StructField("lang", _S),
+             T.StructField("retweeted_status", T.StructType(list(_BASE))),
+             T.StructField("_corrupt_record", _S)])
+_JSON_OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
 
-def _get(v: Column, path: str, typ: str) -> Column:
-    return F.try_variant_get(v, path, typ)
 
+def _str(c: Column) -> Column:
+    return F.coalesce(c, F.lit(""))
 
-def _str(v: Column, path: str) -> Column:
-    return F.coalesce(_get(v, path, "string"), F.lit(""))
 
+def _int(c: Column) -> Column:
+    return F.coalesce(c.try_cast("int"), F.lit(0))
 
-def _int(v: Column, path: str) -> Column:
-    return F.coalesce(_get(v, path, "int"), F.lit(0))
 
-
-def _long(v: Column, path: str) -> Column:
-    return F.coalesce(_get(v, path, "bigint"), F.lit(0).cast("bigint"))
-
-
-def _present(v: Column, path: str) -> Column:
-    return _get(v, path, "variant").isNotNull()
+def _long(c: Column) -> Column:
+    return F.coalesce(c.try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def normalise(raw: DataFrame, value: str = "value", tags: Sequence[str] = DEFAULT_TAGS,
               keep: Sequence[str] = ()) -> DataFrame:
-    """Parse raw posts; returns the post columns plus ``error`` (NULL = good).
-
-    ``keep`` lists extra input columns to carry along (e.g. an ingest time).
-    """
-    v = F.col("_v")
+    """Parse raw posts; returns the post columns plus ``error`` (NULL = good)
+    and ``raw``. ``keep`` lists extra input columns to carry along."""
+    # The parse sits in a generator (one output row per input row), so the
+    # language and quarantine filters are evaluated on the parsed struct.
+    # Written as a plain projection, predicate pushdown would inline the parse
+    # into the filter once per referenced field.
     parsed = raw.select(*keep, F.col(value).alias("_raw"),
-                        F.try_parse_json(F.col(value)).alias("_v"))
-    lang = _get(v, "$.lang", "string")
-    english = parsed.where(v.isNull() | (lang == F.lit("en")))
-
-    created = parse_created_at(_get(v, "$.created_at", "string"))
-    has_rt = _present(v, "$.retweeted_status")
-    rt_created = parse_created_at(_get(v, "$.retweeted_status.created_at", "string"))
+                        F.explode(F.array(F.from_json(F.col(value), RAW_POST_SCHEMA, _JSON_OPTS)))
+                        .alias("_p"))
+    p, rt = F.col("_p"), F.col("_p.retweeted_status")
+    malformed = p.isNull() | p["_corrupt_record"].isNotNull()
+    english = parsed.where(malformed | (p["lang"] == F.lit("en")))
+    english = with_dominant_tag(english, "_raw", tags, "_tag")
+
+    created = parse_created_at(p["created_at"])
+    has_rt = rt.isNotNull()
+    rt_created = parse_created_at(rt["created_at"])
     retweet = F.when(
         has_rt,
         F.struct(
-            _long(v, "$.retweeted_status.id").alias("id"),
-            _str(v, "$.retweeted_status.text").alias("text"),
-            _str(v, "$.retweeted_status.user.name").alias("username"),
-            _int(v, "$.retweeted_status.user.followers_count").alias("followersCount"),
-            _int(v, "$.retweeted_status.user.statuses_count").alias("statusesCount"),
-            _int(v, "$.retweeted_status.user.favourites_count").alias("favouritesCount"),
-            _int(v, "$.retweeted_status.retweet_count").alias("retweetCount"),
+            _long(rt["id"]).alias("id"), _str(rt["text"]).alias("text"),
+            _str(rt["user"]["name"]).alias("username"),
+            _int(rt["user"]["followers_count"]).alias("followersCount"),
+            _int(rt["user"]["statuses_count"]).alias("statusesCount"),
+            _int(rt["user"]["favourites_count"]).alias("favouritesCount"),
+            _int(rt["retweet_count"]).alias("retweetCount"),
             F.coalesce(rt_created, F.lit(0).cast("bigint")).alias("createdAt"),
         ),
     ).otherwise(F.struct(
@@ -76,21 +86,21 @@ def normalise(raw: DataFrame, value: str = "value", tags: Sequence[str] = DEFAUL
         F.lit(0).alias("favouritesCount"), F.lit(0).alias("retweetCount"),
         F.lit(0).cast("bigint").alias("createdAt"),
     ))
-    error = (F.when(v.isNull(), F.lit("malformed json"))
-             .when(~_present(v, "$.user"), F.lit("no user object"))
+    error = (F.when(malformed, F.lit("malformed json"))
+             .when(p["user"].isNull(), F.lit("no user object"))
              .when(created.isNull(), F.lit("bad created_at"))
-             .when(has_rt & ~_present(v, "$.retweeted_status.user"), F.lit("re-share without user"))
+             .when(has_rt & rt["user"].isNull(), F.lit("re-share without user"))
              .when(has_rt & rt_created.isNull(), F.lit("re-share with bad created_at")))
     return english.select(
         *keep,
-        dominant_tag(F.col("_raw"), tags).alias("tag"),
-        _long(v, "$.id").alias("id"),
-        _str(v, "$.text").alias("text"),
-        _str(v, "$.user.name").alias("username"),
-        _int(v, "$.user.followers_count").alias("followersCount"),
-        _int(v, "$.user.statuses_count").alias("statusesCount"),
-        _int(v, "$.user.favourites_count").alias("favouritesCount"),
-        _int(v, "$.retweet_count").alias("retweetCount"),
+        F.col("_tag").alias("tag"),
+        _long(p["id"]).alias("id"),
+        _str(p["text"]).alias("text"),
+        _str(p["user"]["name"]).alias("username"),
+        _int(p["user"]["followers_count"]).alias("followersCount"),
+        _int(p["user"]["statuses_count"]).alias("statusesCount"),
+        _int(p["user"]["favourites_count"]).alias("favouritesCount"),
+        _int(p["retweet_count"]).alias("retweetCount"),
         F.coalesce(created, F.lit(0).cast("bigint")).alias("createdAt"),
         F.lit(True).alias("isEnglish"),
         F.coalesce(display_time(created), F.lit("")).alias("timestamp"),

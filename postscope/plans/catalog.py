@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.tagging import dominant_tag, track_filter
+from ..functions.tagging import track_filter, with_dominant_tag
 from ..functions.text import utf16_length, words_per_post
 from ..functions.json import normalise, valid_posts
 from ..functions.time import bucket_ms
@@ -74,7 +74,8 @@ EV_MEASURES = (f"evm AS (SELECT *, {sql_max_word_length('text')} AS mwl, {sql_wo
 # --------------------------------------------------------------- T2 / T4
 @register("dominant_tag", f"SELECT doc_id, {sql_dominant_tag('text', DOCUMENT_TAGS)} AS tag FROM documents")
 def q_dominant_tag(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", dominant_tag("text", DOCUMENT_TAGS).alias("tag"))
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    return with_dominant_tag(d, "text", DOCUMENT_TAGS).select("doc_id", "tag")
 
 
 @register("track_filter", "SELECT doc_id FROM documents WHERE "

@@ -20,13 +20,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.tagging import dominant_tag
+from ..functions.tagging import with_dominant_tag
 from ..functions.time import display_time, format_created_at
 from ..vocab import DOCUMENT_TAGS
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster has cores.
+
+    A large input already has many more splits than cores and is returned
+    unchanged; a small file (one row group = one split) would otherwise run
+    every row-local stage, tokenising and parsing included, in one task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread_small: bool = True) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_small else df
 
 
 def props_k() -> F.Column:
@@ -38,8 +52,9 @@ def document_posts(documents: DataFrame, tags=DOCUMENT_TAGS, english_only: bool
     if english_only:
         d = d.where(F.col("lang") == "en")  # T3 before any text work
     zero = F.lit(0)
+    d = with_dominant_tag(d, "text", tags)
     return d.select(
-        dominant_tag("text", tags).alias("tag"),
+        "tag",
         F.col("doc_id").alias("id"),
         F.col("text"),
         F.col("source").alias("username"),
