@@ -84,11 +84,15 @@ def _window_col(time_col: str, window: str | None, session_gap: str | None) -> C
 
 def windowed_stats(posts: DataFrame, time_col: str = "t", window: str | None = None,
                    session_gap: str | None = None, keys: Sequence[str] = ("tag",),
-                   text: str = "text", measures: Sequence[str] = MEASURES) -> DataFrame:
+                   text: str = "text", measures: Sequence[str] = MEASURES,
+                   session_bucket: str | None = None) -> DataFrame:
     """Tumbling (``window``) or session (``session_gap``) statistics.
 
     Averages are doubles (sum/count), the maximum is an int. Output:
-    ``window_start, window_end, keys..., <measures>``.
+    ``window_start, window_end, keys..., <measures>``. For batch sessions,
+    ``session_bucket`` (e.g. ``"1 day"``) switches to the bucketed session
+    finder (``operators.sessions``), which does not put a whole key into one
+    task; the result is the same.
     """
     m = with_measures(posts, text)
     src = {"avg_words": "m_words", "avg_length": "m_length",
@@ -99,6 +103,9 @@ def windowed_stats(posts: DataFrame, time_col: str = "t", window: str | None = N
             aggs.append(F.max("m_max_word_length").alias(name))
         else:
             aggs.append(F.avg(src[name]).alias(name))
+    if session_gap is not None and session_bucket is not None:
+        from .sessions import session_groups
+        return session_groups(m, keys, time_col, session_gap, aggs, session_bucket)
     g = m.groupBy(_window_col(time_col, window, session_gap), *keys).agg(*aggs)
     return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                     *keys, *measures)

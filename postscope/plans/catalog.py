@@ -236,6 +236,13 @@ def q_session_stats(spark, sf):
                     *_round6(["avg_words", "avg_length", "avg_followers", "avg_reretweets"]))
 
 
+@register("session_stats_bucketed", SESSION_SQL)
+def q_session_stats_bucketed(spark, sf):
+    w = stats.windowed_stats(_events(spark, sf), "t", session_gap=SESSION_GAP, session_bucket="1 day")
+    return w.select(_ms("window_start"), _ms("window_end"), "tag", "max_word_length",
+                    *_round6(["avg_words", "avg_length", "avg_followers", "avg_reretweets"]))
+
+
 # --------------------------------------------------------------- J1-J3
 _J_PARTS = {
     "max_word_length": "mwl", "avg_words": "words", "avg_length": "len",

@@ -47,6 +47,21 @@ def test_sessions_touching_gap(spark):
         (base + timedelta(seconds=103.5), base + timedelta(seconds=104.5))]
 
 
+@pytest.mark.parametrize("bucket", ["1 second", "2 seconds", "1 day"])
+def test_bucketed_sessions_equal_session_window(spark, bucket):
+    rnd = random.Random(7)
+    rows, sec = [], 0.0
+    for i in range(400):
+        sec += rnd.choice([0.2, 0.5, 1.0, 1.0, 1.3, 3.0])
+        rows.append((rnd.choice("AB"), "w" * rnd.randint(1, 5), rnd.randint(0, 9), 0, sec))
+    p = posts(spark, rows)
+    a = stats.windowed_stats(p, "t", session_gap="1 second")
+    b = stats.windowed_stats(p, "t", session_gap="1 second", session_bucket=bucket)
+    cols = ["window_start", "window_end", "tag", "max_word_length", "avg_followers", "avg_length"]
+    key = lambda r: tuple(round(v, 9) if isinstance(v, float) else v for v in r)
+    assert sorted(map(key, a.select(cols).collect())) == sorted(map(key, b.select(cols).collect()))
+
+
 def test_comparison_inner_join(spark):
     live = spark.createDataFrame(
         [(datetime(2024, 1, 1), datetime(2024, 1, 1, 0, 0, 30), "A", 3, 1.0, 7.0, 1.0, 1.0),
