@@ -15,7 +15,6 @@ from ..functions.time import event_time
 from ..schema import DEFAULTS, POST, RETWEET
 from ..vocab import DEFAULT_TAGS
 
-ARCHIVE_SCHEMA = T.StructType(POST.fields + [T.StructField("_corrupt_record", T.StringType())])
 
 
 def live_raw(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -58,7 +57,7 @@ def _decode(df: DataFrame) -> DataFrame:
             cols.append(F.struct(*rt).alias("retweet"))
         else:
             cols.append(F.coalesce(F.col(f.name), F.lit(DEFAULTS[f.name]).cast(f.dataType)).alias(f.name))
-    extra = [c for c in df.columns if c not in ARCHIVE_SCHEMA.fieldNames()]
+    extra = [c for c in df.columns if c not in POST.fieldNames()]
     return df.select(*cols, *extra)
 
 
@@ -68,14 +67,12 @@ def read_archive(spark: SparkSession, path: str, recursive: bool = False) -> Dat
     Default: bucket directories are discovered as a ``bucket`` partition
     column, so filters on it prune directories. ``recursive=True`` reads
     every file below ``path`` as plain files (no partition column), like a
-    recursive text enumeration. Malformed lines land in ``_corrupt_record``.
+    recursive text enumeration. Malformed lines are dropped.
     """
-    r = (spark.read.schema(ARCHIVE_SCHEMA).option("mode", "PERMISSIVE")
-         .option("columnNameOfCorruptRecord", "_corrupt_record"))
+    r = spark.read.schema(POST).option("mode", "DROPMALFORMED")
     if recursive:
         r = r.option("recursiveFileLookup", "true")
-    df = r.json(path)
-    return _decode(df.where(F.col("_corrupt_record").isNull()))
+    return _decode(r.json(path))
 
 
 def stream_archive(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
