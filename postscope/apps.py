@@ -75,24 +75,41 @@ def live_vs_historic(spark: SparkSession, archive: str, landing: str, out: str,
 
 
 def online_predictions(spark: SparkSession, landing: str, documents: str, checkpoint: str,
-                       tags: Sequence[str] = DEFAULT_TAGS, trigger: dict | None = None
-                       ) -> list[StreamingQuery]:
+                       tags: Sequence[str] = DEFAULT_TAGS, trigger: dict | None = None,
+                       bucketed: bool = True, bucket_ms: int = 3_600_000) -> list[StreamingQuery]:
     """Length (exponential smoothing), re-share followers -> re-share count
     regression, statuses -> followers regression; each labelled and written
-    as prediction documents."""
+    as prediction documents under ``documents/tw_predictions/model=<name>``.
+
+    ``bucketed=True`` (default) runs each micro-batch through the bucketed
+    batch predictors with a per-tag state table under ``checkpoint``, so no
+    tag is ever one task; ``False`` uses keyed ``applyInPandasWithState``.
+    """
     posts = live_posts(live_raw(spark, landing), tags, track=tags)
     from .functions.text import utf16_length
     lengths = posts.withColumn("length", utf16_length("text")).where(F.col("length").isNotNull())
     pairs_rt = posts.where(F.col("retweet.id") != 0).select(
-        "tag", "t", "id", F.col("retweet.retweetCount").alias("x"), F.col("retweet.followersCount").alias("y"))
+        "tag", "t", "id", "createdAt", F.col("retweet.retweetCount").alias("x"),
+        F.col("retweet.followersCount").alias("y"))
     pairs_st = posts.where(F.col("id") != 0).select(
-        "tag", "t", "id", F.col("statusesCount").alias("x"), F.col("followersCount").alias("y"))
+        "tag", "t", "id", "createdAt", F.col("statusesCount").alias("x"), F.col("followersCount").alias("y"))
+    qs = []
+    if bucketed:
+        runs = {"ewma": (lengths, dict(kind="ewma", value="length")),
+                "retweets": (pairs_rt, dict(kind="regression", x="x", y="y")),
+                "followers": (pairs_st, dict(kind="regression", x="x", y="y"))}
+        for model, (df, kw) in runs.items():
+            qs.append(sp.start_bucketed(
+                df, out=f"{documents}/tw_predictions/model={MODEL_NAMES[model]}",
+                state=_ck(checkpoint, f"pred_{model}_state"), checkpoint=_ck(checkpoint, f"pred_{model}"),
+                bucket_ms=bucket_ms, trigger=trigger, fmt="json",
+                shape=lambda p, m=model: to_documents(predict.label(p, m), "tw_predictions"), **kw))
+        return qs
     models: dict[str, DataFrame] = {
         "ewma": sp.stream_ewma(lengths, "length"),
         "retweets": sp.stream_regression(pairs_rt, "x", "y"),
         "followers": sp.stream_regression(pairs_st, "x", "y"),
     }
-    qs = []
     for model, df in models.items():
         docs = to_documents(predict.label(df, model), "tw_predictions")
         qs.append(stream_documents(docs, f"{documents}/tw_predictions/model={MODEL_NAMES[model]}",

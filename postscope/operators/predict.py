@@ -19,6 +19,12 @@ scan*:
 Without ``bucket`` the same code runs with a single bucket per key (plain
 form). Both forms give identical results; tests check that.
 
+Every model also takes ``init``, a small per-key state table (the model
+after earlier rows), which enters as a pseudo-bucket before all real ones,
+and has a ``*_state`` function giving the state after the rows. Together
+they let a stream run the same skew-free computation per micro-batch
+(``streaming.predictors.start_bucketed``).
+
 All arithmetic stays in native expressions; nothing is collected.
 """
 
@@ -55,32 +61,56 @@ def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
+INIT_BUCKET = -(2 ** 62)   # pseudo-bucket of the initial state, before every real bucket
+
+
+def _order_cols(order, ks, keep):
+    return [c for c in order if c not in ks and c not in keep]
+
+
 # --------------------------------------------------------------------- P2/P3
 
+def _reg_rows(df, ks, order, x, y, bucket, keep):
+    d = _with_bucket(df, bucket).select(
+        *keep, *ks, *_order_cols(order, ks, keep), "_b",
+        F.col(x).cast("bigint").alias("_x"), F.col(y).cast("bigint").alias("_y"))
+    return d.withColumn("_xy", (F.col("_x") * F.col("_y")).cast("decimal(38,0)")) \
+            .withColumn("_xx", (F.col("_x") * F.col("_x")).cast("decimal(38,0)"))
+
+
+def _reg_summary(rows, ks, init):
+    summ = rows.groupBy(*ks, "_b").agg(F.count(F.lit(1)).alias("_n"), F.sum("_xy").alias("_bxy"),
+                                       F.sum("_xx").alias("_bxx"))
+    if init is not None:
+        summ = summ.unionByName(init.select(
+            *ks, F.lit(INIT_BUCKET).cast("bigint").alias("_b"), F.col("n").cast("bigint").alias("_n"),
+            F.col("sxy").cast("decimal(38,0)").alias("_bxy"), F.col("sxx").cast("decimal(38,0)").alias("_bxx")))
+    return summ
+
+
 def regression_predict(df: DataFrame, key: str | Sequence[str], order: Sequence[str],
                        x: str, y: str, warmup: int = REGRESSION_WARMUP,
-                       bucket: str | Column | None = None, keep: Sequence[str] = ()) -> DataFrame:
+                       bucket: str | Column | None = None, keep: Sequence[str] = (),
+                       init: DataFrame | None = None) -> DataFrame:
     """Through-origin regression of ``y`` on ``x``.
 
     Counts first; from row ``warmup + 1`` of a key on, predicts
     ``x * Sxy / Sxx`` over the *earlier* rows (−1 when ``Sxx`` is 0), then
     learns the row. Output: ``keep..., key..., predicted int, real int``.
     Sums are exact (decimal) and converted to double only for the division.
+    ``init``: ``(key..., n, sxy, sxx)`` of earlier rows.
     """
     ks = _keys(key)
-    d = _with_bucket(df, bucket).select(
-        *keep, *ks, *[c for c in order if c not in ks and c not in keep], "_b",
-        F.col(x).cast("bigint").alias("_x"), F.col(y).cast("bigint").alias("_y"))
-    d = d.withColumn("_xy", (F.col("_x") * F.col("_y")).cast("decimal(38,0)")) \
-         .withColumn("_xx", (F.col("_x") * F.col("_x")).cast("decimal(38,0)"))
+    if init is not None and bucket is None:
+        bucket = F.lit(0)
+    d = _reg_rows(df, ks, order, x, y, bucket, keep)
     wb = Window.partitionBy(*ks, "_b").orderBy(*order)
     prev = wb.rowsBetween(UNB, -1)
     d = d.select("*", F.row_number().over(wb).alias("_r"),
                  F.coalesce(F.sum("_xy").over(prev), F.lit(0)).alias("_sxy"),
                  F.coalesce(F.sum("_xx").over(prev), F.lit(0)).alias("_sxx"))
     if bucket is not None:
-        summ = d.groupBy(*ks, "_b").agg(F.count(F.lit(1)).alias("_n"), F.sum("_xy").alias("_bxy"),
-                                        F.sum("_xx").alias("_bxx"))
+        summ = _reg_summary(d, ks, init)
         wk = Window.partitionBy(*ks).orderBy("_b").rowsBetween(UNB, -1)
         carry = summ.select(*ks, "_b",
                             F.coalesce(F.sum("_n").over(wk), F.lit(0)).alias("_cn"),
@@ -98,37 +128,67 @@ def regression_predict(df: DataFrame, key: str | Sequence[str], order: Sequence[
                                       F.col("_y").cast("int").alias("real"))
 
 
+def regression_state(df: DataFrame, key: str | Sequence[str], x: str, y: str,
+                     init: DataFrame | None = None) -> DataFrame:
+    """Model after all rows of ``df`` (and ``init``): ``key..., n, sxy, sxx``.
+    Order-free, so a plain partial/final aggregate."""
+    ks = _keys(key)
+    summ = _reg_summary(_reg_rows(df, ks, (), x, y, None, ()), ks, init)
+    return summ.groupBy(*ks).agg(F.sum("_n").alias("n"), F.sum("_bxy").cast("decimal(38,0)").alias("sxy"),
+                                 F.sum("_bxx").cast("decimal(38,0)").alias("sxx"))
+
+
 # --------------------------------------------------------------------- P4
 
+def _sma_rows(df, ks, order, value, bucket, keep):
+    d = _with_bucket(df, bucket).select(
+        *keep, *ks, *_order_cols(order, ks, keep), "_b", F.col(value).cast("bigint").alias("_x"))
+    wb = Window.partitionBy(*ks, "_b").orderBy(*order)
+    return d.withColumn("_r", F.row_number().over(wb)), wb
+
+
+def _sma_tails(d, ks, ring, init):
+    """Per (key, bucket): its last ``ring`` values in order (bounded arrays)."""
+    cnt = F.count(F.lit(1)).over(Window.partitionBy(*ks, "_b"))
+    tails = (d.select(*ks, "_b", "_r", "_x", cnt.alias("_m"))
+             .where(F.col("_r") > F.col("_m") - ring)
+             .groupBy(*ks, "_b")
+             .agg(F.sort_array(F.collect_list(F.struct("_r", "_x"))).alias("_t")))
+    if init is not None:
+        seeded = F.transform(F.col("last").cast("array<bigint>"),
+                             lambda v, i: F.struct((i + 1).alias("_r"), v.alias("_x")))
+        tails = tails.unionByName(init.select(*ks, F.lit(INIT_BUCKET).cast("bigint").alias("_b"),
+                                              seeded.alias("_t")))
+    return tails
+
+
+def _last(arr: Column, ring: int) -> Column:
+    """The last ``ring`` elements of ``arr``."""
+    return F.slice(arr, F.greatest(F.size(arr) - ring + 1, F.lit(1)), ring)
+
+
 def sma_predict(df: DataFrame, key: str | Sequence[str], order: Sequence[str], value: str,
                 ring: int = SMA_RING, bucket: str | Column | None = None,
-                keep: Sequence[str] = ()) -> DataFrame:
+                keep: Sequence[str] = (), init: DataFrame | None = None) -> DataFrame:
     """Moving average over a ring of ``ring`` slots that starts full of zeros.
 
     Prediction = ``(int)(sum of the previous ring values / ring)``. The
     window sum of the last ``ring`` rows is computed as a difference of exact
     running sums (``lag`` of the running sum), so it costs O(1) per row.
+    ``init``: ``(key..., last array<bigint>)``, the latest values, oldest first.
     """
     ks = _keys(key)
-    d = _with_bucket(df, bucket).select(
-        *keep, *ks, *[c for c in order if c not in ks and c not in keep], "_b",
-        F.col(value).cast("bigint").alias("_x"))
-    wb = Window.partitionBy(*ks, "_b").orderBy(*order)
-    d = d.select("*", F.row_number().over(wb).alias("_r"),
-                 F.coalesce(F.sum("_x").over(wb.rowsBetween(UNB, -1)), F.lit(0)).alias("_s"))
+    if init is not None and bucket is None:
+        bucket = F.lit(0)
+    d, wb = _sma_rows(df, ks, order, value, bucket, keep)
+    d = d.withColumn("_s", F.coalesce(F.sum("_x").over(wb.rowsBetween(UNB, -1)), F.lit(0)))
     d = d.withColumn("_win", F.col("_s") - F.coalesce(F.lag("_s", ring).over(wb), F.lit(0)))
     total = F.col("_win")
     if bucket is not None:
-        cnt = F.count(F.lit(1)).over(Window.partitionBy(*ks, "_b"))
-        tails = (d.select(*ks, "_b", "_r", "_x", cnt.alias("_m"))
-                 .where(F.col("_r") > F.col("_m") - ring)
-                 .groupBy(*ks, "_b")
-                 .agg(F.sort_array(F.collect_list(F.struct("_r", "_x"))).alias("_t")))
+        tails = _sma_tails(d, ks, ring, init)
         wk = Window.partitionBy(*ks).orderBy("_b").rowsBetween(-ring, -1)
         flat = F.flatten(F.transform(F.collect_list("_t").over(wk), lambda a: a["_x"]))
-        carry = tails.select(*ks, "_b", flat.alias("_all"))
-        carry = carry.select(*ks, "_b", F.slice(
-            "_all", F.greatest(F.size("_all") - ring + 1, F.lit(1)), ring).alias("_carry"))
+        carry = tails.select(*ks, "_b", _last(flat, ring).alias("_carry"))
         d = d.join(carry, [*ks, "_b"], "left")
         need = F.lit(ring + 1) - F.col("_r")
         arr = F.coalesce(F.col("_carry"), F.array().cast("array<bigint>"))
@@ -140,6 +200,19 @@ def sma_predict(df: DataFrame, key: str | Sequence[str], order: Sequence[str], v
     return d.select(*keep, *ks, pred.alias("predicted"), F.col("_x").cast("int").alias("real"))
 
 
+def sma_state(df: DataFrame, key: str | Sequence[str], order: Sequence[str], value: str,
+              ring: int = SMA_RING, bucket: str | Column | None = None,
+              init: DataFrame | None = None) -> DataFrame:
+    """The latest ``ring`` values per key after ``df`` (and ``init``): ``key..., last``."""
+    ks = _keys(key)
+    d, _ = _sma_rows(df, ks, order, value, F.lit(0) if bucket is None else bucket, ())
+    tails = _sma_tails(d, ks, ring, init)
+    wk = Window.partitionBy(*ks).orderBy("_b").rowsBetween(-ring, 0)
+    flat = F.flatten(F.transform(F.collect_list("_t").over(wk), lambda a: a["_x"]))
+    upto = tails.select(*ks, "_b", _last(flat, ring).alias("last"))
+    return upto.groupBy(*ks).agg(F.max_by("last", "_b").alias("last"))
+
+
 # --------------------------------------------------------------------- P1
 
 def _ewma_block(rate: float) -> int:
@@ -147,13 +220,58 @@ def _ewma_block(rate: float) -> int:
     return max(16, int(math.ceil(46.0 / -math.log(1.0 - rate))))
 
 
+def _ewma_local(df, ks, order, value, rate, bucket, keep):
+    """Rows with ``_v``: the model value before each row, starting from 0 at
+    the start of the row's bucket (block-rescaled closed form)."""
+    q = 1.0 - rate
+    blk = _ewma_block(rate)
+    d = _with_bucket(df, bucket).select(
+        *keep, *ks, *_order_cols(order, ks, keep), "_b", F.col(value).cast("double").alias("_x"))
+    wb = Window.partitionBy(*ks, "_b").orderBy(*order)
+    d = d.withColumn("_r", F.row_number().over(wb))
+    d = d.withColumn("_p", (F.col("_r") - 1) % blk).withColumn("_k", F.floor((F.col("_r") - 1) / blk))
+    wk = Window.partitionBy(*ks, "_b", "_k")
+    wko = wk.orderBy(*order)
+    d = d.select("*",
+                 F.coalesce(F.sum(F.col("_x") * F.pow(F.lit(q), -F.col("_p"))).over(wko.rowsBetween(UNB, -1)),
+                            F.lit(0.0)).alias("_s1"),
+                 F.sum(F.col("_x") * F.pow(F.lit(q), F.lit(blk) - F.col("_p"))).over(wk).alias("_t2"))
+    d = d.withColumn("_lt2", F.coalesce(F.lag("_t2", 1).over(wb), F.lit(0.0)))
+    d = d.withColumn("_prev", F.first("_lt2").over(wko.rowsBetween(UNB, 0)))
+    local = F.lit(rate) * F.pow(F.lit(q), F.col("_p") - 1) * (F.col("_s1") + F.col("_prev"))
+    return d.withColumn("_v", local)
+
+
+def _ewma_summary(d, ks, rate, init):
+    """Per (key, bucket): rows ``_m`` and end value from 0 ``_e`` (an affine map
+    ``v -> q^m v + e``); the initial state is the map ``v -> init``."""
+    q = 1.0 - rate
+    after = F.lit(q) * F.col("_v") + F.lit(rate) * F.col("_x")
+    summ = d.groupBy(*ks, "_b").agg(F.count(F.lit(1)).alias("_m"), F.max_by(after, F.col("_r")).alias("_e"))
+    if init is not None:
+        summ = summ.unionByName(init.select(*ks, F.lit(INIT_BUCKET).cast("bigint").alias("_b"),
+                                            F.lit(0).cast("bigint").alias("_m"),
+                                            F.col("v").cast("double").alias("_e")))
+    return summ
+
+
+def _ewma_fold(rate: float, upto: int):
+    # buckets hold >= 1 row each, so this many buckets reach back far enough
+    q = 1.0 - rate
+    look = _ewma_block(rate)
+    return lambda ks: F.aggregate(
+        F.collect_list(F.struct("_m", "_e")).over(
+            Window.partitionBy(*ks).orderBy("_b").rowsBetween(-look, upto)),
+        F.lit(0.0), lambda acc, s: acc * F.pow(F.lit(q), s["_m"]) + s["_e"])
+
+
 def ewma_predict(df: DataFrame, key: str | Sequence[str], order: Sequence[str], value: str,
                  rate: float = EWMA_RATE, bucket: str | Column | None = None,
-                 keep: Sequence[str] = ()) -> DataFrame:
+                 keep: Sequence[str] = (), init: DataFrame | None = None) -> DataFrame:
     """Exponential smoothing (P1): ``v0 = 0``; emit ``v``; ``v += rate * (x - v)``.
 
     Emits ``predicted_value`` (double, the model state) and ``predicted``
-    (its Java int cast), ``real``.
+    (its Java int cast), ``real``. ``init``: ``(key..., v)``.
 
     Closed form: ``v_i = rate * sum_{j<i} q^(i-1-j) x_j`` with ``q = 1-rate``.
     Rows are cut into blocks of ``B`` rows, with ``q^B < 1e-20``, so only the
@@ -166,39 +284,30 @@ def ewma_predict(df: DataFrame, key: str | Sequence[str], order: Sequence[str],
     if not 0.0 < rate < 1.0:
         raise ValueError("rate must be in (0, 1)")
     ks = _keys(key)
+    if init is not None and bucket is None:
+        bucket = F.lit(0)
     q = 1.0 - rate
-    blk = _ewma_block(rate)
-    d = _with_bucket(df, bucket).select(
-        *keep, *ks, *[c for c in order if c not in ks and c not in keep], "_b",
-        F.col(value).cast("double").alias("_x"))
-    wb = Window.partitionBy(*ks, "_b").orderBy(*order)
-    d = d.withColumn("_r", F.row_number().over(wb))
-    d = d.withColumn("_p", (F.col("_r") - 1) % blk).withColumn("_k", F.floor((F.col("_r") - 1) / blk))
-    wk = Window.partitionBy(*ks, "_b", "_k")
-    wko = wk.orderBy(*order)
-    d = d.select("*",
-                 F.coalesce(F.sum(F.col("_x") * F.pow(F.lit(q), -F.col("_p"))).over(wko.rowsBetween(UNB, -1)),
-                            F.lit(0.0)).alias("_s1"),
-                 F.sum(F.col("_x") * F.pow(F.lit(q), F.lit(blk) - F.col("_p"))).over(wk).alias("_t2"))
-    d = d.withColumn("_lt2", F.coalesce(F.lag("_t2", 1).over(wb), F.lit(0.0)))
-    d = d.withColumn("_prev", F.first("_lt2").over(wko.rowsBetween(UNB, 0)))
-    local = F.lit(rate) * F.pow(F.lit(q), F.col("_p") - 1) * (F.col("_s1") + F.col("_prev"))
-    d = d.withColumn("_v", local)
+    d = _ewma_local(df, ks, order, value, rate, bucket, keep)
     if bucket is not None:
-        after = F.lit(q) * F.col("_v") + F.lit(rate) * F.col("_x")
-        summ = d.groupBy(*ks, "_b").agg(F.count(F.lit(1)).alias("_m"),
-                                        F.max_by(after, F.col("_r")).alias("_e"))
-        look = _ewma_block(rate)  # buckets hold >= 1 row each, so this many buckets suffice
-        wks = Window.partitionBy(*ks).orderBy("_b").rowsBetween(-look, -1)
-        fold = F.aggregate(F.collect_list(F.struct("_m", "_e")).over(wks), F.lit(0.0),
-                           lambda acc, s: acc * F.pow(F.lit(q), s["_m"]) + s["_e"])
-        carry = summ.select(*ks, "_b", fold.alias("_c"))
+        summ = _ewma_summary(d, ks, rate, init)
+        carry = summ.select(*ks, "_b", _ewma_fold(rate, -1)(ks).alias("_c"))
         d = d.join(carry, [*ks, "_b"])
         d = d.withColumn("_v", F.pow(F.lit(q), F.col("_r") - 1) * F.col("_c") + F.col("_v"))
     return d.select(*keep, *ks, F.col("_v").alias("predicted_value"),
                     java_int(F.col("_v")).alias("predicted"), F.col("_x").cast("int").alias("real"))
 
 
+def ewma_state(df: DataFrame, key: str | Sequence[str], order: Sequence[str], value: str,
+               rate: float = EWMA_RATE, bucket: str | Column | None = None,
+               init: DataFrame | None = None) -> DataFrame:
+    """Model value per key after all rows of ``df`` (and ``init``): ``key..., v``."""
+    ks = _keys(key)
+    d = _ewma_local(df, ks, order, value, rate, F.lit(0) if bucket is None else bucket, ())
+    summ = _ewma_summary(d, ks, rate, init)
+    upto = summ.select(*ks, "_b", _ewma_fold(rate, 0)(ks).alias("_c"))
+    return upto.groupBy(*ks).agg(F.max_by("_c", "_b").alias("v"))
+
+
 def label(pred: DataFrame, model: str) -> DataFrame:
     """Append the model name."""
     return pred.withColumn("name", F.lit(MODEL_NAMES.get(model, model)))

@@ -487,3 +487,46 @@ def q_stream_predict_regression_retweets(spark, sf):
 @register("stream_predict_regression_followers", ORACLE["predict_regression_followers"])
 def q_stream_predict_regression_followers(spark, sf):
     return _stream_predict(spark, sf, "followers")
+
+
+def _stream_predict_bucketed(spark, sf, kind):
+    from ..session import scratch_path
+    from ..streaming.predictors import start_bucketed
+    s = _event_stream(spark, sf)
+    base = scratch_path(spark, f"stream_{kind}_bucketed")
+    kw = {"ewma": dict(kind="ewma", value="followersCount"),
+          "sma": dict(kind="sma", value="followersCount"),
+          "retweets": dict(kind="regression", x="retweetCount", y="followersCount"),
+          "followers": dict(kind="regression", x="statusesCount", y="followersCount")}[kind]
+    if kind == "retweets":
+        s = s.where(F.col("retweet.id") != 0)
+    elif kind == "followers":
+        s = s.where(F.col("id") != 0)
+    q = start_bucketed(s, out=f"{base}/out", state=f"{base}/state", checkpoint=f"{base}/checkpoint",
+                       bucket_ms=PREDICT_BUCKET_MS, trigger={"availableNow": True}, **kw)
+    q.awaitTermination()
+    out = spark.read.parquet(f"{base}/out")
+    if kind == "ewma":
+        return out.select(F.col("id").alias("event_id"), "tag",
+                          F.round("predicted_value", 6).alias("predicted_value"), "real")
+    return out.select(F.col("id").alias("event_id"), "tag", "predicted", "real")
+
+
+@register("stream_predict_ewma_bucketed", ORACLE["predict_ewma"])
+def q_stream_predict_ewma_bucketed(spark, sf):
+    return _stream_predict_bucketed(spark, sf, "ewma")
+
+
+@register("stream_predict_sma_bucketed", ORACLE["predict_sma"])
+def q_stream_predict_sma_bucketed(spark, sf):
+    return _stream_predict_bucketed(spark, sf, "sma")
+
+
+@register("stream_predict_regression_retweets_bucketed", ORACLE["predict_regression_retweets"])
+def q_stream_predict_regression_retweets_bucketed(spark, sf):
+    return _stream_predict_bucketed(spark, sf, "retweets")
+
+
+@register("stream_predict_regression_followers_bucketed", ORACLE["predict_regression_followers"])
+def q_stream_predict_regression_followers_bucketed(spark, sf):
+    return _stream_predict_bucketed(spark, sf, "followers")

@@ -8,9 +8,12 @@ few numbers per key (EWMA value; regression count and sums; the last
 ``ring`` values of the moving average), checkpointed with the query.
 
 Keyed state means one task per key and micro-batch, as in any keyed
-streaming operator; bound the micro-batch with ``maxFilesPerTrigger`` /
-``maxOffsetsPerTrigger``. Archives are better served by the bucketed batch
-forms in ``operators.predict``.
+streaming operator: a tag holding a third of the feed is a third of every
+micro-batch in one task. :func:`start_bucketed` avoids that: each micro-batch
+runs the bucketed batch predictors of ``operators.predict`` (spread over
+key x time bucket) from a small per-key state table that is versioned by
+batch id. Use it for heavy feeds; the ``applyInPandasWithState`` form is the
+compact one.
 """
 
 from __future__ import annotations
@@ -117,3 +120,72 @@ def stream_sma(posts: DataFrame, value: str, key: str = "tag", ring: int = SMA_R
     state = T.StructType([T.StructField("last", T.ArrayType(T.LongType()))])
     return _prep(posts, key, value, None).groupBy("tag").applyInPandasWithState(
         _sma(ring), OUT_INT, state, "append", GroupStateTimeout.NoTimeout)
+
+
+# ----------------------------------------------------------------------------
+# Skew-free form: every micro-batch runs the bucketed batch predictors
+# (``operators.predict``) from the state left by the previous batch.
+
+def _state_versions(spark, path: str) -> list[int]:
+    """Batch ids that have a committed state folder under ``path``."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith("batch=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            out.append(int(name.split("=", 1)[1]))
+    return sorted(out)
+
+
+def start_bucketed(posts: DataFrame, kind: str, out: str, state: str, checkpoint: str,
+                   value: str | None = None, x: str | None = None, y: str | None = None,
+                   key: str = "tag", order: tuple[str, ...] = ("t", "id"), bucket_ms: int = 3_600_000,
+                   trigger: dict | None = None, shape=None, fmt: str = "parquet"):
+    """Run predictor ``kind`` (``ewma`` | ``sma`` | ``regression``) on a stream.
+
+    Per micro-batch ``b``: read the newest state version before ``b``, run
+    the bucketed batch predictor on the batch with that state as ``init``,
+    write predictions to ``out/batch=b`` and the new per-key state to
+    ``state/batch=b`` (both overwritten on a replay, so a re-run batch
+    reproduces its output). No key is gathered into one task: the batch is
+    spread over (key, time bucket) like the archive form. ``shape`` maps the
+    predictions before writing (e.g. to documents), ``fmt`` is the writer.
+    """
+    from ..operators import predict as P
+
+    spark = posts.sparkSession
+    bucket = F.floor(F.col("createdAt") / F.lit(bucket_ms)) if "createdAt" in posts.columns else \
+        F.floor(F.unix_millis(F.col("t")) / F.lit(bucket_ms))
+
+    def _batch(batch: DataFrame, batch_id: int) -> None:
+        prev = [v for v in _state_versions(spark, state) if v < batch_id]
+        init = spark.read.parquet(f"{state}/batch={prev[-1]}") if prev else None
+        batch = batch.persist()
+        try:
+            if kind == "ewma":
+                pred = P.ewma_predict(batch, key, order, value, bucket=bucket, keep=["id"], init=init)
+                new = P.ewma_state(batch, key, order, value, bucket=bucket, init=init)
+            elif kind == "sma":
+                pred = P.sma_predict(batch, key, order, value, bucket=bucket, keep=["id"], init=init)
+                new = P.sma_state(batch, key, order, value, bucket=bucket, init=init)
+            elif kind == "regression":
+                pred = P.regression_predict(batch, key, order, x, y, bucket=bucket, keep=["id"], init=init)
+                new = P.regression_state(batch, key, x, y, init=init)
+            else:
+                raise ValueError(kind)
+            if shape is not None:
+                pred = shape(pred)
+            pred.write.mode("overwrite").format(fmt).save(f"{out}/batch={batch_id}")
+            if init is not None:   # keys absent from this batch keep their state
+                new = new.unionByName(init.join(new.select(key), key, "left_anti"))
+            new.write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
+        finally:
+            batch.unpersist()
+
+    w = (posts.writeStream.foreachBatch(_batch).outputMode("append")
+         .option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "5 seconds"})))
+    return w.start()
