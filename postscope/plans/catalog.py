@@ -8,6 +8,7 @@ recursion may differ in the last bits.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from ..functions.text import utf16_length, words_per_post
 from ..functions.json import normalise, valid_posts
 from ..functions.time import bucket_ms
 from ..operators import compare, predict, stats
+from ..session import pin_utc
 from ..sources.tables import document_posts, event_posts, event_raw_posts, table
 from ..vocab import (ARCHIVE_BUCKET_MS, DOCUMENT_TAGS, EVENT_TAGS, EWMA_RATE, REGRESSION_WARMUP,
                      SMA_RING, STAT_NAMES)
@@ -42,7 +44,11 @@ ORACLE: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            pin_utc(spark)
+            return fn(spark, sf)
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn

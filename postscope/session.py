@@ -46,6 +46,13 @@ def get_session(master: str | None = None, app: str = "postscope",
     return spark
 
 
+def pin_utc(spark: SparkSession) -> None:
+    """Event times, window bounds and display strings are defined in UTC;
+    make the session agree (timestamp_ntz columns are read as UTC)."""
+    if spark.conf.get("spark.sql.session.timeZone", None) not in ("UTC", "Etc/UTC", "Z", "+00:00"):
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
