@@ -54,7 +54,13 @@ def java_int(x: Column) -> Column:
 
 
 def _with_bucket(df: DataFrame, bucket: str | Column | None) -> DataFrame:
-    return df.withColumn("_b", F.lit(0).cast("bigint") if bucket is None else _c(bucket).cast("bigint"))
+    # Non-nullable on purpose: a nullable join key makes Catalyst infer an
+    # extra IS NOT NULL filter on one branch only, and the two branches that
+    # read the rows (windows, per-bucket summary) then no longer share their
+    # exchange. Rows without a bucket (no time) go to bucket 0.
+    if bucket is None:
+        return df.withColumn("_b", F.lit(0).cast("bigint"))
+    return df.withColumn("_b", F.coalesce(_c(bucket).cast("bigint"), F.lit(0).cast("bigint")))
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
@@ -189,7 +195,7 @@ def sma_predict(df: DataFrame, key: str | Sequence[str], order: Sequence[str], v
         wk = Window.partitionBy(*ks).orderBy("_b").rowsBetween(-ring, -1)
         flat = F.flatten(F.transform(F.collect_list("_t").over(wk), lambda a: a["_x"]))
         carry = tails.select(*ks, "_b", _last(flat, ring).alias("_carry"))
-        d = d.join(carry, [*ks, "_b"], "left")
+        d = d.join(carry, [*ks, "_b"])   # every bucket of d has its tails row
         need = F.lit(ring + 1) - F.col("_r")
         arr = F.coalesce(F.col("_carry"), F.array().cast("array<bigint>"))
         part = F.slice(arr, F.greatest(F.size(arr) - need + 1, F.lit(1)), need)

@@ -52,7 +52,9 @@ def session_ids(df: DataFrame, keys: Sequence[str], time_col: str, gap: str,
     keys = list(keys)
     gap_us, width_us = duration_us(gap), duration_us(bucket)
     d = df.withColumn("_u", F.unix_micros(F.col(time_col).cast("timestamp")))
-    d = d.withColumn("_b", F.floor(F.col("_u") / F.lit(width_us)).cast("bigint"))
+    # non-nullable bucket key: both branches then share one row exchange
+    d = d.withColumn("_b", F.coalesce(F.floor(F.col("_u") / F.lit(width_us)).cast("bigint"),
+                                      F.lit(0).cast("bigint")))
     wb = Window.partitionBy(*keys, "_b").orderBy("_u")
     prev = F.lag("_u").over(wb)
     d = d.withColumn("_brk", F.when(prev.isNotNull() & (F.col("_u") - prev > gap_us), 1).otherwise(0))

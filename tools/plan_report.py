@@ -17,10 +17,11 @@ from postscope.session import get_session  # noqa: E402
 
 
 def summary(plan: str) -> dict:
-    ex = re.findall(r"Exchange (hashpartitioning\([^)]*\)|RoundRobinPartitioning\(\d+\)|rangepartitioning\([^)]*\)|"
+    plan = plan.split("== Initial Plan ==")[0]
+    ex = re.findall(r"(?<!Reused)Exchange (hashpartitioning\([^)]*\)|RoundRobinPartitioning\(\d+\)|rangepartitioning\([^)]*\)|"
                     r"SinglePartition|HashedRelationBroadcastMode)", plan)
     ex = [re.sub(r"#\d+L?", "", e) for e in ex]
-    ops = {k: plan.count(k) for k in ("BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin",
+    ops = {k: plan.count(k) for k in ("ReusedExchange", "BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin",
                                       "Window", "HashAggregate", "ObjectHashAggregate", "SortAggregate",
                                       "Generate", "MergingSessions")}
     pushed = sorted(set(re.findall(r"PushedFilters: \[([^\]]*)\]", plan)) - {""})
@@ -39,7 +40,7 @@ def main():
         if name.startswith("stream_") or name == "archive_roundtrip":
             continue
         df = fn(spark, sf)
-        df.write.format("noop").mode("overwrite").save()
+        df.collect()          # runs the DataFrame's own plan, so AQE prints its final form
         s = summary(df._jdf.queryExecution().executedPlan().toString())
         exs = "<br>".join(s["exchanges"]) or "none"
         ops = ", ".join(f"{k}×{v}" for k, v in s["ops"].items()) or "-"
