@@ -61,16 +61,21 @@ def historic_statistics(spark: SparkSession, archive: str, report_root: str,
 
 def live_vs_historic(spark: SparkSession, archive: str, landing: str, out: str, checkpoint: str,
                      tags: Sequence[str] = DEFAULT_TAGS, window: str = "30 seconds",
-                     watermark: str = "1 minute", trigger: dict | None = None) -> StreamingQuery:
+                     watermark: str = "1 minute", trigger: dict | None = None,
+                     documents: str | None = None) -> StreamingQuery:
     """History is aggregated once (one double average per tag and statistic)
     and written to ``out/historic`` as a small table; every micro-batch of
-    live windows is joined with it; differences land in ``out/diff``."""
+    live windows is joined with it; differences land in ``out/diff``, or as
+    comparison documents under ``documents/tw_comparedata`` when given."""
     hist_path = f"{out.rstrip('/')}/historic"
     compare.archive_averages(read_archive(spark, archive, recursive=True)).write.mode("overwrite") \
         .parquet(hist_path)
     hist = spark.read.parquet(hist_path)
     live = live_stats(live_posts(live_raw(spark, landing), tags, track=tags), window=window,
                       watermark=watermark)
+    if documents:
+        return start_compare(live, hist, f"{documents.rstrip('/')}/tw_comparedata", _ck(checkpoint, "compare"),
+                             trigger, shape=lambda d: to_documents(d, "tw_comparedata"), fmt="json")
     return start_compare(live, hist, f"{out.rstrip('/')}/diff", _ck(checkpoint, "compare"), trigger)
 
 

@@ -36,12 +36,16 @@ def compare_batch(live_batch: DataFrame, historic: DataFrame, keys: Sequence[str
 
 
 def start_compare(live: DataFrame, historic: DataFrame, path: str, checkpoint: str,
-                  trigger: dict | None = None) -> StreamingQuery:
+                  trigger: dict | None = None, shape=None, fmt: str = "parquet") -> StreamingQuery:
     """Every micro-batch of updated live windows is joined with the historic
     table (re-read per batch, so a refreshed history is picked up) and the
-    differences land in ``path/_batch=<id>``."""
+    differences land in ``path/_batch=<id>`` (``shape`` maps them first, e.g.
+    to comparison documents; ``fmt`` is the writer)."""
     def _batch(batch: DataFrame, batch_id: int) -> None:
-        compare_batch(batch, historic).write.mode("overwrite").parquet(f"{path}/_batch={batch_id}")
+        diff = compare_batch(batch, historic)
+        if shape is not None:
+            diff = shape(diff)
+        diff.write.mode("overwrite").format(fmt).save(f"{path}/_batch={batch_id}")
 
     return (live.writeStream.foreachBatch(_batch).outputMode("update")
             .option("checkpointLocation", checkpoint)

@@ -100,6 +100,15 @@ def test_programs_end_to_end(spark, tmp_path):
     assert set(r.name for r in diff.select("name").distinct().collect()) <= {
         "maxWordLength", "avgTweetLength", "avgRetweets", "avgFollowerCount", "avgWordInTweet"}
 
+    # the same comparison as documents (K5)
+    q = apps.live_vs_historic(spark, arch, land, out, str(tmp_path / "ck2"), tags=TAGS, window="1 minute",
+                              trigger=once, documents=docs)
+    wait([q])
+    cd = spark.read.json(f"{docs}/tw_comparedata")
+    assert set(cd.columns) - {"_batch"} == {"comparedata", "comparedata_tag", "comparedata_name",
+                                             "comparedata_timestamp"}
+    assert cd.count() == diff.count()
+
     # predictions: three labelled document sets
     wait(apps.online_predictions(spark, land, docs, ck, tags=TAGS, trigger=once))
     p = spark.read.json(f"{docs}/tw_predictions")
