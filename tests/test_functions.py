@@ -1,6 +1,5 @@
 """Layer 1: literal edge cases of the per-row operators."""
 
-from pyspark.sql import functions as F
 
 from postscope.functions.tagging import dominant_tag, occurrences, track_filter
 from postscope.functions.text import max_word_length, utf16_length, word_rows, words_per_post
