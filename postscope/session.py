@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -86,13 +85,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     root = shared_root(spark)
     return f"{root}/postscope/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for the few places that use the local FS API."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def ensure_dir(path: str) -> None:
-    p = local_path(path)
-    if "://" not in p:
-        os.makedirs(p, exist_ok=True)
