@@ -117,5 +117,6 @@ def valid_posts(normalised: DataFrame) -> DataFrame:
 
 
 def quarantined(normalised: DataFrame) -> DataFrame:
-    """Rejected rows: the raw text and the reason."""
-    return normalised.where(F.col("error").isNotNull()).select("raw", "error")
+    """Rejected rows: any kept columns, the raw text and the reason."""
+    extra = [c for c in normalised.columns if c not in POST_COLUMNS and c not in ("error", "raw")]
+    return normalised.where(F.col("error").isNotNull()).select(*extra, "raw", "error")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.tagging import track_filter, with_dominant_tag
 from ..functions.text import utf16_length, words_per_post
-from ..functions.json import normalise, valid_posts
+from ..functions.json import normalise, quarantined, valid_posts
 from ..functions.time import bucket_ms
 from ..operators import compare, predict, stats
 from ..session import pin_utc
@@ -194,6 +194,16 @@ def q_parse_post(spark, sf):
                     F.col("retweet.createdAt").alias("retweet_createdAt"))
 
 
+# Every document text fed through the post parser as a raw feed line: texts
+# that are not JSON objects are quarantined as malformed (none of the driver's
+# texts is JSON), with the document id carried through.
+@register("quarantine_documents", """SELECT doc_id, 'malformed json' AS error FROM documents
+WHERE NOT coalesce(json_type(TRY_CAST(text AS JSON)) = 'OBJECT', false)""")
+def q_quarantine_documents(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", F.col("text").alias("value"))
+    return quarantined(normalise(d, keep=["doc_id"], tags=DOCUMENT_TAGS)).select("doc_id", "error")
+
+
 @register("time_bucket", f"""WITH {EV_POSTS}
 SELECT id, ms - ms % {ARCHIVE_BUCKET_MS} AS bucket, strftime(ts, '%B %d %Y, %H:%M:%S.%g') AS timestamp FROM ev""")
 def q_time_bucket(spark, sf):
