@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from .operators import compare, predict
+from .operators import compare, predict, stats
 from .sinks.archive import stream_archive_sink
 from .sinks.documents import stream_documents, to_documents
 from .sinks.reports import write_reports
@@ -93,11 +93,8 @@ def online_predictions(spark: SparkSession, landing: str, documents: str, checkp
     posts = live_posts(live_raw(spark, landing), tags, track=tags)
     from .functions.text import utf16_length
     lengths = posts.withColumn("length", utf16_length("text")).where(F.col("length").isNotNull())
-    pairs_rt = posts.where(F.col("retweet.id") != 0).select(
-        "tag", "t", "id", "createdAt", F.col("retweet.retweetCount").alias("x"),
-        F.col("retweet.followersCount").alias("y"))
-    pairs_st = posts.where(F.col("id") != 0).select(
-        "tag", "t", "id", "createdAt", F.col("statusesCount").alias("x"), F.col("followersCount").alias("y"))
+    pairs_rt = stats.retweet_pairs(posts)
+    pairs_st = stats.status_pairs(posts)
     qs = []
     if bucketed:
         runs = {"ewma": (lengths, dict(kind="ewma", value="length")),

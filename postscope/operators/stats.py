@@ -32,6 +32,21 @@ def with_measures(posts: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
+def retweet_pairs(posts: DataFrame, keep: Sequence[str] = ("tag", "t", "id", "createdAt")) -> DataFrame:
+    """M7: ``(x = re-share count, y = followers)`` of the re-shared post, only
+    for posts that are re-shares (``retweet.id != 0``)."""
+    keep = [c for c in keep if c in posts.columns]
+    return posts.where(F.col("retweet.id") != 0).select(
+        *keep, F.col("retweet.retweetCount").alias("x"), F.col("retweet.followersCount").alias("y"))
+
+
+def status_pairs(posts: DataFrame, keep: Sequence[str] = ("tag", "t", "id", "createdAt")) -> DataFrame:
+    """M8: ``(x = statuses, y = followers)`` of the author, only for ``id != 0``."""
+    keep = [c for c in keep if c in posts.columns]
+    return posts.where(F.col("id") != 0).select(
+        *keep, F.col("statusesCount").alias("x"), F.col("followersCount").alias("y"))
+
+
 def _int_avg_parts(col: str, name: str) -> list[Column]:
     return [F.sum(col).alias(f"_s_{name}"), F.count(col).alias(f"_c_{name}")]
 

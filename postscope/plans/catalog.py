@@ -332,10 +332,10 @@ SELECT event_id, tag, {pred} AS predicted, CAST(y AS INTEGER) AS real FROM w WHE
 
 
 def _regression(spark, sf, x, bucket):
-    e = _events(spark, sf).where(F.col("retweet.id") != 0) if x == "retweetCount" else \
-        _events(spark, sf).where(F.col("id") != 0)
+    e = _events(spark, sf)
+    pairs = stats.retweet_pairs(e) if x == "retweetCount" else stats.status_pairs(e)   # M7 / M8
     b = F.floor(F.col("createdAt") / PREDICT_BUCKET_MS) if bucket else None
-    p = predict.regression_predict(e, "tag", ORDER, x, "followersCount", bucket=b, keep=("id",))
+    p = predict.regression_predict(pairs, "tag", ORDER, "x", "y", bucket=b, keep=("id",))
     return p.select(F.col("id").alias("event_id"), "tag", "predicted", "real")
 
 
@@ -478,9 +478,9 @@ def _stream_predict(spark, sf, kind):
     if kind == "sma":
         p = sp.stream_sma(s, "followersCount")
     elif kind == "retweets":
-        p = sp.stream_regression(s.where(F.col("retweet.id") != 0), "retweetCount", "followersCount")
+        p = sp.stream_regression(stats.retweet_pairs(s), "x", "y")
     else:
-        p = sp.stream_regression(s.where(F.col("id") != 0), "statusesCount", "followersCount")
+        p = sp.stream_regression(stats.status_pairs(s), "x", "y")
     out = materialise_stream(spark, p, None, f"stream_{kind}", output_mode="append")
     return out.select(F.col("id").alias("event_id"), "tag", "predicted", "real")
 
@@ -512,12 +512,12 @@ def _stream_predict_bucketed(spark, sf, kind):
     base = scratch_path(spark, f"stream_{kind}_bucketed")
     kw = {"ewma": dict(kind="ewma", value="followersCount"),
           "sma": dict(kind="sma", value="followersCount"),
-          "retweets": dict(kind="regression", x="retweetCount", y="followersCount"),
-          "followers": dict(kind="regression", x="statusesCount", y="followersCount")}[kind]
+          "retweets": dict(kind="regression", x="x", y="y"),
+          "followers": dict(kind="regression", x="x", y="y")}[kind]
     if kind == "retweets":
-        s = s.where(F.col("retweet.id") != 0)
+        s = stats.retweet_pairs(s)      # M7
     elif kind == "followers":
-        s = s.where(F.col("id") != 0)
+        s = stats.status_pairs(s)       # M8
     q = start_bucketed(s, out=f"{base}/out", state=f"{base}/state", checkpoint=f"{base}/checkpoint",
                        bucket_ms=PREDICT_BUCKET_MS, trigger={"availableNow": True}, **kw)
     q.awaitTermination()

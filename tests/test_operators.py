@@ -37,6 +37,14 @@ def test_reretweets_keep_zero_rows(spark):
     assert stats.historic_stats(p).first().avg_reretweets == 2
 
 
+def test_pairs_rules(spark):
+    p = posts(spark, [("A", "x", 10, 0, 0), ("A", "y", 20, 7, 1)])   # first row is not a re-share
+    rt = stats.retweet_pairs(p).collect()
+    assert [(r.x, r.y) for r in rt] == [(7, 0)]
+    zero = p.withColumn("id", F.when(F.col("id") == 1, F.lit(0)).otherwise(F.col("id")))
+    assert sorted(r.y for r in stats.status_pairs(zero).collect()) == [20]
+
+
 def test_sessions_touching_gap(spark):
     p = posts(spark, [("A", "a", 1, 0, 100), ("A", "a", 1, 0, 101), ("A", "a", 1, 0, 102),
                       ("A", "a", 1, 0, 103.5)])
