@@ -84,10 +84,19 @@ def stream_archive(spark: SparkSession, path: str, max_files_per_trigger: int |
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str,
-                 max_files_per_trigger: int | None = None) -> DataFrame:
-    """A driver parquet table read as a file stream (schema from the batch read)."""
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+                 max_files_per_trigger: int | None = None, spread_small: bool = True) -> DataFrame:
+    """A driver parquet table read as a file stream (schema from the batch read).
+
+    Like ``sources.tables.spread`` for batch: when the file yields fewer
+    splits than the cluster has cores (one row group), the stream is
+    round-robined so the row-local work of a micro-batch is not one task.
+    """
+    batch = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    r = spark.readStream.schema(batch.schema).option("pathGlobFilter", f"{name}.parquet")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.parquet(sf_dir)
+    df = r.parquet(sf_dir)
+    cores = spark.sparkContext.defaultParallelism
+    if spread_small and batch.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
