@@ -32,11 +32,15 @@ def words_per_post(text: str | Column) -> Column:
 
     Leading empty token counts, trailing ones do not; the empty string
     counts 1; a non-empty text without any word character gives 0 tokens,
-    which the reference never emits, hence NULL.
+    which the reference never emits, hence NULL. ``\\W+`` is greedy, so
+    Spark's split leaves at most one trailing empty token to discount; the
+    split is the same expression as in :func:`max_word_length`, so a
+    projection computing both evaluates it once.
     """
     low = F.lower(_c(text))
-    n = F.size(F.split(F.regexp_replace(low, r"\W+$", ""), NON_WORD))
-    return F.when(low.rlike(r"\w") | (low == F.lit("")), n)
+    tok = raw_tokens(text)
+    n = F.size(tok) - F.when(F.element_at(tok, -1) == F.lit(""), 1).otherwise(0)
+    return F.when(low == F.lit(""), F.lit(1)).when(low.rlike(r"\w"), n)
 
 
 def max_word_length(text: str | Column) -> Column:
