@@ -115,3 +115,32 @@ def test_programs_end_to_end(spark, tmp_path):
     names = {r.predictions_name for r in p.select("predictions_name").distinct().collect()}
     assert names == {"LengthPredictions", "RetweetPredictions", "FollowerPredictions"}
     assert p.where(F.col("predictions_name") == "LengthPredictions").count() == 120
+
+
+def test_ingest_time_windows(spark, tmp_path):
+    """With time_mode='ingest' rows are stamped with the processing time,
+    so every post of one micro-batch falls into the current window."""
+    from postscope.sources.posts import live_posts, live_raw
+    from postscope.streaming.live import live_stats
+    land = landing(tmp_path, make_posts(30), files=1)
+    posts = live_posts(live_raw(spark, land), TAGS, time_mode="ingest")
+    out = materialise_stream(spark, live_stats(posts, window="1 hour", watermark="1 minute"),
+                             ["window_start", "tag"], "t_ingest")
+    rows = out.collect()
+    assert rows and len({r.window_start for r in rows}) == 1
+    assert sorted(r.tag for r in rows) == sorted({r.tag for r in rows})
+    now = datetime.now(timezone.utc).replace(tzinfo=None)
+    assert abs((rows[0].window_start - now).total_seconds()) < 2 * 3600
+
+
+def test_archive_without_shuffle(spark, tmp_path):
+    """K1 with writers=None: no repartition, same archive content."""
+    from postscope.sinks.archive import write_archive
+    from postscope.sources.tables import event_posts, table
+    ev = event_posts(table(spark, "/root/testdata/sf0.001", "events"))
+    path = str(tmp_path / "arch")
+    write_archive(ev, path, width_ms=86_400_000, writers=None)
+    a = read_archive(spark, path)
+    assert a.count() == ev.count()
+    assert a.select("bucket").distinct().count() == ev.select(
+        (F.col("createdAt") - F.col("createdAt") % 86_400_000).alias("b")).distinct().count()
