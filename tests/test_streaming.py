@@ -1,6 +1,7 @@
 """Layer 3: streaming forms equal the batch forms, with state crossing
 micro-batches (input split into several files, one file per trigger)."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from postscope.operators import predict, stats
@@ -28,8 +29,9 @@ def rows(df, cols):
     return sorted(tuple(r[c] for c in cols) for r in df.collect())
 
 
-def test_stream_predictors_equal_batch(spark, sf001, tmp_path):
-    ev, stream = split_events(spark, sf001, tmp_path)
+@pytest.mark.parametrize("parts", [2, 5])
+def test_stream_predictors_equal_batch(spark, sf001, tmp_path, parts):
+    ev, stream = split_events(spark, sf001, tmp_path, parts)
     bp, sp_ = event_posts(ev), event_posts(stream)
     b = predict.sma_predict(bp, "tag", ["t", "id"], "followersCount", keep=["id"])
     s = materialise_stream(spark, sp.stream_sma(sp_, "followersCount"), None, "t_sma", output_mode="append")
