@@ -173,6 +173,33 @@ def _last(arr: Column, ring: int) -> Column:
     return F.slice(arr, F.greatest(F.size(arr) - ring + 1, F.lit(1)), ring)
 
 
+def sma_with_state(df: DataFrame, key: str | Sequence[str], order: Sequence[str], value: str,
+                   ring: int = SMA_RING, bucket: str | Column | None = None, keep: Sequence[str] = (),
+                   init: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Predictions, the state after the rows (latest ``ring`` values per key)
+    and the windowed row frame both are built on (persist it to compute the
+    windows once for both)."""
+    ks = _keys(key)
+    d, wb = _sma_rows(df, ks, order, value, F.lit(0) if bucket is None else bucket, keep)
+    d = d.withColumn("_s", F.coalesce(F.sum("_x").over(wb.rowsBetween(UNB, -1)), F.lit(0)))
+    d = d.withColumn("_win", F.col("_s") - F.coalesce(F.lag("_s", ring).over(wb), F.lit(0)))
+    tails = _sma_tails(d, ks, ring, init)
+    flat = lambda w: F.flatten(F.transform(F.collect_list("_t").over(w), lambda a: a["_x"]))
+    wk = Window.partitionBy(*ks).orderBy("_b")
+    carry = tails.select(*ks, "_b", _last(flat(wk.rowsBetween(-ring, -1)), ring).alias("_carry"),
+                         _last(flat(wk.rowsBetween(-ring, 0)), ring).alias("_upto"))
+    j = d.join(carry.select(*ks, "_b", "_carry"), [*ks, "_b"])   # every bucket of d has its tails row
+    need = F.lit(ring + 1) - F.col("_r")
+    arr = F.coalesce(F.col("_carry"), F.array().cast("array<bigint>"))
+    part = F.slice(arr, F.greatest(F.size(arr) - need + 1, F.lit(1)), need)
+    extra = F.when(F.col("_r") <= ring,
+                   F.aggregate(part, F.lit(0).cast("bigint"), lambda a, v: a + v)).otherwise(0)
+    pred = java_int((F.col("_win") + extra).cast("double") / F.lit(float(ring)))
+    preds = j.select(*keep, *ks, pred.alias("predicted"), F.col("_x").cast("int").alias("real"))
+    state = carry.groupBy(*ks).agg(F.max_by("_upto", "_b").alias("last"))
+    return preds, state, d
+
+
 def sma_predict(df: DataFrame, key: str | Sequence[str], order: Sequence[str], value: str,
                 ring: int = SMA_RING, bucket: str | Column | None = None,
                 keep: Sequence[str] = (), init: DataFrame | None = None) -> DataFrame:
@@ -184,39 +211,20 @@ def sma_predict(df: DataFrame, key: str | Sequence[str], order: Sequence[str], v
     ``init``: ``(key..., last array<bigint>)``, the latest values, oldest first.
     """
     ks = _keys(key)
-    if init is not None and bucket is None:
-        bucket = F.lit(0)
-    d, wb = _sma_rows(df, ks, order, value, bucket, keep)
-    d = d.withColumn("_s", F.coalesce(F.sum("_x").over(wb.rowsBetween(UNB, -1)), F.lit(0)))
-    d = d.withColumn("_win", F.col("_s") - F.coalesce(F.lag("_s", ring).over(wb), F.lit(0)))
-    total = F.col("_win")
-    if bucket is not None:
-        tails = _sma_tails(d, ks, ring, init)
-        wk = Window.partitionBy(*ks).orderBy("_b").rowsBetween(-ring, -1)
-        flat = F.flatten(F.transform(F.collect_list("_t").over(wk), lambda a: a["_x"]))
-        carry = tails.select(*ks, "_b", _last(flat, ring).alias("_carry"))
-        d = d.join(carry, [*ks, "_b"])   # every bucket of d has its tails row
-        need = F.lit(ring + 1) - F.col("_r")
-        arr = F.coalesce(F.col("_carry"), F.array().cast("array<bigint>"))
-        part = F.slice(arr, F.greatest(F.size(arr) - need + 1, F.lit(1)), need)
-        extra = F.when(F.col("_r") <= ring,
-                       F.aggregate(part, F.lit(0).cast("bigint"), lambda a, v: a + v)).otherwise(0)
-        total = total + extra
-    pred = java_int(total.cast("double") / F.lit(float(ring)))
-    return d.select(*keep, *ks, pred.alias("predicted"), F.col("_x").cast("int").alias("real"))
+    if bucket is None and init is None:
+        d, wb = _sma_rows(df, ks, order, value, None, keep)
+        d = d.withColumn("_s", F.coalesce(F.sum("_x").over(wb.rowsBetween(UNB, -1)), F.lit(0)))
+        d = d.withColumn("_win", F.col("_s") - F.coalesce(F.lag("_s", ring).over(wb), F.lit(0)))
+        pred = java_int(F.col("_win").cast("double") / F.lit(float(ring)))
+        return d.select(*keep, *ks, pred.alias("predicted"), F.col("_x").cast("int").alias("real"))
+    return sma_with_state(df, key, order, value, ring, bucket, keep, init)[0]
 
 
 def sma_state(df: DataFrame, key: str | Sequence[str], order: Sequence[str], value: str,
               ring: int = SMA_RING, bucket: str | Column | None = None,
               init: DataFrame | None = None) -> DataFrame:
     """The latest ``ring`` values per key after ``df`` (and ``init``): ``key..., last``."""
-    ks = _keys(key)
-    d, _ = _sma_rows(df, ks, order, value, F.lit(0) if bucket is None else bucket, ())
-    tails = _sma_tails(d, ks, ring, init)
-    wk = Window.partitionBy(*ks).orderBy("_b").rowsBetween(-ring, 0)
-    flat = F.flatten(F.transform(F.collect_list("_t").over(wk), lambda a: a["_x"]))
-    upto = tails.select(*ks, "_b", _last(flat, ring).alias("last"))
-    return upto.groupBy(*ks).agg(F.max_by("last", "_b").alias("last"))
+    return sma_with_state(df, key, order, value, ring, bucket, (), init)[1]
 
 
 # --------------------------------------------------------------------- P1
@@ -271,6 +279,26 @@ def _ewma_fold(rate: float, upto: int):
         F.lit(0.0), lambda acc, s: acc * F.pow(F.lit(q), s["_m"]) + s["_e"])
 
 
+def ewma_with_state(df: DataFrame, key: str | Sequence[str], order: Sequence[str], value: str,
+                    rate: float = EWMA_RATE, bucket: str | Column | None = None, keep: Sequence[str] = (),
+                    init: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Predictions, the model value per key after the rows, and the windowed
+    row frame both are built on (persist it to compute the windows once)."""
+    if not 0.0 < rate < 1.0:
+        raise ValueError("rate must be in (0, 1)")
+    ks = _keys(key)
+    q = 1.0 - rate
+    d = _ewma_local(df, ks, order, value, rate, F.lit(0) if bucket is None else bucket, keep)
+    summ = _ewma_summary(d, ks, rate, init)
+    carry = summ.select(*ks, "_b", _ewma_fold(rate, -1)(ks).alias("_c"), _ewma_fold(rate, 0)(ks).alias("_ci"))
+    j = d.join(carry.select(*ks, "_b", "_c"), [*ks, "_b"])
+    v = F.pow(F.lit(q), F.col("_r") - 1) * F.col("_c") + F.col("_v")
+    preds = j.select(*keep, *ks, v.alias("predicted_value"), java_int(v).alias("predicted"),
+                     F.col("_x").cast("int").alias("real"))
+    state = carry.groupBy(*ks).agg(F.max_by("_ci", "_b").alias("v"))
+    return preds, state, d
+
+
 def ewma_predict(df: DataFrame, key: str | Sequence[str], order: Sequence[str], value: str,
                  rate: float = EWMA_RATE, bucket: str | Column | None = None,
                  keep: Sequence[str] = (), init: DataFrame | None = None) -> DataFrame:
@@ -289,29 +317,19 @@ def ewma_predict(df: DataFrame, key: str | Sequence[str], order: Sequence[str],
     """
     if not 0.0 < rate < 1.0:
         raise ValueError("rate must be in (0, 1)")
-    ks = _keys(key)
-    if init is not None and bucket is None:
-        bucket = F.lit(0)
-    q = 1.0 - rate
-    d = _ewma_local(df, ks, order, value, rate, bucket, keep)
-    if bucket is not None:
-        summ = _ewma_summary(d, ks, rate, init)
-        carry = summ.select(*ks, "_b", _ewma_fold(rate, -1)(ks).alias("_c"))
-        d = d.join(carry, [*ks, "_b"])
-        d = d.withColumn("_v", F.pow(F.lit(q), F.col("_r") - 1) * F.col("_c") + F.col("_v"))
-    return d.select(*keep, *ks, F.col("_v").alias("predicted_value"),
-                    java_int(F.col("_v")).alias("predicted"), F.col("_x").cast("int").alias("real"))
+    if bucket is None and init is None:
+        ks = _keys(key)
+        d = _ewma_local(df, ks, order, value, rate, None, keep)
+        return d.select(*keep, *ks, F.col("_v").alias("predicted_value"),
+                        java_int(F.col("_v")).alias("predicted"), F.col("_x").cast("int").alias("real"))
+    return ewma_with_state(df, key, order, value, rate, bucket, keep, init)[0]
 
 
 def ewma_state(df: DataFrame, key: str | Sequence[str], order: Sequence[str], value: str,
                rate: float = EWMA_RATE, bucket: str | Column | None = None,
                init: DataFrame | None = None) -> DataFrame:
     """Model value per key after all rows of ``df`` (and ``init``): ``key..., v``."""
-    ks = _keys(key)
-    d = _ewma_local(df, ks, order, value, rate, F.lit(0) if bucket is None else bucket, ())
-    summ = _ewma_summary(d, ks, rate, init)
-    upto = summ.select(*ks, "_b", _ewma_fold(rate, 0)(ks).alias("_c"))
-    return upto.groupBy(*ks).agg(F.max_by("_c", "_b").alias("v"))
+    return ewma_with_state(df, key, order, value, rate, bucket, (), init)[1]
 
 
 def label(pred: DataFrame, model: str) -> DataFrame:

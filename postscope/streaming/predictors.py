@@ -164,19 +164,20 @@ def start_bucketed(posts: DataFrame, kind: str, out: str, state: str, checkpoint
     def _batch(batch: DataFrame, batch_id: int) -> None:
         prev = [v for v in _state_versions(spark, state) if v < batch_id]
         init = spark.read.parquet(f"{state}/batch={prev[-1]}") if prev else None
-        batch = batch.persist()
+        if kind == "ewma":
+            pred, new, rows = P.ewma_with_state(batch, key, order, value, bucket=bucket, keep=["id"], init=init)
+        elif kind == "sma":
+            pred, new, rows = P.sma_with_state(batch, key, order, value, bucket=bucket, keep=["id"], init=init)
+        elif kind == "regression":
+            pred = P.regression_predict(batch, key, order, x, y, bucket=bucket, keep=["id"], init=init)
+            new = P.regression_state(batch, key, x, y, init=init)
+            rows = batch
+        else:
+            raise ValueError(kind)
+        # one micro-batch, kept while the two writes below read it: the windows
+        # of the row frame run once for the predictions and the new state
+        rows = rows.persist()
         try:
-            if kind == "ewma":
-                pred = P.ewma_predict(batch, key, order, value, bucket=bucket, keep=["id"], init=init)
-                new = P.ewma_state(batch, key, order, value, bucket=bucket, init=init)
-            elif kind == "sma":
-                pred = P.sma_predict(batch, key, order, value, bucket=bucket, keep=["id"], init=init)
-                new = P.sma_state(batch, key, order, value, bucket=bucket, init=init)
-            elif kind == "regression":
-                pred = P.regression_predict(batch, key, order, x, y, bucket=bucket, keep=["id"], init=init)
-                new = P.regression_state(batch, key, x, y, init=init)
-            else:
-                raise ValueError(kind)
             if shape is not None:
                 pred = shape(pred)
             pred.write.mode("overwrite").format(fmt).save(f"{out}/batch={batch_id}")
@@ -184,7 +185,7 @@ def start_bucketed(posts: DataFrame, kind: str, out: str, state: str, checkpoint
                 new = new.unionByName(init.join(new.select(key), key, "left_anti"))
             new.write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
         finally:
-            batch.unpersist()
+            rows.unpersist()
 
     w = (posts.writeStream.foreachBatch(_batch).outputMode("append")
          .option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "5 seconds"})))
