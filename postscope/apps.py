@@ -36,18 +36,50 @@ def _ck(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
+def _wait_for_sink_log(spark: SparkSession, path: str, query: StreamingQuery, timeout_s: float = 300.0) -> None:
+    """Readers of a file-sink folder must start after the sink's commit log
+    exists, so that they read committed files only."""
+    import time
+    jvm = spark.sparkContext._jvm
+    log = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_spark_metadata")
+    fs = log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    end = time.monotonic() + timeout_s
+    while not fs.exists(log):
+        if query.exception() is not None:
+            raise query.exception()
+        if time.monotonic() > end:
+            raise TimeoutError(f"no commit log under {path}")
+        time.sleep(0.2)
+
+
 def live_statistics(spark: SparkSession, landing: str, archive: str, documents: str, checkpoint: str,
                     tags: Sequence[str] = DEFAULT_TAGS, window: str = "30 seconds",
                     word_window: str = "60 seconds", watermark: str = "1 minute",
-                    time_mode: str = "event", trigger: dict | None = None) -> list[StreamingQuery]:
+                    time_mode: str = "event", trigger: dict | None = None,
+                    parsed: str | None = None) -> list[StreamingQuery]:
+    """The feed is parsed once: a parquet file-sink query writes the post
+    records to ``parsed`` (default ``<checkpoint>/parsed_posts``; exactly-once
+    through the sink's metadata log), and the archive, post documents,
+    statistics and word count stream from that columnar table instead of
+    parsing the JSON again."""
+    parsed = parsed or _ck(checkpoint, "parsed_posts")
     posts = live_posts(live_raw(spark, landing), tags, track=tags, time_mode=time_mode)
+    parse_q = (posts.writeStream.format("parquet").option("path", parsed)
+               .option("checkpointLocation", _ck(checkpoint, "parse")).outputMode("append")
+               .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
+    if trigger and trigger.get("availableNow"):
+        parse_q.awaitTermination()          # finite run: the readers below start after the parse
+    else:
+        _wait_for_sink_log(spark, parsed, parse_q)
+    rows = spark.readStream.schema(posts.schema).parquet(parsed)
     qs = [
-        stream_archive_sink(posts, archive, _ck(checkpoint, "archive"), trigger=trigger),
-        stream_documents(to_documents(posts, "twitter"), f"{documents}/twitter",
+        parse_q,
+        stream_archive_sink(rows, archive, _ck(checkpoint, "archive"), trigger=trigger),
+        stream_documents(to_documents(rows, "twitter"), f"{documents}/twitter",
                          _ck(checkpoint, "twitter"), trigger=trigger),
-        start_stat_documents(spark, live_stats(posts, window=window, watermark=watermark), documents,
+        start_stat_documents(spark, live_stats(rows, window=window, watermark=watermark), documents,
                              _ck(checkpoint, "stats"), trigger=trigger),
-        start_word_documents(live_word_count(posts, window=word_window, watermark=watermark), documents,
+        start_word_documents(live_word_count(rows, window=word_window, watermark=watermark), documents,
                              _ck(checkpoint, "words"), trigger=trigger),
     ]
     return qs
