@@ -52,6 +52,22 @@ def _wait_for_sink_log(spark: SparkSession, path: str, query: StreamingQuery, ti
         time.sleep(0.2)
 
 
+def _parse_once(spark: SparkSession, landing: str, tags: Sequence[str], checkpoint: str,
+                parsed: str | None, trigger: dict | None, time_mode: str = "event"):
+    """Parse the raw feed once into a parquet file-sink table (exactly-once via
+    the sink's commit log); returns the parse query and a stream over the table."""
+    parsed = parsed or _ck(checkpoint, "parsed_posts")
+    posts = live_posts(live_raw(spark, landing), tags, track=tags, time_mode=time_mode)
+    parse_q = (posts.writeStream.format("parquet").option("path", parsed)
+               .option("checkpointLocation", _ck(checkpoint, "parse")).outputMode("append")
+               .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
+    if trigger and trigger.get("availableNow"):
+        parse_q.awaitTermination()          # finite run: the readers start after the parse
+    else:
+        _wait_for_sink_log(spark, parsed, parse_q)
+    return parse_q, spark.readStream.schema(posts.schema).parquet(parsed)
+
+
 def live_statistics(spark: SparkSession, landing: str, archive: str, documents: str, checkpoint: str,
                     tags: Sequence[str] = DEFAULT_TAGS, window: str = "30 seconds",
                     word_window: str = "60 seconds", watermark: str = "1 minute",
@@ -62,16 +78,7 @@ def live_statistics(spark: SparkSession, landing: str, archive: str, documents:
     through the sink's metadata log), and the archive, post documents,
     statistics and word count stream from that columnar table instead of
     parsing the JSON again."""
-    parsed = parsed or _ck(checkpoint, "parsed_posts")
-    posts = live_posts(live_raw(spark, landing), tags, track=tags, time_mode=time_mode)
-    parse_q = (posts.writeStream.format("parquet").option("path", parsed)
-               .option("checkpointLocation", _ck(checkpoint, "parse")).outputMode("append")
-               .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
-    if trigger and trigger.get("availableNow"):
-        parse_q.awaitTermination()          # finite run: the readers below start after the parse
-    else:
-        _wait_for_sink_log(spark, parsed, parse_q)
-    rows = spark.readStream.schema(posts.schema).parquet(parsed)
+    parse_q, rows = _parse_once(spark, landing, tags, checkpoint, parsed, trigger, time_mode)
     qs = [
         parse_q,
         stream_archive_sink(rows, archive, _ck(checkpoint, "archive"), trigger=trigger),
@@ -113,7 +120,8 @@ def live_vs_historic(spark: SparkSession, archive: str, landing: str, out: str,
 
 def online_predictions(spark: SparkSession, landing: str, documents: str, checkpoint: str,
                        tags: Sequence[str] = DEFAULT_TAGS, trigger: dict | None = None,
-                       bucketed: bool = True, bucket_ms: int = 3_600_000) -> list[StreamingQuery]:
+                       bucketed: bool = True, bucket_ms: int = 3_600_000,
+                       parsed: str | None = None) -> list[StreamingQuery]:
     """Length (exponential smoothing), re-share followers -> re-share count
     regression, statuses -> followers regression; each labelled and written
     as prediction documents under ``documents/tw_predictions/model=<name>``.
@@ -121,13 +129,15 @@ def online_predictions(spark: SparkSession, landing: str, documents: str, checkp
     ``bucketed=True`` (default) runs each micro-batch through the bucketed
     batch predictors with a per-tag state table under ``checkpoint``, so no
     tag is ever one task; ``False`` uses keyed ``applyInPandasWithState``.
+    The feed is parsed once (see :func:`live_statistics`) and read by the
+    three model queries.
     """
-    posts = live_posts(live_raw(spark, landing), tags, track=tags)
+    parse_q, posts = _parse_once(spark, landing, tags, checkpoint, parsed, trigger)
     from .functions.text import utf16_length
     lengths = posts.withColumn("length", utf16_length("text")).where(F.col("length").isNotNull())
     pairs_rt = stats.retweet_pairs(posts)
     pairs_st = stats.status_pairs(posts)
-    qs = []
+    qs = [parse_q]
     if bucketed:
         runs = {"ewma": (lengths, dict(kind="ewma", value="length")),
                 "retweets": (pairs_rt, dict(kind="regression", x="x", y="y")),
