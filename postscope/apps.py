@@ -15,6 +15,7 @@ Returned are the started ``StreamingQuery`` objects.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,7 +40,6 @@ def _ck(root: str, name: str) -> str:
 def _wait_for_sink_log(spark: SparkSession, path: str, query: StreamingQuery, timeout_s: float = 300.0) -> None:
     """Readers of a file-sink folder must start after the sink's commit log
     exists, so that they read committed files only."""
-    import time
     jvm = spark.sparkContext._jvm
     log = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_spark_metadata")
     fs = log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
