@@ -250,7 +250,10 @@ def _ewma_local(df, ks, order, value, rate, bucket, keep):
                  F.coalesce(F.sum(F.col("_x") * F.pow(F.lit(q), -F.col("_p"))).over(wko.rowsBetween(UNB, -1)),
                             F.lit(0.0)).alias("_s1"),
                  F.sum(F.col("_x") * F.pow(F.lit(q), F.lit(blk) - F.col("_p"))).over(wk).alias("_t2"))
-    d = d.withColumn("_lt2", F.coalesce(F.lag("_t2", 1).over(wb), F.lit(0.0)))
+    # same order as wb (the block number grows with it), written so that all
+    # block windows share one sort of the partition
+    wbk = Window.partitionBy(*ks, "_b").orderBy("_k", *order)
+    d = d.withColumn("_lt2", F.coalesce(F.lag("_t2", 1).over(wbk), F.lit(0.0)))
     d = d.withColumn("_prev", F.first("_lt2").over(wko.rowsBetween(UNB, 0)))
     local = F.lit(rate) * F.pow(F.lit(q), F.col("_p") - 1) * (F.col("_s1") + F.col("_prev"))
     return d.withColumn("_v", local)
