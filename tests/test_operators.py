@@ -161,7 +161,8 @@ def test_predictors_match_recursion(spark, per_bucket):
     assert [x.predicted for x in s.collect()] == py_sma(xs)
 
 
-def test_state_carries_across_chunks(spark, tmp_path):
+@pytest.mark.parametrize("bucket", ["b", None])
+def test_state_carries_across_chunks(spark, tmp_path, bucket):
     """Predicting chunk by chunk from the previous chunk's state equals one pass."""
     rnd = random.Random(11)
     xs = [rnd.randint(0, 300) for _ in range(900)]
@@ -170,11 +171,11 @@ def test_state_carries_across_chunks(spark, tmp_path):
     cuts = [0, 130, 131, 500, 900]
     parts = [df.where((F.col("id") >= a) & (F.col("id") < b)) for a, b in zip(cuts, cuts[1:])]
     models = {
-        "ewma": (lambda d, i: predict.ewma_predict(d, "tag", ["id"], "x", bucket="b", keep=["id"], init=i),
-                 lambda d, i: predict.ewma_state(d, "tag", ["id"], "x", bucket="b", init=i), "predicted_value"),
-        "sma": (lambda d, i: predict.sma_predict(d, "tag", ["id"], "x", bucket="b", keep=["id"], init=i),
-                lambda d, i: predict.sma_state(d, "tag", ["id"], "x", bucket="b", init=i), "predicted"),
-        "reg": (lambda d, i: predict.regression_predict(d, "tag", ["id"], "x", "y", bucket="b", keep=["id"],
+        "ewma": (lambda d, i: predict.ewma_predict(d, "tag", ["id"], "x", bucket=bucket, keep=["id"], init=i),
+                 lambda d, i: predict.ewma_state(d, "tag", ["id"], "x", bucket=bucket, init=i), "predicted_value"),
+        "sma": (lambda d, i: predict.sma_predict(d, "tag", ["id"], "x", bucket=bucket, keep=["id"], init=i),
+                lambda d, i: predict.sma_state(d, "tag", ["id"], "x", bucket=bucket, init=i), "predicted"),
+        "reg": (lambda d, i: predict.regression_predict(d, "tag", ["id"], "x", "y", bucket=bucket, keep=["id"],
                                                         init=i),
                 lambda d, i: predict.regression_state(d, "tag", "x", "y", init=i), "predicted"),
     }
@@ -183,7 +184,7 @@ def test_state_carries_across_chunks(spark, tmp_path):
         got, init = {}, None
         for i, p in enumerate(parts):
             got.update({r.id: r[col] for r in pred(p, init).collect()})
-            path = str(tmp_path / f"{name}-state-{i}")
+            path = str(tmp_path / f"{name}-{bucket}-state-{i}")
             state(p, init).write.parquet(path)
             init = spark.read.parquet(path)
         assert got.keys() == whole.keys(), name
