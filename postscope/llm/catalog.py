@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op8_bpe
+from .decontaminate import OP5_SQL, op5_decontaminate
 from .simhash import op1_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op5_decontaminate": op5_decontaminate,
     "op8_bpe": op8_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_decontaminate": OP5_SQL,
+}
