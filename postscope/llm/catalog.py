@@ -8,14 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op8_bpe
 from .decontaminate import OP5_SQL, op5_decontaminate
+from .secret_scan import OP3_SQL, op3_secrets
 from .simhash import op1_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op3_secrets": op3_secrets,
     "op5_decontaminate": op5_decontaminate,
     "op8_bpe": op8_bpe,
 }
 
 ORACLE: dict[str, str] = {
+    "op3_secrets": op3_secrets,
+    "op3_secrets": OP3_SQL,
     "op5_decontaminate": OP5_SQL,
 }
