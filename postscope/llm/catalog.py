@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op8_bpe
+from .chat import OP6_SQL, op6_chat
 from .decontaminate import OP5_SQL, op5_decontaminate
 from .secret_scan import OP3_SQL, op3_secrets
 from .simhash import op1_simhash
@@ -15,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_secrets": op3_secrets,
     "op5_decontaminate": op5_decontaminate,
+    "op6_chat": op6_chat,
     "op8_bpe": op8_bpe,
 }
 
@@ -22,4 +24,5 @@ ORACLE: dict[str, str] = {
     "op3_secrets": op3_secrets,
     "op3_secrets": OP3_SQL,
     "op5_decontaminate": OP5_SQL,
+    "op6_chat": OP6_SQL,
 }
