@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op8_bpe
 from .chat import OP6_SQL, op6_chat
+from .crf import op7_quality
 from .decontaminate import OP5_SQL, op5_decontaminate
 from .secret_scan import OP3_SQL, op3_secrets
 from .simhash import op1_simhash
@@ -17,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secrets": op3_secrets,
     "op5_decontaminate": op5_decontaminate,
     "op6_chat": op6_chat,
+    "op7_quality": op7_quality,
     "op8_bpe": op8_bpe,
 }
 
