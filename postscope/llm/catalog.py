@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import op8_bpe
 from .chat import OP6_SQL, op6_chat
 from .crf import op7_quality
+from .ctw import op9_ctw
 from .decontaminate import OP5_SQL, op5_decontaminate
 from .pii import op10_pii
 from .secret_scan import OP3_SQL, op3_secrets
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_chat": op6_chat,
     "op7_quality": op7_quality,
     "op8_bpe": op8_bpe,
+    "op9_ctw": op9_ctw,
     "op10_pii": op10_pii,
 }
 
