@@ -14,10 +14,12 @@ from .decontaminate import OP5_SQL, op5_decontaminate
 from .pii import op10_pii
 from .secret_scan import OP3_SQL, op3_secrets
 from .simhash import op1_simhash
+from .weighted_sampling import op4_fingerprints
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_secrets": op3_secrets,
+    "op4_fingerprints": op4_fingerprints,
     "op5_decontaminate": op5_decontaminate,
     "op6_chat": op6_chat,
     "op7_quality": op7_quality,
