@@ -13,11 +13,13 @@ from .ctw import op9_ctw
 from .decontaminate import OP5_SQL, op5_decontaminate
 from .pii import op10_pii
 from .secret_scan import OP3_SQL, op3_secrets
+from .sharding import op2_sharding
 from .simhash import op1_simhash
 from .weighted_sampling import op4_fingerprints
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_sharding": op2_sharding,
     "op3_secrets": op3_secrets,
     "op4_fingerprints": op4_fingerprints,
     "op5_decontaminate": op5_decontaminate,
