@@ -5,10 +5,10 @@ all shards should hold as many rows, one more or less at most (law ``rows``).
 
 Every row starts in the shard of its row number's hash. In a round each key
 counts its members per shard (a grouped sum, then a join back), and each linked
-row wants the shard with most neighbours; ties go by a hash of key and shard,
+row wants the shard with most neighbours, of its own and those not full; ties go by a hash of key and shard,
 so all members agree. Per pair of shards, moves that are matched by moves the other
-way are all let through, others as far as the target shard's room under its
-capacity (``1 + SLACK`` of an equal share) allows; where a quota cuts, whole keys
+way are all let through, others as far as the target shard's room for linked
+rows (an equal share of all rows, or ``1 + SLACK`` of one of the linked rows) allows; where a quota cuts, whole keys
 go or stay by their hash, and members of keys over ``1 / CROWD`` of a shard by
 their own. Rounds end when nothing moves. Only the 8 x 8 table of wishes comes
 to the driver.
@@ -46,11 +46,13 @@ def linked(rows: DataFrame) -> DataFrame:
     return rows.select("uid", "key").join(shared, "key").select("uid", "key", "total")
 
 
-def wishes(state: DataFrame, shards: int) -> DataFrame:
-    """``state`` (uid, key, total, shard) with ``want``: the shard that holds most members of the row's key."""
-    votes = state.groupBy("key").agg(*[F.count(F.when(F.col("shard") == k, 1)).alias(f"n{k}") for k in range(shards)])
-    best = F.array_max(F.array(*[F.struct(F.col(f"n{k}").alias("n"), F.xxhash64("key", F.lit(k)).alias("tie"), F.lit(k).alias("shard")) for k in range(shards)]))
-    return state.join(votes.select("key", best["shard"].alias("want")), "key")
+def wishes(state: DataFrame, open_to: list[bool]) -> DataFrame:
+    """``state`` (uid, key, total, shard) with ``want``: of the row's own and the open shards, the one that holds most members of its key."""
+    shards = range(len(open_to))
+    votes = state.groupBy("key").agg(*[F.count(F.when(F.col("shard") == k, 1)).alias(f"n{k}") for k in shards])
+    best = F.array_max(F.array(*[F.struct(
+        (F.lit(open_to[k]) | (F.col("shard") == k)).alias("may"), F.col(f"n{k}").alias("n"), F.xxhash64("key", F.lit(k)).alias("tie"), F.lit(k).alias("to")) for k in shards]))
+    return state.join(votes, "key").select("uid", "key", "total", "shard", best["to"].alias("want"))
 
 
 def quotas(moves: dict[tuple[int, int], int], sizes: list[int], capacity: float) -> dict[tuple[int, int], float]:
@@ -71,20 +73,19 @@ def quotas(moves: dict[tuple[int, int], int], sizes: list[int], capacity: float)
 def propagate(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, slack: float = SLACK) -> DataFrame:
     """(uid, key, total, shard) of linked rows after balanced label propagation; ``rows`` has uid and key."""
     n = rows.count()
-    capacity = (1 + slack) * n / shards
-    start = rows.select("uid", home("uid", shards).alias("shard")).groupBy("shard").count().collect()
-    sizes = [0] * shards
-    for r in start:
-        sizes[r["shard"]] = r["count"]
     state = stored(linked(rows).withColumn("shard", home("uid", shards)), "shards")
-    for _ in range(rounds):
-        wish = stored(wishes(state, shards), "wishes")
+    sizes = [0] * shards  # of linked rows; single rows make room for them in the end
+    for r in state.groupBy("shard").count().collect():
+        sizes[r["shard"]] = r["count"]
+    capacity = max(n, (1 + slack) * sum(sizes)) / shards
+    for turn in range(rounds):
+        wish = stored(wishes(state, [size < capacity - 0.5 for size in sizes]), "wishes")
         moves = {(r["shard"], r["want"]): r["count"] for r in wish.where("shard <> want").groupBy("shard", "want").count().collect()}
         if not moves:
             break
         share = quotas(moves, sizes, capacity)
         crowded = F.col("total") > capacity / CROWD
-        ticket = F.pmod(F.when(crowded, F.xxhash64("uid", F.lit(1))).otherwise(F.xxhash64("key", F.lit(1))), F.lit(UNIT))
+        ticket = F.pmod(F.when(crowded, F.xxhash64("uid", F.lit(turn))).otherwise(F.xxhash64("key", F.lit(turn))), F.lit(UNIT))
         table = [share.get((i, j), 0.0) * UNIT for i in range(shards) for j in range(shards)]
         go = (F.col("shard") != F.col("want")) & (ticket < choose(table, F.col("shard") * shards + F.col("want")))
         state = stored(wish.select("uid", "key", "total", F.when(go, F.col("want")).otherwise(F.col("shard")).alias("shard"), go.alias("moved"), F.col("shard").alias("was")), "shards")
