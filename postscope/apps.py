@@ -22,14 +22,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from .functions.text import utf16_length
 from .operators import compare, predict, stats
 from .sinks.archive import stream_archive_sink
-from .sinks.documents import stream_documents, to_documents
+from .sinks.documents import comparison_documents, stream_documents, to_documents
 from .sinks.reports import write_reports
-from .sources.posts import live_posts, live_raw, read_archive
+from .sources.posts import live_posts, live_raw, read_archive, read_archive_quarantine
 from .streaming import predictors as sp
 from .streaming.live import live_stats, live_word_count, start_compare, start_stat_documents, \
-    start_word_documents
+    start_word_documents, write_history
 from .vocab import DEFAULT_TAGS, MODEL_NAMES
 
 
@@ -37,27 +38,31 @@ def _ck(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def _wait_for_sink_log(spark: SparkSession, path: str, query: StreamingQuery, timeout_s: float = 300.0) -> None:
+def _wait_for_sink_log(spark: SparkSession, path: str, query: StreamingQuery) -> None:
     """Readers of a file-sink folder must start after the sink's commit log
-    exists, so that they read committed files only."""
+    exists, so that they read committed files only. A quiet feed is waited for
+    as long as the parse query lives."""
     jvm = spark.sparkContext._jvm
     log = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_spark_metadata")
     fs = log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    end = time.monotonic() + timeout_s
     while not fs.exists(log):
-        if query.exception() is not None:
-            raise query.exception()
-        if time.monotonic() > end:
-            raise TimeoutError(f"no commit log under {path}")
+        if not query.isActive:
+            if query.exception() is not None:
+                raise query.exception()
+            raise RuntimeError(f"the parse query ended before it wrote {path}")
         time.sleep(0.2)
 
 
 def _parse_once(spark: SparkSession, landing: str, tags: Sequence[str], checkpoint: str,
-                parsed: str | None, trigger: dict | None, time_mode: str = "event"):
+                parsed: str | None, quarantine: str | None, trigger: dict | None,
+                time_mode: str = "ingest") -> tuple[list[StreamingQuery], DataFrame]:
     """Parse the raw feed once into a parquet file-sink table (exactly-once via
-    the sink's commit log); returns the parse query and a stream over the table."""
+    the sink's commit log) that holds good and rejected rows. Returns the parse query
+    and the query that writes rejected rows to ``quarantine`` (default
+    ``<checkpoint>/quarantine``) as JSON, and a stream of the good ones."""
     parsed = parsed or _ck(checkpoint, "parsed_posts")
-    posts = live_posts(live_raw(spark, landing), tags, track=tags, time_mode=time_mode)
+    posts = live_posts(live_raw(spark, landing), tags, track=tags, time_mode=time_mode, with_errors=True)
+    posts = posts.withColumn("raw", F.when(F.col("error").isNotNull(), F.col("raw")))
     parse_q = (posts.writeStream.format("parquet").option("path", parsed)
                .option("checkpointLocation", _ck(checkpoint, "parse")).outputMode("append")
                .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
@@ -65,22 +70,27 @@ def _parse_once(spark: SparkSession, landing: str, tags: Sequence[str], checkpoi
         parse_q.awaitTermination()          # finite run: the readers start after the parse
     else:
         _wait_for_sink_log(spark, parsed, parse_q)
-    return parse_q, spark.readStream.schema(posts.schema).parquet(parsed)
+    rows = spark.readStream.schema(posts.schema).parquet(parsed)
+    rejected = stream_documents(rows.where(F.col("error").isNotNull()).select("raw", "error"),
+                                quarantine or _ck(checkpoint, "quarantine"), _ck(checkpoint, "rejected"), trigger=trigger)
+    return [parse_q, rejected], rows.where(F.col("error").isNull()).drop("error", "raw")
 
 
 def live_statistics(spark: SparkSession, landing: str, archive: str, documents: str, checkpoint: str,
                     tags: Sequence[str] = DEFAULT_TAGS, window: str = "30 seconds",
                     word_window: str = "60 seconds", watermark: str = "1 minute",
-                    time_mode: str = "event", trigger: dict | None = None,
-                    parsed: str | None = None) -> list[StreamingQuery]:
+                    time_mode: str = "ingest", trigger: dict | None = None,
+                    parsed: str | None = None, quarantine: str | None = None) -> list[StreamingQuery]:
     """The feed is parsed once: a parquet file-sink query writes the post
     records to ``parsed`` (default ``<checkpoint>/parsed_posts``; exactly-once
     through the sink's metadata log), and the archive, post documents,
     statistics and word count stream from that columnar table instead of
-    parsing the JSON again."""
-    parse_q, rows = _parse_once(spark, landing, tags, checkpoint, parsed, trigger, time_mode)
-    qs = [
-        parse_q,
+    parsing the JSON again. Rejected posts go to ``quarantine``. ``time_mode``
+    ``ingest`` (default) windows by arrival and loses no post; ``event``
+    windows by ``createdAt``, and posts later than ``watermark`` are then in no window."""
+    first, rows = _parse_once(spark, landing, tags, checkpoint, parsed, quarantine, trigger, time_mode)
+    return [
+        *first,
         stream_archive_sink(rows, archive, _ck(checkpoint, "archive"), trigger=trigger),
         stream_documents(to_documents(rows, "twitter"), f"{documents}/twitter",
                          _ck(checkpoint, "twitter"), trigger=trigger),
@@ -89,73 +99,62 @@ def live_statistics(spark: SparkSession, landing: str, archive: str, documents:
         start_word_documents(live_word_count(rows, window=word_window, watermark=watermark), documents,
                              _ck(checkpoint, "words"), trigger=trigger),
     ]
-    return qs
 
 
 def historic_statistics(spark: SparkSession, archive: str, report_root: str,
-                        recursive: bool = True, run_ms: int | None = None) -> str:
-    """Batch statistics of the whole archive; returns the run folder."""
-    return write_reports(read_archive(spark, archive, recursive=recursive), report_root, run_ms)
+                        recursive: bool = True, run_ms: int | None = None, quarantine: str | None = None) -> str:
+    """Batch statistics of the whole archive; returns the run folder. Archive
+    lines that are no records go to ``quarantine`` (default ``<run folder>/quarantine``)."""
+    run = write_reports(read_archive(spark, archive, recursive=recursive), report_root, run_ms)
+    read_archive_quarantine(spark, archive, recursive=recursive).write.json(quarantine or f"{run}/quarantine")
+    return run
+
+
+def refresh_history(spark: SparkSession, archive: str, out: str) -> str:
+    """Aggregate the archive (one double average per tag and statistic) into a
+    new version of ``out/historic``; running comparisons use it from their next batch on."""
+    return write_history(compare.archive_averages(read_archive(spark, archive, recursive=True)), f"{out.rstrip('/')}/historic")
 
 
 def live_vs_historic(spark: SparkSession, archive: str, landing: str, out: str, checkpoint: str,
                      tags: Sequence[str] = DEFAULT_TAGS, window: str = "30 seconds",
                      watermark: str = "1 minute", trigger: dict | None = None,
-                     documents: str | None = None) -> StreamingQuery:
-    """History is aggregated once (one double average per tag and statistic)
-    and written to ``out/historic`` as a small table; every micro-batch of
-    live windows is joined with it; differences land in ``out/diff``, or as
+                     documents: str | None = None, time_mode: str = "ingest",
+                     quarantine: str | None = None) -> list[StreamingQuery]:
+    """Every closed live window is joined with the history of the archive
+    (:func:`refresh_history`, called once here); differences land in ``out/diff``, or as
     comparison documents under ``documents/tw_comparedata`` when given."""
-    hist_path = f"{out.rstrip('/')}/historic"
-    compare.archive_averages(read_archive(spark, archive, recursive=True)).write.mode("overwrite") \
-        .parquet(hist_path)
-    hist = spark.read.parquet(hist_path)
-    live = live_stats(live_posts(live_raw(spark, landing), tags, track=tags), window=window,
-                      watermark=watermark)
+    refresh_history(spark, archive, out)
+    first, posts = _parse_once(spark, landing, tags, checkpoint, None, quarantine, trigger, time_mode)
+    live = live_stats(posts, window=window, watermark=watermark)
+    history = f"{out.rstrip('/')}/historic"
     if documents:
-        return start_compare(live, hist, f"{documents.rstrip('/')}/tw_comparedata", _ck(checkpoint, "compare"),
-                             trigger, shape=lambda d: to_documents(d, "tw_comparedata"), fmt="json")
-    return start_compare(live, hist, f"{out.rstrip('/')}/diff", _ck(checkpoint, "compare"), trigger)
+        return [*first, start_compare(live, history, f"{documents.rstrip('/')}/tw_comparedata", _ck(checkpoint, "compare"),
+                                      trigger, shape=comparison_documents, fmt="text")]
+    return [*first, start_compare(live, history, f"{out.rstrip('/')}/diff", _ck(checkpoint, "compare"), trigger)]
 
 
 def online_predictions(spark: SparkSession, landing: str, documents: str, checkpoint: str,
                        tags: Sequence[str] = DEFAULT_TAGS, trigger: dict | None = None,
-                       bucketed: bool = True, bucket_ms: int = 3_600_000,
-                       parsed: str | None = None) -> list[StreamingQuery]:
+                       slices: int | None = None, parsed: str | None = None,
+                       quarantine: str | None = None) -> list[StreamingQuery]:
     """Length (exponential smoothing), re-share followers -> re-share count
     regression, statuses -> followers regression; each labelled and written
     as prediction documents under ``documents/tw_predictions/model=<name>``.
 
-    ``bucketed=True`` (default) runs each micro-batch through the bucketed
-    batch predictors with a per-tag state table under ``checkpoint``, so no
-    tag is ever one task; ``False`` uses keyed ``applyInPandasWithState``.
-    The feed is parsed once (see :func:`live_statistics`) and read by the
-    three model queries.
+    Each micro-batch is cut into even slices and run through the batch
+    predictors with a per-tag state table under ``checkpoint``, in the order of
+    ``createdAt`` inside a batch. The feed is parsed once (see
+    :func:`live_statistics`) and read by the three model queries.
     """
-    parse_q, posts = _parse_once(spark, landing, tags, checkpoint, parsed, trigger)
-    from .functions.text import utf16_length
+    first, posts = _parse_once(spark, landing, tags, checkpoint, parsed, quarantine, trigger, time_mode="event")
     lengths = posts.withColumn("length", utf16_length("text")).where(F.col("length").isNotNull())
-    pairs_rt = stats.retweet_pairs(posts)
-    pairs_st = stats.status_pairs(posts)
-    qs = [parse_q]
-    if bucketed:
-        runs = {"ewma": (lengths, dict(kind="ewma", value="length")),
-                "retweets": (pairs_rt, dict(kind="regression", x="x", y="y")),
-                "followers": (pairs_st, dict(kind="regression", x="x", y="y"))}
-        for model, (df, kw) in runs.items():
-            qs.append(sp.start_bucketed(
-                df, out=f"{documents}/tw_predictions/model={MODEL_NAMES[model]}",
-                state=_ck(checkpoint, f"pred_{model}_state"), checkpoint=_ck(checkpoint, f"pred_{model}"),
-                bucket_ms=bucket_ms, trigger=trigger, fmt="json",
-                shape=lambda p, m=model: to_documents(predict.label(p, m), "tw_predictions"), **kw))
-        return qs
-    models: dict[str, DataFrame] = {
-        "ewma": sp.stream_ewma(lengths, "length"),
-        "retweets": sp.stream_regression(pairs_rt, "x", "y"),
-        "followers": sp.stream_regression(pairs_st, "x", "y"),
-    }
-    for model, df in models.items():
-        docs = to_documents(predict.label(df, model), "tw_predictions")
-        qs.append(stream_documents(docs, f"{documents}/tw_predictions/model={MODEL_NAMES[model]}",
-                                   _ck(checkpoint, f"pred_{model}"), trigger=trigger))
-    return qs
+    runs = {"ewma": (lengths, dict(kind="ewma", value="length")),
+            "retweets": (stats.retweet_pairs(posts), dict(kind="regression", x="x", y="y")),
+            "followers": (stats.status_pairs(posts), dict(kind="regression", x="x", y="y"))}
+    return first + [sp.start_bucketed(
+        df, out=f"{documents}/tw_predictions/model={MODEL_NAMES[model]}",
+        state=_ck(checkpoint, f"pred_{model}_state"), checkpoint=_ck(checkpoint, f"pred_{model}"),
+        slices=slices, trigger=trigger, fmt="json",
+        shape=lambda p, m=model: to_documents(predict.label(p, m), "tw_predictions"), **kw)
+        for model, (df, kw) in runs.items()]

@@ -3,9 +3,9 @@
 Everything is native. The raw string is parsed once with ``from_json``
 against a pruned schema that holds only the paths the record needs (a
 large post is not materialised beyond them). Leaf fields are read as
-strings: Spark keeps a JSON number's text for a string field, so
-``try_cast`` accepts numbers and numeric strings alike and yields NULL for
-anything else; NULL then falls back to the field default.
+strings: Spark keeps a JSON number's text for a string field, so numbers and
+numeric strings are read alike; decimals truncate, counts saturate at the int
+range, anything else is the field default.
 
 Rows whose ``lang`` is not ``en`` are dropped. English rows that cannot be
 turned into a record (no ``user`` object, missing or unparsable
@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from ..schema import POST_COLUMNS
 from ..vocab import DEFAULT_TAGS
+from .numbers import text_int, text_long
 from .tagging import with_dominant_tag
 from .time import display_time, parse_created_at
 
@@ -42,14 +43,6 @@ def _str(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
-def _int(c: Column) -> Column:
-    return F.coalesce(c.try_cast("int"), F.lit(0))
-
-
-def _long(c: Column) -> Column:
-    return F.coalesce(c.try_cast("bigint"), F.lit(0).cast("bigint"))
-
-
 def normalise(raw: DataFrame, value: str = "value", tags: Sequence[str] = DEFAULT_TAGS,
               keep: Sequence[str] = ()) -> DataFrame:
     """Parse raw posts; returns the post columns plus ``error`` (NULL = good)
@@ -63,7 +56,9 @@ def normalise(raw: DataFrame, value: str = "value", tags: Sequence[str] = DEFAUL
                         .alias("_p"))
     p, rt = F.col("_p"), F.col("_p.retweeted_status")
     malformed = p.isNull() | p["_corrupt_record"].isNotNull()
-    english = parsed.where(malformed | (p["lang"] == F.lit("en")))
+    # a line with a misplaced type is still JSON; its language decides first, as for any other
+    valid = malformed & F.try_parse_json("_raw").isNotNull() & F.ltrim("_raw").startswith("{")
+    english = parsed.where((malformed & ~valid) | (p["lang"] == F.lit("en")))
     english = with_dominant_tag(english, "_raw", tags, "_tag")
 
     created = parse_created_at(p["created_at"])
@@ -72,12 +67,12 @@ def normalise(raw: DataFrame, value: str = "value", tags: Sequence[str] = DEFAUL
     retweet = F.when(
         has_rt,
         F.struct(
-            _long(rt["id"]).alias("id"), _str(rt["text"]).alias("text"),
+            text_long(rt["id"]).alias("id"), _str(rt["text"]).alias("text"),
             _str(rt["user"]["name"]).alias("username"),
-            _int(rt["user"]["followers_count"]).alias("followersCount"),
-            _int(rt["user"]["statuses_count"]).alias("statusesCount"),
-            _int(rt["user"]["favourites_count"]).alias("favouritesCount"),
-            _int(rt["retweet_count"]).alias("retweetCount"),
+            text_int(rt["user"]["followers_count"]).alias("followersCount"),
+            text_int(rt["user"]["statuses_count"]).alias("statusesCount"),
+            text_int(rt["user"]["favourites_count"]).alias("favouritesCount"),
+            text_int(rt["retweet_count"]).alias("retweetCount"),
             F.coalesce(rt_created, F.lit(0).cast("bigint")).alias("createdAt"),
         ),
     ).otherwise(F.struct(
@@ -86,7 +81,7 @@ def normalise(raw: DataFrame, value: str = "value", tags: Sequence[str] = DEFAUL
         F.lit(0).alias("favouritesCount"), F.lit(0).alias("retweetCount"),
         F.lit(0).cast("bigint").alias("createdAt"),
     ))
-    error = (F.when(malformed, F.lit("malformed json"))
+    error = (F.when(malformed & ~(valid & p["user"].isNull()), F.lit("malformed json"))
              .when(p["user"].isNull(), F.lit("no user object"))
              .when(created.isNull(), F.lit("bad created_at"))
              .when(has_rt & rt["user"].isNull(), F.lit("re-share without user"))
@@ -94,13 +89,13 @@ def normalise(raw: DataFrame, value: str = "value", tags: Sequence[str] = DEFAUL
     return english.select(
         *keep,
         F.col("_tag").alias("tag"),
-        _long(p["id"]).alias("id"),
+        text_long(p["id"]).alias("id"),
         _str(p["text"]).alias("text"),
         _str(p["user"]["name"]).alias("username"),
-        _int(p["user"]["followers_count"]).alias("followersCount"),
-        _int(p["user"]["statuses_count"]).alias("statusesCount"),
-        _int(p["user"]["favourites_count"]).alias("favouritesCount"),
-        _int(p["retweet_count"]).alias("retweetCount"),
+        text_int(p["user"]["followers_count"]).alias("followersCount"),
+        text_int(p["user"]["statuses_count"]).alias("statusesCount"),
+        text_int(p["user"]["favourites_count"]).alias("favouritesCount"),
+        text_int(p["retweet_count"]).alias("retweetCount"),
         F.coalesce(created, F.lit(0).cast("bigint")).alias("createdAt"),
         F.lit(True).alias("isEnglish"),
         F.coalesce(display_time(created), F.lit("")).alias("timestamp"),

@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 from ..vocab import ARCHIVE_BUCKET_MS
 
-# Formats of the post timestamp. The weekday (first four
-# characters) is skipped when parsing because it carries no information and
-# Spark's parser rejects the ``EEE`` field.
-CREATED_AT_PARSE = "MMM dd HH:mm:ss Z yyyy"
+# Formats of the post timestamp. The weekday is skipped when
+# parsing because it carries no information.
+CREATED_AT_PARTS = r"^\s*\S+\s+([A-Za-z]{3})[A-Za-z]*\s+(\d{1,4})\s+(\d{1,4}):(\d{1,4}):(\d{1,4})\s+([+-]\d{4})\s+(\d{4})"
 CREATED_AT_WRITE = "EEE MMM dd HH:mm:ss +0000 yyyy"
 DISPLAY_FORMAT = "MMMM dd yyyy, HH:mm:ss.SSS"
 
@@ -20,9 +19,17 @@ def _c(col: str | Column) -> Column:
 
 
 def parse_created_at(s: str | Column) -> Column:
-    """``Tue Oct 22 20:33:43 +0000 2019`` -> epoch milliseconds (NULL if unparsable)."""
-    ts = F.try_to_timestamp(F.substring(_c(s), 5, 1 << 20), F.lit(CREATED_AT_PARSE))
-    return F.unix_millis(ts)
+    """``Tue Oct 22 20:33:43 +0000 2019`` -> epoch milliseconds (NULL if unparsable).
+
+    Lenient: one-digit days are fine and numbers beyond their range roll over
+    (``Oct 32`` is November 1, ``25:00:00`` one o'clock the next day).
+    """
+    def part(k: int) -> Column:
+        return F.regexp_extract(_c(s), CREATED_AT_PARTS, k)
+
+    start = F.try_to_timestamp(F.concat_ws(" ", F.initcap(part(1)), F.lit("01 00:00:00"), part(6), part(7)), F.lit("MMM dd HH:mm:ss Z yyyy"))
+    day, hour, minute, second = (part(k).try_cast("bigint") for k in (2, 3, 4, 5))
+    return F.unix_millis(start) + ((day - 1) * 86_400 + hour * 3_600 + minute * 60 + second) * 1_000
 
 
 def format_created_at(ts: str | Column) -> Column:

@@ -15,38 +15,36 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numbers import java_int
 from ..vocab import STAT_NAMES
-from .stats import MEASURES, long_form
+from .stats import MEASURES, Measures, aggregates, long_form, measured
 
 
 def stat_name_col(stat_col: str = "stat"):
     m = F.create_map(*[x for k, v in STAT_NAMES.items() for x in (F.lit(k), F.lit(v))])
-    return m[F.col(stat_col)]
+    return F.coalesce(F.try_element_at(m, F.col(stat_col)), F.col(stat_col))   # a caller's own measure keeps its name
 
 
 def live_vs_historic(live: DataFrame, historic: DataFrame, keys: Sequence[str] = ("tag",),
-                     measures: Sequence[str] = MEASURES) -> DataFrame:
+                     measures: Measures = MEASURES) -> DataFrame:
     """``live``: windowed stats (window_start, window_end, keys, measures);
     ``historic``: one row per key with the same measure columns.
 
-    Output: ``name, window_start, window_end, keys..., diff`` (double).
+    Output: ``name, window_start, window_end, keys..., diff`` (double), and
+    ``int_diff``: the same as an integer for the maximum, NULL for averages.
     """
     keys = list(keys)
     lv = long_form(live, ["window_start", "window_end", *keys], measures)
     hv = long_form(historic, keys, measures).withColumnRenamed("value", "hist")
     j = lv.join(hv, ["stat", *keys], "inner")
     return j.select(stat_name_col().alias("name"), "window_start", "window_end", *keys,
-                    (F.col("hist") - F.col("value")).alias("diff"))
+                    (F.col("hist") - F.col("value")).alias("diff"),
+                    F.when(F.col("stat") == "max_word_length", java_int(F.col("hist") - F.col("value"))).alias("int_diff"))
 
 
 def archive_averages(posts: DataFrame, keys: Sequence[str] = ("tag",), text: str = "text",
-                     measures: Sequence[str] = MEASURES) -> DataFrame:
+                     measures: Measures = MEASURES) -> DataFrame:
     """The historic side as the archive reader produces it: one double average
     (and the maximum) per key over the whole archive."""
-    from .stats import with_measures
-    m = with_measures(posts, text)
-    src = {"avg_words": "m_words", "avg_length": "m_length",
-           "avg_followers": "m_followers", "avg_reretweets": "m_reretweets"}
-    aggs = [F.max("m_max_word_length").alias(n) if n == "max_word_length" else F.avg(src[n]).alias(n)
-            for n in measures]
-    return m.groupBy(*keys).agg(*aggs)
+    m, sources = measured(posts, measures, text)
+    return m.groupBy(*keys).agg(*aggregates(sources))

@@ -36,9 +36,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.numbers import java_int
 from ..vocab import EWMA_RATE, MODEL_NAMES, REGRESSION_WARMUP, SMA_RING
 
-INT_MIN, INT_MAX = -(2 ** 31), 2 ** 31 - 1
 UNB = Window.unboundedPreceding
 
 
@@ -46,13 +46,6 @@ def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def java_int(x: Column) -> Column:
-    """double -> int the way a Java ``(int)`` cast does: truncate toward zero,
-    saturate at the int range, NaN -> 0 (ANSI casts would throw instead)."""
-    clamped = F.least(F.greatest(x, F.lit(float(INT_MIN))), F.lit(float(INT_MAX)))
-    return F.when(F.isnan(x), F.lit(0)).otherwise(clamped.cast("int"))
-
-
 def _with_bucket(df: DataFrame, bucket: str | Column | None) -> DataFrame:
     # Non-nullable on purpose: a nullable join key makes Catalyst infer an
     # extra IS NOT NULL filter on one branch only, and the two branches that
@@ -131,7 +124,7 @@ def regression_predict(df: DataFrame, key: str | Sequence[str], order: Sequence[
     slope = sxy.cast("double") / sxx.cast("double")
     pred = F.when(sxx == 0, F.lit(-1)).otherwise(java_int(slope * F.col("_x").cast("double")))
     return d.where(n > warmup).select(*keep, *ks, pred.alias("predicted"),
-                                      F.col("_y").cast("int").alias("real"))
+                                      java_int(F.col("_y")).alias("real"))
 
 
 def regression_state(df: DataFrame, key: str | Sequence[str], x: str, y: str,
@@ -195,7 +188,7 @@ def sma_with_state(df: DataFrame, key: str | Sequence[str], order: Sequence[str]
     extra = F.when(F.col("_r") <= ring,
                    F.aggregate(part, F.lit(0).cast("bigint"), lambda a, v: a + v)).otherwise(0)
     pred = java_int((F.col("_win") + extra).cast("double") / F.lit(float(ring)))
-    preds = j.select(*keep, *ks, pred.alias("predicted"), F.col("_x").cast("int").alias("real"))
+    preds = j.select(*keep, *ks, pred.alias("predicted"), java_int(F.col("_x")).alias("real"))
     state = carry.groupBy(*ks).agg(F.max_by("_upto", "_b").alias("last"))
     return preds, state, d
 
@@ -216,7 +209,7 @@ def sma_predict(df: DataFrame, key: str | Sequence[str], order: Sequence[str], v
         d = d.withColumn("_s", F.coalesce(F.sum("_x").over(wb.rowsBetween(UNB, -1)), F.lit(0)))
         d = d.withColumn("_win", F.col("_s") - F.coalesce(F.lag("_s", ring).over(wb), F.lit(0)))
         pred = java_int(F.col("_win").cast("double") / F.lit(float(ring)))
-        return d.select(*keep, *ks, pred.alias("predicted"), F.col("_x").cast("int").alias("real"))
+        return d.select(*keep, *ks, pred.alias("predicted"), java_int(F.col("_x")).alias("real"))
     return sma_with_state(df, key, order, value, ring, bucket, keep, init)[0]
 
 
@@ -297,7 +290,7 @@ def ewma_with_state(df: DataFrame, key: str | Sequence[str], order: Sequence[str
     j = d.join(carry.select(*ks, "_b", "_c"), [*ks, "_b"])
     v = F.pow(F.lit(q), F.col("_r") - 1) * F.col("_c") + F.col("_v")
     preds = j.select(*keep, *ks, v.alias("predicted_value"), java_int(v).alias("predicted"),
-                     F.col("_x").cast("int").alias("real"))
+                     java_int(F.col("_x")).alias("real"))
     state = carry.groupBy(*ks).agg(F.max_by("_ci", "_b").alias("v"))
     return preds, state, d
 
@@ -324,7 +317,7 @@ def ewma_predict(df: DataFrame, key: str | Sequence[str], order: Sequence[str],
         ks = _keys(key)
         d = _ewma_local(df, ks, order, value, rate, None, keep)
         return d.select(*keep, *ks, F.col("_v").alias("predicted_value"),
-                        java_int(F.col("_v")).alias("predicted"), F.col("_x").cast("int").alias("real"))
+                        java_int(F.col("_v")).alias("predicted"), java_int(F.col("_x")).alias("real"))
     return ewma_with_state(df, key, order, value, rate, bucket, keep, init)[0]
 
 

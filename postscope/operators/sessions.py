@@ -46,15 +46,16 @@ def duration_us(text: str) -> int:
 
 
 def session_ids(df: DataFrame, keys: Sequence[str], time_col: str, gap: str,
-                bucket: str = "1 day") -> DataFrame:
+                bucket: str | Column = "1 day") -> DataFrame:
     """Add ``_sid`` (session number within the key, from 1) and ``_u``
-    (event time in microseconds)."""
+    (event time in microseconds). ``bucket``: a column that grows with time
+    inside a key (``operators.slices``), or a duration."""
     keys = list(keys)
-    gap_us, width_us = duration_us(gap), duration_us(bucket)
+    gap_us = duration_us(gap)
     d = df.withColumn("_u", F.unix_micros(F.col(time_col).cast("timestamp")))
     # non-nullable bucket key: both branches then share one row exchange
-    d = d.withColumn("_b", F.coalesce(F.floor(F.col("_u") / F.lit(width_us)).cast("bigint"),
-                                      F.lit(0).cast("bigint")))
+    cut = F.floor(F.col("_u") / F.lit(duration_us(bucket))) if isinstance(bucket, str) else bucket
+    d = d.withColumn("_b", F.coalesce(cut.cast("bigint"), F.lit(0).cast("bigint")))
     wb = Window.partitionBy(*keys, "_b").orderBy("_u")
     prev = F.lag("_u").over(wb)
     d = d.withColumn("_brk", F.when(prev.isNotNull() & (F.col("_u") - prev > gap_us), 1).otherwise(0))
@@ -72,7 +73,7 @@ def session_ids(df: DataFrame, keys: Sequence[str], time_col: str, gap: str,
 
 
 def session_groups(df: DataFrame, keys: Sequence[str], time_col: str, gap: str,
-                   aggs: Sequence[Column], bucket: str = "1 day") -> DataFrame:
+                   aggs: Sequence[Column], bucket: str | Column = "1 day") -> DataFrame:
     """``groupBy(keys, session)`` with ``aggs``; adds ``window_start``/``window_end``."""
     keys = list(keys)
     gap_us = duration_us(gap)

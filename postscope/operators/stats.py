@@ -9,7 +9,7 @@ DataFrames.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +32,33 @@ def with_measures(posts: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
+#: What a caller may pass as ``measures``: names out of :data:`MEASURES`, or
+#: ``{name: (column, aggregate)}`` with an aggregate out of :data:`AGGREGATES`.
+Measures = Sequence[str] | Mapping[str, tuple[Column, str]]
+AGGREGATES = ("avg", "max", "min", "sum", "count")
+
+_SOURCES = {"max_word_length": "m_max_word_length", "avg_words": "m_words", "avg_length": "m_length",
+            "avg_followers": "m_followers", "avg_reretweets": "m_reretweets"}
+
+
+def measured(posts: DataFrame, measures: Measures, text: str = "text") -> tuple[DataFrame, dict[str, tuple[str, str]]]:
+    """``posts`` with one column per measure, and ``{name: (that column, aggregate)}``.
+    A NULL measure of a row takes no part in its aggregate."""
+    if isinstance(measures, Mapping):
+        unknown = {a for _, a in measures.values()} - set(AGGREGATES)
+        if unknown:
+            raise ValueError(f"unknown aggregates {sorted(unknown)}")
+        cols = [c.alias(f"m_{name}") for name, (c, _) in measures.items()]
+        return posts.select("*", *cols), {name: (f"m_{name}", a) for name, (_, a) in measures.items()}
+    aggregate = {name: "max" if name == "max_word_length" else "avg" for name in measures}
+    return with_measures(posts, text), {name: (_SOURCES[name], aggregate[name]) for name in measures}
+
+
+def aggregates(sources: Mapping[str, tuple[str, str]]) -> list[Column]:
+    """Averages as doubles, the other aggregates as they are."""
+    return [getattr(F, a)(c).alias(name) for name, (c, a) in sources.items()]
+
+
 def retweet_pairs(posts: DataFrame, keep: Sequence[str] = ("tag", "t", "id", "createdAt")) -> DataFrame:
     """M7: ``(x = re-share count, y = followers)`` of the re-shared post, only
     for posts that are re-shares (``retweet.id != 0``)."""
@@ -57,22 +84,14 @@ def _int_avg(name: str) -> Column:
 
 
 def historic_stats(posts: DataFrame, keys: Sequence[str] = ("tag",), text: str = "text",
-                   measures: Sequence[str] = MEASURES) -> DataFrame:
+                   measures: Measures = MEASURES) -> DataFrame:
     """One pass, one exchange; averages truncate to int like the batch job."""
-    m = with_measures(posts, text)
-    src = {"avg_words": "m_words", "avg_length": "m_length",
-           "avg_followers": "m_followers", "avg_reretweets": "m_reretweets"}
+    m, sources = measured(posts, measures, text)
     aggs: list[Column] = []
-    for name in measures:
-        if name == "max_word_length":
-            aggs.append(F.max("m_max_word_length").alias("max_word_length"))
-        else:
-            aggs += _int_avg_parts(src[name], name)
+    for name, (col, a) in sources.items():
+        aggs += _int_avg_parts(col, name) if a == "avg" else [getattr(F, a)(col).alias(name)]
     g = m.groupBy(*keys).agg(*aggs)
-    out = [*keys]
-    for name in measures:
-        out.append(F.col(name) if name == "max_word_length" else _int_avg(name))
-    return g.select(*out)
+    return g.select(*keys, *[_int_avg(name) if a == "avg" else F.col(name) for name, (_, a) in sources.items()])
 
 
 def single_stat(posts: DataFrame, name: str, keys: Sequence[str] = ("tag",),
@@ -99,31 +118,26 @@ def _window_col(time_col: str, window: str | None, session_gap: str | None) -> C
 
 def windowed_stats(posts: DataFrame, time_col: str = "t", window: str | None = None,
                    session_gap: str | None = None, keys: Sequence[str] = ("tag",),
-                   text: str = "text", measures: Sequence[str] = MEASURES,
-                   session_bucket: str | None = None) -> DataFrame:
+                   text: str = "text", measures: Measures = MEASURES,
+                   session_bucket: str | Column | None = None) -> DataFrame:
     """Tumbling (``window``) or session (``session_gap``) statistics.
 
     Averages are doubles (sum/count), the maximum is an int. Output:
     ``window_start, window_end, keys..., <measures>``. For batch sessions,
-    ``session_bucket`` (e.g. ``"1 day"``) switches to the bucketed session
-    finder (``operators.sessions``), which does not put a whole key into one
-    task; the result is the same.
+    ``session_bucket`` (the slice column of ``operators.slices``, or a duration
+    like ``"1 day"``) switches to the sliced session finder
+    (``operators.sessions``), which does not put a whole key into one
+    task; the result is the same. ``measures`` may be the caller's own
+    (:data:`Measures`).
     """
-    m = with_measures(posts, text)
-    src = {"avg_words": "m_words", "avg_length": "m_length",
-           "avg_followers": "m_followers", "avg_reretweets": "m_reretweets"}
-    aggs = []
-    for name in measures:
-        if name == "max_word_length":
-            aggs.append(F.max("m_max_word_length").alias(name))
-        else:
-            aggs.append(F.avg(src[name]).alias(name))
+    m, sources = measured(posts, measures, text)
+    aggs = aggregates(sources)
     if session_gap is not None and session_bucket is not None:
         from .sessions import session_groups
         return session_groups(m, keys, time_col, session_gap, aggs, session_bucket)
     g = m.groupBy(_window_col(time_col, window, session_gap), *keys).agg(*aggs)
     return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                    *keys, *measures)
+                    *keys, *sources)
 
 
 def windowed_word_count(posts: DataFrame, time_col: str = "t", window: str = "60 seconds",
@@ -137,7 +151,7 @@ def windowed_word_count(posts: DataFrame, time_col: str = "t", window: str = "60
                     *keys, "word", "n")
 
 
-def long_form(stats: DataFrame, ids: Sequence[str], measures: Sequence[str] = MEASURES) -> DataFrame:
+def long_form(stats: DataFrame, ids: Sequence[str], measures: Measures = MEASURES) -> DataFrame:
     """Wide statistics -> ``(ids..., stat, value double)`` rows; NULL statistics are dropped."""
     vals = [F.col(m).cast("double").alias(m) for m in measures]
     wide = stats.select(*ids, *vals)

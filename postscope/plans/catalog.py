@@ -18,10 +18,19 @@ from ..functions.tagging import track_filter, with_dominant_tag
 from ..functions.text import utf16_length, words_per_post
 from ..functions.json import normalise, quarantined, valid_posts
 from ..functions.time import bucket_ms
+from ..functions.numbers import java_int
 from ..operators import compare, predict, stats
-from ..session import pin_utc
-from ..sources.tables import document_posts, event_posts, event_raw_posts, table
-from ..vocab import (ARCHIVE_BUCKET_MS, DOCUMENT_TAGS, EVENT_TAGS, EWMA_RATE, REGRESSION_WARMUP,
+from ..operators.slices import SLICE, sliced
+from ..session import pin_utc, scratch_path
+from ..sinks.archive import stream_archive_sink, write_archive
+from ..sinks.documents import LAYOUTS, STAT_INDEX, comparison_documents, stream_documents, to_documents
+from ..sinks.reports import REPORTS, write_reports
+from ..sources.posts import archive_lines, archive_posts, live_posts, live_raw, read_archive, stream_archive
+from ..sources.tables import document_posts, event_posts, event_raw_posts, props_k, table
+from ..streaming.live import live_stats, live_word_count, start_compare, start_stat_documents, write_history
+from ..streaming.predictors import start_bucketed
+from ..streaming.runner import materialise_stream, run_stream
+from ..vocab import (ARCHIVE_BUCKET_MS, DOCUMENT_TAGS, EVENT_TAGS, EWMA_RATE, MODEL_NAMES, REGRESSION_WARMUP,
                      SMA_RING, STAT_NAMES)
 from .sqlparts import (sql_dominant_tag, sql_int, sql_k, sql_max_word_length, sql_stop_list,
                        sql_str, sql_tokens, sql_utf16_length, sql_words_per_post)
@@ -34,7 +43,6 @@ STAT_WINDOW_MS = 3_600_000
 SESSION_GAP = "10 minutes"
 SESSION_GAP_US = 600_000_000
 TRACK_TERMS = ("which", "there")
-PREDICT_BUCKET_MS = 86_400_000   # day buckets for the bucketed prefix scan
 ORDER = ("t", "id")
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +76,7 @@ def _ms(col: str):
 
 
 # --------------------------------------------------------------- SQL bases
+DOC_TEXTS = "doc_texts AS (SELECT doc_id AS id, text FROM documents)"
 DOC_POSTS = (f"doc_posts AS (SELECT doc_id AS id, text, {sql_dominant_tag('text', DOCUMENT_TAGS)} AS tag "
              f"FROM documents WHERE lang = 'en')")
 EV_POSTS = (f"ev AS (SELECT event_type AS tag, event_id AS id, props AS text, ts, "
@@ -100,17 +109,18 @@ def q_word_count(spark, sf):
 
 
 # --------------------------------------------------------------- M3 / M4
-@register("words_per_post", f"""WITH {DOC_POSTS}
-SELECT id, {sql_words_per_post('text')} AS value FROM doc_posts WHERE {sql_words_per_post('text')} IS NOT NULL""")
+# Row measures run over the documents of all languages: accents and umlauts are where word splitting differs.
+@register("words_per_post", f"""WITH {DOC_TEXTS}
+SELECT id, {sql_words_per_post('text')} AS value FROM doc_texts WHERE {sql_words_per_post('text')} IS NOT NULL""")
 def q_words_per_post(spark, sf):
-    p = _docs(spark, sf).select("id", words_per_post("text").alias("value"))
+    p = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), words_per_post("text").alias("value"))
     return p.where(F.col("value").isNotNull())
 
 
-@register("text_length", f"""WITH {DOC_POSTS}
-SELECT id, {sql_utf16_length('text')} AS value FROM doc_posts WHERE {sql_utf16_length('text')} IS NOT NULL""")
+@register("text_length", f"""WITH {DOC_TEXTS}
+SELECT id, {sql_utf16_length('text')} AS value FROM doc_texts WHERE {sql_utf16_length('text')} IS NOT NULL""")
 def q_text_length(spark, sf):
-    p = _docs(spark, sf).select("id", utf16_length("text").alias("value"))
+    p = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), utf16_length("text").alias("value"))
     return p.where(F.col("value").isNotNull())
 
 
@@ -245,18 +255,27 @@ SELECT min(us) // 1000 AS window_start, (max(us) + {SESSION_GAP_US}) // 1000 AS
 FROM s GROUP BY tag, sid"""
 
 
-@register("session_stats", SESSION_SQL)
-def q_session_stats(spark, sf):
-    w = stats.windowed_stats(_events(spark, sf), "t", session_gap=SESSION_GAP)
+def _session_columns(w):
     return w.select(_ms("window_start"), _ms("window_end"), "tag", "max_word_length",
                     *_round6(["avg_words", "avg_length", "avg_followers", "avg_reretweets"]))
 
 
 @register("session_stats_bucketed", SESSION_SQL)
-def q_session_stats_bucketed(spark, sf):
-    w = stats.windowed_stats(_events(spark, sf), "t", session_gap=SESSION_GAP, session_bucket="1 day")
-    return w.select(_ms("window_start"), _ms("window_end"), "tag", "max_word_length",
-                    *_round6(["avg_words", "avg_length", "avg_followers", "avg_reretweets"]))
+@register("session_stats", SESSION_SQL)
+def q_session_stats(spark, sf):
+    rows = sliced(_events(spark, sf), "tag", ["t"])
+    return _session_columns(stats.windowed_stats(rows, "t", session_gap=SESSION_GAP, session_bucket=F.col(SLICE)))
+
+
+# A caller's own measures: name -> (column, aggregate), in the same windows.
+@register("own_measures", f"""WITH {EV_POSTS}
+SELECT ms - ms % {STAT_WINDOW_MS} AS window_start, tag, max(length(text)) AS longest, min(followers) AS fewest,
+  round(avg(CASE WHEN k > 0 THEN statuses END), 6) AS sharing_statuses FROM ev GROUP BY 1, 2""")
+def q_own_measures(spark, sf):
+    own = {"longest": (F.length("text").cast("bigint"), "max"), "fewest": (F.col("followersCount"), "min"),
+           "sharing_statuses": (F.when(F.col("retweetCount") > 0, F.col("statusesCount")), "avg")}
+    w = stats.windowed_stats(_events(spark, sf), "t", window=STAT_WINDOW, measures=own)
+    return w.select(_ms("window_start"), "tag", "longest", "fewest", F.round("sharing_statuses", 6).alias("sharing_statuses"))
 
 
 # --------------------------------------------------------------- J1-J3
@@ -299,25 +318,20 @@ r(tag, rn, event_id, x, v) AS (
   UNION ALL
   SELECT p.tag, p.rn, p.event_id, p.x, r.v + CAST({EWMA_RATE} AS DOUBLE) * (r.x - r.v)
   FROM r JOIN p ON p.tag = r.tag AND p.rn = r.rn + 1)
-SELECT event_id, tag, round(v, 6) AS predicted_value, CAST(x AS INTEGER) AS real FROM r"""
+SELECT event_id, tag, round(v, 6) AS predicted_value, CAST(trunc(round(v, 6)) AS INTEGER) AS predicted, CAST(x AS INTEGER) AS real FROM r"""
 
 
-def _ewma(spark, sf, bucket):
-    e = _events(spark, sf)
-    b = F.floor(F.col("createdAt") / PREDICT_BUCKET_MS) if bucket else None
-    p = predict.ewma_predict(e, "tag", ORDER, "followersCount", bucket=b, keep=("id",))
-    return p.select(F.col("id").alias("event_id"), "tag",
-                    F.round("predicted_value", 6).alias("predicted_value"), "real")
+def _ewma_columns(p):
+    # the emitted integer is read off the rounded value, as a closed form and a recursion may differ in the last bits
+    v = F.round("predicted_value", 6)
+    return p.select(F.col("id").alias("event_id"), "tag", v.alias("predicted_value"), java_int(v).alias("predicted"), "real")
 
 
+@register("predict_ewma_bucketed", _ewma_sql())
 @register("predict_ewma", _ewma_sql())
 def q_predict_ewma(spark, sf):
-    return _ewma(spark, sf, False)
-
-
-@register("predict_ewma_bucketed", _ewma_sql())
-def q_predict_ewma_bucketed(spark, sf):
-    return _ewma(spark, sf, True)
+    rows = sliced(_events(spark, sf), "tag", ORDER)
+    return _ewma_columns(predict.ewma_predict(rows, "tag", ORDER, "followersCount", bucket=SLICE, keep=("id",)))
 
 
 def _regression_sql(x: str) -> str:
@@ -331,32 +345,22 @@ w AS (SELECT *, row_number() OVER (PARTITION BY tag ORDER BY ts, event_id) AS rn
 SELECT event_id, tag, {pred} AS predicted, CAST(y AS INTEGER) AS real FROM w WHERE rn > {REGRESSION_WARMUP}"""
 
 
-def _regression(spark, sf, x, bucket):
-    e = _events(spark, sf)
-    pairs = stats.retweet_pairs(e) if x == "retweetCount" else stats.status_pairs(e)   # M7 / M8
-    b = F.floor(F.col("createdAt") / PREDICT_BUCKET_MS) if bucket else None
-    p = predict.regression_predict(pairs, "tag", ORDER, "x", "y", bucket=b, keep=("id",))
+def _regression(pairs):
+    rows = sliced(pairs, "tag", ORDER)
+    p = predict.regression_predict(rows, "tag", ORDER, "x", "y", bucket=SLICE, keep=("id",))
     return p.select(F.col("id").alias("event_id"), "tag", "predicted", "real")
 
 
+@register("predict_regression_retweets_bucketed", _regression_sql(sql_k()))
 @register("predict_regression_retweets", _regression_sql(sql_k()))
 def q_predict_regression_retweets(spark, sf):
-    return _regression(spark, sf, "retweetCount", False)
-
-
-@register("predict_regression_retweets_bucketed", _regression_sql(sql_k()))
-def q_predict_regression_retweets_bucketed(spark, sf):
-    return _regression(spark, sf, "retweetCount", True)
+    return _regression(stats.retweet_pairs(_events(spark, sf)))     # M7
 
 
+@register("predict_regression_followers_bucketed", _regression_sql("user_id"))
 @register("predict_regression_followers", _regression_sql("user_id"))
 def q_predict_regression_followers(spark, sf):
-    return _regression(spark, sf, "statusesCount", False)
-
-
-@register("predict_regression_followers_bucketed", _regression_sql("user_id"))
-def q_predict_regression_followers_bucketed(spark, sf):
-    return _regression(spark, sf, "statusesCount", True)
+    return _regression(stats.status_pairs(_events(spark, sf)))      # M8
 
 
 def _sma_sql() -> str:
@@ -366,21 +370,12 @@ def _sma_sql() -> str:
   {sql_int('value')} AS real FROM events"""
 
 
-def _sma(spark, sf, bucket):
-    e = _events(spark, sf)
-    b = F.floor(F.col("createdAt") / PREDICT_BUCKET_MS) if bucket else None
-    p = predict.sma_predict(e, "tag", ORDER, "followersCount", bucket=b, keep=("id",))
-    return p.select(F.col("id").alias("event_id"), "tag", "predicted", "real")
-
-
+@register("predict_sma_bucketed", _sma_sql())
 @register("predict_sma", _sma_sql())
 def q_predict_sma(spark, sf):
-    return _sma(spark, sf, False)
-
-
-@register("predict_sma_bucketed", _sma_sql())
-def q_predict_sma_bucketed(spark, sf):
-    return _sma(spark, sf, True)
+    rows = sliced(_events(spark, sf), "tag", ORDER)
+    p = predict.sma_predict(rows, "tag", ORDER, "followersCount", bucket=SLICE, keep=("id",))
+    return p.select(F.col("id").alias("event_id"), "tag", "predicted", "real")
 
 
 # --------------------------------------------------------------- K1 + S2/S4
@@ -390,159 +385,243 @@ SELECT id, tag, text, followers AS followersCount, statuses AS statusesCount, k
   ms - ms % {ARCHIVE_BUCKET_MS} AS bucket FROM ev"""
 
 
+def _archive_columns(a):
+    return a.select("id", "tag", "text", "followersCount", "statusesCount", "retweetCount", "createdAt",
+                    "timestamp", F.col("retweet.id").alias("retweet_id"),
+                    F.col("retweet.retweetCount").alias("retweet_retweetCount"),
+                    bucket_ms("createdAt").alias("bucket"))
+
+
 @register("archive_roundtrip", ARCHIVE_SQL)
 def q_archive_roundtrip(spark, sf):
-    from ..session import scratch_path
-    from ..sinks.archive import write_archive
-    from ..sources.posts import read_archive
     path = scratch_path(spark, "archive")
     write_archive(_events(spark, sf), path)
     a = read_archive(spark, path)
-    return a.select("id", "tag", "text", "followersCount", "statusesCount", "retweetCount", "createdAt",
-                    "timestamp", F.col("retweet.id").alias("retweet_id"),
-                    F.col("retweet.retweetCount").alias("retweet_retweetCount"),
-                    F.col("bucket").cast("bigint").alias("bucket"))
+    return _archive_columns(a.where(F.col("bucket").cast("bigint") == bucket_ms("createdAt")))
+
+
+@register("archive_stream", ARCHIVE_SQL)
+def q_archive_stream(spark, sf):
+    """S3 over K1's streaming form: the events archived by a stream in turns, read back as a stream."""
+    base = scratch_path(spark, "archive_stream")
+    in_turns(spark, sf, base, lambda s: stream_archive_sink(event_posts(s), f"{base}/archive", f"{base}/ck", width_ms=DAY_MS, trigger=ONCE),
+             marker=False)
+    return _archive_columns(materialise_stream(spark, stream_archive(spark, f"{base}/archive"), None, "archive_read", output_mode="append"))
+
+
+@register("csv_reports", "WITH " + EV_POSTS + ", " + EV_MEASURES + """, h AS (SELECT tag, max(mwl) AS a,
+  CAST(sum(words) // count(words) AS INTEGER) AS b, CAST(sum(len) // count(len) AS INTEGER) AS c,
+  CAST(sum(followers) // count(*) AS INTEGER) AS d, CAST(sum(k) // count(*) AS INTEGER) AS e FROM evm GROUP BY tag)
+SELECT 'maxWordLength' AS report, tag, a AS value FROM h WHERE a IS NOT NULL UNION ALL
+SELECT 'avgWordbyTweet', tag, b FROM h WHERE b IS NOT NULL UNION ALL SELECT 'avgTweetlength', tag, c FROM h WHERE c IS NOT NULL UNION ALL
+SELECT 'avgFollower', tag, d FROM h UNION ALL SELECT 'avgRetweets', tag, e FROM h UNION ALL
+SELECT 'wordcount', tag || ' ' || word, count(*) FROM (SELECT tag, unnest(""" + sql_tokens("text") + """) AS word FROM ev)
+WHERE word <> '' AND word NOT IN (""" + sql_stop_list() + ") GROUP BY tag, word")
+def q_csv_reports(spark, sf):
+    """K2: the six result sets written as CSV and read back."""
+    run = write_reports(_events(spark, sf), scratch_path(spark, "reports_out"), run_ms=1)
+    sets = [spark.read.csv(f"{run}/{name}", schema="value int, tag string").select(F.lit(name).alias("report"), "tag", F.col("value").cast("bigint"))
+            for name in REPORTS]
+    words = spark.read.csv(f"{run}/wordcount", schema="word string, n bigint, tag string")
+    out = words.select(F.lit("wordcount").alias("report"), F.concat_ws(" ", "tag", "word").alias("tag"), F.col("n").alias("value"))
+    return functools.reduce(lambda a, b: a.union(b), sets, out)
 
 
 # --------------------------------------------------------------- streaming forms
-def _event_stream(spark, sf):
-    from ..sources.posts import stream_table
-    return event_posts(stream_table(spark, sf, "events"))
+# Every stream reads the events in three turns of ascending time: each turn's
+# files are written, then the query is started again on its checkpoint, so
+# state crosses micro-batches and restarts. A marker row a week after the last event
+# then closes all event-time windows; its own never closes.
+ONCE = {"availableNow": True}
+TURNS = 3
+MARKER = "__end__"
+DAY_MS = 86_400_000
+
+
+def in_turns(spark, sf, base, start, marker=True):
+    events = table(spark, sf, "events")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    cuts = events.agg(F.percentile_approx(micros, [k / TURNS for k in range(1, TURNS)])).first()[0]
+    turn = functools.reduce(lambda a, c: a + (micros > c).cast("int"), cuts or [], F.lit(0))
+    parts = [events.where(turn == k) for k in range(TURNS)]
+    if marker:
+        last = events.agg(F.max("ts").alias("ts"))
+        kinds = {f.name: f.dataType for f in events.schema.fields}
+        values = {"event_id": F.lit(-1), "event_type": F.lit(MARKER), "ts": F.col("ts") + F.expr("INTERVAL 7 DAYS"), "props": F.lit("{}")}
+        parts.append(last.select(*[values.get(n, F.lit(0)).cast(t).alias(n) for n, t in kinds.items()]))
+    for k, part in enumerate(parts):
+        part.write.parquet(f"{base}/feed/turn={k}")
+        feed = spark.readStream.schema(events.schema).option("recursiveFileLookup", "true").parquet(f"{base}/feed")
+        q = start(feed)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+
+
+def _stream_rows(spark, sf, name, make, output_mode="append"):
+    """All rows that ``make`` of the event posts emits over the turns."""
+    base = scratch_path(spark, name)
+    in_turns(spark, sf, base, lambda s: run_stream(make(event_posts(s)), f"{base}/out", f"{base}/checkpoint", output_mode))
+    return spark.read.parquet(f"{base}/out").drop("_batch")
 
 
 @register("stream_tumbling_stats", ORACLE["tumbling_stats"])
 def q_stream_tumbling_stats(spark, sf):
-    from ..streaming.live import live_stats
-    from ..streaming.runner import materialise_stream
-    s = live_stats(_event_stream(spark, sf), window=STAT_WINDOW, watermark="1 hour")
-    out = materialise_stream(spark, s, ["window_start", "tag"], "stream_tumbling_stats")
+    out = _stream_rows(spark, sf, "stream_tumbling_stats", lambda p: live_stats(p, window=STAT_WINDOW, watermark="1 hour"))
     return out.select(_ms("window_start"), "tag", "max_word_length",
                       *_round6(["avg_words", "avg_length", "avg_followers", "avg_reretweets"]))
 
 
-STREAM_WATERMARK_MS = 3_600_000
-# Streaming session windows only run in append mode: a session is emitted once
-# the watermark (max event time in ms minus the delay) reaches its end, so on
-# a finite input the sessions still open at the end are not (yet) emitted.
-STREAM_SESSION_SQL = (SESSION_SQL.replace("SELECT min(us) // 1000", "SELECT * FROM (SELECT min(us) // 1000")
-                      + f") WHERE window_end * 1000 <= ((SELECT max(epoch_us(ts)) FROM events) // 1000 "
-                        f"- {STREAM_WATERMARK_MS}) * 1000")
-
-
-@register("stream_session_stats", STREAM_SESSION_SQL)
+@register("stream_session_stats", SESSION_SQL)
 def q_stream_session_stats(spark, sf):
-    from ..streaming.live import live_stats
-    from ..streaming.runner import materialise_stream
-    s = live_stats(_event_stream(spark, sf), window=None, session_gap=SESSION_GAP, watermark="1 hour")
-    out = materialise_stream(spark, s, ["window_start", "tag"], "stream_session_stats",
-                             output_mode="append")
-    return out.select(_ms("window_start"), _ms("window_end"), "tag", "max_word_length",
-                      *_round6(["avg_words", "avg_length", "avg_followers", "avg_reretweets"]))
+    return _session_columns(_stream_rows(spark, sf, "stream_session_stats",
+                                         lambda p: live_stats(p, window=None, session_gap=SESSION_GAP, watermark="1 hour")))
 
 
 @register("stream_word_count", ORACLE["tumbling_word_count"])
 def q_stream_word_count(spark, sf):
-    from ..streaming.live import live_word_count
-    from ..streaming.runner import materialise_stream
-    s = live_word_count(_event_stream(spark, sf), window=STAT_WINDOW, watermark="1 hour")
-    out = materialise_stream(spark, s, ["window_start", "tag", "word"], "stream_word_count")
+    out = _stream_rows(spark, sf, "stream_word_count", lambda p: live_word_count(p, window=STAT_WINDOW, watermark="1 hour"))
     return out.select(_ms("window_start"), "tag", "word", "n")
 
 
+@register("ingest_windows", "SELECT event_type AS tag, count(*) AS n FROM events GROUP BY 1")
+def q_ingest_windows(spark, sf):
+    """Rows windowed by their arrival; the stamp is the clock, so the windows are added up per tag."""
+    counted = {"n": (F.lit(1), "count")}
+    out = _stream_rows(spark, sf, "ingest_windows", lambda p: stats.windowed_stats(
+        p.withColumn("t", F.current_timestamp()).withWatermark("t", "1 minute"), "t", window="30 seconds", measures=counted), output_mode="update")
+    latest = out.groupBy("window_start", "tag").agg(F.max("n").alias("n"))
+    return latest.where(F.col("tag") != MARKER).groupBy("tag").agg(F.sum("n").cast("bigint").alias("n"))
+
+
+# --------------------------------------------------------------- documents K3-K6
+@register("post_documents", ARCHIVE_SQL.replace(f"ms - ms % {ARCHIVE_BUCKET_MS} AS bucket", "true AS \"isEnglish\""))
+def q_post_documents(spark, sf):
+    base = scratch_path(spark, "post_documents")
+    in_turns(spark, sf, base, lambda s: stream_documents(to_documents(event_posts(s), "twitter"), f"{base}/twitter", f"{base}/ck", trigger=ONCE), marker=False)
+    d = archive_posts(archive_lines(spark.read.text(f"{base}/twitter").select("value")))
+    return _archive_columns(d).drop("bucket").withColumn("isEnglish", F.lit(True))
+
+
+_STAT_DOCS = {"max_word_length": "CAST(max(mwl) AS DOUBLE)", "avg_length": "avg(len)", "avg_followers": "avg(followers)",
+              "avg_reretweets": "avg(k)", "avg_words": "avg(words)"}
+
+
+@register("stat_documents", f"WITH {EV_POSTS}, {EV_MEASURES} " + " UNION ALL ".join(
+    f"SELECT {sql_str(STAT_INDEX[m])} AS index, tag, round({c}, 6) AS value, true AS stamped FROM evm "
+    f"GROUP BY ms - ms % {STAT_WINDOW_MS}, tag HAVING {c} IS NOT NULL" for m, c in _STAT_DOCS.items()))
+def q_stat_documents(spark, sf):
+    """K4: one document per closed window and tag in each index."""
+    base = scratch_path(spark, "stat_documents")
+    in_turns(spark, sf, base, lambda s: start_stat_documents(spark, live_stats(event_posts(s), window=STAT_WINDOW, watermark="1 hour"),
+                                                             f"{base}/docs", f"{base}/ck", trigger=ONCE))
+    sets = []
+    for index in STAT_INDEX.values():
+        value, tag, stamp = (dst for _, dst in LAYOUTS[index])
+        d = spark.read.schema(f"`{value}` double, `{tag}` string, `{stamp}` bigint").json(f"{base}/docs/{index}")
+        sets.append(d.select(F.lit(index).alias("index"), F.col(tag).alias("tag"), F.round(value, 6).alias("value"), (F.col(stamp) > 0).alias("stamped")))
+    return functools.reduce(lambda a, b: a.union(b), sets)
+
+
+def _history(spark, sf, base):
+    write_history(compare.archive_averages(_events(spark, sf)), f"{base}/historic")
+    return f"{base}/historic"
+
+
+def _compare_stream(spark, sf, base, **how):
+    history = _history(spark, sf, base)
+    in_turns(spark, sf, base, lambda s: start_compare(live_stats(event_posts(s), window=STAT_WINDOW, watermark="1 hour"), history,
+                                                      f"{base}/out", f"{base}/checkpoint", trigger=ONCE, **how))
+
+
 @register("stream_live_vs_historic", ORACLE["live_vs_historic"])
 def q_stream_live_vs_historic(spark, sf):
-    from ..session import scratch_path
-    from ..streaming.live import live_stats, start_compare
-    from ..streaming.runner import latest_rows
     base = scratch_path(spark, "stream_compare")
-    # history: aggregated once over the archive and written as a small table
-    compare.archive_averages(_events(spark, sf)).write.parquet(f"{base}/historic")
-    hist = spark.read.parquet(f"{base}/historic")
-    live = live_stats(_event_stream(spark, sf), window=STAT_WINDOW, watermark="1 hour")
-    q = start_compare(live, hist, f"{base}/out", f"{base}/checkpoint", trigger={"availableNow": True})
-    q.awaitTermination()
-    out = latest_rows(spark, f"{base}/out", ["name", "window_start", "tag"],
-                      ["name", "window_start", "window_end", "tag", "diff"])
-    return out.select("name", _ms("window_start"), "tag", F.round("diff", 6).alias("diff"))
-
-
-def _stream_predict(spark, sf, kind):
-    from ..streaming import predictors as sp
-    from ..streaming.runner import materialise_stream
-    s = _event_stream(spark, sf)
-    if kind == "ewma":
-        p = sp.stream_ewma(s, "followersCount")
-        out = materialise_stream(spark, p, None, "stream_ewma", output_mode="append")
-        return out.select(F.col("id").alias("event_id"), "tag",
-                          F.round("predicted_value", 6).alias("predicted_value"), "real")
-    if kind == "sma":
-        p = sp.stream_sma(s, "followersCount")
-    elif kind == "retweets":
-        p = sp.stream_regression(stats.retweet_pairs(s), "x", "y")
-    else:
-        p = sp.stream_regression(stats.status_pairs(s), "x", "y")
-    out = materialise_stream(spark, p, None, f"stream_{kind}", output_mode="append")
-    return out.select(F.col("id").alias("event_id"), "tag", "predicted", "real")
+    _compare_stream(spark, sf, base)
+    return spark.read.parquet(f"{base}/out").select("name", _ms("window_start"), "tag", F.round("diff", 6).alias("diff"))
 
 
-@register("stream_predict_ewma", ORACLE["predict_ewma"])
-def q_stream_predict_ewma(spark, sf):
-    return _stream_predict(spark, sf, "ewma")
+@register("comparison_documents", f"""SELECT name, tag, diff, name = {sql_str(STAT_NAMES['max_word_length'])} AS is_int, true AS stamped
+FROM ({ORACLE['live_vs_historic']}) d""")
+def q_comparison_documents(spark, sf):
+    """One document per closed window, tag and statistic; the maximum's number is an integer."""
+    base = scratch_path(spark, "compare_documents")
+    _compare_stream(spark, sf, base, shape=comparison_documents, fmt="text")
+    d = spark.read.text(f"{base}/out").select(F.from_json("value", "comparedata string, comparedata_tag string, comparedata_name string, comparedata_timestamp bigint").alias("d")).select("d.*")
+    return d.select(F.col("comparedata_name").alias("name"), F.col("comparedata_tag").alias("tag"), F.round(F.col("comparedata").cast("double"), 6).alias("diff"),
+                    F.col("comparedata").rlike("^-?[0-9]+$").alias("is_int"), (F.col("comparedata_timestamp") > 0).alias("stamped"))
 
 
-@register("stream_predict_sma", ORACLE["predict_sma"])
-def q_stream_predict_sma(spark, sf):
-    return _stream_predict(spark, sf, "sma")
+# --------------------------------------------------------------- P5: predictors on streams
+def _stream_predict(spark, sf, kind, posts=lambda p: p, shape=None, **how):
+    base = scratch_path(spark, f"stream_{kind}")
+    in_turns(spark, sf, base, lambda s: start_bucketed(posts(event_posts(s)), kind, f"{base}/out", f"{base}/state", f"{base}/checkpoint",
+                                                       trigger=ONCE, shape=shape, **how), marker=False)
+    return spark.read.parquet(f"{base}/out")
 
 
-@register("stream_predict_regression_retweets", ORACLE["predict_regression_retweets"])
-def q_stream_predict_regression_retweets(spark, sf):
-    return _stream_predict(spark, sf, "retweets")
-
-
-@register("stream_predict_regression_followers", ORACLE["predict_regression_followers"])
-def q_stream_predict_regression_followers(spark, sf):
-    return _stream_predict(spark, sf, "followers")
-
-
-def _stream_predict_bucketed(spark, sf, kind):
-    from ..session import scratch_path
-    from ..streaming.predictors import start_bucketed
-    s = _event_stream(spark, sf)
-    base = scratch_path(spark, f"stream_{kind}_bucketed")
-    kw = {"ewma": dict(kind="ewma", value="followersCount"),
-          "sma": dict(kind="sma", value="followersCount"),
-          "retweets": dict(kind="regression", x="x", y="y"),
-          "followers": dict(kind="regression", x="x", y="y")}[kind]
-    if kind == "retweets":
-        s = stats.retweet_pairs(s)      # M7
-    elif kind == "followers":
-        s = stats.status_pairs(s)       # M8
-    q = start_bucketed(s, out=f"{base}/out", state=f"{base}/state", checkpoint=f"{base}/checkpoint",
-                       bucket_ms=PREDICT_BUCKET_MS, trigger={"availableNow": True}, **kw)
-    q.awaitTermination()
-    out = spark.read.parquet(f"{base}/out")
-    if kind == "ewma":
-        return out.select(F.col("id").alias("event_id"), "tag",
-                          F.round("predicted_value", 6).alias("predicted_value"), "real")
+def _emitted(out):
     return out.select(F.col("id").alias("event_id"), "tag", "predicted", "real")
 
 
 @register("stream_predict_ewma_bucketed", ORACLE["predict_ewma"])
-def q_stream_predict_ewma_bucketed(spark, sf):
-    return _stream_predict_bucketed(spark, sf, "ewma")
+@register("stream_predict_ewma", ORACLE["predict_ewma"])
+def q_stream_predict_ewma(spark, sf):
+    return _ewma_columns(_stream_predict(spark, sf, "ewma", value="followersCount"))
 
 
 @register("stream_predict_sma_bucketed", ORACLE["predict_sma"])
-def q_stream_predict_sma_bucketed(spark, sf):
-    return _stream_predict_bucketed(spark, sf, "sma")
+@register("stream_predict_sma", ORACLE["predict_sma"])
+def q_stream_predict_sma(spark, sf):
+    return _emitted(_stream_predict(spark, sf, "sma", value="followersCount"))
 
 
 @register("stream_predict_regression_retweets_bucketed", ORACLE["predict_regression_retweets"])
-def q_stream_predict_regression_retweets_bucketed(spark, sf):
-    return _stream_predict_bucketed(spark, sf, "retweets")
+@register("stream_predict_regression_retweets", ORACLE["predict_regression_retweets"])
+def q_stream_predict_regression_retweets(spark, sf):
+    return _emitted(_stream_predict(spark, sf, "regression", stats.retweet_pairs, x="x", y="y"))
 
 
 @register("stream_predict_regression_followers_bucketed", ORACLE["predict_regression_followers"])
-def q_stream_predict_regression_followers_bucketed(spark, sf):
-    return _stream_predict_bucketed(spark, sf, "followers")
+@register("stream_predict_regression_followers", ORACLE["predict_regression_followers"])
+def q_stream_predict_regression_followers(spark, sf):
+    return _emitted(_stream_predict(spark, sf, "regression", stats.status_pairs, x="x", y="y"))
+
+
+@register("prediction_documents", f"""SELECT predicted AS predictions_predicted, real AS predictions_real, tag AS predictions_tag,
+  {sql_str(MODEL_NAMES['followers'])} AS predictions_name, true AS stamped FROM ({ORACLE['predict_regression_followers']}) d""")
+def q_prediction_documents(spark, sf):
+    """K6 with P6: the labelled predictions of a stream as documents."""
+    out = _stream_predict(spark, sf, "regression", stats.status_pairs, x="x", y="y",
+                          shape=lambda p: to_documents(predict.label(p, "followers"), "tw_predictions"))
+    return out.select("predictions_predicted", "predictions_real", "predictions_tag", "predictions_name", (F.col("predictions_timestamp") > 0).alias("stamped"))
+
+
+# --------------------------------------------------------------- S1 + T1: the raw feed, spoilt in five ways
+_SPOIL = 7    # of seven neighbouring events, five are spoilt, each in its own way
+
+
+def spoilt_feed(events):
+    raw = event_raw_posts(events)
+    v, way = F.col("value"), F.pmod(F.get_json_object("value", "$.id").cast("bigint"), F.lit(_SPOIL))
+    created = r'"created_at":"[^"]*"'
+    bad = (F.when(way == 1, F.concat(F.lit("{broken "), v))
+           .when(way == 2, F.regexp_replace(v, r'"user":\{[^}]*\}', '"user":null'))
+           .when(way == 3, F.regexp_replace(v, created, '"created_at":"never"'))
+           .when(way == 4, F.regexp_replace(v, r'\}$', ',"retweeted_status":{"id":1,"created_at":"Tue Oct 22 20:33:43 +0000 2019"}}'))
+           .when(way == 5, F.regexp_replace(v, r'\}$', ',"retweeted_status":{"id":1,"user":{"name":"x"},"created_at":"never"}}')))
+    return raw.select(F.coalesce(bad, v).alias("value"))
+
+
+@register("live_feed", f"""WITH {EV_POSTS} SELECT CASE id % {_SPOIL} WHEN 1 THEN 'malformed json' WHEN 2 THEN 'no user object'
+  WHEN 3 THEN 'bad created_at' WHEN 4 THEN 're-share without user' WHEN 5 THEN 're-share with bad created_at' ELSE 'good' END AS outcome,
+  CASE WHEN id % {_SPOIL} = 1 THEN 0 ELSE id END AS id FROM ev WHERE NOT (id % {_SPOIL} IN (4, 5) AND k % 2 = 1)""")
+def q_live_feed(spark, sf):
+    """Every raw post is either a record or quarantined, with its reason."""
+    base = scratch_path(spark, "live_feed")
+    # posts that already carry a re-share cannot be given a second one
+    clean = table(spark, sf, "events").where(~(F.pmod("event_id", F.lit(_SPOIL)).isin(4, 5) & (props_k() % 2 == 1)))
+    spoilt_feed(clean).write.text(f"{base}/feed")
+    posts = live_posts(live_raw(spark, f"{base}/feed"), tags=EVENT_TAGS, with_errors=True)
+    out = materialise_stream(spark, posts, None, "live_feed", output_mode="append")
+    return out.select(F.coalesce("error", F.lit("good")).alias("outcome"), F.when(F.col("error") == "malformed json", 0).otherwise(F.col("id")).alias("id"))

@@ -64,6 +64,16 @@ def stat_documents(stats: DataFrame, measure: str) -> DataFrame:
                         .select(F.col(measure).alias("value"), "tag"), STAT_INDEX[measure])
 
 
+def comparison_documents(diffs: DataFrame) -> DataFrame:
+    """J1-J3 rows as JSON text documents (column ``value``, for the text writer):
+    the maximum's difference is an integer, the averages' are decimals."""
+    def document(number):
+        fields = dict((dst, src) for src, dst in LAYOUTS["tw_comparedata"])
+        return F.to_json(F.struct(*[(now_ms() if src == "__now" else number if src == "diff" else F.col(src)).alias(dst)
+                                    for dst, src in fields.items()]))
+    return diffs.select(F.when(F.col("int_diff").isNotNull(), document(F.col("int_diff"))).otherwise(document(F.col("diff"))).alias("value"))
+
+
 def write_documents(docs: DataFrame, path: str, fmt: str = "json", mode: str = "append",
                     options: dict[str, str] | None = None) -> None:
     docs.write.format(fmt).mode(mode).options(**(options or {})).save(path)

@@ -16,7 +16,6 @@ from ..schema import DEFAULTS, POST, RETWEET
 from ..vocab import DEFAULT_TAGS
 
 
-
 def live_raw(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Unbounded feed of raw JSON posts, one per line, from a landing folder.
 
@@ -61,42 +60,70 @@ def _decode(df: DataFrame) -> DataFrame:
     return df.select(*cols, *extra)
 
 
-def read_archive(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
-    """The JSON-lines archive as a batch DataFrame of post records.
+def archive_lines(lines: DataFrame, value: str = "value") -> DataFrame:
+    """Archive lines parsed against the whole record: ``_p`` (the record), ``_raw`` and ``error``.
 
-    Default: bucket directories are discovered as a ``bucket`` partition
-    column, so filters on it prune directories. ``recursive=True`` reads
-    every file below ``path`` as plain files (no partition column), like a
-    recursive text enumeration. Malformed lines are dropped.
+    Which lines are good never depends on the columns a query uses: the full
+    schema is always parsed, and a broken line or a field of the wrong type
+    marks the line. Blank lines are no records.
     """
-    r = spark.read.schema(POST).option("mode", "DROPMALFORMED")
+    schema = T.StructType([*POST.fields, T.StructField("_corrupt_record", T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    extra = [c for c in lines.columns if c != value]
+    parsed = lines.where(F.trim(F.col(value)) != "").select(
+        *extra, F.col(value).alias("_raw"), F.explode(F.array(F.from_json(F.col(value), schema, options))).alias("_p"))
+    bad = F.col("_p").isNull() | F.col("_p._corrupt_record").isNotNull()
+    return parsed.withColumn("error", F.when(bad, F.lit("malformed archive line")))
+
+
+def archive_posts(parsed: DataFrame) -> DataFrame:
+    """Good lines of :func:`archive_lines` as post records (plus partition columns)."""
+    extra = [c for c in parsed.columns if c not in ("_p", "_raw", "error")]
+    return _decode(parsed.where(F.col("error").isNull()).select(*[F.col(f"_p.{n}").alias(n) for n in POST.fieldNames()], *extra))
+
+
+def archive_quarantine(parsed: DataFrame) -> DataFrame:
+    """Rejected lines of :func:`archive_lines`: ``raw`` and ``error`` (plus partition columns)."""
+    extra = [c for c in parsed.columns if c not in ("_p", "_raw", "error")]
+    return parsed.where(F.col("error").isNotNull()).select(*extra, F.col("_raw").alias("raw"), "error")
+
+
+def archive_text(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
+    """Raw archive lines. Default: bucket directories are discovered as a
+    ``bucket`` partition column, so filters on it prune directories;
+    ``recursive=True`` reads every file below ``path`` as plain files."""
+    r = spark.read.format("text")
     if recursive:
         r = r.option("recursiveFileLookup", "true")
-    return _decode(r.json(path))
+    return r.load(path)
 
 
-def stream_archive(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """S3: the archive read as a stream (one pass over existing files, then new ones)."""
-    r = spark.readStream.schema(POST).option("recursiveFileLookup", "true")
+def read_archive(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
+    """The JSON-lines archive as a batch DataFrame of post records; the
+    lines it leaves out are those of :func:`read_archive_quarantine`."""
+    return archive_posts(archive_lines(archive_text(spark, path, recursive)))
+
+
+def read_archive_quarantine(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
+    return archive_quarantine(archive_lines(archive_text(spark, path, recursive)))
+
+
+def stream_archive(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                   rejected: bool = False) -> DataFrame:
+    """S3: the archive read as a stream (one pass over existing files, then new
+    ones); ``rejected=True`` streams its quarantined lines instead."""
+    r = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return _decode(r.json(path))
+    parsed = archive_lines(r.load(path))
+    return archive_quarantine(parsed) if rejected else archive_posts(parsed)
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str,
-                 max_files_per_trigger: int | None = None, spread_small: bool = True) -> DataFrame:
-    """A driver parquet table read as a file stream (schema from the batch read).
-
-    Like ``sources.tables.spread`` for batch: when the file yields fewer
-    splits than the cluster has cores (one row group), the stream is
-    round-robined so the row-local work of a micro-batch is not one task.
-    """
+                 max_files_per_trigger: int | None = None) -> DataFrame:
+    """A parquet table read as a file stream (schema from the batch read)."""
     batch = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     r = spark.readStream.schema(batch.schema).option("pathGlobFilter", f"{name}.parquet")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    df = r.parquet(sf_dir)
-    cores = spark.sparkContext.defaultParallelism
-    if spread_small and batch.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
-    return df
+    return r.parquet(sf_dir)

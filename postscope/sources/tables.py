@@ -20,27 +20,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.numbers import java_int
 from ..functions.tagging import with_dominant_tag
 from ..functions.time import display_time, format_created_at
 from ..vocab import DOCUMENT_TAGS
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores.
-
-    A large input already has many more splits than cores and is returned
-    unchanged; a small file (one row group = one split) would otherwise run
-    every row-local stage, tokenising and parsing included, in one task.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, spread_small: bool = True) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if spread_small else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def props_k() -> F.Column:
@@ -73,7 +60,7 @@ def document_posts(documents: DataFrame, tags=DOCUMENT_TAGS, english_only: bool
 def event_posts(events: DataFrame) -> DataFrame:
     ts = F.col("ts").cast("timestamp")
     ms = F.unix_millis(ts)
-    followers = F.col("value").cast("int")
+    followers = java_int(F.col("value"))
     k = props_k()
     return events.select(
         F.col("event_type").alias("tag"),
@@ -81,7 +68,7 @@ def event_posts(events: DataFrame) -> DataFrame:
         F.col("props").alias("text"),
         F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("username"),
         followers.alias("followersCount"),
-        F.col("user_id").cast("int").alias("statusesCount"),
+        java_int(F.col("user_id")).alias("statusesCount"),
         F.lit(0).alias("favouritesCount"),
         k.alias("retweetCount"),
         ms.alias("createdAt"),
@@ -104,7 +91,7 @@ def event_raw_posts(events: DataFrame) -> DataFrame:
     ts = F.col("ts").cast("timestamp")
     k = props_k()
     user = F.struct(F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("name"),
-                    F.col("value").cast("int").alias("followers_count"),
+                    java_int(F.col("value")).alias("followers_count"),
                     F.col("user_id").alias("statuses_count"),
                     F.lit(0).alias("favourites_count"))
     rt = F.struct(format_created_at(ts).alias("created_at"), (F.col("event_id") + 1).alias("id"),

@@ -4,17 +4,25 @@ The statistics are the same DataFrame functions as in batch
 (``operators.stats``) on a streaming input with a watermark on ``t``. All
 five per-tag statistics share one stateful aggregation (one exchange);
 the word count has its own grain (window, tag, word).
+
+Windows leave in append mode: once, when the watermark has passed their end. In
+event time a post later than the watermark is in no window (it still is in the
+archive and the post documents); the programs therefore use the ingest
+time by default, as the original's processing-time windows do, where no post is
+late. On a finite input the last windows close when something later
+arrives, e.g. a marker row with a later time stamp.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import compare, stats
 from ..sinks.documents import STAT_INDEX, stat_documents, to_documents
+from .runner import committed
 
 
 def live_stats(posts: DataFrame, window: str | None = "30 seconds", session_gap: str | None = None,
@@ -35,28 +43,50 @@ def compare_batch(live_batch: DataFrame, historic: DataFrame, keys: Sequence[str
     return compare.live_vs_historic(live_batch, historic, keys)
 
 
-def start_compare(live: DataFrame, historic: DataFrame, path: str, checkpoint: str,
+def write_history(history: DataFrame, root: str) -> str:
+    """Write a new version of the historic table below ``root``; readers take
+    the newest finished one, so none ever sees a half-written history."""
+    found = committed(history.sparkSession, root, "version=")
+    path = f"{root.rstrip('/')}/version={found[-1] + 1 if found else 0}"
+    history.write.parquet(path)
+    return path
+
+
+def read_history(spark: SparkSession, root: str) -> DataFrame:
+    """The newest finished version below ``root``."""
+    found = committed(spark, root, "version=")
+    if not found:
+        raise FileNotFoundError(f"no finished history below {root}")
+    return spark.read.parquet(f"{root.rstrip('/')}/version={found[-1]}")
+
+
+def start_compare(live: DataFrame, history: str | Callable[[], DataFrame], path: str, checkpoint: str,
                   trigger: dict | None = None, shape=None, fmt: str = "parquet") -> StreamingQuery:
-    """Every micro-batch of updated live windows is joined with the historic
-    table (re-read per batch, so a refreshed history is picked up) and the
+    """Every micro-batch of closed live windows (one row per window and tag) is
+    joined with the history as it is then: ``history`` is the root of
+    :func:`write_history`, or a callable, and is read in every batch. The
     differences land in ``path/_batch=<id>`` (``shape`` maps them first, e.g.
     to comparison documents; ``fmt`` is the writer)."""
+    spark = live.sparkSession
+    read = history if callable(history) else lambda: read_history(spark, history)
+
     def _batch(batch: DataFrame, batch_id: int) -> None:
-        diff = compare_batch(batch, historic)
+        diff = compare_batch(batch, read())
         if shape is not None:
             diff = shape(diff)
         diff.write.mode("overwrite").format(fmt).save(f"{path}/_batch={batch_id}")
 
-    return (live.writeStream.foreachBatch(_batch).outputMode("update")
+    return (live.writeStream.foreachBatch(_batch).outputMode("append")
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
 
 
 def start_stat_documents(spark: SparkSession, live: DataFrame, root: str, checkpoint: str,
                          trigger: dict | None = None) -> StreamingQuery:
-    """K4: one streaming query writing every statistic to its document index."""
+    """K4: one streaming query writing every statistic to its document index,
+    one document per closed window and tag."""
     def _batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        batch = batch.persist()     # closed windows only: a few rows per tag
         try:
             for measure, index in STAT_INDEX.items():
                 stat_documents(batch, measure).write.mode("overwrite").json(
@@ -64,17 +94,18 @@ def start_stat_documents(spark: SparkSession, live: DataFrame, root: str, checkp
         finally:
             batch.unpersist()
 
-    return (live.writeStream.foreachBatch(_batch).outputMode("update")
+    return (live.writeStream.foreachBatch(_batch).outputMode("append")
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
 
 
 def start_word_documents(words: DataFrame, root: str, checkpoint: str,
                          trigger: dict | None = None) -> StreamingQuery:
+    """One document per closed window, tag and word."""
     def _batch(batch: DataFrame, batch_id: int) -> None:
         to_documents(batch, "tw_word_count").write.mode("overwrite").json(
             f"{root}/tw_word_count/batch={batch_id}")
 
-    return (words.writeStream.foreachBatch(_batch).outputMode("update")
+    return (words.writeStream.foreachBatch(_batch).outputMode("append")
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "5 seconds"})).start())

@@ -1,191 +1,65 @@
 """P5: keyed predict-then-learn state on a stream.
 
-``groupBy(key).applyInPandasWithState``: per key and micro-batch, the rows
-arrive as pandas chunks; they are put in arrival order ``(t, id)`` and run
-through the model with vectorised numpy/pandas (no per-row Python), starting
-from the stored state; the final model state is stored back. State is a
-few numbers per key (EWMA value; regression count and sums; the last
-``ring`` values of the moving average), checkpointed with the query.
-
-Keyed state means one task per key and micro-batch, as in any keyed
-streaming operator: a tag holding a third of the feed is a third of every
-micro-batch in one task. :func:`start_bucketed` avoids that: each micro-batch
-runs the bucketed batch predictors of ``operators.predict`` (spread over
-key x time bucket) from a small per-key state table that is versioned by
-batch id. Use it for heavy feeds; the ``applyInPandasWithState`` form is the
-compact one.
+Each micro-batch runs the sliced batch predictors of ``operators.predict`` from
+a small per-key state table (EWMA value; regression count and exact decimal
+sums; the last ``ring`` values of the moving average) that is versioned by
+batch id. Batch and stream are the same code, so they give the same numbers,
+and no tag is one task in either.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
-
-from ..vocab import EWMA_RATE, REGRESSION_WARMUP, SMA_RING
-
-INT_MIN, INT_MAX = -(2 ** 31), 2 ** 31 - 1
-
-OUT_INT = T.StructType([
-    T.StructField("id", T.LongType()), T.StructField("tag", T.StringType()),
-    T.StructField("predicted", T.IntegerType()), T.StructField("real", T.IntegerType()),
-])
-OUT_EWMA = T.StructType(OUT_INT.fields[:2] + [T.StructField("predicted_value", T.DoubleType())]
-                        + OUT_INT.fields[2:])
-
-
-def _java_int(a: np.ndarray) -> np.ndarray:
-    out = np.trunc(np.clip(np.nan_to_num(a, nan=0.0), INT_MIN, INT_MAX))
-    return out.astype(np.int32)
-
-
-def _gather(pdfs: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    pdf = pd.concat(list(pdfs), ignore_index=True)
-    return pdf.sort_values(["t", "id"], kind="mergesort").reset_index(drop=True)
-
-
-def _ewma(rate: float):
-    def fn(key, pdfs, state):
-        pdf = _gather(pdfs)
-        v0 = state.get[0] if state.exists else 0.0
-        xs = pdf["x"].to_numpy(dtype=float)
-        path = pd.Series(np.concatenate([[v0], xs])).ewm(alpha=rate, adjust=False).mean().to_numpy()
-        before = path[:-1]
-        state.update((float(path[-1]),))
-        yield pd.DataFrame({"id": pdf["id"].astype("int64"), "tag": key[0], "predicted_value": before,
-                            "predicted": _java_int(before), "real": _java_int(xs)})
-    return fn
-
-
-def _regression(warmup: int):
-    def fn(key, pdfs, state):
-        pdf = _gather(pdfs)
-        n0, sxy0, sxx0 = state.get if state.exists else (0, 0.0, 0.0)
-        x = pdf["x"].to_numpy(dtype=float)
-        y = pdf["y"].to_numpy(dtype=float)
-        cxy = np.concatenate([[0.0], np.cumsum(x * y)])[:-1] + sxy0
-        cxx = np.concatenate([[0.0], np.cumsum(x * x)])[:-1] + sxx0
-        count = n0 + np.arange(1, len(x) + 1)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            pred = np.where(cxx == 0, -1, _java_int((cxy / np.where(cxx == 0, 1, cxx)) * x))
-        keep = count > warmup
-        state.update((int(n0 + len(x)), float(sxy0 + (x * y).sum()), float(sxx0 + (x * x).sum())))
-        yield pd.DataFrame({"id": pdf["id"].astype("int64")[keep], "tag": key[0],
-                            "predicted": pred[keep].astype(np.int32), "real": _java_int(y)[keep]})
-    return fn
 
-
-def _sma(ring: int):
-    def fn(key, pdfs, state):
-        pdf = _gather(pdfs)
-        last = list(state.get[0]) if state.exists else []
-        xs = pdf["x"].to_numpy(dtype=np.int64)
-        arr = np.concatenate([np.zeros(ring - len(last), dtype=np.int64), np.asarray(last, dtype=np.int64), xs])
-        cs = np.concatenate([[0], np.cumsum(arr)])
-        n = len(xs)
-        window = cs[ring:ring + n] - cs[0:n]
-        state.update((arr[-ring:].tolist(),))
-        yield pd.DataFrame({"id": pdf["id"].astype("int64"), "tag": key[0],
-                            "predicted": _java_int(window / float(ring)), "real": xs.astype(np.int32)})
-    return fn
-
-
-def _prep(posts: DataFrame, key: str, x: str, y: str | None) -> DataFrame:
-    cols = [F.col(key).alias("tag"), "t", "id", F.col(x).alias("x")]
-    if y:
-        cols.append(F.col(y).alias("y"))
-    return posts.select(*cols)
-
-
-def stream_ewma(posts: DataFrame, value: str, key: str = "tag", rate: float = EWMA_RATE) -> DataFrame:
-    state = T.StructType([T.StructField("v", T.DoubleType())])
-    return _prep(posts, key, value, None).groupBy("tag").applyInPandasWithState(
-        _ewma(rate), OUT_EWMA, state, "append", GroupStateTimeout.NoTimeout)
-
-
-def stream_regression(posts: DataFrame, x: str, y: str, key: str = "tag",
-                      warmup: int = REGRESSION_WARMUP) -> DataFrame:
-    state = T.StructType([T.StructField("n", T.LongType()), T.StructField("sxy", T.DoubleType()),
-                          T.StructField("sxx", T.DoubleType())])
-    return _prep(posts, key, x, y).groupBy("tag").applyInPandasWithState(
-        _regression(warmup), OUT_INT, state, "append", GroupStateTimeout.NoTimeout)
-
-
-def stream_sma(posts: DataFrame, value: str, key: str = "tag", ring: int = SMA_RING) -> DataFrame:
-    state = T.StructType([T.StructField("last", T.ArrayType(T.LongType()))])
-    return _prep(posts, key, value, None).groupBy("tag").applyInPandasWithState(
-        _sma(ring), OUT_INT, state, "append", GroupStateTimeout.NoTimeout)
-
-
-# ----------------------------------------------------------------------------
-# Skew-free form: every micro-batch runs the bucketed batch predictors
-# (``operators.predict``) from the state left by the previous batch.
-
-def _state_versions(spark, path: str) -> list[int]:
-    """Batch ids that have a committed state folder under ``path``."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("batch=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name.split("=", 1)[1]))
-    return sorted(out)
+from ..operators import predict as P
+from ..operators.slices import SLICE, sliced
+from .runner import committed, remove
 
 
 def start_bucketed(posts: DataFrame, kind: str, out: str, state: str, checkpoint: str,
                    value: str | None = None, x: str | None = None, y: str | None = None,
-                   key: str = "tag", order: tuple[str, ...] = ("t", "id"), bucket_ms: int = 3_600_000,
+                   key: str = "tag", order: tuple[str, ...] = ("t", "id"), slices: int | None = None,
                    trigger: dict | None = None, shape=None, fmt: str = "parquet"):
     """Run predictor ``kind`` (``ewma`` | ``sma`` | ``regression``) on a stream.
 
-    Per micro-batch ``b``: read the newest state version before ``b``, run
-    the bucketed batch predictor on the batch with that state as ``init``,
-    write predictions to ``out/batch=b`` and the new per-key state to
-    ``state/batch=b`` (both overwritten on a replay, so a re-run batch
-    reproduces its output). No key is gathered into one task: the batch is
-    spread over (key, time bucket) like the archive form. ``shape`` maps the
-    predictions before writing (e.g. to documents), ``fmt`` is the writer.
+    Per micro-batch ``b``: cut its rows into even slices of ``(key, order)``
+    (``operators.slices``), so that a tag holding most of one batch is spread
+    like any other; read the state version before ``b``; run the batch
+    predictor with that state as ``init``; write predictions to
+    ``out/batch=b`` and the new per-key state to ``state/batch=b`` (both overwritten on a
+    replay, so a re-run batch reproduces its output). Only the last two
+    states are kept: a replay needs the one before its batch. ``shape``
+    maps the predictions before writing (e.g. to documents), ``fmt`` is the
+    writer.
     """
-    from ..operators import predict as P
-
     spark = posts.sparkSession
-    bucket = F.floor(F.col("createdAt") / F.lit(bucket_ms)) if "createdAt" in posts.columns else \
-        F.floor(F.unix_millis(F.col("t")) / F.lit(bucket_ms))
 
     def _batch(batch: DataFrame, batch_id: int) -> None:
-        prev = [v for v in _state_versions(spark, state) if v < batch_id]
+        versions = committed(spark, state, "batch=")
+        prev = [v for v in versions if v < batch_id]
         init = spark.read.parquet(f"{state}/batch={prev[-1]}") if prev else None
+        staged = f"{state}/_rows_{batch_id}"
+        rows = sliced(batch, key, order, slices, staged)
+        bucket = F.col(SLICE)
         if kind == "ewma":
-            pred, new, rows = P.ewma_with_state(batch, key, order, value, bucket=bucket, keep=["id"], init=init)
+            pred, new, _ = P.ewma_with_state(rows, key, order, value, bucket=bucket, keep=["id"], init=init)
         elif kind == "sma":
-            pred, new, rows = P.sma_with_state(batch, key, order, value, bucket=bucket, keep=["id"], init=init)
+            pred, new, _ = P.sma_with_state(rows, key, order, value, bucket=bucket, keep=["id"], init=init)
         elif kind == "regression":
-            pred = P.regression_predict(batch, key, order, x, y, bucket=bucket, keep=["id"], init=init)
-            new = P.regression_state(batch, key, x, y, init=init)
-            rows = batch
+            pred = P.regression_predict(rows, key, order, x, y, bucket=bucket, keep=["id"], init=init)
+            new = P.regression_state(rows, key, x, y, init=init)
         else:
             raise ValueError(kind)
-        # one micro-batch, kept while the two writes below read it: the windows
-        # of the row frame run once for the predictions and the new state
-        rows = rows.persist()
-        try:
-            if shape is not None:
-                pred = shape(pred)
-            pred.write.mode("overwrite").format(fmt).save(f"{out}/batch={batch_id}")
-            if init is not None:   # keys absent from this batch keep their state
-                new = new.unionByName(init.join(new.select(key), key, "left_anti"))
-            new.write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
-        finally:
-            rows.unpersist()
+        if shape is not None:
+            pred = shape(pred)
+        pred.write.mode("overwrite").format(fmt).save(f"{out}/batch={batch_id}")
+        if init is not None:   # keys absent from this batch keep their state
+            new = new.unionByName(init.join(new.select(key), key, "left_anti"))
+        new.write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
+        remove(spark, staged)
+        for old in prev[:-1]:
+            remove(spark, f"{state}/batch={old}")
 
     w = (posts.writeStream.foreachBatch(_batch).outputMode("append")
          .option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "5 seconds"})))

@@ -4,7 +4,7 @@ Update mode emits, per micro-batch, only the result rows that changed. Each
 batch lands in its own folder (``_batch=<id>``, overwritten if the batch is
 re-run after a failure, so the output is exactly-once together with the
 checkpoint). The final table keeps, per key, the row of the highest batch.
-This also closes the last window of a finite input, which append mode would
+This also shows the last window of a finite input, which append mode would
 keep open until a later row moves the watermark.
 """
 
@@ -18,6 +18,28 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 
+def committed(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Numbers of the finished ``<prefix><n>`` folders below ``path``."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith(prefix) and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            out.append(int(name[len(prefix):]))
+    return sorted(out)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote below the shared root or a checkpoint."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def _writer(path: str):
     def _batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/_batch={batch_id}")

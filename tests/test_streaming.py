@@ -1,12 +1,13 @@
 """Layer 3: streaming forms equal the batch forms, with state crossing
 micro-batches (input split into several files, one file per trigger)."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from postscope.operators import predict, stats
 from postscope.sources.tables import event_posts
-from postscope.streaming import predictors as sp
 from postscope.streaming.live import live_stats
 from postscope.streaming.runner import materialise_stream
 
@@ -29,25 +30,6 @@ def rows(df, cols):
     return sorted(tuple(r[c] for c in cols) for r in df.collect())
 
 
-@pytest.mark.parametrize("parts", [2, 5])
-def test_stream_predictors_equal_batch(spark, sf001, tmp_path, parts):
-    ev, stream = split_events(spark, sf001, tmp_path, parts)
-    bp, sp_ = event_posts(ev), event_posts(stream)
-    b = predict.sma_predict(bp, "tag", ["t", "id"], "followersCount", keep=["id"])
-    s = materialise_stream(spark, sp.stream_sma(sp_, "followersCount"), None, "t_sma", output_mode="append")
-    assert rows(b, ["id", "predicted", "real"]) == rows(s, ["id", "predicted", "real"])
-    b = predict.regression_predict(bp, "tag", ["t", "id"], "statusesCount", "followersCount", keep=["id"])
-    s = materialise_stream(spark, sp.stream_regression(sp_, "statusesCount", "followersCount"), None,
-                           "t_reg", output_mode="append")
-    assert rows(b, ["id", "predicted", "real"]) == rows(s, ["id", "predicted", "real"])
-    b = predict.ewma_predict(bp, "tag", ["t", "id"], "followersCount", keep=["id"])
-    s = materialise_stream(spark, sp.stream_ewma(sp_, "followersCount"), None, "t_ewma", output_mode="append")
-    rb = {r.id: r.predicted_value for r in b.collect()}
-    rs = {r.id: r.predicted_value for r in s.collect()}
-    assert rb.keys() == rs.keys()
-    assert max(abs(rb[k] - rs[k]) for k in rb) < 1e-9
-
-
 def test_stream_tumbling_equals_batch(spark, sf001, tmp_path):
     ev, stream = split_events(spark, sf001, tmp_path)
     b = stats.windowed_stats(event_posts(ev), "t", window="1 hour")
@@ -59,10 +41,11 @@ def test_stream_tumbling_equals_batch(spark, sf001, tmp_path):
     assert rb == rs
 
 
-def test_bucketed_stream_predictors_equal_batch(spark, sf001, tmp_path):
-    """The micro-batch form (state table between batches) equals one batch pass."""
+@pytest.mark.parametrize("parts,slices", [(2, 1), (5, 7)])
+def test_stream_predictors_equal_batch(spark, sf001, tmp_path, parts, slices):
+    """Micro-batches with a state table between them equal one batch pass, however the rows are sliced."""
     from postscope.streaming.predictors import start_bucketed
-    ev, stream = split_events(spark, sf001, tmp_path)
+    ev, stream = split_events(spark, sf001, tmp_path, parts)
     bp, spo = event_posts(ev), event_posts(stream)
     runs = {
         "ewma": dict(value="followersCount"),
@@ -72,10 +55,11 @@ def test_bucketed_stream_predictors_equal_batch(spark, sf001, tmp_path):
     for kind, kw in runs.items():
         base = tmp_path / f"bk-{kind}"
         q = start_bucketed(spo, kind, str(base / "out"), str(base / "state"), str(base / "ck"),
-                           bucket_ms=86_400_000, trigger={"availableNow": True}, **kw)
+                           slices=slices, trigger={"availableNow": True}, **kw)
         q.awaitTermination()
         got = spark.read.parquet(str(base / "out"))
-        assert got.select("batch").distinct().count() == 3      # one output per micro-batch
+        assert got.select("batch").distinct().count() == parts      # one output per micro-batch
+        assert len([d for d in os.listdir(base / "state") if not d.startswith(".")]) == 2     # older states are pruned
         if kind == "ewma":
             b = predict.ewma_predict(bp, "tag", ["t", "id"], "followersCount", keep=["id"])
             rb = {r.id: r.predicted_value for r in b.collect()}
@@ -87,3 +71,28 @@ def test_bucketed_stream_predictors_equal_batch(spark, sf001, tmp_path):
         else:
             b = predict.regression_predict(bp, "tag", ["t", "id"], "statusesCount", "followersCount", keep=["id"])
             assert rows(b, ["id", "predicted", "real"]) == rows(got, ["id", "predicted", "real"])
+
+
+def test_a_hot_tag_in_one_instant_is_sliced_evenly(spark):
+    """One tag holds 60% of the rows, all within five seconds: no slice holds more than twice the mean."""
+    from postscope.operators.slices import SLICE, with_slices
+    rows_ = spark.range(20_000).select(F.when(F.col("id") % 10 < 6, "hot").otherwise(F.concat(F.lit("t"), F.col("id") % 4)).alias("tag"),
+                                       F.timestamp_millis(F.floor(F.col("id") / 4)).alias("t"), "id")
+    sizes = [r["count"] for r in with_slices(rows_, "tag", ["t", "id"], 16).groupBy(SLICE).count().collect()]
+    assert sum(sizes) == 20_000 and max(sizes) <= 2 * 20_000 / 16
+
+
+def test_a_refreshed_history_is_used_from_the_next_batch(spark, tmp_path):
+    from postscope.streaming.live import start_compare, write_history
+    feed = str(tmp_path / "feed")
+    schema = "window_start timestamp, window_end timestamp, tag string, max_word_length int, avg_words double, avg_length double, avg_followers double, avg_reretweets double"
+    live = "SELECT timestamp'2020-01-01' + make_interval(0, 0, 0, {0}) AS window_start, timestamp'2020-01-02' AS window_end, 'a' AS tag, 5 AS max_word_length, 1D AS avg_words, 1D AS avg_length, 1D AS avg_followers, 1D AS avg_reretweets"
+    for k in range(2):
+        spark.sql(f"SELECT 'a' AS tag, {10 + k} AS max_word_length, 1D AS avg_words, 1D AS avg_length, {k}D AS avg_followers, 1D AS avg_reretweets").transform(
+            lambda h: write_history(h, str(tmp_path / "historic")) and h)
+        spark.sql(live.format(k)).write.parquet(f"{feed}/part={k}")
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(feed)
+        start_compare(stream, str(tmp_path / "historic"), str(tmp_path / "out"), str(tmp_path / "ck"), {"availableNow": True}).awaitTermination()
+    got = {(r.window_start.day, r.name): (r.diff, r.int_diff) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got[1, "maxWordLength"] == (5.0, 5) and got[2, "maxWordLength"] == (6.0, 6)
+    assert got[1, "avgFollowerCount"] == (-1.0, None) and got[2, "avgFollowerCount"] == (0.0, None)
