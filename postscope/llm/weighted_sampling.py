@@ -102,7 +102,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.coalesce(F.col(id_col).cast("bigint"), F.lit(LEAST)).alias("order"))
-    wanted = 2 * partitions(spark)
+    wanted = 4 * partitions(spark)
     cuts = rows.agg(F.percentile_approx("order", [k / wanted for k in range(1, wanted)], 20 * wanted)).first()[0] or []
     bucket = bucket_of(F.col("order"), sorted(set(cuts)))
     placed = rows.withColumn("bucket", bucket)
@@ -112,8 +112,9 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     sent = placed.join(F.broadcast(heads), "bucket").select("id", "text", "order", F.explode(F.filter(F.array(
         F.struct(F.col("bucket").alias("bucket"), F.lit(0).alias("spare")),
         F.when(F.col("order") == F.col("first"), F.struct(F.col("earlier").alias("bucket"), F.lit(1).alias("spare")))), lambda x: x.isNotNull())).alias("to"))
-    along = W.partitionBy("bucket").orderBy("spare", "order", "text")
-    return sent.select("to.bucket", "to.spare", "id", "text", "order").select(
+    # ordering by the id and the filter change nothing, but every use of this frame then has the same plan and shares one exchange
+    along = W.partitionBy("bucket").orderBy("spare", "order", "id", "text")
+    return sent.select("to.bucket", "to.spare", "id", "text", "order").where("bucket IS NOT NULL").select(
         "bucket", F.row_number().over(along).alias("place"), "spare", "id", "text", F.lead("text").over(along).alias("next"))
 
 
