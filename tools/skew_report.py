@@ -24,6 +24,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import functions as F  # noqa: E402
 
 from postscope.operators import predict, stats  # noqa: E402
+from postscope.operators.slices import SLICE, sliced  # noqa: E402
 from postscope.session import get_session  # noqa: E402
 from postscope.sources.tables import event_posts, table  # noqa: E402
 
@@ -62,27 +63,24 @@ def main():
                                "spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
                                "spark.eventLog.rolling.enabled": "false", "spark.eventLog.compress": "false"})
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    ev = event_posts(table(spark, sf, "events", spread_small=False))   # no round-robin stage
+    ev = event_posts(table(spark, sf, "events"))
     hot = ev.withColumn("tag", F.when(F.col("tag").isin("click", "view", "error"), F.lit("hot"))
                         .otherwise(F.col("tag")))
-    day = F.floor(F.col("createdAt") / 86_400_000)
-    hour = F.floor(F.col("createdAt") / 3_600_000)
+    order = ["t", "id"]
+    at = lambda df: sliced(df, "tag", order)
+    # the same rows within one five-second micro-batch
+    burst = hot.withColumn("t", F.timestamp_micros(F.lit(1_600_000_000_000_000) + F.pmod("id", F.lit(5_000_000))))
     cases = {
-        "ewma plain": predict.ewma_predict(hot, "tag", ["t", "id"], "followersCount", keep=["id"]),
-        "ewma bucketed (day)": predict.ewma_predict(hot, "tag", ["t", "id"], "followersCount", bucket=day,
-                                                    keep=["id"]),
-        "ewma bucketed (hour)": predict.ewma_predict(hot, "tag", ["t", "id"], "followersCount", bucket=hour,
-                                                     keep=["id"]),
-        "sma plain": predict.sma_predict(hot, "tag", ["t", "id"], "followersCount", keep=["id"]),
-        "sma bucketed (day)": predict.sma_predict(hot, "tag", ["t", "id"], "followersCount", bucket=day,
-                                                  keep=["id"]),
-        "regression plain": predict.regression_predict(hot, "tag", ["t", "id"], "statusesCount",
-                                                       "followersCount", keep=["id"]),
-        "regression bucketed (day)": predict.regression_predict(hot, "tag", ["t", "id"], "statusesCount",
-                                                                "followersCount", bucket=day, keep=["id"]),
+        "ewma plain": predict.ewma_predict(hot, "tag", order, "followersCount", keep=["id"]),
+        "ewma sliced": predict.ewma_predict(at(hot), "tag", order, "followersCount", bucket=SLICE, keep=["id"]),
+        "ewma sliced, all rows within 5 s": predict.ewma_predict(at(burst), "tag", order, "followersCount", bucket=SLICE, keep=["id"]),
+        "sma plain": predict.sma_predict(hot, "tag", order, "followersCount", keep=["id"]),
+        "sma sliced": predict.sma_predict(at(hot), "tag", order, "followersCount", bucket=SLICE, keep=["id"]),
+        "regression plain": predict.regression_predict(hot, "tag", order, "statusesCount", "followersCount", keep=["id"]),
+        "regression sliced": predict.regression_predict(at(hot), "tag", order, "statusesCount", "followersCount",
+                                                        bucket=SLICE, keep=["id"]),
         "sessions session_window": stats.windowed_stats(hot, "t", session_gap="10 minutes"),
-        "sessions bucketed (day)": stats.windowed_stats(hot, "t", session_gap="10 minutes",
-                                                        session_bucket="1 day"),
+        "sessions sliced": stats.windowed_stats(sliced(hot, "tag", ["t"]), "t", session_gap="10 minutes", session_bucket=F.col(SLICE)),
     }
     for name, df in cases.items():
         spark.sparkContext.setJobDescription(name)
