@@ -28,15 +28,16 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, sha_hex
+from .common import read_table, row_blocks, sha_hex, tidy
 
-TABLE = 300_000  # pre-tokens kept between blocks
-BLOCK = 8 << 20  # UTF-8 bytes of text handled at once
+TABLE = 100_000  # pre-tokens kept between blocks
+BLOCK = 2 << 20  # UTF-8 bytes of text handled at once
 
 # Code points that the regex module's newer Unicode tables call letters or numbers and the tokenizer's tables do not.
 NEWER = (
@@ -233,20 +234,9 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def blocks(texts: Sequence[str | None]) -> Iterator[tuple[int, int]]:
-    """Slices of at most ``BLOCK`` characters, or one row."""
-    start = size = 0
-    for k, t in enumerate(texts):
-        if k > start and size + len(t or "") > BLOCK:
-            yield start, k
-            start, size = k, 0
-        size += len(t or "")
-    if start < len(texts):
-        yield start, len(texts)
-
-
-def encode(docs: DataFrame, text_col: str = "text", keep: Sequence[str] = ("doc_id",), path: str | None = None) -> DataFrame:
-    """``keep`` columns and ``ids`` array<int>: the token ids of every whole text."""
+def encode(docs: DataFrame, text_col: str = "text", keep: Sequence[str] = ("doc_id",), path: str | None = None, decoded: bool = False) -> DataFrame:
+    """``keep`` columns and ``ids`` array<int>: the token ids of every whole text;
+    with ``decoded`` also the text that these ids decode to, in the same pass."""
     path = path or default_path()
     fields = [*(docs.schema[c] for c in keep)]
     rows = docs.select(F.col(text_col).alias("_text"), *[F.col(f"`{c}`") for c in keep])
@@ -254,15 +244,17 @@ def encode(docs: DataFrame, text_col: str = "text", keep: Sequence[str] = ("doc_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
         for b in batches:
-            texts = b.column(0).to_pylist()
-            for start, end in blocks(texts):
-                ids, counts = e.encode([t or "" for t in texts[start:end]])
-                offsets = pa.array(np.r_[0, np.cumsum(counts)], pa.int32())
+            for start, end in row_blocks(pc.binary_length(b.column(0)).to_pylist(), BLOCK):
                 part = b.slice(start, end - start)
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))], names=[*keep, "ids"])
+                ids, counts = e.encode([t or "" for t in part.column(0).to_pylist()])
+                offsets = np.r_[0, np.cumsum(counts)]
+                out = [*part.columns[1:], pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))]
+                if decoded:
+                    out.append(pa.array([decode_ids(ids[x:y].tolist(), e.v) for x, y in zip(offsets[:-1], offsets[1:])], pa.string()))
+                yield pa.RecordBatch.from_arrays(out, names=[*keep, "ids", *["decoded"] * decoded])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "ids array<int>"])
-    return rows.mapInArrow(run, schema)
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "ids array<int>", *["decoded string"] * decoded])
+    return rows.mapInArrow(tidy(run), schema)
 
 
 def decode_ids(ids: Sequence[int], v: Vocabulary) -> str:
@@ -285,11 +277,11 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=[*names, "decoded"])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields), "decoded string"])
-    return encoded.mapInArrow(run, schema)
+    return encoded.mapInArrow(tidy(run), schema)
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = decode(encode(read_table(spark, sf_dir, "documents")))
+    both = encode(read_table(spark, sf_dir, "documents"), decoded=True)
     return both.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
                        sha_hex(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
                        sha_hex(F.col("decoded")).alias("decoded_sha256"))

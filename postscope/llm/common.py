@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Sequence
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +26,27 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for ``mapInArrow``; Arrow's unused memory goes back when a task ends, as workers are reused and would keep it."""
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return tidied
+
+
+def row_blocks(sizes: Sequence[int | None], most: int) -> Iterator[tuple[int, int]]:
+    """Slices of neighbouring rows of at most ``most`` bytes together, or of one row."""
+    start = total = 0
+    for k, n in enumerate(sizes):
+        if k > start and total + (n or 0) > most:
+            yield start, k
+            start, total = k, 0
+        total += n or 0
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

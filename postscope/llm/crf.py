@@ -6,10 +6,10 @@ vector tie neighbours together. Forward-backward marginals P(good), weighted by
 line length, give a document's share of good text, and a logistic calibration
 turns that share into the probability of label 1.
 
-Training: labels are of documents, not of lines. The chain is first fitted with
-every line labelled as its document, then the lines of bad documents that it
-finds good are relabelled (the worst line of each stays bad) and it is fitted
-again. It is fitted on at most ``TRAIN_DOCS`` labelled documents, the first by a
+Training: labels are of documents, not of lines. Every line is first taken as
+its document's label and judged by its own features alone; the lines of bad
+documents that look good by themselves are relabelled (the worst line of each
+stays bad), and the chain is fitted to these line labels. It is fitted on at most ``TRAIN_DOCS`` labelled documents, the first by a
 hash of the id, of at most ``TRAIN_LINES`` lines each; features are made in Spark
 tasks and only the sample's come to the driver. Everything else covers all rows.
 
@@ -30,13 +30,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, read_table, stored
+from .common import held_out, read_table, row_blocks, stored, tidy
 
 TRAIN_DOCS, TRAIN_LINES = 6000, 400
 THRESHOLD = 0.7
+BLOCK = 4 << 20  # bytes of text whose features are made at once
 STEPS, RATE, RIDGE = 150, 0.1, 1e-3
 
 LOWER, UPPER, DIGIT, SPACE, STOP, SYMBOL, LEAD, TAIL, OTHER = range(9)
@@ -242,13 +244,15 @@ def train(x: np.ndarray, length: np.ndarray, counts: np.ndarray, label: np.ndarr
         chain.mean, chain.scale = x.mean(0), np.maximum(x.std(0), 1e-3)
     if len(set(label[counts > 0].tolist())) < 2:
         return chain
-    lines = np.repeat(label, counts)
-    fit_chain(x, counts, lines, chain)
-    good, _, _ = forward_backward(chain.evidence(x, counts), counts, chain.step, chain.start)
+    lines, alone = np.repeat(label, counts), np.ones(len(x), np.int64)
+    fit_chain(x, alone, lines, chain)
+    good, _, _ = forward_backward(chain.evidence(x, alone), alone, chain.step, chain.start)
     doc = np.repeat(np.arange(len(counts)), counts)
     worst = np.full(len(counts), np.inf)
     np.minimum.at(worst, doc, good)
-    fit_chain(x, counts, np.where((lines == 0) & (good > 0.5) & (good > worst[doc]), 1, lines), chain)
+    lines = np.where((lines == 0) & (good > 0.5) & (good > worst[doc]), 1, lines)
+    chain.weight, chain.step, chain.start = np.zeros(width), np.zeros((2, 2)), np.zeros(2)
+    fit_chain(x, counts, lines, chain)
     good, _, _ = forward_backward(chain.evidence(x, counts), counts, chain.step, chain.start)
     chain.slope, chain.shift = calibrate(shares(good, length, counts), label)
     chain.calibrated = True
@@ -259,6 +263,13 @@ def body(c: str) -> Column:
     return F.coalesce(F.col(c), F.lit("")).cast("binary")
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most ``BLOCK`` bytes of text, or one row."""
+    for b in batches:
+        for start, end in row_blocks(pc.binary_length(b.column(column)).to_pylist(), BLOCK):
+            yield b.slice(start, end - start)
+
+
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
         most: int = TRAIN_DOCS, lines: int = TRAIN_LINES) -> Chain:
     """Chain learnt from the labelled rows where ``learn`` (a condition on the id column) holds."""
@@ -268,7 +279,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     rows = texts.join(F.broadcast(sample.withColumnRenamed(id_col, "id")), "id").select("label", "body")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, 1):
             x, length, counts = line_features(b.column(1).to_pylist())
             at = np.cumsum(counts) - counts
             keep = np.flatnonzero(counts <= lines)
@@ -278,7 +289,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
                 "length": pa.array([length[a:a + c].astype(np.float32).tobytes() for a, c in zip(at[keep], counts[keep])], pa.binary()),
             })
 
-    got = rows.mapInArrow(run, "label int, x binary, length binary").sort("x", "label").toPandas()
+    got = rows.mapInArrow(tidy(run), "label int, x binary, length binary").toPandas().sort_values(["x", "label"])  # task order must not matter
     x = np.frombuffer(b"".join(got["x"]), np.float32).reshape(-1, len(FEATURES)).astype(np.float64)
     length = np.frombuffer(b"".join(got["length"]), np.float32).astype(np.float64)
     counts = np.array([len(v) // 4 for v in got["length"]], np.int64)
@@ -296,14 +307,14 @@ def score_documents(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), body(text_col).alias("body"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, 2):
             good, length, counts = line_marginals(b.column(2).to_pylist(), chain)
             score = chain.score(shares(good, length, counts))
             lines = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)], pa.int32()), pa.array(good.astype(np.float32)))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(score, pa.float64()), lines], names=["id", "text_hash", "score", "lines"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, text_hash bigint, score double, lines array<float>")
+    return rows.mapInArrow(tidy(run), f"id {kind}, text_hash bigint, score double, lines array<float>")
 
 
 def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
