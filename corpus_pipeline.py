@@ -22,7 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postscope.llm.bpe import decode, encode
+from postscope.llm.bpe import encode
 from postscope.llm.common import read_table, stored
 from postscope.llm.crf import good_documents
 from postscope.llm.decontaminate import drop_contaminated
@@ -48,7 +48,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    both = decode(encode(docs, keep=("doc_id", "lang", "source", "text")))
+    both = encode(docs, keep=("doc_id", "lang", "source", "text"), decoded=True)
     return both.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids",
                        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
 
