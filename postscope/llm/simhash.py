@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import partitions, read_table, stored
+from .common import partitions, read_table, stored, tidy
 
 SEED = 42
 SHINGLE, RADIUS, BLOCKS, TILE = 4, 4, 6, 4096
@@ -71,7 +71,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps.view(np.int64), pa.int64())], names=["id", "text_hash", "fp"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, text_hash bigint, fp bigint")
+    return rows.mapInArrow(tidy(run), f"id {kind}, text_hash bigint, fp bigint")
 
 
 def bit_planes(fps: np.ndarray) -> np.ndarray:
@@ -217,7 +217,7 @@ def links(nodes: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, tile: in
         if count:
             yield from flush(True)
 
-    return dealt.mapInArrow(compare, "a bigint, b bigint")
+    return dealt.mapInArrow(tidy(compare), "a bigint, b bigint")
 
 
 def stars(edges: DataFrame) -> DataFrame:
@@ -250,7 +250,8 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     member = linked.union(linked.select(F.col("root").alias("node"), "root").distinct())
     least = member.join(nodes, member.node == nodes.fp).groupBy("root").agg(F.min("least").alias("component"))
     named = member.join(least, "root").select(F.col("node").alias("fp"), "component")
-    ids = nodes.join(named, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id"))
+    # stored, so that the last join has two plain shuffles and a fingerprint of very many rows can be split
+    ids = stored(nodes.join(named, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id")), "ids")
     return prints.join(ids, "fp")
 
 
