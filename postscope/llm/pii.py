@@ -39,13 +39,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, sha_hex, stored
+from .common import read_table, sha_hex, stored, tidy
 
 KINDS = ["email", "ip", "card", "phone", "term", "general"]
 BASE = KINDS[:4]
 NEAR = 5
 SUPPORT = 3
 DISCLOSE, REMOVE = 1.5, 1.1
+BROADCAST_TERMS = 500_000  # candidate words are broadcast while they are fewer
 
 # The base patterns. Digits before an address or number cannot start a better match, so looking behind saves retries only.
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -150,7 +151,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", near:
                                              names=["uid", "id", "text_hash", "base", "seen"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return stored(rows.mapInArrow(run, f"uid bigint, id {kind}, text_hash bigint, base array<struct<start:int,rank:int,end:int>>, "
+    return stored(rows.mapInArrow(tidy(run), f"uid bigint, id {kind}, text_hash bigint, base array<struct<start:int,rank:int,end:int>>, "
                                        "seen array<struct<value:string,line:bigint,near:array<struct<term:string,start:int,end:int>>>>"), "pii")
 
 
@@ -176,8 +177,9 @@ def word_lines(docs: DataFrame, terms: DataFrame, text_col: str = "text") -> Dat
         if held:
             yield out()
 
-    wanted = terms.select("term").union(docs.sparkSession.createDataFrame([("",)], "term string"))
-    return rows.mapInArrow(run, "term string, n bigint").join(wanted, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("lines"))
+    wanted = stored(terms.select("term").union(docs.sparkSession.createDataFrame([("",)], "term string")), "terms")
+    small = wanted.count() <= BROADCAST_TERMS
+    return rows.mapInArrow(tidy(run), "term string, n bigint").join(F.broadcast(wanted) if small else wanted, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("lines"))
 
 
 def disclosing(scanned: DataFrame, docs: DataFrame, text_col: str = "text", support: int = SUPPORT, disclose: float = DISCLOSE) -> DataFrame:
