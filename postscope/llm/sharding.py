@@ -42,14 +42,15 @@ def choose(values: list, c: Column) -> Column:
 
 def linked(rows: DataFrame) -> DataFrame:
     """(uid, key, total): rows of ``rows`` (uid, key) whose key is shared, with the number of its members."""
-    shared = rows.groupBy("key").agg(F.count("*").alias("total")).where("total > 1")
+    # stored, so that the join has two plain sides and a key of very many rows can be split
+    shared = stored(rows.groupBy("key").agg(F.count("*").alias("total")).where("total > 1"), "shared")
     return rows.select("uid", "key").join(shared, "key").select("uid", "key", "total")
 
 
 def wishes(state: DataFrame, open_to: list[bool]) -> DataFrame:
     """``state`` (uid, key, total, shard) with ``want``: of the row's own and the open shards, the one that holds most members of its key."""
     shards = range(len(open_to))
-    votes = state.groupBy("key").agg(*[F.count(F.when(F.col("shard") == k, 1)).alias(f"n{k}") for k in shards])
+    votes = stored(state.groupBy("key").agg(*[F.count(F.when(F.col("shard") == k, 1)).alias(f"n{k}") for k in shards]), "votes")
     best = F.array_max(F.array(*[F.struct(
         (F.lit(open_to[k]) | (F.col("shard") == k)).alias("may"), F.col(f"n{k}").alias("n"), F.xxhash64("key", F.lit(k)).alias("tie"), F.lit(k).alias("to")) for k in shards]))
     return state.join(votes, "key").select("uid", "key", "total", "shard", best["to"].alias("want"))
