@@ -43,11 +43,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import held_out, partitions, read_table, stored
+from .common import held_out, partitions, read_table, row_blocks, stored, tidy
 
 DEPTH = 4  # context bytes; a gram is DEPTH + 1 bytes
-BLOCK = 24 << 20
-PIECE = 4 << 20  # bytes whose grams are handled at once
+BLOCK = 16 << 20
+PIECE = 1 << 20  # bytes whose grams are handled at once
 HALF = math.log(0.5)
 
 
@@ -70,14 +70,7 @@ def grams(texts: list[bytes]) -> np.ndarray:
 
 
 def pieces(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    start = size = 0
-    for k, t in enumerate(texts):
-        if k > start and size + len(t) > PIECE:
-            yield start, k
-            start, size = k, 0
-        size += len(t)
-    if texts:
-        yield start, len(texts)
+    return row_blocks([*map(len, texts)], PIECE)
 
 
 def gram_counts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -122,7 +115,7 @@ def pack(docs: DataFrame, id_col: str, text_col: str, out: Column, block: int =
         if held:
             yield flush()
 
-    return stored(rows.mapInArrow(run, "block bigint, docs binary"), "blocks")
+    return stored(rows.mapInArrow(tidy(run), "block bigint, docs binary"), "blocks")
 
 
 def unpack(docs: bytes) -> tuple[pa.Table, list[bytes], np.ndarray]:
@@ -161,7 +154,7 @@ def block_counts(packed: DataFrame) -> DataFrame:
             "gram": pa.array(keys, pa.int64()) if keys is not None else pa.nulls(size, pa.int64()),
             "n": pa.array(n, pa.int64())})
 
-    return packed.mapInArrow(run, "block bigint, word binary, gram bigint, n bigint")
+    return packed.mapInArrow(tidy(run), "block bigint, word binary, gram bigint, n bigint")
 
 
 def corpus_counts(parts: DataFrame) -> DataFrame:
@@ -254,7 +247,7 @@ def crown(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             key = (top.keys >> 16 << 8) | (top.keys & 255)
             yield pa.RecordBatch.from_pydict({"key": pa.array(key, pa.int64()), "zeros": top.zeros, "ones": top.ones, "log_w": top.log_w})
 
-    low = grouped(counted).mapInArrow(run, "key bigint, zeros double, ones double, log_w double").groupBy("key").agg(
+    low = grouped(counted).mapInArrow(tidy(run), "key bigint, zeros double, ones double, log_w double").groupBy("key").agg(
         F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("log_w").alias("log_w")).orderBy("key").toPandas()
     one = Nodes(low["key"].to_numpy(np.int64), *(low[x].to_numpy(np.float64) for x in ("zeros", "ones", "log_w")))
     root = one.above()
@@ -289,7 +282,7 @@ def gram_scores(counted: DataFrame, depth_one: tuple[np.ndarray, np.ndarray]) ->
             value = np.log10(np.where(bit == 1, p, 1 - p)).sum(0)
             yield pa.RecordBatch.from_pydict({"gram": pa.array(gram, pa.int64()), "value": pa.array(value, pa.float64())})
 
-    return grouped(counted).mapInArrow(run, "gram bigint, value double")
+    return grouped(counted).mapInArrow(tidy(run), "gram bigint, value double")
 
 
 class Lookup:
@@ -358,6 +351,7 @@ def score(docs: DataFrame, out: Column, id_col: str = "doc_id", text_col: str =
             parts.append(pa.table({"id": rows["id"].combine_chunks(), "held_out": pa.array(held, pa.bool_()), "n_bytes": pa.array([len(t) + 1 for t in texts], pa.int64()),
                                    "words": pa.array(tokens, pa.int64()), "seen": pa.array(seen, pa.int64()), "logs": pa.array(base, pa.float64()),
                                    "score": pa.array(np.concatenate(total), pa.float64())}))
+        pa.default_memory_pool().release_unused()
         return pa.concat_tables(parts) if parts else none
 
     schema = f"id {kind}, held_out boolean, n_bytes bigint, words bigint, seen bigint, logs double, score double"
