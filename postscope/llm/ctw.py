@@ -2,10 +2,11 @@
 
 A text is its UTF-8 bytes with A-Z lower-cased and a final NUL for the end. Each
 byte is eight binary decisions, coded most significant bit first; every decision
-node has its own context tree over the last ``DEPTH`` bytes (NULs before the
-start). A tree node keeps how often the bit was 0 and 1 there in the training
-texts; its Krichevsky-Trofimov estimate is weighted half and half with the
-product of its children's weighted probabilities:
+node has its own context tree over the last ``depth`` bytes (NULs before the
+start; the query takes ``QUERY_DEPTH``, which reaches beyond an average word). A
+tree node keeps how often the bit was 0 and 1 there in the training texts; its
+Krichevsky-Trofimov estimate is weighted half and half with the product of its
+children's weighted probabilities:
 
     Pw(s) = 1/2 Pe(s) + 1/2 prod Pw(child s)        (Pe at full depth)
 
@@ -16,9 +17,9 @@ the nodes above left over, unseen nodes counting 1/2.
 In Spark: the corpus is packed once into blocks of at most ``BLOCK`` bytes. Each
 block sends its distinct (context, byte) grams and words with their training
 counts; a window sum makes corpus counts of them. Trees are built from counted
-grams dealt out by the two nearest context bytes, deepest nodes first; only the
-two top levels (256 contexts by 255 decisions at most) meet on the driver. Every
-gram, seen in training or not, gets its log probability there, and each block
+grams dealt out by the ``NEAR`` nearest context bytes, deepest nodes first; only
+the depths above those (seen pairs of bytes, 255 decisions each at most) meet on
+the driver. Every gram, seen in training or not, gets its log probability there, and each block
 gets back the values of its own grams and words alone. So the model is never
 broadcast, and what is gathered grows with the corpus.
 
@@ -45,7 +46,9 @@ from pyspark.sql import functions as F
 
 from .common import held_out, partitions, read_table, row_blocks, stored, tidy
 
-DEPTH = 4  # context bytes; a gram is DEPTH + 1 bytes
+DEPTH = 4  # context bytes unless given; a gram is one byte more, seven bytes at most
+QUERY_DEPTH = 6  # context bytes of op9_ctw
+NEAR = 3  # trees are dealt out by so many nearest context bytes
 BLOCK = 16 << 20
 PIECE = 1 << 20  # bytes whose grams are handled at once
 HALF = math.log(0.5)
@@ -55,16 +58,16 @@ def normalised(text: str) -> bytes:
     return text.encode().lower()
 
 
-def grams(texts: list[bytes]) -> np.ndarray:
+def grams(texts: list[bytes], depth: int = DEPTH) -> np.ndarray:
     """Packed grams of all texts: the nearest context byte highest, then farther ones, the byte itself lowest."""
-    pad = bytes(DEPTH)
+    pad = bytes(depth)
     joined = np.frombuffer(b"".join(x for t in texts for x in (pad, t, b"\0")), np.uint8)
     out = joined.astype(np.uint64)
-    for k in range(1, DEPTH + 1):
-        out[k:] |= joined[:-k].astype(np.uint64) << np.uint64(8 * (DEPTH + 1 - k))
+    for k in range(1, depth + 1):
+        out[k:] |= joined[:-k].astype(np.uint64) << np.uint64(8 * (depth + 1 - k))
     keep = np.ones(len(joined), bool)
-    at = np.cumsum([0] + [len(t) + DEPTH + 1 for t in texts[:-1]])
-    for k in range(DEPTH):
+    at = np.cumsum([0] + [len(t) + depth + 1 for t in texts[:-1]])
+    for k in range(depth):
         keep[at + k] = False
     return out[keep].view(np.int64)
 
@@ -73,10 +76,10 @@ def pieces(texts: list[bytes]) -> Iterator[tuple[int, int]]:
     return row_blocks([*map(len, texts)], PIECE)
 
 
-def gram_counts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def gram_counts(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
     keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
     for a, b in pieces(texts):
-        k, c = np.unique(grams(texts[a:b]), return_counts=True)
+        k, c = np.unique(grams(texts[a:b], depth), return_counts=True)
         both, where = np.unique(np.r_[keys, k], return_inverse=True)
         keys, counts = both, np.bincount(where, np.r_[counts, c], len(both)).astype(np.int64)
     return keys, counts
@@ -123,7 +126,7 @@ def unpack(docs: bytes) -> tuple[pa.Table, list[bytes], np.ndarray]:
     return table, [normalised(t) for t in table["text"].to_pylist()], table["held_out"].to_numpy()
 
 
-def block_counts(packed: DataFrame) -> DataFrame:
+def block_counts(packed: DataFrame, depth: int = DEPTH) -> DataFrame:
     """(block, word, gram, n): training counts of every distinct word and gram of each block, 0 for those only in held-out rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,8 +140,8 @@ def block_counts(packed: DataFrame) -> DataFrame:
                 for t in rest:
                     for w in t.split():
                         words[w] += 0
-                keys, counts = gram_counts(train)
-                extra = np.setdiff1d(gram_counts(rest)[0], keys)
+                keys, counts = gram_counts(train, depth)
+                extra = np.setdiff1d(gram_counts(rest, depth)[0], keys)
                 keys, counts = np.r_[keys, extra], np.r_[counts, np.zeros(len(extra), np.int64)]
                 for a in range(0, len(words), 100_000):
                     part = list(words.items())[a:a + 100_000]
@@ -172,24 +175,24 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     return shift + (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y ** 3) + 1 / (1260 * y ** 5)
 
 
-def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
-    return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1.0) - math.log(math.pi)
+SMALL = 4096  # counts below are looked up
+HALVES, WHOLES = log_gamma(np.arange(SMALL) + 0.5), log_gamma(np.arange(SMALL) + 1.0)
 
 
-class Nodes:
-    """The seen nodes of one depth: sorted keys (context, decision), bit counts, log Pw and stopping share."""
+def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    both = zeros + ones
+    out = HALVES[np.minimum(zeros, SMALL - 1).astype(np.int64)] + HALVES[np.minimum(ones, SMALL - 1).astype(np.int64)] - WHOLES[np.minimum(both, SMALL - 1).astype(np.int64)]
+    big = np.flatnonzero(both >= SMALL)
+    out[big] = log_gamma(zeros[big] + 0.5) + log_gamma(ones[big] + 0.5) - log_gamma(both[big] + 1.0)
+    return out - math.log(math.pi)
 
-    def __init__(self, keys: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray | None):
-        self.keys, self.zeros, self.ones = keys, zeros, ones
-        own = log_kt(zeros, ones)
-        self.log_w = own if below is None else HALF + np.logaddexp(own, below)
-        self.stop = np.ones(len(keys)) if below is None else np.exp(HALF + own - self.log_w)
-        self.one = (ones + 0.5) / (zeros + ones + 1.0)
 
-    def above(self) -> "Nodes":
-        """The nodes one context byte shorter."""
-        keys, where = np.unique((self.keys >> 16 << 8) | (self.keys & 255), return_inverse=True)
-        return Nodes(keys, *(np.bincount(where, x, len(keys)) for x in (self.zeros, self.ones, self.log_w)))
+def weighted(zeros: np.ndarray, ones: np.ndarray, below: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(log Pw, stopping share, estimate of a 1) of nodes with these bit counts; ``below`` is the sum of their children's log Pw."""
+    own = log_kt(zeros, ones)
+    log_w = own if below is None else HALF + np.logaddexp(own, below)
+    stop = np.ones(len(own)) if below is None else np.exp(HALF + own - log_w)
+    return log_w, stop, (ones + 0.5) / (zeros + ones + 1.0)
 
 
 def decisions(byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -198,30 +201,56 @@ def decisions(byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (1 << j) | (byte >> (8 - j)), (byte >> (7 - j)) & 1
 
 
-def deepest(gram: np.ndarray, n: np.ndarray) -> Nodes:
-    node, bit = decisions(gram & 255)
-    keys, where = np.unique((((gram >> 8) << 8) | node).ravel(), return_inverse=True)
-    each, bit = np.tile(n, 8).astype(np.float64), bit.ravel()
-    return Nodes(keys, np.bincount(where, each * (1 - bit), len(keys)), np.bincount(where, each * bit, len(keys)), None)
+class Nodes:
+    """The nodes of one depth, from sorted distinct grams of that depth; those of a decision lie in the grams' order, so sums are over runs.
+
+    Grams that only held-out rows have are nodes with counts 0: their Pw is 1 and their estimate 1/2, as if absent.
+    """
+
+    def __init__(self, gram: np.ndarray, n: np.ndarray, below: "Nodes | None" = None, short: np.ndarray | None = None):
+        node, bit = decisions(gram & 255)
+        new = np.ones(node.shape, bool)
+        for j in range(8):
+            part = gram >> (8 - j)
+            new[j, 1:] = part[1:] != part[:-1]
+        self.gram, self.n = gram, n
+        self.at = np.cumsum(new.ravel()).reshape(new.shape) - 1  # the node of each decision of each gram
+        first = np.flatnonzero(new.ravel())
+        self.decision, self.first = np.divmod(first, len(gram))
+        self.node = node.ravel()[first]
+        self.ones = np.add.reduceat((bit * n).ravel(), first)
+        self.zeros = np.add.reduceat(np.tile(n, 8), first) - self.ones
+        if below is not None:
+            below.up = self.at[below.decision, short[below.first]]
+        self.log_w, self.stop, self.one = weighted(self.zeros, self.ones, None if below is None else np.bincount(below.up, below.log_w, len(first)))
 
+    def above(self) -> "Nodes":
+        """The nodes one context byte shorter."""
+        gram, short = np.unique((self.gram >> 16 << 8) | (self.gram & 255), return_inverse=True)
+        return Nodes(gram, np.bincount(short, self.n, len(gram)), self, short)
 
-def trees(gram: np.ndarray, n: np.ndarray) -> list[Nodes]:
-    """Nodes of depth DEPTH down to 2 for whole groups of the two nearest context bytes."""
-    levels = [deepest(gram[n > 0], n[n > 0])]
-    while len(levels) < DEPTH - 1:
+    def shorter(self) -> np.ndarray:
+        """Each node's key one context byte shorter: (context, decision)."""
+        return (self.gram[self.first] >> 16 << 8) | self.node
+
+
+def trees(gram: np.ndarray, n: np.ndarray, depth: int) -> list[Nodes]:
+    """Nodes of ``depth`` down to NEAR for whole groups of the NEAR nearest context bytes."""
+    levels = [Nodes(gram, n.astype(np.float64))]
+    while len(levels) < depth - NEAR + 1:
         levels.append(levels[-1].above())
     return levels
 
 
-def grouped(counted: DataFrame) -> DataFrame:
-    """(near, gram, c): one row per gram, dealt out and sorted by its two nearest context bytes."""
-    near = F.shiftright("gram", 8 * (DEPTH - 1)).cast("int")
+def grouped(counted: DataFrame, depth: int) -> DataFrame:
+    """(near, gram, c): one row per gram, dealt out by its NEAR nearest context bytes and sorted."""
+    near = F.shiftright("gram", 8 * (depth + 1 - NEAR)).cast("int")
     rows = counted.where("first AND gram IS NOT NULL").select(near.alias("near"), "gram", "c")
     return rows.repartition(partitions(counted.sparkSession), "near").sortWithinPartitions("near", "gram")
 
 
-def whole_groups(batches: Iterator[pa.RecordBatch], most: int = 1 << 19) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Consecutive rows of about ``most``, cut between groups only. A group has at most 256 ** (DEPTH - 1) grams."""
+def whole_groups(batches: Iterator[pa.RecordBatch], most: int = 1 << 17) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Consecutive rows of about ``most``, cut between groups only. A group has at most 256 ** (depth + 1 - NEAR) grams."""
     held: list[tuple[np.ndarray, ...]] = []
     size = 0
     for b in batches:
@@ -238,58 +267,73 @@ def whole_groups(batches: Iterator[pa.RecordBatch], most: int = 1 << 19) -> Iter
         yield gram, c
 
 
-def crown(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(done, left) for each nearest byte and decision: the probability of a 1 mixed from depths 0 and 1, and the share left to deeper nodes."""
-
+class Crown:
+    """The mixed probability of a 1 and the share left to deeper nodes, from the depths below NEAR: for each nearest byte and decision,
+    and for each seen context of NEAR - 1 bytes and decision (sorted ``keys``)."""
+
+    def __init__(self, keys: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray):
+        two = weighted(zeros, ones, below)
+        byte_keys, where = np.unique((keys >> 16 << 8) | (keys & 255), return_inverse=True)
+        zeros, ones, below = (np.bincount(where, x, len(byte_keys)) for x in (zeros, ones, two[0]))
+        one = weighted(zeros, ones, below)
+        nodes, where = np.unique(byte_keys & 255, return_inverse=True)
+        root = weighted(*(np.bincount(where, x, len(nodes)) for x in (zeros, ones, one[0])))
+        self.done, self.left = np.full((256, 256), 0.25), np.full((256, 256), 0.5)
+        self.done[:, nodes], self.left[:, nodes] = root[1] * root[2], 1 - root[1]
+        byte, node = byte_keys >> 8, byte_keys & 255
+        self.done[byte, node] += self.left[byte, node] * one[1] * one[2]
+        self.left[byte, node] *= 1 - one[1]
+        byte, node = keys >> 16, keys & 255
+        self.keys = keys
+        self.key_done = self.done[byte, node] + self.left[byte, node] * two[1] * two[2]
+        self.key_left = self.left[byte, node] * (1 - two[1])
+
+    def __getitem__(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        done, left = self.done[keys >> 16, keys & 255], self.left[keys >> 16, keys & 255]
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            hit = self.keys[at] == keys
+            done[hit], left[hit] = self.key_done[at[hit]], self.key_left[at[hit]]
+        return done, left
+
+
+def crown(counted: DataFrame, depth: int = DEPTH) -> Crown:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for gram, c in whole_groups(batches):
-            top = trees(gram, c)[-1]
-            key = (top.keys >> 16 << 8) | (top.keys & 255)
-            yield pa.RecordBatch.from_pydict({"key": pa.array(key, pa.int64()), "zeros": top.zeros, "ones": top.ones, "log_w": top.log_w})
+            top = trees(gram, c, depth)[-1]
+            key, where = np.unique(top.shorter(), return_inverse=True)
+            sums = {k: np.bincount(where, x, len(key)) for k, x in (("zeros", top.zeros), ("ones", top.ones), ("log_w", top.log_w))}
+            yield pa.RecordBatch.from_pydict({"key": pa.array(key, pa.int64())} | sums)
 
-    low = grouped(counted).mapInArrow(tidy(run), "key bigint, zeros double, ones double, log_w double").groupBy("key").agg(
+    low = grouped(counted, depth).mapInArrow(tidy(run), "key bigint, zeros double, ones double, log_w double").groupBy("key").agg(
         F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("log_w").alias("log_w")).orderBy("key").toPandas()
-    one = Nodes(low["key"].to_numpy(np.int64), *(low[x].to_numpy(np.float64) for x in ("zeros", "ones", "log_w")))
-    root = one.above()
-    done, left = np.full((256, 256), 0.25), np.full((256, 256), 0.5)
-    done[:, root.keys], left[:, root.keys] = root.stop * root.one, 1 - root.stop
-    byte, node = one.keys >> 8, one.keys & 255
-    done[byte, node] += left[byte, node] * one.stop * one.one
-    left[byte, node] *= 1 - one.stop
-    return done, left
+    return Crown(low["key"].to_numpy(np.int64), *(low[x].to_numpy(np.float64) for x in ("zeros", "ones", "log_w")))
 
 
-def gram_scores(counted: DataFrame, depth_one: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+def gram_scores(counted: DataFrame, top: Crown, depth: int = DEPTH) -> DataFrame:
     """(gram, value): log10 probability of the byte after its context, for every gram of the corpus."""
-    done, left = depth_one
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for gram, c in whole_groups(batches):
-            levels = trees(gram, c)[::-1]
-            node, bit = decisions(gram & 255)
-            near = gram >> (8 * DEPTH)
-            p, rest = done[near, node], left[near, node]
-            open_ = np.ones(node.shape, bool)
-            for depth, level in enumerate(levels, 2):
-                key = (gram >> (8 * (DEPTH + 1 - depth)) << 8) | node
-                at = np.minimum(np.searchsorted(level.keys, key), max(len(level.keys) - 1, 0))
-                open_ &= (level.keys[at] == key) if len(level.keys) else False
-                if len(level.keys):
-                    share = np.where(open_, rest * level.stop[at], 0)
-                    p = p + share * level.one[at]
-                    rest = rest - share
-            p = p + rest * 0.5
+            levels = trees(gram, c, depth)[::-1]
+            p, rest = top[levels[0].shorter()]
+            for level in levels:
+                if level is not levels[0]:
+                    p, rest = p[level.up], rest[level.up]
+                p, rest = p + rest * level.stop * level.one, rest * (1 - level.stop)
+            _, bit = decisions(gram & 255)
+            p = p[levels[-1].at]
             value = np.log10(np.where(bit == 1, p, 1 - p)).sum(0)
             yield pa.RecordBatch.from_pydict({"gram": pa.array(gram, pa.int64()), "value": pa.array(value, pa.float64())})
 
-    return grouped(counted).mapInArrow(tidy(run), "gram bigint, value double")
+    return grouped(counted, depth).mapInArrow(tidy(run), "gram bigint, value double")
 
 
 class Lookup:
     """Open-addressing table from gram to value; every gram asked for is in it."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.bits = max(4, int(4 * len(keys)).bit_length())
+        self.bits = max(4, int(2 * len(keys)).bit_length())
         self.keys = np.full(1 << self.bits, -1, np.int64)
         self.values = np.zeros(1 << self.bits)
         slot = self.slot(keys)
@@ -314,15 +358,15 @@ class Lookup:
         return self.values[slot]
 
 
-def score(docs: DataFrame, out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, out: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH) -> DataFrame:
     """Per row: id, held_out, n_bytes (with the end), n_tokens, n_known, train_tokens, base_score, score.
 
     ``out`` is the condition of rows that are not learnt from.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     packed = pack(docs, id_col, text_col, out)
-    counted = corpus_counts(block_counts(packed))
-    values = gram_scores(counted, crown(counted))
+    counted = corpus_counts(block_counts(packed, depth))
+    values = gram_scores(counted, crown(counted, depth), depth)
     words = counted.where("word IS NOT NULL")
     told = counted.where("gram IS NOT NULL").select("block", "gram").join(values, "gram").select("block", F.lit(None).cast("binary").alias("word"), "gram", "value").union(
         words.select("block", "word", F.lit(None).cast("bigint"), F.col("c").cast("double")))
@@ -341,7 +385,7 @@ def score(docs: DataFrame, out: Column, id_col: str = "doc_id", text_col: str =
             rows, texts, held = unpack(body.as_py())
             total, base, seen, tokens = [], [], [], []
             for a, b in pieces(texts):
-                each = table[grams(texts[a:b])]
+                each = table[grams(texts[a:b], depth)]
                 total.append(np.add.reduceat(each, np.cumsum([0] + [len(t) + 1 for t in texts[a:b - 1]])))
             for t in texts:
                 c = np.array([count[w] for w in t.split()])
@@ -366,5 +410,5 @@ def score(docs: DataFrame, out: Column, id_col: str = "doc_id", text_col: str =
 
 
 def op9_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = score(read_table(spark, sf_dir, "documents"), held_out("doc_id", 7))
+    found = score(read_table(spark, sf_dir, "documents"), held_out("doc_id", 7), depth=QUERY_DEPTH)
     return found.withColumnRenamed("id", "doc_id").withColumn("bits_per_byte", -F.col("score") / F.col("n_bytes") / math.log10(2))

@@ -145,3 +145,23 @@ def test_log_gamma():
 def test_training_lowers_the_code_length(spark, sf):
     r = S.op9_ctw(spark, sf).agg(F.avg("bits_per_byte").alias("bits")).first()
     assert r["bits"] < 3.2
+
+
+def test_deeper_trees_equal_brute_force(spark, monkeypatch):
+    rng = random.Random(4)
+    docs = [(k, " ".join(rng.choice(["therefore", "There", "é", "on\x00"]) for _ in range(rng.randrange(9)))) for k in range(20)] + [(None, "null id"), (30, None), (31, "")]
+    monkeypatch.setattr(S, "DEPTH", 6)
+    rows = spark.createDataFrame([(*d, "a", "b", "c") for d in docs], DOCS)
+    got = S.score(rows, held_out("doc_id", 7), depth=6).collect()
+    same([(r.id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in got], brute(docs))
+
+
+def test_query_beats_the_unigram_base_on_held_out_rows(spark, tmp_path):
+    """A word tells the next one by its first letter, five bytes back."""
+    rng = random.Random(5)
+    words = [f"{a}the" for a in "abcdefgh"]
+    starts = [rng.randrange(8) for _ in range(120)]
+    docs = [(k, " ".join(words[(a + 3 * i) % 8] for i in range(60))) for k, a in enumerate(starts)]
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    r = S.op9_ctw(spark, str(tmp_path)).where("held_out").agg(F.sum("score").alias("score"), F.sum("base_score").alias("base")).first()
+    assert r.score > r.base / 2
