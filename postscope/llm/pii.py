@@ -4,22 +4,25 @@ Base spans: ``email``, ``ip``, ``card`` and ``phone`` matches of whole texts. Th
 values are the protected entities.
 
 A term says something about an entity when the two come together more often
-than apart. The unit of co-occurrence is the line. Over all lines of the corpus:
+than apart. The unit of co-occurrence is the whole line. Over all lines of the corpus:
 
     IC(e)     = -log p(e)
     PMI(e; t) = log p(e, t) / (p(e) p(t))
 
-A term within ``NEAR`` words of the entity discloses it if PMI(e; t) >= IC(e) / alpha
+A term on a line of the entity, outside base spans, discloses it if PMI(e; t) >= IC(e) / alpha
 with ``alpha`` = ``DISCLOSE``; alpha 1 would mean that the term gives the entity
-away completely. Evidence from fewer than ``SUPPORT`` distinct line texts is
-coincidence and does not count (copies of a line are one text). Disclosing terms are
-added spans: at or above IC(e) / ``REMOVE`` they are removed (``term``), below that
-generalised to their kind (``general``): digits to <number>, capitalised words to
+away completely. Copies of a line are one text, and one text is no repeated
+evidence: of the m distinct line texts of e, k >= ``SUPPORT`` hold t, and that many
+must be unlikely by chance, by the bound exp(-m KL(k/m, p(t))) <= ``CHANCE``. Every
+occurrence of a disclosing term on a line of its entity is an added span: at or
+above IC(e) / ``REMOVE`` it is removed (``term``), below that
+generalised to its kind (``general``): digits to <number>, capitalised words to
 <name>, others to <word>.
 
-One pass over the texts finds entities and the words near each; a second counts
-the candidate words once per line, added up per task before they move. Pair and entity
-counts are grouped sums, so a value in a third of all lines is pre-aggregated.
+One pass over the texts finds entities and keeps their lines; a second counts
+the candidate words once per line, added up per task before they move. Only entities
+with enough distinct lines are paired, each distinct line once, and pairs are added up
+per task, so a value in a third of all lines is pre-aggregated.
 
 Defined results: null text is empty; a text without matches has empty spans; a
 null id is an id. Base spans of different kinds may overlap; added spans never
@@ -29,6 +32,7 @@ one text. An empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_right
 from collections import Counter
@@ -43,8 +47,8 @@ from .common import read_table, sha_hex, stored, tidy
 
 KINDS = ["email", "ip", "card", "phone", "term", "general"]
 BASE = KINDS[:4]
-NEAR = 5
-SUPPORT = 3
+SUPPORT = 2  # distinct line texts; fewer are no repeated evidence
+CHANCE = 1e-3
 DISCLOSE, REMOVE = 1.5, 1.1
 BROADCAST_TERMS = 500_000  # candidate words are broadcast while they are fewer
 
@@ -132,31 +136,52 @@ def merged(spans: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]:
     return starts, ends
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", near: int = NEAR) -> DataFrame:
-    """(uid, id, text_hash, base, seen): stored; ``base`` are the base spans, ``seen`` each entity's value, line and near words."""
+def entity_lines(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, str, list[str]]]:
+    """For each line with entities: hash, start, text and distinct values. No base pattern crosses a line's end."""
+    held: dict[tuple[int, int], dict[str, None]] = {}
+    left, right = 0, -1
+    for start, _, end in spans:
+        if start >= right:
+            left, right = text.rfind("\n", max(right, 0), start) + 1 or max(right + 1, 0), text.find("\n", start)
+            right = len(text) if right < 0 else right
+        held.setdefault((left, right), {})[text[start:end]] = None
+    for (left, right), values in held.items():
+        line = text[left:right]
+        yield xxhash.xxh64_intdigest(line.encode()) - (1 << 63), left, line, list(values)
+
+
+def free_words(line: str, left: int, starts: list[int], ends: list[int]) -> Iterator[re.Match]:
+    """The words of a line that touch no stretch; the line starts at ``left`` of the text."""
+    for m in WORD.finditer(line):
+        k = bisect_right(starts, left + m.end() - 1) - 1
+        if k < 0 or ends[k] <= left + m.start():
+            yield m
+
+
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(uid, id, text_hash, base, lines): stored; ``base`` are the base spans, ``lines`` the lines that hold any."""
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     span = pa.struct([("start", pa.int32()), ("rank", pa.int32()), ("end", pa.int32())])
-    word = pa.struct([("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
-    entity = pa.struct([("value", pa.string()), ("line", pa.int64()), ("near", pa.list_(word))])
+    held = pa.struct([("line", pa.int64()), ("left", pa.int32()), ("text", pa.string()), ("values", pa.list_(pa.string()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            base, seen = [], []
+            base, lines = [], []
             for text in b.column(3):
                 text = text.as_py()
                 spans = base_spans(text)
                 base.append([{"start": s, "rank": k, "end": e} for s, k, e in spans])
-                seen.append([{"value": v, "line": h, "near": [{"term": t, "start": s, "end": e} for t, s, e in words]} for v, h, words in line_evidence(text, spans, near)])
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(base, pa.list_(span)), pa.array(seen, pa.list_(entity))],
-                                             names=["uid", "id", "text_hash", "base", "seen"])
+                lines.append([{"line": h, "left": at, "text": t, "values": v} for h, at, t, v in entity_lines(text, spans)])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(base, pa.list_(span)), pa.array(lines, pa.list_(held))],
+                                             names=["uid", "id", "text_hash", "base", "lines"])
 
     kind = rows.schema["id"].dataType.simpleString()
     return stored(rows.mapInArrow(tidy(run), f"uid bigint, id {kind}, text_hash bigint, base array<struct<start:int,rank:int,end:int>>, "
-                                       "seen array<struct<value:string,line:bigint,near:array<struct<term:string,start:int,end:int>>>>"), "pii")
+                                       "lines array<struct<line:bigint,left:int,text:string,values:array<string>>>"), "pii")
 
 
 def word_lines(docs: DataFrame, terms: DataFrame, text_col: str = "text") -> DataFrame:
-    """(term, lines): in how many lines of the corpus each of ``terms`` stands; the term '' stands for every line."""
+    """(term, lines): in how many lines of the corpus each of ``terms`` stands outside base spans; the term '' stands for every line."""
     rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,9 +194,17 @@ def word_lines(docs: DataFrame, terms: DataFrame, text_col: str = "text") -> Dat
 
         for b in batches:
             for text in b.column(0):
-                for line in text.as_py().split("\n"):
+                text = text.as_py()
+                starts, ends = merged(base_spans(text))
+                left = 0
+                for line in text.split("\n"):
                     held[""] += 1
-                    held.update(set(WORD.findall(line)))
+                    k = bisect_right(starts, left + len(line)) - 1
+                    if k >= 0 and ends[k] > left:
+                        held.update({m[0] for m in free_words(line, left, starts, ends)})
+                    else:
+                        held.update(set(WORD.findall(line)))
+                    left += len(line) + 1
                 if len(held) > 200_000:
                     yield out()
         if held:
@@ -179,33 +212,103 @@ def word_lines(docs: DataFrame, terms: DataFrame, text_col: str = "text") -> Dat
 
     wanted = stored(terms.select("term").union(docs.sparkSession.createDataFrame([("",)], "term string")), "terms")
     small = wanted.count() <= BROADCAST_TERMS
-    return rows.mapInArrow(tidy(run), "term string, n bigint").join(F.broadcast(wanted) if small else wanted, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("lines"))
+    # added up before the join, which then has one row a word however many tasks there are; inner, as a semi join would be pushed below the sum
+    return rows.mapInArrow(tidy(run), "term string, n bigint").groupBy("term").agg(F.sum("n").alias("lines")).join(F.broadcast(wanted) if small else wanted, "term")
+
+
+def pair_counts(scanned: DataFrame, held: DataFrame, values: DataFrame) -> DataFrame:
+    """(value, term, texts, n_both): distinct lines, and lines, that hold an entity of ``values`` and a word outside base spans.
+
+    ``held`` has (value, line, n, at): each entity's distinct lines, how often they come and where first.
+    """
+    asked = held.join(values.select("value"), "value", "left_semi").groupBy("at").agg(F.first("n").alias("n"), F.collect_list("value").alias("values"))
+    per_row = asked.groupBy(F.col("at.uid").alias("uid")).agg(F.collect_list(F.struct("at.left", "n", "values")).alias("asked"))
+    rows = scanned.select("uid", "base", F.transform("lines", lambda x: F.struct(x["left"].alias("left"), x["text"].alias("text"))).alias("lines")).join(per_row, "uid")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts: Counter = Counter()
+        both: Counter = Counter()
+
+        def out() -> pa.RecordBatch:
+            part = pa.RecordBatch.from_pydict({"value": pa.array([v for v, _ in texts], pa.string()), "term": pa.array([t for _, t in texts], pa.string()),
+                                               "texts": pa.array(list(texts.values()), pa.int64()), "n": pa.array([both[x] for x in texts], pa.int64())})
+            texts.clear()
+            both.clear()
+            return part
+
+        for b in batches:
+            for base, lines, wanted in zip(b.column(0), b.column(1), b.column(2)):
+                starts, ends = merged([(s["start"], s["rank"], s["end"]) for s in base.as_py()])
+                line = {x["left"]: x["text"] for x in lines.as_py()}
+                for w in wanted.as_py():
+                    words = {m[0] for m in free_words(line[w["left"]], w["left"], starts, ends)}
+                    for value in w["values"]:
+                        for term in words:
+                            texts[value, term] += 1
+                            both[value, term] += w["n"]
+                        if len(texts) > 100_000:
+                            yield out()
+        if texts:
+            yield out()
+
+    return rows.select("base", "lines", "asked").mapInArrow(tidy(run), "value string, term string, texts bigint, n bigint").groupBy("value", "term").agg(
+        F.sum("texts").alias("texts"), F.sum("n").alias("n_both"))
 
 
-def disclosing(scanned: DataFrame, docs: DataFrame, text_col: str = "text", support: int = SUPPORT, disclose: float = DISCLOSE) -> DataFrame:
-    """(value, term, strength): terms with PMI(e; t) at least IC(e) / ``disclose``; strength is PMI / IC."""
-    entity = scanned.where(F.size("seen") > 0).select(F.explode("seen").alias("e")).select("e.value", "e.line", "e.near")
-    lines = entity.groupBy("value").agg(F.count("*").alias("n_value"))
-    together = entity.select("value", "line", F.explode(F.array_distinct("near.term")).alias("term")).groupBy("value", "term", "line").agg(F.count("*").alias("n"))
-    pairs = stored(together.groupBy("value", "term").agg(F.count("*").alias("texts"), F.sum("n").alias("n_both")).where(F.col("texts") >= support), "pairs")
+def disclosing(scanned: DataFrame, docs: DataFrame, text_col: str = "text", support: int = SUPPORT, disclose: float = DISCLOSE, chance: float = CHANCE) -> DataFrame:
+    """(value, term, strength): terms with PMI(e; t) at least IC(e) / ``disclose`` that are no coincidence; strength is PMI / IC."""
+    spots = scanned.where(F.size("lines") > 0).select("uid", F.explode("lines").alias("l")).select("uid", "l.line", "l.left", F.explode("l.values").alias("value"))
+    held = stored(spots.groupBy("value", "line").agg(F.count("*").alias("n"), F.min(F.struct("uid", "left")).alias("at")), "entity-lines")
+    values = stored(held.groupBy("value").agg(F.sum("n").alias("n_value"), F.count("*").alias("m")).where(F.col("m") >= support), "entities")
+    pairs = stored(pair_counts(scanned, held, values).where(F.col("texts") >= support), "pairs")
     counts = stored(word_lines(docs, pairs.select("term").distinct(), text_col), "word-lines")
     # the number of all lines is one row, brought in by a join on a constant
     total = counts.where("term = ''").select(F.lit(1).alias("one"), F.col("lines").cast("double").alias("all"))
-    known = pairs.join(lines, "value").join(counts, "term").withColumn("one", F.lit(1)).join(F.broadcast(total), "one")
+    known = pairs.join(values, "value").join(counts, "term").withColumn("one", F.lit(1)).join(F.broadcast(total), "one")
     ic = -F.log(F.least(F.col("n_value") / F.col("all"), F.lit(1.0)))
     pmi = F.log(F.col("n_both") * F.col("all") / (F.col("n_value") * F.greatest("lines", "n_both")))
-    return known.withColumn("strength", F.when(ic > 0, pmi / ic)).where(F.col("strength") >= 1 / disclose).select("value", "term", "strength")
+    share, p = F.col("texts") / F.col("m"), F.col("lines") / F.col("all")
+    kl = share * F.log(share / p) + F.when((share < 1) & (p < 1), (1 - share) * F.log((1 - share) / (1 - p))).otherwise(0.0)
+    rare = (share > p) & (F.col("m") * kl >= -math.log(chance))
+    return known.withColumn("strength", F.when(ic > 0, pmi / ic)).where(rare & (F.col("strength") >= 1 / disclose)).select("value", "term", "strength")
 
 
-def find_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", near: int = NEAR, support: int = SUPPORT,
-                  disclose: float = DISCLOSE, remove: float = REMOVE) -> DataFrame:
+def added_spans(scanned: DataFrame, told: DataFrame) -> DataFrame:
+    """(uid, added): every occurrence of a disclosing term on a line that holds its entity, outside base spans, as (start, end, strength)."""
+    terms = stored(told.groupBy("value").agg(F.collect_list(F.struct("term", "strength")).alias("terms")), "disclosing")
+    held = scanned.where(F.size("lines") > 0).select("uid", F.explode(F.array_distinct(F.flatten("lines.values"))).alias("value"))
+    per_row = held.join(terms, "value").groupBy("uid").agg(F.collect_list(F.struct("value", "terms")).alias("told"))
+    rows = scanned.select("uid", "base", "lines").join(per_row, "uid")
+    span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("strength", pa.float64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = []
+            for base, lines, told in zip(b.column(1), b.column(2), b.column(3)):
+                starts, ends = merged([(s["start"], s["rank"], s["end"]) for s in base.as_py()])
+                of = {x["value"]: x["terms"] for x in told.as_py()}
+                spans = []
+                for x in lines.as_py():
+                    strength: dict[str, float] = {}
+                    for v in x["values"]:
+                        for t in of.get(v, ()):
+                            strength[t["term"]] = max(strength.get(t["term"], 0.0), t["strength"])
+                    if strength:
+                        spans += [{"start": x["left"] + m.start(), "end": x["left"] + m.end(), "strength": strength[m[0]]}
+                                  for m in free_words(x["text"], x["left"], starts, ends) if m[0] in strength]
+                found.append(spans)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(span))], names=["uid", "added"])
+
+    return rows.mapInArrow(tidy(run), "uid bigint, added array<struct<start:int,end:int,strength:double>>")
+
+
+def find_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT,
+                  disclose: float = DISCLOSE, remove: float = REMOVE, chance: float = CHANCE) -> DataFrame:
     """(id, text_hash, spans) per row; spans (start, rank, kind, end, strength) by start, then kind."""
-    scanned = scan(docs, id_col, text_col, near)
-    told = disclosing(scanned, docs, text_col, support, disclose)
-    near_words = scanned.where(F.size("seen") > 0).select("uid", F.explode("seen").alias("e")).select("uid", "e.value", F.explode("e.near").alias("w")).select("uid", "value", "w.*")
-    added = near_words.join(told, ["value", "term"]).groupBy("uid", "start", "end").agg(F.max("strength").alias("strength"))
-    rank = F.when(F.col("strength") >= 1 / remove, len(BASE)).otherwise(len(BASE) + 1)
-    per_row = added.groupBy("uid").agg(F.collect_list(F.struct("start", rank.alias("rank"), "end", "strength")).alias("added"))
+    scanned = scan(docs, id_col, text_col)
+    added = added_spans(scanned, disclosing(scanned, docs, text_col, support, disclose, chance))
+    per_row = added.select("uid", F.transform("added", lambda s: F.struct(
+        s["start"].alias("start"), F.when(s["strength"] >= 1 / remove, len(BASE)).otherwise(len(BASE) + 1).alias("rank"), s["end"].alias("end"), s["strength"].alias("strength"))).alias("added"))
     full = scanned.select("uid", "id", "text_hash", "base").join(per_row, "uid", "left")
     base = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), F.lit(None).cast("double").alias("strength")))
     both = F.sort_array(F.concat(base, F.coalesce("added", F.array().cast("array<struct<start:int,rank:int,end:int,strength:double>>"))))

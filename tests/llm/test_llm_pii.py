@@ -99,3 +99,21 @@ def test_nulls_repeats_long_and_empty(spark):
     assert [len(s) for i, s in got if i == 5] == [3000]
     assert found(spark, []) == []
     assert S.sanitise(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_two_distinct_lines_and_whole_lines_are_evidence(spark):
+    """The terms stand far from the address, in two different lines only; each of their occurrences there is masked."""
+    far = " ".join(f"w{k}" for k in range(20))
+    lines = ["Falcon pilot {} from j.doe@mail.example.com first {} Falcon", "second j.doe@mail.example.com is {} called Falcon by the pilot {}"]
+    docs = [(k, line.format(far, "and " + far)) for k, line in enumerate(lines)] + [(2, "Falcon elsewhere\nnothing here")]
+    docs += [(100 + k, f"the plain line{k} and {far}\nthe second is from line{k} first called by") for k in range(300)]
+    got = dict(found(spark, docs))
+    for k, n in ((0, 2), (1, 1)):
+        words = [docs[k][1][a:b] for kind, a, b in got[k] if kind in ("term", "general")]
+        assert words.count("Falcon") == n and words.count("pilot") == 1 and set(words) == {"Falcon", "pilot"}
+    assert got[2] == [] and all(got[100 + k] == [] for k in range(300))
+
+
+def test_words_of_common_lines_are_coincidence(spark):
+    docs = [(0, "red x@y.zz one"), (1, "two x@y.zz red")] + [(10 + k, f"red line{k}" if k % 4 == 0 else f"line{k}") for k in range(40)]
+    assert all([kind for kind, *_ in s] == ["email"] * (i < 2) for i, s in found(spark, docs))
