@@ -5,9 +5,10 @@ One pass over the texts finds candidates: ``assign`` (a key word, then a value),
 more key characters with a letter and a digit). Each candidate's value is
 hashed; hashes are counted by distinct repository (a document) and distinct
 owner, first per owner, so that a hash in a third of all rows is added up before
-it moves. A value held by ``WIDELY`` or more owners is a widely copied example,
-one held by a single owner and without placeholder look is a live credential,
-the rest is shared.
+it moves. A value held by ``WIDELY`` or more owners, or in
+``WIDELY_REPOSITORIES`` or more repositories, is a widely copied example, one
+held in fewer repositories of a single owner and without placeholder look is a
+live credential, the rest is shared.
 
 ``assign``, ``access`` and ``hex`` matches are base spans and always stay. The
 frequencies add ``token`` candidates outside base spans: as ``copy`` if their
@@ -43,6 +44,7 @@ KINDS = ["assign", "access", "hex", "copy", "live"]  # order of spans that start
 BASE = KINDS[:3]
 LEAST_VALUE = 8
 WIDELY = 10
+WIDELY_REPOSITORIES = 100
 DISTINCT_CHARS = 8
 PLACEHOLDER = r"(?i)example|sample|dummy|changeme|placeholder|your|xxxx|0123456789|abcdef(?:gh|01)"
 MARK, STAND_IN = "\x01", "\x02"
@@ -88,16 +90,17 @@ def ownership(found: DataFrame) -> DataFrame:
     return owner.groupBy("hash").agg(F.count("*").alias("n_owners"), F.sum("repos").alias("n_repositories"), F.sum("n").alias("n_seen"), F.max("secret").alias("secret"))
 
 
-def classified(found: DataFrame, widely: int = WIDELY) -> DataFrame:
+def classified(found: DataFrame, widely: int = WIDELY, repositories: int = WIDELY_REPOSITORIES) -> DataFrame:
     """Candidates with ``held``: example, live or shared."""
     looks = (F.size(F.array_distinct(F.split("value", ""))) >= DISTINCT_CHARS) & ~F.col("value").rlike(PLACEHOLDER)
     known = found.join(ownership(found), "hash")
-    return known.withColumn("held", F.when(F.col("n_owners") >= widely, "example").when((F.col("n_owners") == 1) & looks, "live").otherwise("shared"))
+    copied = (F.col("n_owners") >= widely) | (F.col("n_repositories") >= repositories)
+    return known.withColumn("held", F.when(copied, "example").when((F.col("n_owners") == 1) & looks, "live").otherwise("shared"))
 
 
-def secret_spans(scanned: DataFrame, widely: int = WIDELY) -> DataFrame:
-    """(uid, spans): per document with any, its spans (start, rank, kind, end, held) by start, then kind."""
-    rated = classified(stored(candidates(scanned), "candidates"), widely)
+def secret_spans(scanned: DataFrame, widely: int = WIDELY, repositories: int = WIDELY_REPOSITORIES) -> DataFrame:
+    """(uid, spans): per document with any, its spans (start, rank, kind, end, held, n_owners, n_repositories) by start, then kind."""
+    rated = classified(stored(candidates(scanned), "candidates"), widely, repositories)
     kind = F.when(F.col("kind").isin(BASE), F.col("kind")).when(F.col("secret") & (F.col("held") != "example"), "copy").when(F.col("held") == "live", "live")
     rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int") - 1
     named = rated.withColumn("kind", kind).where("kind IS NOT NULL").withColumn("rank", rank)
@@ -108,14 +111,15 @@ def secret_spans(scanned: DataFrame, widely: int = WIDELY) -> DataFrame:
     following = F.min(F.when(is_base, F.col("start"))).over(along.rowsBetween(1, W.unboundedFollowing))
     kept = named.withColumns({"reached": reached, "following": following}).where(
         is_base | ~(F.coalesce(F.col("reached") > F.col("start"), F.lit(False)) | F.coalesce(F.col("following") < F.col("end"), F.lit(False))))
-    return kept.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("start", "rank", "kind", "end", "held"))).alias("spans"))
+    return kept.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("start", "rank", "kind", "end", "held", "n_owners", "n_repositories"))).alias("spans"))
 
 
-def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", widely: int = WIDELY) -> DataFrame:
+def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", widely: int = WIDELY,
+                 repositories: int = WIDELY_REPOSITORIES) -> DataFrame:
     """(id, text_hash, spans) for every row of ``docs``."""
     scanned = scan(docs, id_col, text_col, owner_col)
-    none = F.array().cast("array<struct<start:bigint,rank:int,kind:string,end:bigint,held:string>>")
-    return scanned.select("uid", "id", "text_hash").join(secret_spans(scanned, widely), "uid", "left").select("id", "text_hash", F.coalesce("spans", none).alias("spans"))
+    none = F.array().cast("array<struct<start:bigint,rank:int,kind:string,end:bigint,held:string,n_owners:bigint,n_repositories:bigint>>")
+    return scanned.select("uid", "id", "text_hash").join(secret_spans(scanned, widely, repositories), "uid", "left").select("id", "text_hash", F.coalesce("spans", none).alias("spans"))
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", mask: str = "<secret>") -> DataFrame:

@@ -84,3 +84,14 @@ def test_query_digest_and_empty_table(spark, tmp_path):
     assert got[None].spans == "" and got[None].n_assign == 0
     assert S.scan_secrets(frame(spark, [])).count() == 0
     assert S.redact(frame(spark, [])).count() == 0
+
+
+def test_one_owner_with_thousands_of_repositories(spark):
+    key, live = "Zx9Kq2Lm8Nw4Rt6Y", "Qp7Wv3Bn5Xc1Mz0L"
+    rows = [(k, f"password={key}", "hot") for k in range(2000)] + [(3000, f"bare {key} here", "hot")]
+    rows += [(4000 + k, f"password={live}", "hot") for k in range(3)] + [(4000, f"password={live}", "hot")]
+    found = {r.id: r.spans for r in S.scan_secrets(frame(spark, rows)).collect()}
+    assert found[3000] == [] and {found[k][0].held for k in range(2000)} == {"example"}
+    assert (found[0][0].n_owners, found[0][0].n_repositories) == (1, 2001)
+    assert (found[4000][0].held, found[4000][0].n_owners, found[4000][0].n_repositories) == ("live", 1, 3)
+    assert {r.text for r in S.redact(frame(spark, rows)).where("doc_id <= 3000").collect()} == {f"password={key}", f"bare {key} here"}
