@@ -16,6 +16,7 @@ from .secret_scan import OP3_SQL, op3_secrets
 from .sharding import op2_sharding
 from .simhash import op1_simhash
 from .weighted_sampling import op4_fingerprints
+from .whitening import op13_whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
@@ -28,10 +29,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_ctw": op9_ctw,
     "op10_pii": op10_pii,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE: dict[str, str] = {
-    "op3_secrets": op3_secrets,
     "op3_secrets": OP3_SQL,
     "op5_decontaminate": OP5_SQL,
     "op6_chat": OP6_SQL,
