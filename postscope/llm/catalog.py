@@ -11,6 +11,7 @@ from .chat import OP6_SQL, op6_chat
 from .crf import op7_quality
 from .ctw import op9_ctw
 from .decontaminate import OP5_SQL, op5_decontaminate
+from .periodic_runs import op11_periodic_runs
 from .pii import op10_pii
 from .secret_scan import OP3_SQL, op3_secrets
 from .sharding import op2_sharding
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_ctw": op9_ctw,
     "op10_pii": op10_pii,
+    "op11_periodic_runs": op11_periodic_runs,
     "op13_whitening": op13_whitening,
 }
 
