@@ -16,6 +16,7 @@ from .pii import op10_pii
 from .secret_scan import OP3_SQL, op3_secrets
 from .sharding import op2_sharding
 from .simhash import op1_simhash
+from .suffix_dedup import op12_suffix_dedup
 from .weighted_sampling import op4_fingerprints
 from .whitening import op13_whitening
 
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ctw": op9_ctw,
     "op10_pii": op10_pii,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_suffix_dedup": op12_suffix_dedup,
     "op13_whitening": op13_whitening,
 }
 
