@@ -83,3 +83,28 @@ def session_groups(df: DataFrame, keys: Sequence[str], time_col: str, gap: str,
     return g.select(F.timestamp_micros("_s").alias("window_start"),
                     F.timestamp_micros(F.col("_e") + F.lit(gap_us)).alias("window_end"),
                     *keys, *names)
+
+
+def merged_intervals(df: DataFrame, keys: Sequence[str], gap_us: int, aggs: Sequence[Column], bucket: str | Column) -> DataFrame:
+    """Intervals ``[_u, _e]`` (microseconds) of a key that overlap, touch or lie at most ``gap_us`` apart,
+    as one row ``keys..., _u, _e`` with ``aggs``.
+
+    The same two-level scan as :func:`session_ids`, for rows that have a length (open sessions met again):
+    the latest end so far is a running maximum in the slice and a prefix maximum over earlier slices.
+    ``bucket`` grows with ``_u`` inside a key.
+    """
+    keys = list(keys)
+    d = df.withColumn("_b", F.col(bucket) if isinstance(bucket, str) else bucket)
+    own = Window.partitionBy(*keys, "_b").orderBy("_u", "_e")
+    earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(UNB, -1)
+    ends = d.groupBy(*keys, "_b").agg(F.max("_e").alias("_me"))
+    ends = ends.select(*keys, "_b", F.max("_me").over(earlier).alias("_before"))
+    d = d.withColumn("_reach", F.max("_e").over(own.rowsBetween(UNB, -1))).join(ends, [*keys, "_b"])
+    reach = F.greatest("_reach", "_before")
+    d = d.withColumn("_new", F.when(reach.isNotNull() & (F.col("_u") - reach <= gap_us), 0).otherwise(1))
+    d = d.withColumn("_c", F.sum("_new").over(own.rowsBetween(UNB, 0)))
+    count = d.groupBy(*keys, "_b").agg(F.sum("_new").alias("_nb"))
+    count = count.select(*keys, "_b", F.coalesce(F.sum("_nb").over(earlier), F.lit(0)).alias("_base"))
+    d = d.join(count, [*keys, "_b"]).withColumn("_sid", F.col("_base") + F.col("_c"))
+    g = d.groupBy(*keys, "_sid").agg(F.min("_u").alias("_u"), F.max("_e").alias("_e"), *aggs)
+    return g.drop("_sid")

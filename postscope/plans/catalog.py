@@ -26,9 +26,10 @@ from ..sinks.archive import stream_archive_sink, write_archive
 from ..sinks.documents import LAYOUTS, STAT_INDEX, comparison_documents, stream_documents, to_documents
 from ..sinks.reports import REPORTS, write_reports
 from ..sources.posts import archive_lines, archive_posts, live_posts, live_raw, read_archive, stream_archive
-from ..sources.tables import document_posts, event_posts, event_raw_posts, props_k, table
+from ..sources.tables import document_posts, event_posts, event_raw_posts, table
 from ..streaming.live import live_stats, live_word_count, start_compare, start_stat_documents, write_history
 from ..streaming.predictors import start_bucketed
+from ..streaming.sessions import start_sessions
 from ..streaming.runner import materialise_stream, run_stream
 from ..vocab import (ARCHIVE_BUCKET_MS, DOCUMENT_TAGS, EVENT_TAGS, EWMA_RATE, MODEL_NAMES, REGRESSION_WARMUP,
                      SMA_RING, STAT_NAMES)
@@ -260,7 +261,6 @@ def _session_columns(w):
                     *_round6(["avg_words", "avg_length", "avg_followers", "avg_reretweets"]))
 
 
-@register("session_stats_bucketed", SESSION_SQL)
 @register("session_stats", SESSION_SQL)
 def q_session_stats(spark, sf):
     rows = sliced(_events(spark, sf), "tag", ["t"])
@@ -327,7 +327,6 @@ def _ewma_columns(p):
     return p.select(F.col("id").alias("event_id"), "tag", v.alias("predicted_value"), java_int(v).alias("predicted"), "real")
 
 
-@register("predict_ewma_bucketed", _ewma_sql())
 @register("predict_ewma", _ewma_sql())
 def q_predict_ewma(spark, sf):
     rows = sliced(_events(spark, sf), "tag", ORDER)
@@ -351,13 +350,11 @@ def _regression(pairs):
     return p.select(F.col("id").alias("event_id"), "tag", "predicted", "real")
 
 
-@register("predict_regression_retweets_bucketed", _regression_sql(sql_k()))
 @register("predict_regression_retweets", _regression_sql(sql_k()))
 def q_predict_regression_retweets(spark, sf):
     return _regression(stats.retweet_pairs(_events(spark, sf)))     # M7
 
 
-@register("predict_regression_followers_bucketed", _regression_sql("user_id"))
 @register("predict_regression_followers", _regression_sql("user_id"))
 def q_predict_regression_followers(spark, sf):
     return _regression(stats.status_pairs(_events(spark, sf)))      # M8
@@ -370,7 +367,6 @@ def _sma_sql() -> str:
   {sql_int('value')} AS real FROM events"""
 
 
-@register("predict_sma_bucketed", _sma_sql())
 @register("predict_sma", _sma_sql())
 def q_predict_sma(spark, sf):
     rows = sliced(_events(spark, sf), "tag", ORDER)
@@ -474,8 +470,10 @@ def q_stream_tumbling_stats(spark, sf):
 
 @register("stream_session_stats", SESSION_SQL)
 def q_stream_session_stats(spark, sf):
-    return _session_columns(_stream_rows(spark, sf, "stream_session_stats",
-                                         lambda p: live_stats(p, window=None, session_gap=SESSION_GAP, watermark="1 hour")))
+    base = scratch_path(spark, "stream_session_stats")
+    in_turns(spark, sf, base, lambda s: start_sessions(event_posts(s), f"{base}/out", f"{base}/state", f"{base}/checkpoint",
+                                                       gap=SESSION_GAP, watermark="1 hour", trigger=ONCE))
+    return _session_columns(spark.read.parquet(f"{base}/out"))
 
 
 @register("stream_word_count", ORACLE["tumbling_word_count"])
@@ -564,25 +562,21 @@ def _emitted(out):
     return out.select(F.col("id").alias("event_id"), "tag", "predicted", "real")
 
 
-@register("stream_predict_ewma_bucketed", ORACLE["predict_ewma"])
 @register("stream_predict_ewma", ORACLE["predict_ewma"])
 def q_stream_predict_ewma(spark, sf):
     return _ewma_columns(_stream_predict(spark, sf, "ewma", value="followersCount"))
 
 
-@register("stream_predict_sma_bucketed", ORACLE["predict_sma"])
 @register("stream_predict_sma", ORACLE["predict_sma"])
 def q_stream_predict_sma(spark, sf):
     return _emitted(_stream_predict(spark, sf, "sma", value="followersCount"))
 
 
-@register("stream_predict_regression_retweets_bucketed", ORACLE["predict_regression_retweets"])
 @register("stream_predict_regression_retweets", ORACLE["predict_regression_retweets"])
 def q_stream_predict_regression_retweets(spark, sf):
     return _emitted(_stream_predict(spark, sf, "regression", stats.retweet_pairs, x="x", y="y"))
 
 
-@register("stream_predict_regression_followers_bucketed", ORACLE["predict_regression_followers"])
 @register("stream_predict_regression_followers", ORACLE["predict_regression_followers"])
 def q_stream_predict_regression_followers(spark, sf):
     return _emitted(_stream_predict(spark, sf, "regression", stats.status_pairs, x="x", y="y"))
@@ -605,23 +599,29 @@ def spoilt_feed(events):
     raw = event_raw_posts(events)
     v, way = F.col("value"), F.pmod(F.get_json_object("value", "$.id").cast("bigint"), F.lit(_SPOIL))
     created = r'"created_at":"[^"]*"'
+    shared = F.get_json_object("value", "$.retweeted_status.id").isNotNull()
+    inner = r'("retweeted_status":\{.*?)'
     bad = (F.when(way == 1, F.concat(F.lit("{broken "), v))
-           .when(way == 2, F.regexp_replace(v, r'"user":\{[^}]*\}', '"user":null'))
-           .when(way == 3, F.regexp_replace(v, created, '"created_at":"never"'))
+           .when(way == 2, F.regexp_replace(v, r'^(.*?)"user":\{[^}]*\}', '$1"user":null'))
+           .when(way == 3, F.regexp_replace(v, r'^(.*?)' + created, '$1"created_at":"never"'))
+           # a re-share that is there already is spoilt, other posts get a spoilt one
+           .when((way == 4) & shared, F.regexp_replace(v, inner + r',"user":\{[^}]*\}', "$1"))
            .when(way == 4, F.regexp_replace(v, r'\}$', ',"retweeted_status":{"id":1,"created_at":"Tue Oct 22 20:33:43 +0000 2019"}}'))
+           .when((way == 5) & shared, F.regexp_replace(v, inner + created, '$1"created_at":"never"'))
            .when(way == 5, F.regexp_replace(v, r'\}$', ',"retweeted_status":{"id":1,"user":{"name":"x"},"created_at":"never"}}')))
     return raw.select(F.coalesce(bad, v).alias("value"))
 
 
 @register("live_feed", f"""WITH {EV_POSTS} SELECT CASE id % {_SPOIL} WHEN 1 THEN 'malformed json' WHEN 2 THEN 'no user object'
   WHEN 3 THEN 'bad created_at' WHEN 4 THEN 're-share without user' WHEN 5 THEN 're-share with bad created_at' ELSE 'good' END AS outcome,
-  CASE WHEN id % {_SPOIL} = 1 THEN 0 ELSE id END AS id FROM ev WHERE NOT (id % {_SPOIL} IN (4, 5) AND k % 2 = 1)""")
+  CASE WHEN id % {_SPOIL} = 1 THEN 0 ELSE id END AS id,
+  CASE WHEN id % {_SPOIL} IN (0, 2, 3, 4, 5, 6) THEN k % 2 = 1 OR id % {_SPOIL} IN (4, 5) ELSE false END AS shared FROM ev""")
 def q_live_feed(spark, sf):
     """Every raw post is either a record or quarantined, with its reason."""
     base = scratch_path(spark, "live_feed")
-    # posts that already carry a re-share cannot be given a second one
-    clean = table(spark, sf, "events").where(~(F.pmod("event_id", F.lit(_SPOIL)).isin(4, 5) & (props_k() % 2 == 1)))
-    spoilt_feed(clean).write.text(f"{base}/feed")
+    spoilt_feed(table(spark, sf, "events")).write.text(f"{base}/feed")
     posts = live_posts(live_raw(spark, f"{base}/feed"), tags=EVENT_TAGS, with_errors=True)
     out = materialise_stream(spark, posts, None, "live_feed", output_mode="append")
-    return out.select(F.coalesce("error", F.lit("good")).alias("outcome"), F.when(F.col("error") == "malformed json", 0).otherwise(F.col("id")).alias("id"))
+    broken = F.col("error") == "malformed json"
+    return out.select(F.coalesce("error", F.lit("good")).alias("outcome"), F.when(broken, 0).otherwise(F.col("id")).alias("id"),
+                      F.when(broken, False).otherwise(F.col("retweet.id") != 0).alias("shared"))

@@ -96,3 +96,68 @@ def test_a_refreshed_history_is_used_from_the_next_batch(spark, tmp_path):
     got = {(r.window_start.day, r.name): (r.diff, r.int_diff) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got[1, "maxWordLength"] == (5.0, 5) and got[2, "maxWordLength"] == (6.0, 6)
     assert got[1, "avgFollowerCount"] == (-1.0, None) and got[2, "avgFollowerCount"] == (0.0, None)
+
+
+def session_batches(spark, root, batches, **how):
+    """Runs ``start_sessions`` over lists of (tag, seconds, id), one restart per batch; the sessions found."""
+    from postscope.streaming.sessions import start_sessions
+    schema = "tag string, t timestamp, id bigint"
+    for k, rows_ in enumerate(batches):
+        frame = spark.createDataFrame([(tag, round(s * 1_000_000), i) for tag, s, i in rows_], "tag string, us bigint, id bigint")
+        frame.select("tag", F.timestamp_micros("us").alias("t"), "id").write.parquet(f"{root}/feed/turn={k}")
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{root}/feed")
+        measures = {"n": (F.lit(1), "count"), "total": (F.col("id"), "sum"), "mean": (F.col("id"), "avg"), "least": (F.col("id"), "min")}
+        start_sessions(stream, f"{root}/out", f"{root}/state", f"{root}/ck", measures=measures, late=f"{root}/late", trigger={"availableNow": True}, **how).awaitTermination()
+    out = spark.read.parquet(f"{root}/out").select("tag", F.unix_micros("window_start").alias("a"), F.unix_micros("window_end").alias("z"), "n", "total", "mean", "least")
+    return sorted(tuple(r) for r in out.collect())
+
+
+def plain_sessions(rows_, gap):
+    out = []
+    for tag in {r[0] for r in rows_}:
+        times = sorted((round(s * 1_000_000), i) for t, s, i in rows_ if t == tag)
+        while times:
+            part = [times.pop(0)]
+            while times and times[0][0] - part[-1][0] <= gap * 1_000_000:
+                part.append(times.pop(0))
+            ids = [i for _, i in part]
+            out.append((tag, part[0][0], part[-1][0] + gap * 1_000_000, len(ids), sum(ids), sum(ids) / len(ids), min(ids)))
+    return sorted(out)
+
+
+def test_open_sessions_cross_micro_batches(spark, tmp_path, slices=7):
+    """Rows out of order by up to 20 s over three batches, with a bridge between two open sessions: equal to one pass over all rows."""
+    import random
+    rnd = random.Random(slices)
+    rows_, now = [], 0.0
+    for i in range(450):
+        now += rnd.choice([0.2, 0.7, 1.0, 1.4, 4.0])
+        rows_.append(("hot" if rnd.random() < 0.6 else rnd.choice("ab"), round(now, 1), i))
+    near = sorted(rows_, key=lambda r: r[1] + rnd.random() * 20)
+    batches = [near[k * 150:(k + 1) * 150] for k in range(3)]
+    batches += [[("end", now + 1000, 0)]]
+    got = session_batches(spark, str(tmp_path), batches, gap="1 second", watermark="30 seconds", slices=slices)
+    assert got == [s for s in plain_sessions(rows_, 1) if s[0] != "end"]
+    assert len([d for d in os.listdir(tmp_path / "state") if d.startswith("batch=")]) == 2 and spark.read.parquet(str(tmp_path / "late")).count() == 0
+
+
+def test_a_bridge_joins_open_sessions_and_late_rows_are_kept_apart(spark, tmp_path):
+    batches = [[("a", 10, 1), ("a", 12, 2)], [("a", 11, 3), ("a", 100, 4)], [("a", 10.5, 5), ("a", 99, 6), ("b", 300, 7)], []]
+    got = session_batches(spark, str(tmp_path), batches, gap="1 second", watermark="30 seconds")
+    assert [(s[0], s[1] // 10**6, s[2] // 10**6, s[3], s[4]) for s in got] == [("a", 10, 13, 3, 6), ("a", 99, 101, 2, 10)]
+    assert [r.id for r in spark.read.parquet(str(tmp_path / "late")).collect()] == [5]
+
+
+def test_session_slices_of_a_hot_tag_are_even(spark, tmp_path):
+    """60% of the rows are one tag: no task of the session scan reads over twice the mean."""
+    from postscope.operators.sessions import merged_intervals
+    from postscope.operators.slices import SLICE, sliced
+    rows_ = spark.range(30_000).select(F.when(F.col("id") % 10 < 6, "hot").otherwise(F.concat(F.lit("t"), F.col("id") % 4)).alias("tag"),
+                                       (F.col("id") * 400_000).alias("_u"), (F.col("id") * 400_000).alias("_e"), F.lit(1).alias("n"))
+    cut = sliced(rows_, "tag", ["_u"], 16, str(tmp_path / "cut"))
+    sizes = [r["count"] for r in cut.groupBy(SLICE).count().collect()]
+    assert max(sizes) <= 2 * 30_000 / 16
+    got = merged_intervals(cut, ["tag"], 1_000_000, [F.sum("n").alias("n")], F.col(SLICE))
+    assert got.agg(F.sum("n")).first()[0] == 30_000
+    plain = rows_.select("tag", F.timestamp_micros("_u").alias("t")).groupBy(F.session_window("t", "1 second").alias("w"), "tag").count()
+    assert sorted((r.tag, r._u, r.n) for r in got.collect()) == sorted((r[0], r[1], r[2]) for r in plain.select("tag", F.unix_micros("w.start"), "count").collect())
