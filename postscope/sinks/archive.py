@@ -8,11 +8,11 @@ one file open at a time.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.time import bucket_ms
 from ..schema import POST_COLUMNS
+from ..session import settings
 from ..vocab import ARCHIVE_BUCKET_MS
 
 
@@ -22,26 +22,21 @@ def _with_bucket(posts: DataFrame, width_ms: int) -> DataFrame:
 
 def write_archive(posts: DataFrame, path: str, width_ms: int = ARCHIVE_BUCKET_MS,
                   mode: str = "append", writers: int | None = 0) -> None:
-    """Write posts under ``path/bucket=<ms>/``.
+    """Write posts under ``path/bucket=<ms>/``, reading them once.
 
-    ``writers`` (default: ``spark.sql.shuffle.partitions``): rows are hashed by
-    bucket, so a bucket is written by one task (one file). A bucket of more
-    than an equal share of the rows, counted first from the ``createdAt``
-    column alone, is salted over as many tasks as it has shares.
+    Rows are rebalanced by bucket over ``writers`` partitions (default:
+    ``spark.sql.shuffle.partitions``), so a bucket is written by one task (one
+    file); Spark splits a partition above the advisory size over several tasks while the
+    query runs, which spreads a hot bucket. Small partitions are not put
+    together: writing many small folders is bound by their number.
     ``writers=None`` skips the shuffle and only sorts inside each input task,
     which is cheaper when the input is already time-ordered.
     """
     df = _with_bucket(posts, width_ms)
     if writers is not None:
-        n = writers or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        sizes = df.groupBy("bucket").agg(F.count("*").alias("_n"))
-        share = sizes.agg(F.sum("_n")).first()[0] or 0
-        hot = sizes.where(F.col("_n") > share / n).select("bucket", F.ceil(F.col("_n") * n / max(share, 1)).alias("_parts"))
-        # fewer than ``writers`` buckets can hold more than 1 / writers of the rows
-        df = df.join(F.broadcast(hot), "bucket", "left")
-        salt = F.pmod(F.xxhash64("id", "text"), F.coalesce("_parts", F.lit(1)))
-        df = df.repartition(n, "bucket", salt).select(*POST_COLUMNS, "bucket")
-    (df.sortWithinPartitions("bucket").write.mode(mode).partitionBy("bucket").json(path))
+        df = df.hint("rebalance", *([writers] if writers else []), "bucket")
+    with settings(df.sparkSession, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        df.sortWithinPartitions("bucket").write.mode(mode).partitionBy("bucket").json(path)
 
 
 def stream_archive_sink(posts: DataFrame, path: str, checkpoint: str,

@@ -13,6 +13,7 @@ from ..functions.json import normalise, valid_posts
 from ..functions.tagging import track_filter
 from ..functions.time import event_time
 from ..schema import DEFAULTS, POST, RETWEET
+from ..session import settings
 from ..vocab import DEFAULT_TAGS
 
 
@@ -95,7 +96,9 @@ def archive_text(spark: SparkSession, path: str, recursive: bool = False) -> Dat
     r = spark.read.format("text")
     if recursive:
         r = r.option("recursiveFileLookup", "true")
-    return r.load(path)
+    # an archive has many small folders: list them in a few tasks per core, not in one task each
+    with settings(spark, {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(4 * spark.sparkContext.defaultParallelism)}):
+        return r.load(path)
 
 
 def read_archive(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
