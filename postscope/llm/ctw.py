@@ -15,15 +15,20 @@ estimates along its context path, each node taking the share 1/2 Pe / Pw of what
 the nodes above left over, unseen nodes counting 1/2.
 
 In Spark: the corpus is packed once into blocks of at most ``BLOCK`` bytes. Each
-block sends its distinct (context, byte) grams and words with their training
-counts; a window sum makes corpus counts of them. Trees are built from counted
-grams dealt out by the ``NEAR`` nearest context bytes, deepest nodes first; only
-the depths above those (seen pairs of bytes, 255 decisions each at most) meet on
-the driver. Every gram, seen in training or not, gets its log probability there, and each block
-gets back the values of its own grams and words alone. So the model is never
+block sends its distinct (context, byte) grams with their training counts, and its
+words, to ranges dealt out by the ``NEAR`` nearest context bytes: one row for a
+block and range, grams sorted and sent as differences, so a gram takes about one
+and a half bytes. A range adds up the counts of all blocks and builds its trees,
+deepest nodes first; it is stored as one row together with its blocks' lists. Only
+the depths above NEAR meet on the driver (at most 255 decisions for each seen pair
+of bytes), which sends them back with the second pass. That pass gives every gram,
+seen in training or not, its log probability, and each block gets back the values
+of its own grams and words alone, as fixed-point numbers, so sums of them don't
+depend on their order. No larger part of the model is ever on the driver or
 broadcast, and what is gathered grows with the corpus.
 
-Defined results: null text is empty and has its end only. A null id hashes as
+Defined results: null text is empty and has its end only. Very long texts are
+scored whole; one longer than ``BLOCK`` is a block of its own. A null id hashes as
 empty text. Without training rows all estimates are 1/2 a bit. Repeated rows
 each get their row and each count in training; an empty table gives an empty
 result; other columns are not read.
@@ -33,25 +38,29 @@ from __future__ import annotations
 
 import io
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import held_out, partitions, read_table, row_blocks, stored, tidy
 
-DEPTH = 4  # context bytes unless given; a gram is one byte more, seven bytes at most
+DEPTH = 4  # context bytes unless given; a gram is one byte more, eight bytes at most
 QUERY_DEPTH = 6  # context bytes of op9_ctw
 NEAR = 3  # trees are dealt out by so many nearest context bytes
-BLOCK = 16 << 20
-PIECE = 1 << 20  # bytes whose grams are handled at once
+BLOCK = 24 << 20
+PIECE = 2 << 20  # bytes whose grams are handled at once
+GROUP = 1 << 17  # grams of about so many are made into trees at once
+POINT = 1 << 32  # values are sent as multiples of 1 / POINT
 HALF = math.log(0.5)
+FREE = np.uint64(0xFFFFFFFFFFFFFFFF)  # no gram: 0xFF is no byte of UTF-8
 
 
 def normalised(text: str) -> bytes:
@@ -69,20 +78,57 @@ def grams(texts: list[bytes], depth: int = DEPTH) -> np.ndarray:
     at = np.cumsum([0] + [len(t) + depth + 1 for t in texts[:-1]])
     for k in range(depth):
         keep[at + k] = False
-    return out[keep].view(np.int64)
+    return out[keep]
 
 
 def pieces(texts: list[bytes]) -> Iterator[tuple[int, int]]:
     return row_blocks([*map(len, texts)], PIECE)
 
 
+def added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, and their summed counts."""
+    key, n = np.concatenate([np.zeros(0, np.uint64), *keys]), np.concatenate([np.zeros(0, np.int64), *counts])
+    by = np.argsort(key, kind="stable")
+    key = key[by]
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+    return key[first], np.add.reduceat(n[by], first) if len(first) else n
+
+
 def gram_counts(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
-    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    keys, counts = [], []
     for a, b in pieces(texts):
-        k, c = np.unique(grams(texts[a:b], depth), return_counts=True)
-        both, where = np.unique(np.r_[keys, k], return_inverse=True)
-        keys, counts = both, np.bincount(where, np.r_[counts, c], len(both)).astype(np.int64)
-    return keys, counts
+        k = np.sort(grams(texts[a:b], depth))
+        first = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+        keys.append(k[first])
+        counts.append(np.diff(np.r_[first, len(k)]))
+    return added(keys, counts)
+
+
+def squeezed(x: np.ndarray) -> bytes:
+    """Eight-byte numbers, compressed byte plane by byte plane."""
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8).T).data) if len(x) else b""
+
+
+def loosened(body: bytes, kind: type = np.int64) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zstandard.ZstdDecompressor().decompress(body), np.uint8).reshape(8, -1).T).view(kind).ravel() if body else np.zeros(0, kind)
+
+
+def squeezed_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as differences."""
+    return squeezed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def loosened_keys(body: bytes) -> np.ndarray:
+    return np.cumsum(loosened(body, np.uint64), dtype=np.uint64)
+
+
+def squeezed_words(words: list[bytes]) -> bytes:
+    """Words hold no white space."""
+    return zstandard.ZstdCompressor(level=3).compress(b" ".join(words)) if words else b""
+
+
+def loosened_words(body: bytes) -> list[bytes]:
+    return zstandard.ZstdDecompressor().decompress(body).split(b" ") if body else []
 
 
 def pack(docs: DataFrame, id_col: str, text_col: str, out: Column, block: int = BLOCK) -> DataFrame:
@@ -126,8 +172,17 @@ def unpack(docs: bytes) -> tuple[pa.Table, list[bytes], np.ndarray]:
     return table, [normalised(t) for t in table["text"].to_pylist()], table["held_out"].to_numpy()
 
 
-def block_counts(packed: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(block, word, gram, n): training counts of every distinct word and gram of each block, 0 for those only in held-out rows."""
+def ranges_of(gram: np.ndarray, depth: int, ranges: int) -> np.ndarray:
+    """The range of each gram, by its NEAR nearest context bytes."""
+    near = gram >> np.uint64(8 * (depth + 1 - NEAR))
+    return ((near * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(ranges)).astype(np.int32)
+
+
+LISTS = "range int, block bigint, grams binary, counts binary, words binary, word_counts binary"
+
+
+def block_lists(packed: DataFrame, depth: int, ranges: int) -> DataFrame:
+    """One row for a block and range: the block's distinct grams and words there with their training counts, 0 for those only in held-out rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -138,33 +193,24 @@ def block_counts(packed: DataFrame, depth: int = DEPTH) -> DataFrame:
                 for t in train:
                     words.update(t.split())
                 for t in rest:
-                    for w in t.split():
-                        words[w] += 0
-                keys, counts = gram_counts(train, depth)
-                extra = np.setdiff1d(gram_counts(rest, depth)[0], keys)
-                keys, counts = np.r_[keys, extra], np.r_[counts, np.zeros(len(extra), np.int64)]
-                for a in range(0, len(words), 100_000):
-                    part = list(words.items())[a:a + 100_000]
-                    yield batch(block, [w for w, _ in part], None, [n for _, n in part])
-                for a in range(0, len(keys), 100_000):
-                    yield batch(block, None, keys[a:a + 100_000], counts[a:a + 100_000])
-
-    def batch(block: int, words: list | None, keys: np.ndarray | None, n) -> pa.RecordBatch:
-        size = len(n)
-        return pa.RecordBatch.from_pydict({
-            "block": pa.array(np.full(size, block), pa.int64()),
-            "word": pa.array(words, pa.binary()) if words is not None else pa.nulls(size, pa.binary()),
-            "gram": pa.array(keys, pa.int64()) if keys is not None else pa.nulls(size, pa.int64()),
-            "n": pa.array(n, pa.int64())})
-
-    return packed.mapInArrow(tidy(run), "block bigint, word binary, gram bigint, n bigint")
-
-
-def corpus_counts(parts: DataFrame) -> DataFrame:
-    """``parts`` with the corpus count ``c``, and ``first`` on one row of each word or gram; stored. A key has one row a block at most."""
-    same = W.partitionBy("word", "gram")
-    counted = parts.select("block", "word", "gram", "n", F.sum("n").over(same).alias("c"), F.row_number().over(same.orderBy("block")).alias("k"))
-    return stored(counted.select("block", "word", "gram", "n", "c", (F.col("k") == 1).alias("first")), "corpus-counts")
+                    words.update(dict.fromkeys(t.split(), 0))
+                (keys, counts), more = gram_counts(train, depth), gram_counts(rest, depth)[0]
+                keys, counts = added([keys, more], [counts, np.zeros(len(more), np.int64)])
+                where = ranges_of(keys, depth, ranges)
+                by = np.argsort(where, kind="stable")
+                keys, counts = keys[by], counts[by]
+                cut = np.searchsorted(where[by], np.arange(ranges + 1)).tolist()
+                own: dict[int, list[bytes]] = {}
+                for w in words:
+                    own.setdefault(zlib.crc32(w) % ranges, []).append(w)
+                for r, (a, z) in enumerate(zip(cut[:-1], cut[1:])):
+                    mine = sorted(own.get(r, []))
+                    if z > a or mine:
+                        yield pa.RecordBatch.from_pydict({
+                            "range": pa.array([r], pa.int32()), "block": pa.array([block], pa.int64()), "grams": [squeezed_keys(keys[a:z])], "counts": [squeezed(counts[a:z])],
+                            "words": [squeezed_words(mine)], "word_counts": [squeezed(np.array([words[w] for w in mine], np.int64))]})
+
+    return packed.mapInArrow(tidy(run), LISTS)
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -208,7 +254,7 @@ class Nodes:
     """
 
     def __init__(self, gram: np.ndarray, n: np.ndarray, below: "Nodes | None" = None, short: np.ndarray | None = None):
-        node, bit = decisions(gram & 255)
+        node, bit = decisions((gram & 255).astype(np.int64))
         new = np.ones(node.shape, bool)
         for j in range(8):
             part = gram >> (8 - j)
@@ -231,7 +277,7 @@ class Nodes:
 
     def shorter(self) -> np.ndarray:
         """Each node's key one context byte shorter: (context, decision)."""
-        return (self.gram[self.first] >> 16 << 8) | self.node
+        return (self.gram[self.first] >> 16 << 8).astype(np.int64) | self.node
 
 
 def trees(gram: np.ndarray, n: np.ndarray, depth: int) -> list[Nodes]:
@@ -242,29 +288,14 @@ def trees(gram: np.ndarray, n: np.ndarray, depth: int) -> list[Nodes]:
     return levels
 
 
-def grouped(counted: DataFrame, depth: int) -> DataFrame:
-    """(near, gram, c): one row per gram, dealt out by its NEAR nearest context bytes and sorted."""
-    near = F.shiftright("gram", 8 * (depth + 1 - NEAR)).cast("int")
-    rows = counted.where("first AND gram IS NOT NULL").select(near.alias("near"), "gram", "c")
-    return rows.repartition(partitions(counted.sparkSession), "near").sortWithinPartitions("near", "gram")
-
-
-def whole_groups(batches: Iterator[pa.RecordBatch], most: int = 1 << 17) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Consecutive rows of about ``most``, cut between groups only. A group has at most 256 ** (depth + 1 - NEAR) grams."""
-    held: list[tuple[np.ndarray, ...]] = []
-    size = 0
-    for b in batches:
-        held.append(tuple(b.column(k).to_numpy(zero_copy_only=False) for k in range(3)))
-        size += b.num_rows
-        if size >= most:
-            near, gram, c = (np.concatenate(x) for x in zip(*held))
-            cut = int(np.searchsorted(near, near[-1]))
-            if cut:
-                yield gram[:cut], c[:cut]
-            held, size = [(near[cut:], gram[cut:], c[cut:])], len(near) - cut
-    if size:
-        _, gram, c = (np.concatenate(x) for x in zip(*held))
-        yield gram, c
+def groups(gram: np.ndarray, depth: int) -> Iterator[slice]:
+    """Slices of about GROUP sorted grams, cut between groups of the NEAR nearest context bytes only."""
+    near = gram >> np.uint64(8 * (depth + 1 - NEAR))
+    start = 0
+    while start < len(gram):
+        end = len(gram) if start + GROUP >= len(gram) else int(np.searchsorted(near, near[start + GROUP], "right"))
+        yield slice(start, end)
+        start = end
 
 
 class Crown:
@@ -297,36 +328,83 @@ class Crown:
         return done, left
 
 
-def crown(counted: DataFrame, depth: int = DEPTH) -> Crown:
+def tops(gram: np.ndarray, c: np.ndarray, depth: int) -> tuple[np.ndarray, ...]:
+    """(key, zeros, ones, log_w): what whole groups of sorted grams give the contexts of NEAR - 1 bytes; a key may come several times."""
+    out = [(np.zeros(0, np.int64), *(np.zeros(0),) * 3)]
+    for part in groups(gram, depth):
+        top = trees(gram[part], c[part], depth)[-1]
+        key, where = np.unique(top.shorter(), return_inverse=True)
+        out.append((key, *(np.bincount(where, x, len(key)) for x in (top.zeros, top.ones, top.log_w))))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+SUMMED = """range int, blocks array<bigint>, grams binary, counts binary, lists array<binary>, words array<binary>, word_counts array<binary>,
+            key binary, zeros binary, ones binary, log_w binary, tokens bigint, types bigint"""
+
+
+def range_sums(lists: DataFrame, depth: int) -> DataFrame:
+    """One row per range: corpus counts of its grams, its blocks' lists of grams and words with the words' corpus counts, and what its trees
+    give the depths above them; stored."""
+
+    def run(t: pa.Table) -> pa.Table:
+        lists = t["grams"].to_pylist()
+        gram, c = added([loosened_keys(x) for x in lists], [loosened(x) for x in t["counts"].to_pylist()])
+        key, zeros, ones, log_w = tops(gram, c, depth)
+        total: Counter = Counter()
+        words = t["words"].to_pylist()
+        for w, n in zip(words, t["word_counts"].to_pylist()):
+            for x, k in zip(loosened_words(w), loosened(n).tolist()):
+                total[x] += k
+        known = [squeezed(np.array([total[x] for x in loosened_words(w)], np.int64)) for w in words]
+        row = {"range": t["range"][:1], "blocks": [t["block"].to_pylist()], "grams": [squeezed_keys(gram)], "counts": [squeezed(c)], "lists": [lists], "words": [words], "word_counts": [known],
+               "key": [squeezed(key)], "zeros": [squeezed(zeros)], "ones": [squeezed(ones)], "log_w": [squeezed(log_w)],
+               "tokens": [sum(total.values())], "types": [sum(n > 0 for n in total.values())]}
+        pa.default_memory_pool().release_unused()
+        return pa.table(row)
+
+    return stored(lists.groupBy("range").applyInArrow(run, SUMMED), "ctw-ranges")
+
+
+def crown(summed: DataFrame) -> Crown:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for gram, c in whole_groups(batches):
-            top = trees(gram, c, depth)[-1]
-            key, where = np.unique(top.shorter(), return_inverse=True)
-            sums = {k: np.bincount(where, x, len(key)) for k, x in (("zeros", top.zeros), ("ones", top.ones), ("log_w", top.log_w))}
-            yield pa.RecordBatch.from_pydict({"key": pa.array(key, pa.int64())} | sums)
+        for b in batches:
+            for key, *rest in zip(*(c.to_pylist() for c in b.columns)):
+                yield pa.RecordBatch.from_pydict({"key": loosened(key)} | {k: loosened(x, np.float64) for k, x in zip(("zeros", "ones", "log_w"), rest)})
 
-    low = grouped(counted, depth).mapInArrow(tidy(run), "key bigint, zeros double, ones double, log_w double").groupBy("key").agg(
+    low = summed.select("key", "zeros", "ones", "log_w").mapInArrow(tidy(run), "key bigint, zeros double, ones double, log_w double").groupBy("key").agg(
         F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("log_w").alias("log_w")).orderBy("key").toPandas()
     return Crown(low["key"].to_numpy(np.int64), *(low[x].to_numpy(np.float64) for x in ("zeros", "ones", "log_w")))
 
 
-def gram_scores(counted: DataFrame, top: Crown, depth: int = DEPTH) -> DataFrame:
-    """(gram, value): log10 probability of the byte after its context, for every gram of the corpus."""
+def gram_values(gram: np.ndarray, c: np.ndarray, top: Crown, depth: int) -> np.ndarray:
+    """log10 probability, in multiples of 1 / POINT, of the byte after its context for whole groups of sorted grams."""
+    out = [np.zeros(0, np.int64)]
+    for part in groups(gram, depth):
+        levels = trees(gram[part], c[part], depth)[::-1]
+        p, rest = top[levels[0].shorter()]
+        for level in levels:
+            if level is not levels[0]:
+                p, rest = p[level.up], rest[level.up]
+            p, rest = p + rest * level.stop * level.one, rest * (1 - level.stop)
+        _, bit = decisions((levels[-1].gram & 255).astype(np.int64))
+        p = p[levels[-1].at]
+        out.append(np.rint(np.log10(np.where(bit == 1, p, 1 - p)).sum(0) * POINT).astype(np.int64))
+    return np.concatenate(out)
+
+
+def block_values(summed: DataFrame, top: Crown, depth: int) -> DataFrame:
+    """(block, grams, gram_values, words, word_counts): what each block needs to know, range by range."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for gram, c in whole_groups(batches):
-            levels = trees(gram, c, depth)[::-1]
-            p, rest = top[levels[0].shorter()]
-            for level in levels:
-                if level is not levels[0]:
-                    p, rest = p[level.up], rest[level.up]
-                p, rest = p + rest * level.stop * level.one, rest * (1 - level.stop)
-            _, bit = decisions(gram & 255)
-            p = p[levels[-1].at]
-            value = np.log10(np.where(bit == 1, p, 1 - p)).sum(0)
-            yield pa.RecordBatch.from_pydict({"gram": pa.array(gram, pa.int64()), "value": pa.array(value, pa.float64())})
+        for b in batches:
+            for blocks, grams_, counts, lists, words, known in zip(*(c.to_pylist() for c in b.columns)):
+                gram = loosened_keys(grams_)
+                value = gram_values(gram, loosened(counts), top, depth)
+                for block, own, w, n in zip(blocks, lists, words, known):
+                    yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int64()), "grams": [own], "gram_values": [squeezed(value[np.searchsorted(gram, loosened_keys(own))])], "words": [w], "word_counts": [n]})
 
-    return grouped(counted, depth).mapInArrow(tidy(run), "gram bigint, value double")
+    return summed.select("blocks", "grams", "counts", "lists", "words", "word_counts").mapInArrow(
+        tidy(run), "block bigint, grams binary, gram_values binary, words binary, word_counts binary")
 
 
 class Lookup:
@@ -334,12 +412,12 @@ class Lookup:
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         self.bits = max(4, int(2 * len(keys)).bit_length())
-        self.keys = np.full(1 << self.bits, -1, np.int64)
-        self.values = np.zeros(1 << self.bits)
+        self.keys = np.full(1 << self.bits, FREE, np.uint64)
+        self.values = np.zeros(1 << self.bits, np.int64)
         slot = self.slot(keys)
         todo = np.arange(len(keys))
         while len(todo):
-            free = todo[self.keys[slot[todo]] == -1]
+            free = todo[self.keys[slot[todo]] == FREE]
             self.keys[slot[free]] = keys[free]
             mine = self.keys[slot[todo]] == keys[todo]
             self.values[slot[todo[mine]]] = values[todo[mine]]
@@ -347,7 +425,7 @@ class Lookup:
             slot[todo] = (slot[todo] + 1) & (len(self.keys) - 1)
 
     def slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def __getitem__(self, keys: np.ndarray) -> np.ndarray:
         slot = self.slot(keys)
@@ -365,21 +443,18 @@ def score(docs: DataFrame, out: Column, id_col: str = "doc_id", text_col: str =
     """
     kind = docs.schema[id_col].dataType.simpleString()
     packed = pack(docs, id_col, text_col, out)
-    counted = corpus_counts(block_counts(packed, depth))
-    values = gram_scores(counted, crown(counted, depth), depth)
-    words = counted.where("word IS NOT NULL")
-    told = counted.where("gram IS NOT NULL").select("block", "gram").join(values, "gram").select("block", F.lit(None).cast("binary").alias("word"), "gram", "value").union(
-        words.select("block", "word", F.lit(None).cast("bigint"), F.col("c").cast("double")))
+    ranges = max(partitions(docs.sparkSession), packed.select("block").count() // 8)
+    summed = range_sums(block_lists(packed, depth, ranges), depth)
+    told = block_values(summed, crown(summed), depth)
 
     none = pa.table({"id": pa.nulls(0), "held_out": pa.array([], pa.bool_())} | {c: pa.array([], pa.int64()) for c in ("n_bytes", "words", "seen")}
                     | {c: pa.array([], pa.float64()) for c in ("logs", "score")})
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        known = right.filter(right["word"].is_valid())
-        count = dict(zip(known["word"].to_pylist(), known["value"].to_pylist()))
-        rest = right.filter(right["gram"].is_valid())
-        gram, place = np.unique(rest["gram"].to_numpy(), return_index=True)
-        table = Lookup(gram, rest["value"].to_numpy()[place])
+        if not left.num_rows:
+            return none
+        count = {w: n for x, c in zip(right["words"].to_pylist(), right["word_counts"].to_pylist()) for w, n in zip(loosened_words(x), loosened(c).tolist())}
+        table = Lookup(np.concatenate([loosened_keys(x) for x in right["grams"].to_pylist()]), np.concatenate([loosened(x) for x in right["gram_values"].to_pylist()]))
         parts = []
         for body in left["docs"]:
             rows, texts, held = unpack(body.as_py())
@@ -394,14 +469,14 @@ def score(docs: DataFrame, out: Column, id_col: str = "doc_id", text_col: str =
                 base.append(float(np.log10(c + 1).sum()))
             parts.append(pa.table({"id": rows["id"].combine_chunks(), "held_out": pa.array(held, pa.bool_()), "n_bytes": pa.array([len(t) + 1 for t in texts], pa.int64()),
                                    "words": pa.array(tokens, pa.int64()), "seen": pa.array(seen, pa.int64()), "logs": pa.array(base, pa.float64()),
-                                   "score": pa.array(np.concatenate(total), pa.float64())}))
+                                   "score": pa.array(np.concatenate(total) / POINT, pa.float64())}))
         pa.default_memory_pool().release_unused()
-        return pa.concat_tables(parts) if parts else none
+        return pa.concat_tables(parts)
 
     schema = f"id {kind}, held_out boolean, n_bytes bigint, words bigint, seen bigint, logs double, score double"
     scored = packed.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(run, schema)
     ends = docs.agg(F.count(F.when(~out, 1)).alias("ends")).first()["ends"]
-    facts = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count(F.when(F.col("first") & (F.col("c") > 0), 1)).alias("types")).first()
+    facts = summed.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("types"), F.lit(0)).alias("types")).first()
     train, types = facts["tokens"] + ends, facts["types"] + (1 if ends else 0)
     n_tokens = F.col("words") + 1
     base = F.col("logs") + math.log10(ends + 1) - n_tokens * math.log10(train + types + 1)
