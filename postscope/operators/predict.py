@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import java_int
 from ..vocab import EWMA_RATE, MODEL_NAMES, REGRESSION_WARMUP, SMA_RING
+from .slices import PART, partition_columns
 
 UNB = Window.unboundedPreceding
 
@@ -51,8 +52,9 @@ def _with_bucket(df: DataFrame, bucket: str | Column | None) -> DataFrame:
     # extra IS NOT NULL filter on one branch only, and the two branches that
     # read the rows (windows, per-bucket summary) then no longer share their
     # exchange. Rows without a bucket (no time) go to bucket 0.
+    # A slice table (``operators.slices``) has its ``_part`` as it is stored.
     if bucket is None:
-        return df.withColumn("_b", F.lit(0).cast("bigint"))
+        return df.drop(PART).withColumn("_b", F.lit(0).cast("bigint"))
     return df.withColumn("_b", F.coalesce(_c(bucket).cast("bigint"), F.lit(0).cast("bigint")))
 
 
@@ -67,23 +69,33 @@ def _order_cols(order, ks, keep):
     return [c for c in order if c not in ks and c not in keep]
 
 
+def _stored_part(d, ks, keep):
+    return [PART] if PART in d.columns and PART not in (*ks, *keep) else []
+
+
+def _parts(d, ks):
+    return partition_columns(d, ks)
+
+
 # --------------------------------------------------------------------- P2/P3
 
 def _reg_rows(df, ks, order, x, y, bucket, keep):
-    d = _with_bucket(df, bucket).select(
-        *keep, *ks, *_order_cols(order, ks, keep), "_b",
+    d = _with_bucket(df, bucket)
+    d = d.select(
+        *keep, *ks, *_order_cols(order, ks, keep), "_b", *_stored_part(d, ks, keep),
         F.col(x).cast("bigint").alias("_x"), F.col(y).cast("bigint").alias("_y"))
     return d.withColumn("_xy", (F.col("_x") * F.col("_y")).cast("decimal(38,0)")) \
             .withColumn("_xx", (F.col("_x") * F.col("_x")).cast("decimal(38,0)"))
 
 
 def _reg_summary(rows, ks, init):
-    summ = rows.groupBy(*ks, "_b").agg(F.count(F.lit(1)).alias("_n"), F.sum("_xy").alias("_bxy"),
-                                       F.sum("_xx").alias("_bxx"))
+    own = [c for c in _parts(rows, ks) if c not in ks and c != "_b"]
+    summ = rows.groupBy(*ks, "_b", *own).agg(F.count(F.lit(1)).alias("_n"), F.sum("_xy").alias("_bxy"),
+                                             F.sum("_xx").alias("_bxx"))
     if init is not None:
         summ = summ.unionByName(init.select(
             *ks, F.lit(INIT_BUCKET).cast("bigint").alias("_b"), F.col("n").cast("bigint").alias("_n"),
-            F.col("sxy").cast("decimal(38,0)").alias("_bxy"), F.col("sxx").cast("decimal(38,0)").alias("_bxx")))
+            F.col("sxy").cast("decimal(38,0)").alias("_bxy"), F.col("sxx").cast("decimal(38,0)").alias("_bxx")), allowMissingColumns=True)
     return summ
 
 
@@ -103,7 +115,8 @@ def regression_predict(df: DataFrame, key: str | Sequence[str], order: Sequence[
     if init is not None and bucket is None:
         bucket = F.lit(0)
     d = _reg_rows(df, ks, order, x, y, bucket, keep)
-    wb = Window.partitionBy(*ks, "_b").orderBy(*order)
+    parts = _parts(d, ks)
+    wb = Window.partitionBy(*parts).orderBy(*order)
     prev = wb.rowsBetween(UNB, -1)
     d = d.select("*", F.row_number().over(wb).alias("_r"),
                  F.coalesce(F.sum("_xy").over(prev), F.lit(0)).alias("_sxy"),
@@ -111,11 +124,11 @@ def regression_predict(df: DataFrame, key: str | Sequence[str], order: Sequence[
     if bucket is not None:
         summ = _reg_summary(d, ks, init)
         wk = Window.partitionBy(*ks).orderBy("_b").rowsBetween(UNB, -1)
-        carry = summ.select(*ks, "_b",
+        carry = summ.select(*parts,
                             F.coalesce(F.sum("_n").over(wk), F.lit(0)).alias("_cn"),
                             F.coalesce(F.sum("_bxy").over(wk), F.lit(0)).alias("_cxy"),
                             F.coalesce(F.sum("_bxx").over(wk), F.lit(0)).alias("_cxx"))
-        d = d.join(carry, [*ks, "_b"])
+        d = d.join(carry, parts)
         n = F.col("_cn") + F.col("_r")
         sxy = F.col("_cxy") + F.col("_sxy")
         sxx = F.col("_cxx") + F.col("_sxx")
@@ -140,24 +153,26 @@ def regression_state(df: DataFrame, key: str | Sequence[str], x: str, y: str,
 # --------------------------------------------------------------------- P4
 
 def _sma_rows(df, ks, order, value, bucket, keep):
-    d = _with_bucket(df, bucket).select(
-        *keep, *ks, *_order_cols(order, ks, keep), "_b", F.col(value).cast("bigint").alias("_x"))
-    wb = Window.partitionBy(*ks, "_b").orderBy(*order)
+    d = _with_bucket(df, bucket)
+    d = d.select(*keep, *ks, *_order_cols(order, ks, keep), "_b", *_stored_part(d, ks, keep), F.col(value).cast("bigint").alias("_x"))
+    wb = Window.partitionBy(*_parts(d, ks)).orderBy(*order)
     return d.withColumn("_r", F.row_number().over(wb)), wb
 
 
 def _sma_tails(d, ks, ring, init):
     """Per (key, bucket): its last ``ring`` values in order (bounded arrays)."""
-    cnt = F.count(F.lit(1)).over(Window.partitionBy(*ks, "_b"))
-    tails = (d.select(*ks, "_b", "_r", "_x", cnt.alias("_m"))
+    parts = _parts(d, ks)
+    cnt = F.count(F.lit(1)).over(Window.partitionBy(*parts))
+    cols = list(dict.fromkeys([*ks, "_b", *parts]))
+    tails = (d.select(*cols, "_r", "_x", cnt.alias("_m"))
              .where(F.col("_r") > F.col("_m") - ring)
-             .groupBy(*ks, "_b")
+             .groupBy(*cols)
              .agg(F.sort_array(F.collect_list(F.struct("_r", "_x"))).alias("_t")))
     if init is not None:
         seeded = F.transform(F.col("last").cast("array<bigint>"),
                              lambda v, i: F.struct((i + 1).alias("_r"), v.alias("_x")))
         tails = tails.unionByName(init.select(*ks, F.lit(INIT_BUCKET).cast("bigint").alias("_b"),
-                                              seeded.alias("_t")))
+                                              seeded.alias("_t")), allowMissingColumns=True)
     return tails
 
 
@@ -179,9 +194,10 @@ def sma_with_state(df: DataFrame, key: str | Sequence[str], order: Sequence[str]
     tails = _sma_tails(d, ks, ring, init)
     flat = lambda w: F.flatten(F.transform(F.collect_list("_t").over(w), lambda a: a["_x"]))
     wk = Window.partitionBy(*ks).orderBy("_b")
-    carry = tails.select(*ks, "_b", _last(flat(wk.rowsBetween(-ring, -1)), ring).alias("_carry"),
+    parts = _parts(d, ks)
+    carry = tails.select(*dict.fromkeys([*ks, "_b", *parts]), _last(flat(wk.rowsBetween(-ring, -1)), ring).alias("_carry"),
                          _last(flat(wk.rowsBetween(-ring, 0)), ring).alias("_upto"))
-    j = d.join(carry.select(*ks, "_b", "_carry"), [*ks, "_b"])   # every bucket of d has its tails row
+    j = d.join(carry.select(*parts, "_carry"), parts)   # every bucket of d has its tails row
     need = F.lit(ring + 1) - F.col("_r")
     arr = F.coalesce(F.col("_carry"), F.array().cast("array<bigint>"))
     part = F.slice(arr, F.greatest(F.size(arr) - need + 1, F.lit(1)), need)
@@ -223,8 +239,11 @@ def sma_state(df: DataFrame, key: str | Sequence[str], order: Sequence[str], val
 # --------------------------------------------------------------------- P1
 
 def _ewma_block(rate: float) -> int:
-    # rows after which older history weighs less than 1e-20 (exp(-46))
-    return max(16, int(math.ceil(46.0 / -math.log(1.0 - rate))))
+    # rows over which a weight falls to about 1e-150, so that weights relative to a block's start stay in range
+    return max(1, int(345.0 / -math.log(1.0 - rate)))
+
+
+_BACK = 3   # earlier blocks that reach a row: what is older weighs under 1e-450, below the smallest double
 
 
 def _ewma_local(df, ks, order, value, rate, bucket, keep):
@@ -232,24 +251,27 @@ def _ewma_local(df, ks, order, value, rate, bucket, keep):
     the start of the row's bucket (block-rescaled closed form)."""
     q = 1.0 - rate
     blk = _ewma_block(rate)
-    d = _with_bucket(df, bucket).select(
-        *keep, *ks, *_order_cols(order, ks, keep), "_b", F.col(value).cast("double").alias("_x"))
-    wb = Window.partitionBy(*ks, "_b").orderBy(*order)
+    d = _with_bucket(df, bucket)
+    d = d.select(*keep, *ks, *_order_cols(order, ks, keep), "_b", *_stored_part(d, ks, keep), F.col(value).cast("double").alias("_x"))
+    parts = _parts(d, ks)
+    wb = Window.partitionBy(*parts).orderBy(*order)
     d = d.withColumn("_r", F.row_number().over(wb))
     d = d.withColumn("_p", (F.col("_r") - 1) % blk).withColumn("_k", F.floor((F.col("_r") - 1) / blk))
-    wk = Window.partitionBy(*ks, "_b", "_k")
+    wk = Window.partitionBy(*parts, "_k")
     wko = wk.orderBy(*order)
     d = d.select("*",
                  F.coalesce(F.sum(F.col("_x") * F.pow(F.lit(q), -F.col("_p"))).over(wko.rowsBetween(UNB, -1)),
                             F.lit(0.0)).alias("_s1"),
-                 F.sum(F.col("_x") * F.pow(F.lit(q), F.lit(blk) - F.col("_p"))).over(wk).alias("_t2"))
+                 F.sum(F.col("_x") * F.pow(F.lit(q), F.lit(blk) - F.col("_p"))).over(wk).alias("_t0"))
     # same order as wb (the block number grows with it), written so that all
     # block windows share one sort of the partition
-    wbk = Window.partitionBy(*ks, "_b").orderBy("_k", *order)
-    d = d.withColumn("_lt2", F.coalesce(F.lag("_t2", 1).over(wbk), F.lit(0.0)))
-    d = d.withColumn("_prev", F.first("_lt2").over(wko.rowsBetween(UNB, 0)))
-    local = F.lit(rate) * F.pow(F.lit(q), F.col("_p") - 1) * (F.col("_s1") + F.col("_prev"))
-    return d.withColumn("_v", local)
+    wbk = Window.partitionBy(*parts).orderBy("_k", *order)
+    total = F.col("_s1")
+    for back in range(1, _BACK + 1):   # the whole-block sum of the block so many before
+        d = d.withColumn("_l", F.coalesce(F.lag(f"_t{back - 1}", 1).over(wbk), F.lit(0.0)))
+        d = d.withColumn(f"_t{back}", F.first("_l").over(wko.rowsBetween(UNB, 0)))
+        total = total + F.col(f"_t{back}") * F.lit(q ** (blk * (back - 1)))
+    return d.withColumn("_v", F.lit(rate) * F.pow(F.lit(q), F.col("_p") - 1) * total)
 
 
 def _ewma_summary(d, ks, rate, init):
@@ -257,22 +279,45 @@ def _ewma_summary(d, ks, rate, init):
     ``v -> q^m v + e``); the initial state is the map ``v -> init``."""
     q = 1.0 - rate
     after = F.lit(q) * F.col("_v") + F.lit(rate) * F.col("_x")
-    summ = d.groupBy(*ks, "_b").agg(F.count(F.lit(1)).alias("_m"), F.max_by(after, F.col("_r")).alias("_e"))
+    own = [c for c in _parts(d, ks) if c not in ks and c != "_b"]
+    summ = d.groupBy(*ks, "_b", *own).agg(F.count(F.lit(1)).alias("_m"), F.max_by(after, F.col("_r")).alias("_e"))
     if init is not None:
         summ = summ.unionByName(init.select(*ks, F.lit(INIT_BUCKET).cast("bigint").alias("_b"),
                                             F.lit(0).cast("bigint").alias("_m"),
-                                            F.col("v").cast("double").alias("_e")))
+                                            F.col("v").cast("double").alias("_e")), allowMissingColumns=True)
     return summ
 
 
-def _ewma_fold(rate: float, upto: int):
-    # buckets hold >= 1 row each, so this many buckets reach back far enough
-    q = 1.0 - rate
-    look = _ewma_block(rate)
-    return lambda ks: F.aggregate(
-        F.collect_list(F.struct("_m", "_e")).over(
-            Window.partitionBy(*ks).orderBy("_b").rowsBetween(-look, upto)),
-        F.lit(0.0), lambda acc, s: acc * F.pow(F.lit(q), s["_m"]) + s["_e"])
+SPAN = 256   # maps composed one after another at each level of a prefix scan
+
+
+def affine_prefix(summ: DataFrame, ks: Sequence[str], q: float) -> DataFrame:
+    """``summ`` (keys, ``_b``, and the map ``v -> q^_m v + _e``) with ``_c``, the composition of **all** earlier
+    maps of the key applied to 0, and ``_ci``, the same including the own one.
+
+    A scan of two levels and a top: maps inside groups of ``SPAN``, groups inside groups of ``SPAN`` groups, and
+    those one after another, so a key of S buckets costs about ``3 SPAN`` steps a bucket, not S.
+    """
+    def then(a, b):
+        """``a`` first, then ``b``."""
+        return F.struct((a["m"] + b["m"]).alias("m"), (a["e"] * F.pow(F.lit(q), b["m"]) + b["e"]).alias("e"))
+
+    def composed(maps):
+        start = F.struct(F.lit(0).cast("bigint").alias("m"), F.lit(0.0).alias("e"))
+        return F.aggregate(maps, start, lambda acc, s: then(acc, s))
+
+    own = F.struct(F.col("_m").alias("m"), F.col("_e").alias("e"))
+    d = summ.withColumn("_n", F.row_number().over(Window.partitionBy(*ks).orderBy("_b")) - 1)
+    d = d.withColumn("_g1", F.floor(F.col("_n") / SPAN)).withColumn("_g2", F.floor(F.col("_n") / (SPAN * SPAN)))
+    w1 = Window.partitionBy(*ks, "_g1").orderBy("_n")
+    d = d.select("*", composed(F.collect_list(own).over(w1.rowsBetween(UNB, -1))).alias("_p1"),
+                 F.when(F.col("_n") % SPAN == 0, composed(F.collect_list(own).over(w1.rowsBetween(UNB, Window.unboundedFollowing)))).alias("_t1"))
+    w2 = Window.partitionBy(*ks, "_g2").orderBy("_g1")
+    d = d.select("*", composed(F.collect_list("_t1").over(w2.rangeBetween(UNB, -1))).alias("_p2"),
+                 F.when(F.col("_n") % (SPAN * SPAN) == 0, composed(F.collect_list("_t1").over(w2.rangeBetween(UNB, Window.unboundedFollowing)))).alias("_t2"))
+    d = d.select("*", composed(F.collect_list("_t2").over(Window.partitionBy(*ks).orderBy("_g2").rangeBetween(UNB, -1))).alias("_p3"))
+    d = d.withColumn("_c", then(then(F.col("_p3"), F.col("_p2")), F.col("_p1"))["e"])
+    return d.withColumn("_ci", F.col("_c") * F.pow(F.lit(q), F.col("_m")) + F.col("_e")).select(*summ.columns, "_c", "_ci")
 
 
 def ewma_with_state(df: DataFrame, key: str | Sequence[str], order: Sequence[str], value: str,
@@ -286,8 +331,9 @@ def ewma_with_state(df: DataFrame, key: str | Sequence[str], order: Sequence[str
     q = 1.0 - rate
     d = _ewma_local(df, ks, order, value, rate, F.lit(0) if bucket is None else bucket, keep)
     summ = _ewma_summary(d, ks, rate, init)
-    carry = summ.select(*ks, "_b", _ewma_fold(rate, -1)(ks).alias("_c"), _ewma_fold(rate, 0)(ks).alias("_ci"))
-    j = d.join(carry.select(*ks, "_b", "_c"), [*ks, "_b"])
+    carry = affine_prefix(summ, ks, q)
+    parts = _parts(d, ks)
+    j = d.join(carry.select(*parts, "_c"), parts)
     v = F.pow(F.lit(q), F.col("_r") - 1) * F.col("_c") + F.col("_v")
     preds = j.select(*keep, *ks, v.alias("predicted_value"), java_int(v).alias("predicted"),
                      java_int(F.col("_x")).alias("real"))
@@ -304,12 +350,12 @@ def ewma_predict(df: DataFrame, key: str | Sequence[str], order: Sequence[str],
     (its Java int cast), ``real``. ``init``: ``(key..., v)``.
 
     Closed form: ``v_i = rate * sum_{j<i} q^(i-1-j) x_j`` with ``q = 1-rate``.
-    Rows are cut into blocks of ``B`` rows, with ``q^B < 1e-20``, so only the
-    own and the previous block matter. Inside a block the weights are
-    rescaled relative to the block start (``q^-p``, at most ``1e20``, no
-    overflow), and the previous block contributes one whole-block sum taken
-    by ``lag``. Everything is window arithmetic, O(1) per row. Across
-    buckets the state carries as an affine map folded over bucket summaries.
+    Rows are cut into blocks of ``B`` rows with ``q^B`` about ``1e-150``. Inside a block the weights are
+    rescaled relative to the block start (``q^-p``, no overflow), and the three blocks before
+    contribute one whole-block sum each, taken by ``lag``; what is older weighs less than
+    the smallest double. Everything is window arithmetic, O(1) per row. Across
+    buckets the state carries as the composition of all earlier buckets' affine maps
+    (:func:`affine_prefix`).
     """
     if not 0.0 < rate < 1.0:
         raise ValueError("rate must be in (0, 1)")

@@ -25,6 +25,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .slices import partition_columns
+
 UNB = Window.unboundedPreceding
 
 _UNITS_US = {"microsecond": 1, "millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000,
@@ -56,19 +58,20 @@ def session_ids(df: DataFrame, keys: Sequence[str], time_col: str, gap: str,
     # non-nullable bucket key: both branches then share one row exchange
     cut = F.floor(F.col("_u") / F.lit(duration_us(bucket))) if isinstance(bucket, str) else bucket
     d = d.withColumn("_b", F.coalesce(cut.cast("bigint"), F.lit(0).cast("bigint")))
-    wb = Window.partitionBy(*keys, "_b").orderBy("_u")
+    parts = partition_columns(d, keys)
+    wb = Window.partitionBy(*parts).orderBy("_u")
     prev = F.lag("_u").over(wb)
     d = d.withColumn("_brk", F.when(prev.isNotNull() & (F.col("_u") - prev > gap_us), 1).otherwise(0))
     d = d.withColumn("_c", F.sum("_brk").over(wb.rowsBetween(UNB, 0)))
-    summ = d.groupBy(*keys, "_b").agg(F.min("_u").alias("_first"), F.max("_u").alias("_last"),
-                                     F.sum("_brk").alias("_nb"))
+    summ = d.groupBy(*dict.fromkeys([*keys, "_b", *parts])).agg(F.min("_u").alias("_first"), F.max("_u").alias("_last"),
+                                                                F.sum("_brk").alias("_nb"))
     wk = Window.partitionBy(*keys).orderBy("_b")
     prev_last = F.lag("_last").over(wk)
     summ = summ.withColumn("_open", F.when(prev_last.isNull() | (F.col("_first") - prev_last > gap_us), 1)
                            .otherwise(0))
-    carry = summ.select(*keys, "_b", (F.coalesce(F.sum(F.col("_open") + F.col("_nb")).over(
+    carry = summ.select(*parts, (F.coalesce(F.sum(F.col("_open") + F.col("_nb")).over(
         wk.rowsBetween(UNB, -1)), F.lit(0)) + F.col("_open")).alias("_base"))
-    d = d.join(carry, [*keys, "_b"])
+    d = d.join(carry, parts)
     return d.withColumn("_sid", F.col("_base") + F.col("_c")).drop("_b", "_brk", "_c", "_base")
 
 
@@ -95,16 +98,18 @@ def merged_intervals(df: DataFrame, keys: Sequence[str], gap_us: int, aggs: Sequ
     """
     keys = list(keys)
     d = df.withColumn("_b", F.col(bucket) if isinstance(bucket, str) else bucket)
-    own = Window.partitionBy(*keys, "_b").orderBy("_u", "_e")
+    parts = partition_columns(d, keys)
+    cols = list(dict.fromkeys([*keys, "_b", *parts]))
+    own = Window.partitionBy(*parts).orderBy("_u", "_e")
     earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(UNB, -1)
-    ends = d.groupBy(*keys, "_b").agg(F.max("_e").alias("_me"))
-    ends = ends.select(*keys, "_b", F.max("_me").over(earlier).alias("_before"))
-    d = d.withColumn("_reach", F.max("_e").over(own.rowsBetween(UNB, -1))).join(ends, [*keys, "_b"])
+    ends = d.groupBy(*cols).agg(F.max("_e").alias("_me"))
+    ends = ends.select(*parts, F.max("_me").over(earlier).alias("_before"))
+    d = d.withColumn("_reach", F.max("_e").over(own.rowsBetween(UNB, -1))).join(ends, parts)
     reach = F.greatest("_reach", "_before")
     d = d.withColumn("_new", F.when(reach.isNotNull() & (F.col("_u") - reach <= gap_us), 0).otherwise(1))
     d = d.withColumn("_c", F.sum("_new").over(own.rowsBetween(UNB, 0)))
-    count = d.groupBy(*keys, "_b").agg(F.sum("_new").alias("_nb"))
-    count = count.select(*keys, "_b", F.coalesce(F.sum("_nb").over(earlier), F.lit(0)).alias("_base"))
-    d = d.join(count, [*keys, "_b"]).withColumn("_sid", F.col("_base") + F.col("_c"))
+    count = d.groupBy(*cols).agg(F.sum("_new").alias("_nb"))
+    count = count.select(*parts, F.coalesce(F.sum("_nb").over(earlier), F.lit(0)).alias("_base"))
+    d = d.join(count, parts).withColumn("_sid", F.col("_base") + F.col("_c"))
     g = d.groupBy(*keys, "_sid").agg(F.min("_u").alias("_u"), F.max("_e").alias("_e"), *aggs)
     return g.drop("_sid")

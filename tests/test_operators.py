@@ -189,3 +189,45 @@ def test_state_carries_across_chunks(spark, tmp_path, bucket):
             init = spark.read.parquet(path)
         assert got.keys() == whole.keys(), name
         assert [got[k] for k in sorted(got)] == pytest.approx([whole[k] for k in sorted(whole)], abs=1e-9), name
+
+
+@pytest.mark.parametrize("rate,per_bucket,n", [(1e-4, 1, 1500), (0.1, 1, 700), (0.9, 1, 300), (0.1, 3400, 11000), (0.999, 5, 60)])
+def test_ewma_forgets_nothing(spark, rate, per_bucket, n):
+    """All history counts, however the rows are cut: slices of one row, and several blocks in one slice."""
+    rnd = random.Random(n)
+    xs = [10 ** 9] * 40 + [rnd.randint(-50, 500) for _ in range(n - 40)]
+    df = seq(spark, xs, per_bucket=per_bucket)
+    e = predict.ewma_predict(df, "tag", ["id"], "x", rate=rate, bucket="b", keep=["id"]).orderBy("id")
+    assert [r.predicted_value for r in e.collect()] == pytest.approx(py_ewma(xs, rate), rel=1e-9, abs=1e-7)
+
+
+def test_affine_maps_compose_over_all_levels(spark, monkeypatch):
+    monkeypatch.setattr(predict, "SPAN", 4)
+    rnd = random.Random(3)
+    maps = [(k, b, rnd.randint(0, 3), rnd.random()) for k in "ab" for b in range(150)]
+    df = spark.createDataFrame(maps, "k string, _b bigint, _m bigint, _e double")
+    got = {(r.k, r._b): (r._c, r._ci) for r in predict.affine_prefix(df, ["k"], 0.9).collect()}
+    for key in "ab":
+        v = 0.0
+        for k, b, m, e in maps:
+            if k == key:
+                before, v = v, v * 0.9 ** m + e
+                assert got[k, b] == pytest.approx((before, v), rel=1e-12)
+
+
+def test_sliced_rows_are_shuffled_once(spark, tmp_path):
+    """Between the scan of a slice table and the windows over it nothing is shuffled; only slice summaries are."""
+    from postscope.operators.slices import SLICE, sliced
+    from postscope.session import settings
+    df = seq(spark, list(range(400)), list(range(400)))
+    rows = sliced(df, "tag", ["id"], 6, str(tmp_path / "cut"))
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("postscope_slices")]
+    for out in (predict.ewma_predict(rows, "tag", ["id"], "x", bucket=SLICE, keep=["id"]), predict.sma_predict(rows, "tag", ["id"], "x", bucket=SLICE, keep=["id"]),
+                predict.regression_predict(rows, "tag", ["id"], "x", "y", bucket=SLICE, keep=["id"])):
+        assert out.count() >= 380
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        for out in (predict.ewma_predict(rows, "tag", ["id"], "x", bucket=SLICE, keep=["id"]), predict.sma_predict(rows, "tag", ["id"], "x", bucket=SLICE, keep=["id"]),
+                    predict.regression_predict(rows, "tag", ["id"], "x", "y", bucket=SLICE, keep=["id"])):
+            lines = out._jdf.queryExecution().executedPlan().toString().split("\n")
+            branch = [line for line in lines if line.lstrip().startswith(":")]     # the left side of the join: the rows
+            assert any("FileScan" in line and "Bucketed: true" in line for line in branch) and not any("Exchange" in line for line in branch)
