@@ -245,8 +245,8 @@ def all_stretches(rows: DataFrame, length: int) -> DataFrame:
 
 
 def repeated_keys(found: DataFrame) -> DataFrame:
-    """Stretches whose key stands at least twice in the corpus; stored. Few texts hold them unless it is copies."""
-    twice = found.groupBy("key").agg(F.count("*").alias("places")).where("places > 1").select("key")
+    """Stretches whose key stands at least twice in the corpus; stored. The counts are stored first, so that a key of very many rows can be split."""
+    twice = stored(found.groupBy("key").agg(F.count("*").alias("places")).where("places > 1").select("key"), "suffix-twice")
     return stored(found.join(twice, "key"), "suffix-repeated")
 
 
