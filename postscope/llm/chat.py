@@ -23,7 +23,7 @@ conversation is first folded over many tasks; only its final messages, which
 make up one output row, meet in one place.
 
 Defined results: null text and null role are empty; a null message number comes
-first, a null conversation id is one conversation. Events with equal sequence
+first, a null conversation id is one conversation. Very long roles and texts are rendered and read back whole. Events with equal sequence
 numbers are folded by kind, role, then text; repeated rows count each time. An
 empty log gives an empty result. Other columns are not read.
 """
@@ -74,7 +74,7 @@ def render(messages: DataFrame) -> DataFrame:
 def parse(formatted: DataFrame) -> DataFrame:
     """``formatted`` with ``turns``: array of (role, text, loss), read back from the rendered string."""
     body = F.slice(F.split("formatted", r"<\|im_start\|>"), 2, F.size(F.split("formatted", r"<\|im_start\|>")))
-    head = r"(?s)^((?:[^\\\n]|\\.)*)\n"
+    head = r"(?s)^((?:[^\\\n]++|\\.)*+)\n"  # possessive, so that a role of any length is read without recursion
 
     def turn(part: Column) -> Column:
         role = F.regexp_extract(part, head, 1)

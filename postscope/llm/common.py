@@ -51,6 +51,17 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def unused(taken: Sequence[str], *names: str) -> list[str]:
+    """Each of ``names`` with underscores in front, as many as keep it apart from the columns ``taken``."""
+    have, out = {c.lower() for c in taken}, []
+    for name in names:
+        while name.lower() in have:
+            name = f"_{name}"
+        have.add(name.lower())
+        out.append(name)
+    return out
+
+
 def lower_az(c: Column) -> Column:
     """Lower-case A-Z only; every other character stays."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -53,3 +53,11 @@ def test_query_equals_its_sql(spark, tmp_path):
     con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
     want = sorted(con.execute(S.OP6_SQL).fetchall(), key=str)
     assert sorted(map(tuple, S.op6_chat(spark, str(tmp_path)).collect()), key=str) == want
+
+
+def test_roles_of_a_megabyte_read_back(spark):
+    roles = ["r" * 1_000_000, "\\" * 500_000, "\n" * 300_000, "a\\\n<|" * 200_000]
+    rows = [(k, 0, 0, "delta", r, "text " * 10) for k, r in enumerate(roles)]
+    events = spark.createDataFrame(rows, "conv_id bigint, seq bigint, message bigint, kind string, role string, text string")
+    got = {r.conv_id: r.turns for r in S.parse(S.render(S.fold(events))).collect()}
+    assert [[(t.role, t.text) for t in got[k]] for k in range(len(roles))] == [[(r, "text " * 10)] for r in roles]
