@@ -11,7 +11,8 @@ bring back an earlier rank and the result equals merging word by word.
 Pre-tokens seen in earlier blocks are kept in a table of bounded size; beyond
 that bound it starts empty again, which changes time and no result.
 
-Defined results: a null text is empty and has no ids. The contents of added
+Defined results: a null text is empty and has no ids. Very long texts are encoded
+whole, each as a block of its own. The contents of added
 tokens are recognised inside texts, as the reference library does by default.
 Decoding replaces invalid UTF-8 by U+FFFD. Repeated rows each get their row,
 an empty table gives an empty result, other columns of the input are not read
@@ -34,7 +35,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, row_blocks, sha_hex, tidy
+from .common import read_table, row_blocks, sha_hex, tidy, unused
 
 TABLE = 100_000  # pre-tokens kept between blocks
 BLOCK = 2 << 20  # UTF-8 bytes of text handled at once
@@ -236,10 +237,12 @@ def encoder(path: str) -> Encoder:
 
 def encode(docs: DataFrame, text_col: str = "text", keep: Sequence[str] = ("doc_id",), path: str | None = None, decoded: bool = False) -> DataFrame:
     """``keep`` columns and ``ids`` array<int>: the token ids of every whole text;
-    with ``decoded`` also the text that these ids decode to, in the same pass."""
+    with ``decoded`` also the text that these ids decode to, in the same pass.
+    Where a kept column has one of these names, the result's gets underscores in front."""
     path = path or default_path()
     fields = [*(docs.schema[c] for c in keep)]
-    rows = docs.select(F.col(text_col).alias("_text"), *[F.col(f"`{c}`") for c in keep])
+    text, *made = unused(keep, "text", "ids", *["decoded"] * decoded)
+    rows = docs.select(F.col(f"`{text_col}`").alias(text), *[F.col(f"`{c}`") for c in keep])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
@@ -251,9 +254,9 @@ def encode(docs: DataFrame, text_col: str = "text", keep: Sequence[str] = ("doc_
                 out = [*part.columns[1:], pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))]
                 if decoded:
                     out.append(pa.array([decode_ids(ids[x:y].tolist(), e.v) for x, y in zip(offsets[:-1], offsets[1:])], pa.string()))
-                yield pa.RecordBatch.from_arrays(out, names=[*keep, "ids", *["decoded"] * decoded])
+                yield pa.RecordBatch.from_arrays(out, names=[*keep, *made])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "ids array<int>", *["decoded string"] * decoded])
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), *(f"`{c}` {kind}" for c, kind in zip(made, ("array<int>", "string")))])
     return rows.mapInArrow(tidy(run), schema)
 
 

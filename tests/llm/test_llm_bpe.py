@@ -64,3 +64,10 @@ def test_frames_round_trip(spark, monkeypatch):
     assert S.decode(S.encode(docs.limit(0))).count() == 0
     kept = S.encode(docs.select("doc_id", "text"), keep=("doc_id", "text"))
     assert kept.columns == ["doc_id", "text", "ids"] and kept.where("doc_id = 70").first().ids == []
+
+
+def test_kept_columns_may_have_the_results_names(spark):
+    docs = spark.createDataFrame([(1, "two words", "own", "mine")], "doc_id bigint, text string, ids string, _text string")
+    out = S.encode(docs, keep=("doc_id", "ids", "_text", "text"), decoded=True)
+    row = out.first()
+    assert out.columns == ["doc_id", "ids", "_text", "text", "_ids", "decoded"] and (row["ids"], row["_text"], row["decoded"]) == ("own", "mine", "two words")
