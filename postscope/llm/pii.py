@@ -24,8 +24,8 @@ the candidate words once per line, added up per task before they move. Only enti
 with enough distinct lines are paired, each distinct line once, and pairs are added up
 per task, so a value in a third of all lines is pre-aggregated.
 
-Defined results: null text is empty; a text without matches has empty spans; a
-null id is an id. Base spans of different kinds may overlap; added spans never
+Defined results: null text is empty; a text without matches has empty spans; very
+long texts are scanned whole, line by line; a null id is an id. Base spans of different kinds may overlap; added spans never
 touch a base span. Repeated rows each get their row and their lines count as
 one text. An empty table gives an empty result; other columns are not read.
 """
@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, sha_hex, stored, tidy
+from .common import read_table, sha_hex, stored, tidy, unused
 
 KINDS = ["email", "ip", "card", "phone", "term", "general"]
 BASE = KINDS[:4]
@@ -98,31 +98,6 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def line_evidence(text: str, spans: list[tuple[int, int, int]], near: int) -> Iterator[tuple[str, int, list[tuple[str, int, int]]]]:
-    """For each entity: its value, the hash of its line, and the words within ``near`` words on that line that touch no span."""
-    starts, ends = merged(spans)
-
-    def free(m: re.Match) -> bool:
-        k = bisect_right(starts, m.end() - 1) - 1
-        return k < 0 or ends[k] <= m.start()
-
-    left, right, line = 0, -1, 0
-    for start, _, end in spans:
-        if start >= right:
-            left, right = text.rfind("\n", max(right, 0), start) + 1 or max(right + 1, 0), text.find("\n", start)
-            right = len(text) if right < 0 else right
-            line = xxhash.xxh64_intdigest(text[left:right].encode()) - (1 << 63)
-        width = 64 * near
-        while True:  # a window of the line that widens until it holds the words
-            a, b = max(left, start - width), min(right, end + width)
-            before = [m for m in WORD.finditer(text, a, start) if (m.start() > a or a == left) and free(m)][-near:]
-            after = [m for m in WORD.finditer(text, end, max(b, end)) if (m.end() < b or b == right) and free(m)][:near]
-            if (len(before) == near or a == left) and (len(after) == near or b == right):
-                break
-            width *= 4
-        yield text[start:end], line, [(m[0], m.start(), m.end()) for m in before + after]
-
-
 def merged(spans: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]:
     """Starts and ends of the stretches that sorted spans cover."""
     starts: list[int] = []
@@ -183,6 +158,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 def word_lines(docs: DataFrame, terms: DataFrame, text_col: str = "text") -> DataFrame:
     """(term, lines): in how many lines of the corpus each of ``terms`` stands outside base spans; the term '' stands for every line."""
     rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    wanted = stored(terms.select("term").union(docs.sparkSession.createDataFrame([("",)], "term string")), "terms")
+    small = wanted.count() <= BROADCAST_TERMS
+    # a list counted to be small is sent to the tasks, which then count its words alone; otherwise every word is counted and joined
+    only = frozenset(r["term"] for r in wanted.collect()) if small else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
@@ -201,19 +180,19 @@ def word_lines(docs: DataFrame, terms: DataFrame, text_col: str = "text") -> Dat
                     held[""] += 1
                     k = bisect_right(starts, left + len(line)) - 1
                     if k >= 0 and ends[k] > left:
-                        held.update({m[0] for m in free_words(line, left, starts, ends)})
+                        words = {m[0] for m in free_words(line, left, starts, ends)}
                     else:
-                        held.update(set(WORD.findall(line)))
+                        words = set(WORD.findall(line))
+                    held.update(words if only is None else words & only)
                     left += len(line) + 1
                 if len(held) > 200_000:
                     yield out()
         if held:
             yield out()
 
-    wanted = stored(terms.select("term").union(docs.sparkSession.createDataFrame([("",)], "term string")), "terms")
-    small = wanted.count() <= BROADCAST_TERMS
     # added up before the join, which then has one row a word however many tasks there are; inner, as a semi join would be pushed below the sum
-    return rows.mapInArrow(tidy(run), "term string, n bigint").groupBy("term").agg(F.sum("n").alias("lines")).join(F.broadcast(wanted) if small else wanted, "term")
+    counted = rows.mapInArrow(tidy(run), "term string, n bigint").groupBy("term").agg(F.sum("n").alias("lines"))
+    return counted if small else counted.join(wanted, "term")
 
 
 def pair_counts(scanned: DataFrame, held: DataFrame, values: DataFrame) -> DataFrame:
@@ -262,9 +241,8 @@ def disclosing(scanned: DataFrame, docs: DataFrame, text_col: str = "text", supp
     values = stored(held.groupBy("value").agg(F.sum("n").alias("n_value"), F.count("*").alias("m")).where(F.col("m") >= support), "entities")
     pairs = stored(pair_counts(scanned, held, values).where(F.col("texts") >= support), "pairs")
     counts = stored(word_lines(docs, pairs.select("term").distinct(), text_col), "word-lines")
-    # the number of all lines is one row, brought in by a join on a constant
-    total = counts.where("term = ''").select(F.lit(1).alias("one"), F.col("lines").cast("double").alias("all"))
-    known = pairs.join(values, "value").join(counts, "term").withColumn("one", F.lit(1)).join(F.broadcast(total), "one")
+    total = counts.where("term = ''").first()   # the number of all lines
+    known = pairs.join(values, "value").join(counts, "term").withColumn("all", F.lit(float(total["lines"] if total else 0)))
     ic = -F.log(F.least(F.col("n_value") / F.col("all"), F.lit(1.0)))
     pmi = F.log(F.col("n_both") * F.col("all") / (F.col("n_value") * F.greatest("lines", "n_both")))
     share, p = F.col("texts") / F.col("m"), F.col("lines") / F.col("all")
@@ -334,15 +312,16 @@ def sanitised(text: str, spans: list[tuple[int, int, str]]) -> str:
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs`` with personal data and disclosing terms generalised or removed; other columns as they are."""
+    hit_id, hit_hash, hidden = unused(docs.columns, "_hit_id", "_hit_hash", "_spans")
     found = find_personal(docs, id_col, text_col, **how).where(F.size("spans") > 0).select(
-        F.col("id").alias("_hit_id"), F.col("text_hash").alias("_hit_hash"), F.col("spans").alias("_spans")).dropDuplicates(["_hit_id", "_hit_hash"])
-    joined = docs.join(found, docs[id_col].eqNullSafe(found["_hit_id"]) & (F.xxhash64(docs[text_col]) == found["_hit_hash"]), "left")
+        F.col("id").alias(hit_id), F.col("text_hash").alias(hit_hash), F.col("spans").alias(hidden)).dropDuplicates([hit_id, hit_hash])
+    joined = docs.join(found, docs[id_col].eqNullSafe(found[hit_id]) & (F.xxhash64(docs[text_col]) == found[hit_hash]), "left")
 
     @F.pandas_udf("string")
     def clean(texts, spans):
         return texts.combine(spans, lambda t, s: t if s is None or t is None else sanitised(t, [(x["start"], x["end"], x["kind"]) for x in s]))
 
-    return joined.select(*[clean(F.col(c), F.col("_spans")).alias(c) if c == text_col else docs[c] for c in docs.columns])
+    return joined.select(*[clean(F.col(c), F.col(hidden)).alias(c) if c == text_col else docs[c] for c in docs.columns])
 
 
 def listed(spans: Column) -> Column:

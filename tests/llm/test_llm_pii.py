@@ -31,26 +31,6 @@ def test_base_spans_equal_brute_force():
         assert S.base_spans(t) == brute(t), t[:80]
 
 
-def neighbours(text, spans, near):
-    out = []
-    for s, _, e in spans:
-        left, right = text.rfind("\n", 0, s) + 1, text.find("\n", e)
-        right = len(text) if right < 0 else right
-        free = lambda m: not any(a < m.end() and m.start() < b for a, _, b in spans)
-        before = [m for m in S.WORD.finditer(text, left, s) if free(m)][-near:]
-        after = [m for m in S.WORD.finditer(text, e, right) if free(m)][:near]
-        out.append((text[s:e], [(m[0], m.start(), m.end()) for m in before + after]))
-    return out
-
-
-def test_neighbours_equal_brute_force():
-    rng = random.Random(3)
-    for _ in range(1500):
-        t = "".join(rng.choice(["a", "bb ", " ", "\n", "é", "1.2.3.4", " x@y.zz ", "@", "+1 234 567 8901", ".", " w" * rng.randrange(9), " long" * 70]) for _ in range(rng.randrange(40)))
-        spans = S.base_spans(t)
-        assert [(v, w) for v, _, w in S.line_evidence(t, spans, 5)] == neighbours(t, spans, 5)
-
-
 def found(spark, docs, **how):
     rows = spark.createDataFrame([(*d, "a", "b", "c", "d") for d in docs], DOCS)
     return sorted(((r.id, [(s.kind, s.start, s.end) for s in r.spans]) for r in S.find_personal(rows, **how).collect()), key=str)
@@ -86,7 +66,7 @@ def test_sanitise_removes_and_generalises(spark):
     out = S.sanitise(rows)
     assert out.columns == rows.columns
     got = {r.doc_id: r.text for r in out.collect()}
-    assert got[0] == "intro0   the   from <email> often0".replace("  the  ", " the ") or ("Falcon" not in got[0] and "<email>" in got[0] and "the" in got[0])
+    assert got[0] == "intro0  the   <email> often0"
     assert got[100] == planted()[12][1]
     assert S.sanitised("ab 12 Cd ef a@b.c", [(0, 2, "term"), (3, 5, "general"), (6, 8, "general"), (9, 11, "general"), (12, 17, "email")]) == " <number> <name> <word> <email>"
 
@@ -117,3 +97,61 @@ def test_two_distinct_lines_and_whole_lines_are_evidence(spark):
 def test_words_of_common_lines_are_coincidence(spark):
     docs = [(0, "red x@y.zz one"), (1, "two x@y.zz red")] + [(10 + k, f"red line{k}" if k % 4 == 0 else f"line{k}") for k in range(40)]
     assert all([kind for kind, *_ in s] == ["email"] * (i < 2) for i, s in found(spark, docs))
+
+
+def plain_disclosing(docs, support, disclose, chance):
+    """(value, term): PMI over whole lines, counted pair by pair."""
+    import math
+    lines = []
+    for _, t in docs:
+        spans = S.base_spans(t or "")
+        at = 0
+        for line in (t or "").split("\n"):
+            own = [(s, e) for s, _, e in spans if at <= s < at + len(line)]
+            values = {(t or "")[s:e] for s, e in own}
+            words = {m[0] for m in S.WORD.finditer(line) if not any(s < at + m.end() and at + m.start() < e for s, e in own)}
+            lines.append((line, values, words))
+            at += len(line) + 1
+    n, out = len(lines), set()
+    for v in {v for _, values, _ in lines for v in values}:
+        mine = [x for x in lines if v in x[1]]
+        texts = {x[0]: x[2] for x in mine}
+        for term in {w for words in texts.values() for w in words}:
+            k, m = sum(term in words for words in texts.values()), len(texts)
+            both, having = sum(term in x[2] for x in mine), sum(term in x[2] for x in lines)
+            p, share = having / n, k / m
+            if k < support or m < support or share <= p:
+                continue
+            kl = share * math.log(share / p) + ((1 - share) * math.log((1 - share) / (1 - p)) if share < 1 else 0)
+            ic = -math.log(len(mine) / n)
+            pmi = math.log(both * n / (len(mine) * having))
+            if m * kl >= -math.log(chance) and ic > 0 and pmi / ic >= 1 / disclose:
+                out.add((v, term))
+    return out
+
+
+def test_disclosing_terms_equal_brute_force(spark, monkeypatch):
+    rng = random.Random(11)
+    words = [f"w{k}" for k in range(30)]
+    docs = []
+    for k in range(160):
+        line = rng.sample(words, rng.randrange(1, 6))
+        if rng.random() < 0.25:
+            who = rng.randrange(4)
+            line += [f"p{who}@mail.example.com", f"nick{who}" if rng.random() < 0.8 else "other", f"late{rng.randrange(6)}"]
+        rng.shuffle(line)
+        docs.append((k, " ".join(line) + ("\n" + " ".join(rng.sample(words, 2)) if k % 3 else "")))
+    docs += docs[:10] + [(None, None)]
+    rows = spark.createDataFrame([(*d, "a", "b", "c", "d") for d in docs], DOCS)
+    how = dict(support=2, disclose=4.0, chance=0.05)
+    want = plain_disclosing(docs, **how)
+    assert len(want) > 4
+    for most in (S.BROADCAST_TERMS, 0):     # the list sent to the tasks, and joined
+        monkeypatch.setattr(S, "BROADCAST_TERMS", most)
+        scanned = S.scan(rows)
+        assert {(r["value"], r["term"]) for r in S.disclosing(scanned, rows, **how).collect()} == want
+
+
+def test_sanitise_passes_clashing_columns_on(spark):
+    rows = spark.createDataFrame([(1, "to a@b.cc", "x", "y", "z")], "doc_id bigint, text string, _spans string, _hit_id string, _hit_hash string")
+    assert [tuple(r) for r in S.sanitise(rows).collect()] == [(1, "to <email>", "x", "y", "z")]
