@@ -3,14 +3,15 @@
 Documents that share a link key (here: equal texts) should share a shard, and
 all shards should hold as many rows, one more or less at most (law ``rows``).
 
-Every row starts in the shard of its row number's hash. In a round each key
+A row may have several link keys. Every row starts in the shard of its row number's hash. In a round each key
 counts its members per shard (a grouped sum, then a join back), and each linked
-row wants the shard with most neighbours, of its own and those not full; ties go by a hash of key and shard,
-so all members agree. Per pair of shards, moves that are matched by moves the other
+row adds these counts up over its keys and wants the shard with most neighbours, of its own and those not full;
+ties go by a hash of its largest key and shard, so members of one group agree. Per pair of shards, moves that are matched by moves the other
 way are all let through, others as far as the target shard's room for linked
 rows (an equal share of all rows, or ``1 + SLACK`` of one of the linked rows) allows; where a quota cuts, whole keys
 go or stay by their hash, and members of keys over ``1 / CROWD`` of a shard by
-their own. Rounds end when nothing moves. Only the 8 x 8 table of wishes comes
+their own. Rounds end when no row wishes to move, or when the cut (links between shards) has not fallen for
+``PATIENCE`` rounds; the state with the smallest cut stands. Only the 8 x 8 table of wishes comes
 to the driver.
 
 Finally each shard's rows get gapless slots: linked rows first, key by key,
@@ -18,7 +19,7 @@ single rows last. Slots beyond the equal share are dealt out to shards with room
 so single rows, which cut no link, move first. Slot numbers come from counts of
 (shard, part) added up over a bounded number of parts, never from one long sort.
 
-Defined results: null text is the empty text, its size is 1. Null and repeated
+Defined results: null text is the empty text, its size is 1. Very long texts are read for their size and hash only. Null and repeated
 ids are rows like any other. With fewer rows than shards some shards stay
 empty; an empty table gives an empty result. Other columns are not read.
 """
@@ -31,7 +32,8 @@ from pyspark.sql import functions as F
 
 from .common import partitions, read_table, stored
 
-SHARDS, ROUNDS, SLACK, CROWD = 8, 8, 0.05, 16
+SHARDS, SLACK, CROWD = 8, 0.05, 16
+PATIENCE = 3  # rounds in a row that do not lower the cut before propagation ends
 UNIT = 1 << 20
 
 
@@ -41,19 +43,22 @@ def choose(values: list, c: Column) -> Column:
 
 
 def linked(rows: DataFrame) -> DataFrame:
-    """(uid, key, total): rows of ``rows`` (uid, key) whose key is shared, with the number of its members."""
+    """(uid, key, total): rows of ``rows`` (uid, key) whose key is shared, with the number of its members; a row may have several keys."""
     # stored, so that the join has two plain sides and a key of very many rows can be split
     shared = stored(rows.groupBy("key").agg(F.count("*").alias("total")).where("total > 1"), "shared")
     return rows.select("uid", "key").join(shared, "key").select("uid", "key", "total")
 
 
-def wishes(state: DataFrame, open_to: list[bool]) -> DataFrame:
-    """``state`` (uid, key, total, shard) with ``want``: of the row's own and the open shards, the one that holds most members of its key."""
+def wishes(state: DataFrame, links: DataFrame, open_to: list[bool]) -> DataFrame:
+    """``state`` (uid, key, total, shard) with ``want``: of the row's own and the open shards, the one that holds most neighbours over all its ``links``."""
     shards = range(len(open_to))
-    votes = stored(state.groupBy("key").agg(*[F.count(F.when(F.col("shard") == k, 1)).alias(f"n{k}") for k in shards]), "votes")
+    there = links.join(state.select("uid", "shard"), "uid")
+    votes = stored(there.groupBy("key").agg(*[F.count(F.when(F.col("shard") == k, 1)).alias(f"n{k}") for k in shards]), "votes")
+    held = links.join(votes, "key").groupBy("uid").agg(*[F.sum(f"n{k}").alias(f"n{k}") for k in shards])
     best = F.array_max(F.array(*[F.struct(
         (F.lit(open_to[k]) | (F.col("shard") == k)).alias("may"), F.col(f"n{k}").alias("n"), F.xxhash64("key", F.lit(k)).alias("tie"), F.lit(k).alias("to")) for k in shards]))
-    return state.join(votes, "key").select("uid", "key", "total", "shard", best["to"].alias("want"))
+    return state.join(held, "uid").select("uid", "key", "total", "shard", best["to"].alias("want"), F.aggregate(
+        F.array(*[F.col(f"n{k}") for k in shards]), F.lit(0).cast("bigint"), lambda a, n: a + n).alias("all"), F.get(F.array(*[F.col(f"n{k}") for k in shards]), F.col("shard")).alias("near"))
 
 
 def quotas(moves: dict[tuple[int, int], int], sizes: list[int], capacity: float) -> dict[tuple[int, int], float]:
@@ -71,18 +76,26 @@ def quotas(moves: dict[tuple[int, int], int], sizes: list[int], capacity: float)
     return out
 
 
-def propagate(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, slack: float = SLACK) -> DataFrame:
-    """(uid, key, total, shard) of linked rows after balanced label propagation; ``rows`` has uid and key."""
-    n = rows.count()
-    state = stored(linked(rows).withColumn("shard", home("uid", shards)), "shards")
+def propagate(rows: DataFrame, shards: int = SHARDS, slack: float = SLACK) -> DataFrame:
+    """(uid, key, total, shard) of linked rows after balanced label propagation; ``rows`` has uid and key, several rows for a uid with several keys.
+
+    ``key`` and ``total`` of the result are those of the uid's largest group.
+    """
+    n = rows.select("uid").distinct().count()
+    links = stored(linked(rows), "links")
+    lead = links.groupBy("uid").agg(F.max(F.struct("total", "key")).alias("lead"))
+    state = stored(lead.select("uid", "lead.key", "lead.total").withColumn("shard", home("uid", shards)), "shards")
     sizes = [0] * shards  # of linked rows; single rows make room for them in the end
     for r in state.groupBy("shard").count().collect():
         sizes[r["shard"]] = r["count"]
     capacity = max(n, (1 + slack) * sum(sizes)) / shards
-    for turn in range(rounds):
-        wish = stored(wishes(state, [size < capacity - 0.5 for size in sizes]), "wishes")
+    turn, best, idle = 0, None, 0
+    while True:
+        wish = stored(wishes(state, links, [size < capacity - 0.5 for size in sizes]), "wishes")
+        cut = wish.agg(F.sum(F.col("all") - F.col("near"))).first()[0] or 0     # links of all rows to other shards
+        best, idle, state_best = (cut, 0, state) if best is None or cut < best else (best, idle + 1, state_best)
         moves = {(r["shard"], r["want"]): r["count"] for r in wish.where("shard <> want").groupBy("shard", "want").count().collect()}
-        if not moves:
+        if not moves or idle >= PATIENCE:
             break
         share = quotas(moves, sizes, capacity)
         crowded = F.col("total") > capacity / CROWD
@@ -90,13 +103,11 @@ def propagate(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, slack
         table = [share.get((i, j), 0.0) * UNIT for i in range(shards) for j in range(shards)]
         go = (F.col("shard") != F.col("want")) & (ticket < choose(table, F.col("shard") * shards + F.col("want")))
         state = stored(wish.select("uid", "key", "total", F.when(go, F.col("want")).otherwise(F.col("shard")).alias("shard"), go.alias("moved"), F.col("shard").alias("was")), "shards")
-        gone = state.where("moved").groupBy("was", "shard").count().collect()
-        if not gone:
-            break
-        for r in gone:
+        for r in state.where("moved").groupBy("was", "shard").count().collect():
             sizes[r["was"]] -= r["count"]
             sizes[r["shard"]] += r["count"]
-    return state.select("uid", "key", "total", "shard")
+        turn += 1
+    return state_best.select("uid", "key", "total", "shard")
 
 
 def home(uid: str, shards: int) -> Column:

@@ -67,3 +67,73 @@ def test_query_columns_with_nulls_repeats_and_extra_columns(spark, tmp_path):
     got = out.collect()
     assert Counter((r.doc_id, r.size) for r in got) == Counter([(1, 2), (1, 2), (None, 1), (None, 1), (4, 7), (5, 100001)])
     assert {r.law for r in got} == {"rows"} and {r.grown_shard for r in got} == {None}
+
+
+def hashed(*parts, seed=42):
+    """Spark's xxhash64 of longs, ints and strings."""
+    import struct
+    import xxhash
+    for kind, v in parts:
+        body = v.encode() if kind == "s" else struct.pack("<q" if kind == "l" else "<i", v)
+        seed = xxhash.xxh64_intdigest(body, seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def plain_propagation(rows, shards=8, slack=S.SLACK):
+    """The stated propagation in plain Python, over rows (uid, key)."""
+    n = len({u for u, _ in rows})
+    total = Counter(k for _, k in rows)
+    links = [(u, k) for u, k in rows if total[k] > 1]
+    lead = {}
+    for u, k in links:
+        lead[u] = max(lead.get(u, (0, "")), (total[k], k))
+    shard = {u: hashed(("l", u)) % shards for u in lead}
+    sizes = [sum(s == j for s in shard.values()) for j in range(shards)]
+    capacity = max(n, (1 + slack) * sum(sizes)) / shards
+    turn, best, idle = 0, None, 0
+    while True:
+        may = [size < capacity - 0.5 for size in sizes]
+        votes = Counter((k, shard[u]) for u, k in links)
+        held = {u: [0] * shards for u in lead}
+        for u, k in links:
+            for j in range(shards):
+                held[u][j] += votes[k, j]
+        want = {u: max((may[j] or shard[u] == j, held[u][j], hashed(("s", lead[u][1]), ("i", j)), j) for j in range(shards))[3] for u in lead}
+        cut = sum(sum(held[u]) - held[u][shard[u]] for u in lead)
+        if best is None or cut < best[0]:
+            best, idle = (cut, dict(shard)), 0
+        else:
+            idle += 1
+        moves = Counter((shard[u], want[u]) for u in lead if shard[u] != want[u])
+        if not moves or idle >= S.PATIENCE:
+            return best[1], best[0]
+        share = S.quotas(moves, sizes, capacity)
+        for u in lead:
+            i, j = shard[u], want[u]
+            crowded = lead[u][0] > capacity / S.CROWD
+            ticket = hashed(("l", u) if crowded else ("s", lead[u][1]), ("i", turn)) % S.UNIT
+            if i != j and ticket < share.get((i, j), 0.0) * S.UNIT:
+                shard[u] = j
+                sizes[i], sizes[j] = sizes[i] - 1, sizes[j] + 1
+        turn += 1
+
+
+@pytest.mark.parametrize("several", [False, True])
+def test_propagation_equals_plain_python(spark, several):
+    """Groups of all sizes, chains of links where rows have several keys, and a hot key."""
+    import random
+    rng = random.Random(several)
+    rows = [(u, f"g{u // 5}") for u in range(200)] + [(u, "hot") for u in range(200, 320)] + [(u, f"s{u}") for u in range(320, 420)]
+    if several:
+        rows += [(u, f"c{u // 2}") for u in range(1, 200, 3)] + [(u, f"x{rng.randrange(12)}") for u in rng.sample(range(420), 90)]
+        rows = sorted(set(rows))
+    frame = spark.createDataFrame(rows, "uid bigint, key string")
+    got = {r.uid: r.shard for r in S.propagate(frame).collect()}
+    want, cut = plain_propagation(rows)
+    assert got == want
+    start = {u: hashed(("l", u)) % 8 for u in want}
+    groups = defaultdict(list)
+    for u, k in rows:
+        groups[k].append(u)
+    crossing = lambda at: sum(at[a] != at[b] for us in groups.values() if len(us) > 1 for a in us for b in us)
+    assert crossing(want) == cut < crossing(start)
