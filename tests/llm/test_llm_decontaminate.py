@@ -106,7 +106,7 @@ def test_proximity(spark):
     d, b = frames(spark, docs, [(9, "alpha beta gamma"), (8, "absent alpha")])
     index = S.forward(d)
     ids = {r.uid: r.id for r in index.collect()}
-    got = {(ids[r.uid], r.item) for r in S.proximity_matches(index, S.items_of(b), 6).collect()}
+    got = {(ids[r.uid], r.item) for r in S.Searches(index, S.items_of(b), slop=6).proximity_matches().collect()}
     assert got == {(1, "9"), (3, "9")}
 
 
@@ -120,3 +120,10 @@ def test_near_items_of_long_items(spark):
     d, b = frames(spark, docs, [(9, " ".join(q)), (8, "the " * 30), (7, " ".join(q) + " absent")])
     got = {r.id: (r.n_hit, r["items"], r.near_items) for r in S.contamination(d, b).collect()}
     assert got == {1: (0, [], ["7", "9"]), 2: (0, [], ["7", "9"]), 3: (0, [], []), 4: (40, ["7", "9"], ["7", "9"]), 5: (0, [], [])}
+
+
+def test_dropping_passes_clashing_columns_on(spark):
+    q = " ".join(f"q{k}" for k in range(14))
+    docs = spark.createDataFrame([(1, q, "a", "b", 3), (2, "clean words", "a", "b", 3)], "doc_id bigint, text string, bad_id string, uid string, bad_hash int")
+    left = S.drop_contaminated(docs, spark.createDataFrame([(9, q)], "item_id bigint, text string"))
+    assert [tuple(r) for r in left.collect()] == [(2, "clean words", "a", "b", 3)] and left.columns == docs.columns
