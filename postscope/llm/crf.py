@@ -17,7 +17,7 @@ Features are counts over characters, words and lines of the text alone; no
 label, language, source or id enters a score.
 
 Defined results: null, empty or blank text has no good text and gets the score
-of share 0. A null id is never labelled; several labels of an id count as the
+of share 0. Very long texts are scored whole, line by line. A null id is never labelled; several labels of an id count as the
 least. Without labels of both kinds in the sample the score is the share
 itself. Repeated rows each get their row, an empty table gives an empty
 result, other columns are not read (or passed through by ``good_documents``).

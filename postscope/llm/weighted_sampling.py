@@ -20,7 +20,8 @@ bucket's first row is also sent to the bucket before, which so holds the next
 document of its last row.
 
 Defined results: null text is empty; a text without words has the all-zero
-fingerprint, which is like itself only. Equal ids go by text, null ids first.
+fingerprint, which is like itself only. Very long texts are sampled whole, by
+the task that reads them. Equal ids go by text, null ids first.
 Repeated rows each get their row. An empty table gives an empty result. Other
 columns are not read.
 """

@@ -108,3 +108,10 @@ def test_held_out_accuracy_on_the_given_labels(spark):
     found = S.op7_quality(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out")
     r = found.agg(F.avg((F.col("predicted") == F.col("quality")).cast("double")).alias("right"), F.sum(F.when((F.col("quality") == 1) & (F.col("predicted") == 0), 1).otherwise(0)).alias("lost")).first()
     assert r["right"] > 0.95 and r["lost"] <= 3
+
+
+def test_good_documents_pass_clashing_columns_on(spark):
+    docs = spark.createDataFrame([(k, f"The river ran by the old mill and the children walked home {k}.", "s", "i", "h") for k in range(4)], "doc_id bigint, text string, score string, id string, text_hash string")
+    labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    out = S.good_documents(docs, labels)
+    assert out.columns == docs.columns and all((r.score, r.id, r.text_hash) == ("s", "i", "h") for r in out.collect())
