@@ -25,6 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from .functions.text import utf16_length
 from .operators import compare, predict, stats
 from .sinks.archive import stream_archive_sink
+from .sinks.datasource import FORMAT
 from .sinks.documents import comparison_documents, stream_documents, to_documents
 from .sinks.reports import write_reports
 from .sources.posts import live_posts, live_raw, read_archive, read_archive_quarantine
@@ -130,7 +131,7 @@ def live_vs_historic(spark: SparkSession, archive: str, landing: str, out: str,
     history = f"{out.rstrip('/')}/historic"
     if documents:
         return [*first, start_compare(live, history, f"{documents.rstrip('/')}/tw_comparedata", _ck(checkpoint, "compare"),
-                                      trigger, shape=comparison_documents, fmt="text")]
+                                      trigger, shape=comparison_documents, fmt=FORMAT)]
     return [*first, start_compare(live, history, f"{out.rstrip('/')}/diff", _ck(checkpoint, "compare"), trigger)]
 
 
@@ -155,6 +156,6 @@ def online_predictions(spark: SparkSession, landing: str, documents: str, checkp
     return first + [sp.start_bucketed(
         df, out=f"{documents}/tw_predictions/model={MODEL_NAMES[model]}",
         state=_ck(checkpoint, f"pred_{model}_state"), checkpoint=_ck(checkpoint, f"pred_{model}"),
-        slices=slices, trigger=trigger, fmt="json",
+        slices=slices, trigger=trigger, fmt=FORMAT,
         shape=lambda p, m=model: to_documents(predict.label(p, m), "tw_predictions"), **kw)
         for model, (df, kw) in runs.items()]

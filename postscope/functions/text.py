@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..vocab import STOP_WORDS
@@ -59,14 +59,40 @@ def utf16_length(text: str | Column) -> Column:
     return F.when(n > 0, n)
 
 
+#: Stop lists of more words are joined, not put into the expression.
+INLINE_STOP_WORDS = 1000
+
+
+def stop_list(spark: SparkSession, path: str) -> DataFrame:
+    """A user's stop list on shared storage as a frame with the column ``word``: one word a line, lines that start with # are comments."""
+    word = F.trim("value").alias("word")
+    return spark.read.text(path).where(~F.col("value").startswith("#")).select(word).where("word <> ''").distinct()
+
+
+def without_stop_words(rows: DataFrame, stop_words: Iterable[str] | DataFrame) -> DataFrame:
+    """``rows`` (any with a column ``word``) whose word is not in the list.
+
+    A list counted to have at most ``INLINE_STOP_WORDS`` words becomes part of the filter; a longer one a left anti
+    join, whose right side Spark broadcasts while it measures it to be small.
+    """
+    if isinstance(stop_words, DataFrame):
+        listed = stop_words.select("word").where("word IS NOT NULL").distinct()
+        few = [r["word"] for r in listed.limit(INLINE_STOP_WORDS + 1).collect()]
+    else:
+        few = list(dict.fromkeys(stop_words))
+        listed = None
+    if len(few) <= INLINE_STOP_WORDS:
+        return rows.where(~F.col("word").isin(few)) if few else rows
+    if listed is None:
+        listed = rows.sparkSession.createDataFrame([(w,) for w in few], "word string")
+    return rows.join(listed, "word", "left_anti").select(*rows.columns)
+
+
 def word_rows(df: DataFrame, text: str = "text", keep: Iterable[str] = ("tag",),
-              stop_words: Iterable[str] = STOP_WORDS) -> DataFrame:
-    """One row per kept word (M1): lower, split on ``\\W+``, drop empties and stop words."""
-    keep = list(keep)
-    stop = list(dict.fromkeys(stop_words))
-    w = F.explode(raw_tokens(text)).alias("word")
-    rows = df.select(*keep, w)
-    return rows.where((F.col("word") != "") & ~F.col("word").isin(stop))
+              stop_words: Iterable[str] | DataFrame = STOP_WORDS) -> DataFrame:
+    """One row per kept word (M1): lower, split on ``\\W+``, drop empties and stop words (a list, or a frame with the column ``word``)."""
+    rows = df.select(*keep, F.explode(raw_tokens(text)).alias("word"))
+    return without_stop_words(rows.where(F.col("word") != ""), stop_words)
 
 
 def token_lengths(df: DataFrame, text: str = "text", keep: Iterable[str] = ("tag",)) -> DataFrame:

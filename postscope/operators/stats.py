@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import max_word_length, utf16_length, word_rows, words_per_post
+from ..functions.text import INLINE_STOP_WORDS, max_word_length, utf16_length, without_stop_words, word_rows, words_per_post
 from ..vocab import STOP_WORDS
 
 MEASURES = ("max_word_length", "avg_words", "avg_length", "avg_followers", "avg_reretweets")
@@ -102,10 +102,11 @@ def single_stat(posts: DataFrame, name: str, keys: Sequence[str] = ("tag",),
 
 
 def word_count(posts: DataFrame, keys: Sequence[str] = ("tag",), text: str = "text",
-               stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
-    """A1: occurrences per (keys, word) after stop-word removal."""
-    return (word_rows(posts, text, keys, stop_words)
-            .groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n")))
+               stop_words: Sequence[str] | DataFrame = STOP_WORDS) -> DataFrame:
+    """A1: occurrences per (keys, word) after stop-word removal. A long stop list meets the counted words, one row each, not every occurrence."""
+    long = isinstance(stop_words, DataFrame) or len(stop_words) > INLINE_STOP_WORDS
+    counted = word_rows(posts, text, keys, () if long else stop_words).groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n"))
+    return without_stop_words(counted, stop_words) if long else counted
 
 
 def _window_col(time_col: str, window: str | None, session_gap: str | None) -> Column:
@@ -142,7 +143,7 @@ def windowed_stats(posts: DataFrame, time_col: str = "t", window: str | None = N
 
 def windowed_word_count(posts: DataFrame, time_col: str = "t", window: str = "60 seconds",
                         keys: Sequence[str] = ("tag",), text: str = "text",
-                        stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
+                        stop_words: Sequence[str] | DataFrame = STOP_WORDS) -> DataFrame:
     """Word count per tumbling window."""
     rows = word_rows(posts, text, [time_col, *keys], stop_words)
     g = rows.groupBy(F.window(time_col, window).alias("w"), *keys, "word").agg(

@@ -12,6 +12,7 @@ import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.tagging import track_filter, with_dominant_tag
@@ -21,13 +22,13 @@ from ..functions.time import bucket_ms
 from ..functions.numbers import java_int
 from ..operators import compare, predict, stats
 from ..operators.slices import SLICE, sliced
-from ..session import pin_utc, scratch_path
+from ..session import scratch_path, utc
 from ..sinks.archive import stream_archive_sink, write_archive
 from ..sinks.documents import LAYOUTS, STAT_INDEX, comparison_documents, stream_documents, to_documents
 from ..sinks.reports import REPORTS, write_reports
 from ..sources.posts import archive_lines, archive_posts, live_posts, live_raw, read_archive, stream_archive
 from ..sources.tables import document_posts, event_posts, event_raw_posts, table
-from ..streaming.live import live_stats, live_word_count, start_compare, start_stat_documents, write_history
+from ..streaming.live import live_stats, live_word_count, start_compare, start_compare_feed, start_stat_documents, write_history
 from ..streaming.predictors import start_bucketed
 from ..streaming.sessions import start_sessions
 from ..streaming.runner import materialise_stream, run_stream
@@ -55,8 +56,8 @@ def register(name: str, sql: str | None = None):
     def deco(fn: Query) -> Query:
         @functools.wraps(fn)
         def run(spark: SparkSession, sf: str) -> DataFrame:
-            pin_utc(spark)
-            return fn(spark, sf)
+            with utc(spark):
+                return fn(spark, sf)
         QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
@@ -434,7 +435,8 @@ MARKER = "__end__"
 DAY_MS = 86_400_000
 
 
-def in_turns(spark, sf, base, start, marker=True):
+def in_turns(spark, sf, base, start, marker=True, side=None):
+    """``start`` of the feed, turn by turn; with ``side``, rows with a time ``at`` that arrive in the same turns, ``start`` gets their feed too."""
     events = table(spark, sf, "events")
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     cuts = events.agg(F.percentile_approx(micros, [k / TURNS for k in range(1, TURNS)])).first()[0]
@@ -445,10 +447,15 @@ def in_turns(spark, sf, base, start, marker=True):
         kinds = {f.name: f.dataType for f in events.schema.fields}
         values = {"event_id": F.lit(-1), "event_type": F.lit(MARKER), "ts": F.col("ts") + F.expr("INTERVAL 7 DAYS"), "props": F.lit("{}")}
         parts.append(last.select(*[values.get(n, F.lit(0)).cast(t).alias(n) for n, t in kinds.items()]))
+    read = lambda schema, name: spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{base}/{name}")
+    if side is not None:
+        at = F.unix_micros("at")
+        side_turn = functools.reduce(lambda a, c: a + (at > c).cast("int"), cuts or [], F.lit(0))
     for k, part in enumerate(parts):
         part.write.parquet(f"{base}/feed/turn={k}")
-        feed = spark.readStream.schema(events.schema).option("recursiveFileLookup", "true").parquet(f"{base}/feed")
-        q = start(feed)
+        if side is not None:
+            side.where(side_turn == k).write.parquet(f"{base}/side/turn={k}")
+        q = start(read(events.schema, "feed"), *([] if side is None else [read(side.schema, "side")]))
         q.awaitTermination()
         if q.exception() is not None:
             raise q.exception()
@@ -539,23 +546,51 @@ def q_stream_live_vs_historic(spark, sf):
     return spark.read.parquet(f"{base}/out").select("name", _ms("window_start"), "tag", F.round("diff", 6).alias("diff"))
 
 
+FEED_MEASURES = ("avg_followers", "avg_reretweets")
+DAY_US = 86_400_000_000
+
+
+@register("stream_history_feed", f"""WITH {EV_POSTS},
+live AS (SELECT ms - ms % {STAT_WINDOW_MS} AS window_start, tag, avg(followers) AS avg_followers, avg(k) AS avg_reretweets FROM ev GROUP BY 1, 2),
+daily AS (SELECT tag, us - us % {DAY_US} AS at, sum(followers) AS f, sum(k) AS k, count(*) AS n FROM ev GROUP BY 1, 2),
+past AS (SELECT tag, at, sum(f) OVER w AS f, sum(k) OVER w AS k, sum(n) OVER w AS n FROM daily
+  WINDOW w AS (PARTITION BY tag ORDER BY at ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+hist AS (SELECT tag, at, f / n AS avg_followers, k / n AS avg_reretweets FROM past WHERE n > 0),
+j AS (SELECT l.tag, l.window_start, h.avg_followers - l.avg_followers AS f, h.avg_reretweets - l.avg_reretweets AS k
+  FROM live l ASOF JOIN hist h ON l.tag = h.tag AND (l.window_start + {STAT_WINDOW_MS}) * 1000 >= h.at)
+SELECT {sql_str(STAT_NAMES['avg_followers'])} AS name, window_start, tag, round(f, 6) AS diff FROM j UNION ALL
+SELECT {sql_str(STAT_NAMES['avg_reretweets'])}, window_start, tag, round(k, 6) FROM j""")
+def q_stream_history_feed(spark, sf):
+    """J1 with history that streams in: at each day's start a tag's averages over all earlier days; a window takes the latest before its end."""
+    base = scratch_path(spark, "stream_history")
+    m, _ = stats.measured(_events(spark, sf), FEED_MEASURES)
+    day = F.timestamp_micros(F.floor(F.unix_micros("t") / DAY_US).cast("bigint") * DAY_US)
+    daily = m.groupBy("tag", day.alias("at")).agg(F.sum("m_followers").alias("f"), F.sum("m_reretweets").alias("k"), F.count("*").alias("n"))
+    before = W.partitionBy("tag").orderBy("at").rowsBetween(W.unboundedPreceding, -1)
+    past = daily.select("tag", "at", *[F.sum(c).over(before).alias(c) for c in ("f", "k", "n")]).where("n > 0")
+    history = past.select("tag", "at", (F.col("f") / F.col("n")).alias("avg_followers"), (F.col("k") / F.col("n")).alias("avg_reretweets"))
+    in_turns(spark, sf, base, lambda s, h: start_compare_feed(live_stats(event_posts(s), window=STAT_WINDOW, watermark="1 hour"), h, f"{base}/out", f"{base}/state",
+                                                              f"{base}/checkpoint", measures=FEED_MEASURES, trigger=ONCE), side=history)
+    return spark.read.parquet(f"{base}/out").select("name", _ms("window_start"), "tag", F.round("diff", 6).alias("diff"))
+
+
 @register("comparison_documents", f"""SELECT name, tag, diff, name = {sql_str(STAT_NAMES['max_word_length'])} AS is_int, true AS stamped
 FROM ({ORACLE['live_vs_historic']}) d""")
 def q_comparison_documents(spark, sf):
     """One document per closed window, tag and statistic; the maximum's number is an integer."""
     base = scratch_path(spark, "compare_documents")
-    _compare_stream(spark, sf, base, shape=comparison_documents, fmt="text")
+    _compare_stream(spark, sf, base, shape=comparison_documents, fmt="documents")
     d = spark.read.text(f"{base}/out").select(F.from_json("value", "comparedata string, comparedata_tag string, comparedata_name string, comparedata_timestamp bigint").alias("d")).select("d.*")
     return d.select(F.col("comparedata_name").alias("name"), F.col("comparedata_tag").alias("tag"), F.round(F.col("comparedata").cast("double"), 6).alias("diff"),
                     F.col("comparedata").rlike("^-?[0-9]+$").alias("is_int"), (F.col("comparedata_timestamp") > 0).alias("stamped"))
 
 
 # --------------------------------------------------------------- P5: predictors on streams
-def _stream_predict(spark, sf, kind, posts=lambda p: p, shape=None, **how):
+def _stream_predict(spark, sf, kind, posts=lambda p: p, shape=None, schema=None, **how):
     base = scratch_path(spark, f"stream_{kind}")
     in_turns(spark, sf, base, lambda s: start_bucketed(posts(event_posts(s)), kind, f"{base}/out", f"{base}/state", f"{base}/checkpoint",
                                                        trigger=ONCE, shape=shape, **how), marker=False)
-    return spark.read.parquet(f"{base}/out")
+    return spark.read.schema(schema).json(f"{base}/out") if schema else spark.read.parquet(f"{base}/out")
 
 
 def _emitted(out):
@@ -587,7 +622,8 @@ def q_stream_predict_regression_followers(spark, sf):
 def q_prediction_documents(spark, sf):
     """K6 with P6: the labelled predictions of a stream as documents."""
     out = _stream_predict(spark, sf, "regression", stats.status_pairs, x="x", y="y",
-                          shape=lambda p: to_documents(predict.label(p, "followers"), "tw_predictions"))
+                          shape=lambda p: to_documents(predict.label(p, "followers"), "tw_predictions"), fmt="documents",
+                          schema="predictions_predicted int, predictions_real int, predictions_tag string, predictions_name string, predictions_timestamp bigint")
     return out.select("predictions_predicted", "predictions_real", "predictions_tag", "predictions_name", (F.col("predictions_timestamp") > 0).alias("stamped"))
 
 

@@ -12,11 +12,20 @@ from pyspark.sql import SparkSession
 # Settings every postscope job relies on. Time zone: display timestamps and
 # window boundaries are defined in UTC. ANSI stays on (Spark's default), the
 # operators clamp before every narrowing cast.
+#
+# Stream state lives in RocksDB on local disk, not on the executors' heap, so
+# (window, tag, word) state may outgrow memory; checkpoints write the changes
+# of a batch only.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    **STATE_CONF,
 }
 
 
@@ -47,13 +56,6 @@ def get_session(master: str | None = None, app: str = "postscope",
     return spark
 
 
-def pin_utc(spark: SparkSession) -> None:
-    """Event times, window bounds and display strings are defined in UTC;
-    make the session agree (timestamp_ntz columns are read as UTC)."""
-    if spark.conf.get("spark.sql.session.timeZone", None) not in ("UTC", "Etc/UTC", "Z", "+00:00"):
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-
-
 @contextmanager
 def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
     """Session settings for the time of a block; what was set before comes back."""
@@ -67,6 +69,12 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def utc(spark: SparkSession):
+    """Event times, window bounds and display strings are defined in UTC: a block that builds frames on a session with
+    another zone (timestamp_ntz columns are read as UTC). A frame keeps the zone it was built in, so the caller's comes back."""
+    return settings(spark, {"spark.sql.session.timeZone": "UTC"})
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 

@@ -1,10 +1,10 @@
 """K3-K6: JSON document sinks (one folder per index).
 
 Each statistic becomes a document with renamed fields and the wall-clock
-write time in ms. The writer is generic: JSON files by default, or any
-installed DataFrame writer ``format`` (e.g. a search-engine connector).
-Streaming writes go through ``foreachBatch`` and overwrite the folder of
-their batch id, so a re-run batch after a failure replaces its own output.
+write time in ms. The writer is generic: the ``documents`` data source
+(``sinks.datasource``: JSON lines, committed batch by batch) by default, or any
+installed DataFrame writer ``format`` (e.g. a search-engine connector), which goes through
+``foreachBatch`` and overwrites the folder of its batch id.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..schema import POST_COLUMNS
+from .datasource import FORMAT, register
 
 
 def now_ms():
@@ -74,17 +75,35 @@ def comparison_documents(diffs: DataFrame) -> DataFrame:
     return diffs.select(F.when(F.col("int_diff").isNotNull(), document(F.col("int_diff"))).otherwise(document(F.col("diff"))).alias("value"))
 
 
-def write_documents(docs: DataFrame, path: str, fmt: str = "json", mode: str = "append",
+def lines(docs: DataFrame) -> DataFrame:
+    """Documents as JSON text (column ``value``); text documents stay as they are."""
+    if docs.columns == ["value"]:
+        return docs
+    return docs.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("value"))
+
+
+def write_documents(docs: DataFrame, path: str, fmt: str = FORMAT, mode: str = "append",
                     options: dict[str, str] | None = None) -> None:
+    if fmt == FORMAT:
+        register(docs.sparkSession)
+        docs = lines(docs)
     docs.write.format(fmt).mode(mode).options(**(options or {})).save(path)
 
 
-def stream_documents(docs: DataFrame, path: str, checkpoint: str, fmt: str = "json",
-                     output_mode: str = "append", trigger: dict | None = None) -> StreamingQuery:
-    def _batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.format(fmt).mode("overwrite").save(f"{path.rstrip('/')}/batch={batch_id}")
+def write_batch(docs: DataFrame, path: str, batch_id: int, fmt: str = FORMAT) -> None:
+    """The documents of one micro-batch below ``path/batch=<id>``, once however often the batch is run."""
+    if fmt == FORMAT:
+        write_documents(docs, path, options={"batch": str(batch_id)})
+    else:
+        docs.write.format(fmt).mode("overwrite").save(f"{path.rstrip('/')}/batch={batch_id}")
 
-    w = (docs.writeStream.foreachBatch(_batch).outputMode(output_mode)
-         .option("checkpointLocation", checkpoint))
-    w = w.trigger(**(trigger or {"processingTime": "5 seconds"}))
-    return w.start()
+
+def stream_documents(docs: DataFrame, path: str, checkpoint: str, fmt: str = FORMAT,
+                     output_mode: str = "append", trigger: dict | None = None) -> StreamingQuery:
+    if fmt == FORMAT:
+        register(docs.sparkSession)
+        w = lines(docs).writeStream.format(fmt).option("path", path)
+    else:
+        w = docs.writeStream.foreachBatch(lambda batch, batch_id: write_batch(batch, path, batch_id, fmt))
+    w = w.outputMode(output_mode).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()

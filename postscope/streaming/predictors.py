@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators import predict as P
 from ..operators.slices import SLICE, sliced
+from ..sinks.documents import write_batch
 from .runner import committed, remove
 
 
@@ -53,7 +54,7 @@ def start_bucketed(posts: DataFrame, kind: str, out: str, state: str, checkpoint
             raise ValueError(kind)
         if shape is not None:
             pred = shape(pred)
-        pred.write.mode("overwrite").format(fmt).save(f"{out}/batch={batch_id}")
+        write_batch(pred, out, batch_id, fmt)
         if init is not None:   # keys absent from this batch keep their state
             new = new.unionByName(init.join(new.select(key), key, "left_anti"))
         new.write.mode("overwrite").parquet(f"{state}/batch={batch_id}")

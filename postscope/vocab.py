@@ -7,23 +7,20 @@ that accept a replacement list.
 
 from __future__ import annotations
 
+from importlib.resources import files
+
 # The default topic vocabulary, in priority order (ties go to
 # the earlier entry, posts with no hit get the first entry).
 DEFAULT_TAGS: tuple[str, ...] = ("Google", "Facebook", "Apple", "Intel", "Huawei")
 
-# The stop-word list removed by the word count, in its
-# natural order (141 distinct lower-case tokens).
-STOP_WORDS_TEXT = (
-    "i me my myself we our ours ourselves you your yours yourself yourselves he him his "
-    "himself she her hers herself it its itself they them their theirs themselves what which who "
-    "whom this that these those am is are was were be been being have has had having do does did "
-    "doing a an the and but if or because as until while of at by for with about against between "
-    "into through during before after above below to from up down in out on off over under again "
-    "further then once here there when where why how all any both each few more most other some "
-    "such no nor not only own same so than too very s t can will just don should now http https co "
-    "re rt 1 2 3 4 5 6 7 8 9"
-)
-STOP_WORDS: tuple[str, ...] = tuple(STOP_WORDS_TEXT.split(" "))
+
+def read_words(text: str) -> tuple[str, ...]:
+    """The words of a list file: one a line, lines that start with # are comments."""
+    return tuple(dict.fromkeys(w.strip() for w in text.splitlines() if w.strip() and not w.startswith("#")))
+
+
+#: The stop words removed by the word count (141 lower-case tokens, ``data/stop_words.txt``).
+STOP_WORDS: tuple[str, ...] = read_words((files(__package__) / "data" / "stop_words.txt").read_text(encoding="utf-8"))
 
 # Statistic names used by the live-vs-historic comparison and
 # model names used by the predictors.

@@ -231,3 +231,25 @@ def test_sliced_rows_are_shuffled_once(spark, tmp_path):
             lines = out._jdf.queryExecution().executedPlan().toString().split("\n")
             branch = [line for line in lines if line.lstrip().startswith(":")]     # the left side of the join: the rows
             assert any("FileScan" in line and "Bucketed: true" in line for line in branch) and not any("Exchange" in line for line in branch)
+
+
+def test_stop_lists_inline_and_joined_give_the_same_words(spark, tmp_path, monkeypatch):
+    """The packaged list as a filter, as a user's file, and past the counted size as a join; then a list of 100,000 words."""
+    from postscope.functions import text as T
+    from postscope.vocab import STOP_WORDS
+    texts = [("a", "The river ran and the mill stood by it, word5 word6"), ("b", "an ounce of word7 is THE best of word99999 and word100000"), ("b", "")]
+    docs = spark.createDataFrame(texts, "tag string, text string")
+    assert len(STOP_WORDS) == 141 and STOP_WORDS[0] == "i" and STOP_WORDS[-1] == "9"
+    (tmp_path / "stop.txt").write_text("# own list\n" + "\n".join(STOP_WORDS) + "\n\nthe\n")
+    listed = T.stop_list(spark, str(tmp_path / "stop.txt"))
+    want = sorted(map(tuple, stats.word_count(docs).collect()))
+    assert sorted(map(tuple, stats.word_count(docs, stop_words=listed).collect())) == want
+    assert ("b", "best", 1) in want and not any(w == "the" for _, w, _ in want)
+    many = [*STOP_WORDS, *(f"word{k}" for k in range(100_000))]
+    left = [r for r in want if r[1] in ("word100000",) or not r[1].startswith("word")]
+    assert sorted(map(tuple, stats.word_count(docs, stop_words=many).collect())) == left
+    rows_ = T.word_rows(docs, stop_words=many)
+    assert sorted((r.tag, r.word) for r in rows_.collect()) == sorted((t, w) for t, w, n in left for _ in range(n))
+    monkeypatch.setattr(T, "INLINE_STOP_WORDS", 3)
+    assert sorted(map(tuple, stats.word_count(docs, stop_words=listed).collect())) == want
+    assert "LeftAnti" in T.word_rows(docs, stop_words=listed)._jdf.queryExecution().optimizedPlan().toString()

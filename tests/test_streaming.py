@@ -161,3 +161,39 @@ def test_session_slices_of_a_hot_tag_are_even(spark, tmp_path):
     assert got.agg(F.sum("n")).first()[0] == 30_000
     plain = rows_.select("tag", F.timestamp_micros("_u").alias("t")).groupBy(F.session_window("t", "1 second").alias("w"), "tag").count()
     assert sorted((r.tag, r._u, r.n) for r in got.collect()) == sorted((r[0], r[1], r[2]) for r in plain.select("tag", F.unix_micros("w.start"), "count").collect())
+
+
+def test_history_that_streams_in(spark, tmp_path):
+    """A history row between two windows changes only the later one, before and after a restart; a tag without history gives no row."""
+    from postscope.streaming.live import start_compare_feed
+    at = lambda col, m: f"timestamp'2020-01-01' + make_interval(0, 0, 0, 0, 0, {m}) AS {col}"
+    live = lambda tag, m, v: f"SELECT {at('window_start', m - 1)}, {at('window_end', m)}, '{tag}' AS tag, {v}D AS avg_length"
+    hist = lambda tag, m, v: f"SELECT '{tag}' AS tag, {v}D AS avg_length, {at('at', m)}"
+    turns = [([("a", 5, 1), ("a", 10, 1), ("b", 6, 1)], [("a", 2, 10), ("a", 7, 20)]),
+             ([("a", 15, 1), ("a", 25, 1), ("b", 16, 1)], [("a", 20, 30), ("b", 17, 5)]),
+             ([("a", 30, 1), ("b", 31, 1)], [("a", 4, 99)])]
+    for k, (windows, past) in enumerate(turns):
+        spark.sql(" UNION ALL ".join(live(*w) for w in windows)).write.parquet(f"{tmp_path}/live/turn={k}")
+        spark.sql(" UNION ALL ".join(hist(*h) for h in past)).write.parquet(f"{tmp_path}/hist/turn={k}")
+        read = lambda name: spark.readStream.schema(spark.read.parquet(f"{tmp_path}/{name}/turn=0").schema).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/{name}")
+        start_compare_feed(read("live"), read("hist"), f"{tmp_path}/out", f"{tmp_path}/state", f"{tmp_path}/ck", measures=("avg_length",), trigger={"availableNow": True}).awaitTermination()
+    got = {(r.tag, r.window_end.minute): r["diff"] for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert got == {("a", 5): 9.0, ("a", 10): 19.0, ("a", 15): 19.0, ("a", 25): 29.0, ("a", 30): 29.0, ("b", 31): 4.0}
+    assert spark.read.parquet(f"{tmp_path}/state/batch=2").groupBy("tag").count().count() == 2
+
+
+def test_word_state_is_kept_in_rocksdb_over_a_restart(spark, sf001, tmp_path):
+    from postscope.session import STATE_CONF
+    from postscope.streaming.live import live_word_count
+    from postscope.streaming.runner import latest_rows, run_stream
+    ev = spark.read.parquet(f"{sf001}/events.parquet")
+    cut = ev.agg(F.expr("percentile(event_id, 0.5)")).first()[0]
+    for k, part in enumerate((ev.where(F.col("event_id") <= cut), ev.where(F.col("event_id") > cut))):
+        part.write.parquet(f"{tmp_path}/feed/turn={k}")
+        stream = spark.readStream.schema(ev.schema).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/feed")
+        run_stream(live_word_count(event_posts(stream), window="1 hour", watermark="30 days"), f"{tmp_path}/out", f"{tmp_path}/ck")
+    files = [f for _, _, names in os.walk(tmp_path / "ck" / "state") for f in names]
+    assert any(f.endswith(".changelog") for f in files) and all(v in open(tmp_path / "ck" / "offsets" / "1").read() for v in STATE_CONF.values())
+    got = latest_rows(spark, f"{tmp_path}/out", ["window_start", "tag", "word"], ["window_start", "tag", "word", "n"])
+    want = stats.windowed_word_count(event_posts(ev), "t", window="1 hour").select("window_start", "tag", "word", "n")
+    assert rows(got, got.columns) == rows(want, want.columns)
