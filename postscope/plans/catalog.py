@@ -552,12 +552,12 @@ DAY_US = 86_400_000_000
 
 @register("stream_history_feed", f"""WITH {EV_POSTS},
 live AS (SELECT ms - ms % {STAT_WINDOW_MS} AS window_start, tag, avg(followers) AS avg_followers, avg(k) AS avg_reretweets FROM ev GROUP BY 1, 2),
-daily AS (SELECT tag, us - us % {DAY_US} AS at, sum(followers) AS f, sum(k) AS k, count(*) AS n FROM ev GROUP BY 1, 2),
-past AS (SELECT tag, at, sum(f) OVER w AS f, sum(k) OVER w AS k, sum(n) OVER w AS n FROM daily
-  WINDOW w AS (PARTITION BY tag ORDER BY at ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-hist AS (SELECT tag, at, f / n AS avg_followers, k / n AS avg_reretweets FROM past WHERE n > 0),
+daily AS (SELECT tag, us - us % {DAY_US} AS day, sum(followers) AS f, sum(k) AS k, count(*) AS n FROM ev GROUP BY 1, 2),
+past AS (SELECT tag, day, sum(f) OVER w AS f, sum(k) OVER w AS k, sum(n) OVER w AS n FROM daily
+  WINDOW w AS (PARTITION BY tag ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+hist AS (SELECT tag, day, f / n AS avg_followers, k / n AS avg_reretweets FROM past WHERE n > 0),
 j AS (SELECT l.tag, l.window_start, h.avg_followers - l.avg_followers AS f, h.avg_reretweets - l.avg_reretweets AS k
-  FROM live l ASOF JOIN hist h ON l.tag = h.tag AND (l.window_start + {STAT_WINDOW_MS}) * 1000 >= h.at)
+  FROM live l ASOF JOIN hist h ON l.tag = h.tag AND (l.window_start + {STAT_WINDOW_MS}) * 1000 >= h.day)
 SELECT {sql_str(STAT_NAMES['avg_followers'])} AS name, window_start, tag, round(f, 6) AS diff FROM j UNION ALL
 SELECT {sql_str(STAT_NAMES['avg_reretweets'])}, window_start, tag, round(k, 6) FROM j""")
 def q_stream_history_feed(spark, sf):
