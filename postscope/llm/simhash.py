@@ -15,7 +15,7 @@ planes, and 64-lane blocks are abandoned once every lane in them is beyond the
 radius. Only a spanning forest of each bucket leaves the task.
 
 Defined results: null or empty text, or text without words, has fingerprint 0
-and links like any other. Equal fingerprints are one node, so copies are never
+and links like any other. Very long texts are hashed whole, ``1 << 16`` shingles at a time. Equal fingerprints are one node, so copies are never
 expanded. A null id never becomes a component id unless every id of the
 component is null. Repeated rows each get their row. An empty table gives an
 empty result. Other columns of the input are not read.
@@ -180,7 +180,8 @@ def links(nodes: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, tile: in
     masks = [sum(((1 << cuts[k + 1]) - (1 << cuts[k])) for k in pick) for pick in combinations(range(blocks), blocks - radius)]
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     keyed = nodes.select("fp", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col("fp").bitwiseAND(F.lit(m).cast("bigint")).alias("key")) for k, m in enumerate(signed)])).alias("at")).select("at.k", "at.key", "fp")
-    crowded = keyed.groupBy("k", "key").count().where("count > 1")
+    # stored, so that the join has two plain sides and a bucket of very many fingerprints can be split
+    crowded = stored(keyed.groupBy("k", "key").count().where("count > 1"), "crowded")
     met = keyed.join(crowded, ["k", "key"])
     chunks = F.ceil(F.col("count") / tile).cast("int")
     own = F.pmod(F.xxhash64("fp"), chunks).cast("int")
@@ -223,16 +224,16 @@ def links(nodes: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, tile: in
 def stars(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` but the roots: connected components by alternating large and small stars.
 
-    Every step is a grouped minimum and a join, so a hub is pre-aggregated and
-    a skewed join key can be split; each round is written to the shared folder.
+    Every step is a grouped minimum and a join. The minima are stored, so that a hub is pre-aggregated and
+    its join has two plain sides, which can be split; each round is written to the shared folder.
     """
     now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     seen = None
     while True:
         both = now.union(now.select("b", "a"))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        small_low = large.groupBy("a").agg(F.min("b").alias("m"))
+        low = stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "low")
+        large = stored(both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large")
+        small_low = stored(large.groupBy("a").agg(F.min("b").alias("m")), "small-low")
         small = large.join(small_low, "a").select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").where("a <> b").distinct()
         now = stored(small, "edges")
         mark = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
@@ -243,27 +244,29 @@ def stars(edges: DataFrame) -> DataFrame:
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                radius: int = RADIUS, blocks: int = BLOCKS, tile: int = TILE) -> DataFrame:
-    """(id, text_hash, fp, component_id): one row per document; the component id is the smallest id reachable over links."""
+    """(id, text_hash, fp, component_id, root): one row per document; the component id is the smallest id reachable over links.
+
+    ``root`` is one fingerprint of the component: ids may repeat over components, roots do not.
+    """
     prints = stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     nodes = stored(prints.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
     linked = stars(links(nodes.select("fp"), radius, blocks, tile))
     member = linked.union(linked.select(F.col("root").alias("node"), "root").distinct())
     least = member.join(nodes, member.node == nodes.fp).groupBy("root").agg(F.min("least").alias("component"))
-    named = member.join(least, "root").select(F.col("node").alias("fp"), "component")
+    named = member.join(least, "root").select(F.col("node").alias("fp"), "component", "root")
     # stored, so that the last join has two plain shuffles and a fingerprint of very many rows can be split
-    ids = stored(nodes.join(named, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id")), "ids")
+    ids = stored(nodes.join(named, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id"), F.coalesce("root", "fp").alias("root")), "ids")
     return prints.join(ids, "fp")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The rows of ``docs`` with one row left of each component: the smallest id, then the smallest text hash."""
+    """The rows of ``docs`` with one row left of each component: the smallest id (nulls last), then the smallest text hash."""
     found = components(docs, id_col, text_col, **how)
-    # a component is the set of rows with one component id; rows without any id fall back to their fingerprint
-    first = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("alone")).agg(
-        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("first"))
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("first"))
+    # several components may choose rows with one id and one text hash only if these rows are equal in both, so one component holds them
     stay = first.select(F.col("first.id").alias("stay_id"), F.col("first.text_hash").alias("stay_hash"))
     names = docs.columns
-    kept = docs.alias("d").join(stay.alias("s"), F.col(f"d.{id_col}").eqNullSafe(F.col("s.stay_id")) & (F.xxhash64(F.col(f"d.{text_col}")) == F.col("s.stay_hash")), "inner")
+    kept = docs.alias("d").join(stay.alias("s"), F.col(f"d.`{id_col}`").eqNullSafe(F.col("s.stay_id")) & (F.xxhash64(F.col(f"d.`{text_col}`")) == F.col("s.stay_hash")), "inner")
     one = kept.groupBy("s.stay_id", "s.stay_hash").agg(*[F.first(F.struct(*[F.col(f"d.`{c}`") for c in names])).alias("row")])
     return one.select("row.*")
 

@@ -117,3 +117,12 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert S.components(docs).count() == 0
     assert S.keep_one(docs).count() == 0
+
+
+def test_keep_one_of_repeated_ids_keeps_each_component(spark):
+    """Two texts that are no link apart share an id: both stay."""
+    texts = ["the river ran by the old mill all day", "seven bright birds sat on a wire in June", "nobody knew where the last train had gone"]
+    rows_ = [(5, texts[0], "x"), (5, texts[1], "x"), (7, texts[2], "x"), (9, texts[0], "x"), (None, texts[1], "x")]
+    docs = spark.createDataFrame(rows_, "doc_id bigint, text string, root string")
+    assert sorted((r.doc_id, r.text) for r in S.keep_one(docs).collect()) == sorted([(5, texts[0]), (5, texts[1]), (7, texts[2])])
+    assert S.keep_one(docs).columns == docs.columns
