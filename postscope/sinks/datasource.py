@@ -9,7 +9,8 @@ its query failed is not written twice.
 
 A frame with the one string column ``value`` is taken as finished JSON documents
 (``sinks.documents`` makes them in the JVM); other rows become objects with null fields left out.
-Options: ``path``, a folder that all executors share; ``batch``, the id of a batch write (default: the time).
+Options: ``path``, a folder that all executors share; ``batch``, the id of a batch write (default: the time);
+``folder``, the name before the id (default ``batch``).
 """
 
 from __future__ import annotations
@@ -47,10 +48,11 @@ def exists(where: fs.FileSystem, path: str) -> bool:
 class Documents:
     """Staging and commit of one write; the same for batch and stream."""
 
-    def __init__(self, path: str, overwrite: bool = False, batch: str | None = None):
-        if not path:
+    def __init__(self, options, overwrite: bool = False):
+        if not options.get("path"):
             raise ValueError("documents need a path")
-        self.path, self.overwrite, self.batch, self.job = path.rstrip("/"), overwrite, batch, uuid.uuid4().hex
+        self.path, self.overwrite, self.job = options["path"].rstrip("/"), overwrite, uuid.uuid4().hex
+        self.batch, self.folder = options.get("batch"), options.get("folder", "batch")
 
     def staging(self, root: str) -> str:
         return f"{root}/_staging/{self.job}"
@@ -77,7 +79,7 @@ class Documents:
 
     def finish(self, messages: list[Written | None], batch: str) -> None:
         where, root = storage(self.path)
-        final = f"{root}/batch={batch}"
+        final = f"{root}/{self.folder}={batch}"
         files = [m.file for m in messages if m is not None and m.file]
         if files and not exists(where, final):
             ready = f"{self.staging(root)}/ready"
@@ -87,7 +89,7 @@ class Documents:
             where.move(ready, final)
         if self.overwrite:
             for old in where.get_file_info(fs.FileSelector(root, allow_not_found=True)):
-                if old.base_name.startswith("batch=") and old.base_name != f"batch={batch}":
+                if old.base_name.startswith(f"{self.folder}=") and old.base_name != f"{self.folder}={batch}":
                     where.delete_dir(old.path)
         self.discard(messages)
 
@@ -123,10 +125,10 @@ class DocumentSource(DataSource):
         return "value string"
 
     def writer(self, schema, overwrite: bool) -> BatchWriter:
-        return BatchWriter(self.options.get("path"), overwrite, self.options.get("batch"))
+        return BatchWriter(self.options, overwrite)
 
     def streamWriter(self, schema, overwrite: bool) -> StreamWriter:
-        return StreamWriter(self.options.get("path"))
+        return StreamWriter(self.options)
 
 
 def register(spark: SparkSession) -> None:

@@ -90,12 +90,12 @@ def write_documents(docs: DataFrame, path: str, fmt: str = FORMAT, mode: str = "
     docs.write.format(fmt).mode(mode).options(**(options or {})).save(path)
 
 
-def write_batch(docs: DataFrame, path: str, batch_id: int, fmt: str = FORMAT) -> None:
-    """The documents of one micro-batch below ``path/batch=<id>``, once however often the batch is run."""
+def write_batch(docs: DataFrame, path: str, batch_id: int, fmt: str = FORMAT, folder: str = "batch") -> None:
+    """The documents of one micro-batch below ``path/<folder>=<id>``, once however often the batch is run."""
     if fmt == FORMAT:
-        write_documents(docs, path, options={"batch": str(batch_id)})
+        write_documents(docs, path, options={"batch": str(batch_id), "folder": folder})
     else:
-        docs.write.format(fmt).mode("overwrite").save(f"{path.rstrip('/')}/batch={batch_id}")
+        docs.write.format(fmt).mode("overwrite").save(f"{path.rstrip('/')}/{folder}={batch_id}")
 
 
 def stream_documents(docs: DataFrame, path: str, checkpoint: str, fmt: str = FORMAT,

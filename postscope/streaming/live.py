@@ -24,7 +24,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.numbers import java_int
 from ..operators import compare, stats
-from ..sinks.datasource import FORMAT
 from ..sinks.documents import STAT_INDEX, stat_documents, to_documents, write_batch
 from .runner import committed, remove
 
@@ -78,10 +77,7 @@ def start_compare(live: DataFrame, history: str | Callable[[], DataFrame], path:
         diff = compare_batch(batch, read())
         if shape is not None:
             diff = shape(diff)
-        if fmt == FORMAT:
-            write_batch(diff, path, batch_id)
-        else:
-            diff.write.mode("overwrite").format(fmt).save(f"{path}/_batch={batch_id}")
+        write_batch(diff, path, batch_id, fmt, folder="_batch")
 
     return (live.writeStream.foreachBatch(_batch).outputMode("append")
             .option("checkpointLocation", checkpoint)
