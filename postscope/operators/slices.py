@@ -9,7 +9,8 @@ slice of a row then never changes, however often the rows are read.
 
 They are written bucketed by ``_part``, the key and slice as one string, so a
 scan is already dealt out as the windows over a slice and the join with
-the slice summaries need it: the rows are not shuffled again.
+the slice summaries need it: the rows are not shuffled again. A task reads one
+bucket, so ``SPREAD`` slices on average.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from ..session import scratch_path
 from ..storage import remove
 
 SLICE, PART = "_slice", "_part"
+SPREAD = 4   # slices that share a bucket on average: buckets take them by hash, so several even out
 
 
 def with_slices(df: DataFrame, key: str | Sequence[str], order: Sequence[str], slices: int | None = None) -> DataFrame:
@@ -43,11 +45,11 @@ def sliced(df: DataFrame, key: str | Sequence[str], order: Sequence[str], slices
     spark = df.sparkSession
     path = path or scratch_path(spark, "slices")
     keys = [key] if isinstance(key, str) else list(key)
-    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = slices or SPREAD * int(spark.conf.get("spark.sql.shuffle.partitions"))
     cut = with_slices(df, keys, order, n).withColumn(PART, F.to_json(F.struct(SLICE, *keys)))
     remove(spark, path)
     name = f"postscope_slices_{uuid.uuid4().hex}"
-    cut.write.format("parquet").bucketBy(n, PART).option("path", path).saveAsTable(name)
+    cut.write.format("parquet").bucketBy(-(-n // SPREAD), PART).option("path", path).saveAsTable(name)
     try:
         return spark.table(name)
     finally:

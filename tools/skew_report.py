@@ -24,7 +24,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import functions as F  # noqa: E402
 
 from postscope.operators import predict, stats  # noqa: E402
-from postscope.operators.slices import SLICE, sliced  # noqa: E402
+from postscope.operators.slices import PART, SLICE, sliced  # noqa: E402
 from postscope.session import get_session  # noqa: E402
 from postscope.sources.tables import event_posts, table  # noqa: E402
 
@@ -82,6 +82,9 @@ def main():
         "sessions session_window": stats.windowed_stats(hot, "t", session_gap="10 minutes"),
         "sessions sliced": stats.windowed_stats(sliced(hot, "tag", ["t"]), "t", session_gap="10 minutes", session_bucket=F.col(SLICE)),
     }
+    rows = at(hot)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    load = sorted(r["count"] for r in rows.groupBy(F.pmod(F.hash(PART), F.lit(buckets)).alias("b")).count().collect())
     for name, df in cases.items():
         spark.sparkContext.setJobDescription(name)
         df.write.format("noop").mode("overwrite").save()
@@ -98,6 +101,8 @@ def main():
             continue
         big = max(stages, key=sum)
         print(f"| {name} | {sum(1 for r in big if r)} | {max(big)} | {sum(big)} |")
+    print(f"\nSliced forms shuffle slice summaries only. Their rows are read from a slice table, one bucket a task: {len(load)} tasks with rows, "
+          f"{sum(load) // buckets} on average, {load[-1]} at most, of {sum(load)}.")
 
 
 if __name__ == "__main__":
