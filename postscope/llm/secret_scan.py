@@ -18,7 +18,7 @@ else as ``live`` if they are owner-specific and look live.
 Offsets are code points, end exclusive. Matches are marked by a control
 character, the marked text is split at it, and lengths are added up; that
 character in a text counts as another one of the same length that no pattern
-holds. Defined results: null text is empty; a null owner is the owner '', a null
+holds. Defined results: null text is empty; very long texts are scanned whole, by the task that reads them; a null owner is the owner '', a null
 id the repository ''; texts without candidates have empty spans. Repeated rows each get
 their row and count as one repository if their ids are equal. Other columns are
 not read, or passed on by ``redact``.
@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import read_table, sha_hex, stored
+from .common import read_table, sha_hex, stored, unused
 
 # The base patterns. The runs of hex digits and key characters start at a run's first character, so looking behind saves retries only.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -93,7 +93,8 @@ def ownership(found: DataFrame) -> DataFrame:
 def classified(found: DataFrame, widely: int = WIDELY, repositories: int = WIDELY_REPOSITORIES) -> DataFrame:
     """Candidates with ``held``: example, live or shared."""
     looks = (F.size(F.array_distinct(F.split("value", ""))) >= DISTINCT_CHARS) & ~F.col("value").rlike(PLACEHOLDER)
-    known = found.join(ownership(found), "hash")
+    # stored, so that the join has two plain sides and a value in very many documents can be split
+    known = found.join(stored(ownership(found), "ownership"), "hash")
     copied = (F.col("n_owners") >= widely) | (F.col("n_repositories") >= repositories)
     return known.withColumn("held", F.when(copied, "example").when((F.col("n_owners") == 1) & looks, "live").otherwise("shared"))
 
@@ -126,7 +127,8 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owne
     """``docs`` with every span that is not a widely copied example replaced by ``mask``; overlapping spans by one."""
     spans = scan_secrets(docs, id_col, text_col, owner_col)
     hide = F.filter("spans", lambda s: s["held"] != "example")
-    hits = spans.select(F.col("id").alias("_hit_id"), F.col("text_hash").alias("_hit_hash"), hide.alias("_hide")).where(F.size("_hide") > 0).dropDuplicates(["_hit_id", "_hit_hash"])
+    hit_id, hit_hash, hidden = unused(docs.columns, "_hit_id", "_hit_hash", "_hide")
+    hits = spans.select(F.col("id").alias(hit_id), F.col("text_hash").alias(hit_hash), hide.alias(hidden)).where(F.size(hidden) > 0).dropDuplicates([hit_id, hit_hash])
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("upto"))
     text = F.col(text_col)
 
@@ -137,8 +139,8 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owne
     def done(acc: Column) -> Column:
         return F.concat(acc["out"], text.substr((acc["upto"] + 1).cast("int"), F.char_length(text)))
 
-    joined = docs.join(hits, docs[id_col].eqNullSafe(hits["_hit_id"]) & (F.xxhash64(docs[text_col]) == hits["_hit_hash"]), "left")
-    masked = F.when(F.col("_hide").isNotNull(), F.aggregate("_hide", start, step, done)).otherwise(text)
+    joined = docs.join(hits, docs[id_col].eqNullSafe(hits[hit_id]) & (F.xxhash64(docs[text_col]) == hits[hit_hash]), "left")
+    masked = F.when(F.col(hidden).isNotNull(), F.aggregate(hidden, start, step, done)).otherwise(text)
     return joined.select(*[masked.alias(c) if c == text_col else docs[c] for c in docs.columns])
 
 
@@ -183,9 +185,10 @@ WITH t AS (
   SELECT * FROM m WHERE CASE found_by WHEN 'assign' THEN length(value) >= {LEAST_VALUE}
     WHEN 'token' THEN regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') ELSE true END
 ), o AS (
-  SELECT value, count(DISTINCT owner) AS owners, bool_or(found_by <> 'token') AS secret FROM c GROUP BY value
+  SELECT value, count(DISTINCT owner) AS owners, count(DISTINCT {{'owner': owner, 'repo': coalesce(CAST(doc_id AS VARCHAR), '')}}) AS repos,
+         bool_or(found_by <> 'token') AS secret FROM c GROUP BY value
 ), r AS (
-  SELECT c.*, secret, CASE WHEN owners >= {WIDELY} THEN 'example'
+  SELECT c.*, secret, CASE WHEN owners >= {WIDELY} OR repos >= {WIDELY_REPOSITORIES} THEN 'example'
     WHEN owners = 1 AND len(list_distinct(string_split(value, ''))) >= {DISTINCT_CHARS}
          AND NOT regexp_matches(value, '{PLACEHOLDER}') THEN 'live' ELSE 'shared' END AS held
   FROM c JOIN o USING (value)

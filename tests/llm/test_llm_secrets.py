@@ -95,3 +95,23 @@ def test_one_owner_with_thousands_of_repositories(spark):
     assert (found[0][0].n_owners, found[0][0].n_repositories) == (1, 2001)
     assert (found[4000][0].held, found[4000][0].n_owners, found[4000][0].n_repositories) == ("live", 1, 3)
     assert {r.text for r in S.redact(frame(spark, rows)).where("doc_id <= 3000").collect()} == {f"password={key}", f"bare {key} here"}
+
+
+def test_sql_counts_repositories_like_the_query(spark, tmp_path):
+    """One owner pastes a value in 120 documents: an example to both."""
+    import duckdb
+    value = "zX81kqP0vN7mWc35Tt"
+    rows = [(k, f"note{k} password={value} end", "one", k) for k in range(120)] + [(200, f"see {value}", "one", 0), (201, "token: qW7eR2tY9uI1oP4s", "two", 0)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, source string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = con.execute(S.OP3_SQL)
+    columns = [d[0] for d in want.description]
+    want = sorted(want.fetchall())
+    assert sorted(map(tuple, S.op3_secrets(spark, str(tmp_path)).select(*columns).collect())) == want
+    assert sum(r[columns.index("n_example")] for r in want) == 120 and sum(r[columns.index("n_live")] for r in want) == 1
+
+
+def test_redact_passes_clashing_columns_on(spark):
+    docs = spark.createDataFrame([(1, "password=abcdefgh12 x", "s", "keep", "this", "too")], "doc_id bigint, text string, source string, _hide string, _hit_id string, __hide string")
+    assert [tuple(r) for r in S.redact(docs).collect()] == [(1, "<secret> x", "s", "keep", "this", "too")]
