@@ -433,6 +433,7 @@ ONCE = {"availableNow": True}
 TURNS = 3
 MARKER = "__end__"
 DAY_MS = 86_400_000
+FEED_ROWS = 100_000   # rows of a file of the feed: a turn that one task writes is still read by many
 
 
 def in_turns(spark, sf, base, start, marker=True, side=None):
@@ -452,9 +453,9 @@ def in_turns(spark, sf, base, start, marker=True, side=None):
         at = F.unix_micros("at")
         side_turn = functools.reduce(lambda a, c: a + (at > c).cast("int"), cuts or [], F.lit(0))
     for k, part in enumerate(parts):
-        part.write.parquet(f"{base}/feed/turn={k}")
+        part.write.option("maxRecordsPerFile", FEED_ROWS).parquet(f"{base}/feed/turn={k}")
         if side is not None:
-            side.where(side_turn == k).write.parquet(f"{base}/side/turn={k}")
+            side.where(side_turn == k).write.option("maxRecordsPerFile", FEED_ROWS).parquet(f"{base}/side/turn={k}")
         q = start(read(events.schema, "feed"), *([] if side is None else [read(side.schema, "side")]))
         q.awaitTermination()
         if q.exception() is not None:

@@ -148,6 +148,50 @@ def test_a_bridge_joins_open_sessions_and_late_rows_are_kept_apart(spark, tmp_pa
     assert [r.id for r in spark.read.parquet(str(tmp_path / "late")).collect()] == [5]
 
 
+def test_dense_rows_are_folded_before_they_are_cut(spark, tmp_path, monkeypatch):
+    """Rows at most a gap apart inside a cell are one row before slices are made, and few rows are few slices; exact before 1970, at a cell's edges, with repeated rows."""
+    from postscope.streaming import sessions
+    seen = []
+
+    def spy(rows, key, order, slices=None, path=None):
+        seen.append((rows.count(), slices))
+        return plain(rows, key, order, slices, path)
+
+    plain = sessions.sliced
+    monkeypatch.setattr(sessions, "sliced", spy)
+    dense = [(tag, s, i) for tag, start in (("a", -40.0), ("b", 7.0)) for i, s in enumerate([start + k / 100 for k in range(1500)] * 2)]
+    edges = [("c", s, 9000 + i) for i, s in enumerate([-6.0, -5.0, -3.999999, -2.999999, -1.0, 0.0, 1.0, 2.000001, 3.000001, 3.000001, 6.0])]
+    rows_ = dense + edges
+    got = session_batches(spark, str(tmp_path), [rows_[::2], rows_[1::2], [("end", 9000, 0)]], gap="1 second", watermark="2 minutes")
+    want = [s for s in plain_sessions(rows_, 1) if s[0] != "end"]
+    assert got == want and sum(s[0] == "c" for s in want) == 5
+    assert len(seen) == 3 and max(n for n, _ in seen) < 100 and {k for _, k in seen} == {1}
+
+
+def test_a_feed_of_one_task_is_several_files(spark, tmp_path, monkeypatch):
+    """Events in one file of one row group: a turn is written by one task, and its stream is read by more."""
+    from postscope.plans import catalog
+    monkeypatch.setattr(catalog, "FEED_ROWS", 100)
+    spark.range(1200).coalesce(1).select(F.col("id").alias("event_id"), F.timestamp_seconds("id").alias("ts"), F.col("id").alias("user_id"), F.lit("a").alias("event_type"),
+                                         F.lit(1.0).alias("value"), F.lit("{}").alias("props")).write.parquet(str(tmp_path / "sf/events.parquet"))
+    seen = []
+
+    def start(stream):
+        w = stream.writeStream.foreachBatch(lambda batch, _: seen.append(batch.count()))
+        return w.option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+
+    catalog.in_turns(spark, str(tmp_path / "sf"), str(tmp_path / "base"), start)
+    assert sum(seen) == 1201 and len(seen) == 4
+    files = [len([x for x in os.listdir(tmp_path / f"base/feed/turn={k}") if x.endswith(".parquet")]) for k in range(4)]
+    assert min(files[:3]) >= 4 and files[3] == 1
+
+
+def test_sessions_of_no_gap(spark, tmp_path):
+    """A gap of nothing joins equal times only."""
+    got = session_batches(spark, str(tmp_path), [[("a", 1, 1), ("a", 1, 2), ("a", 1.000001, 3)], [("end", 900, 0)]], gap="0 seconds", watermark="1 second")
+    assert [(s[0], s[3], s[4]) for s in got if s[0] == "a"] == [("a", 2, 3), ("a", 1, 3)]
+
+
 def test_session_slices_of_a_hot_tag_are_even(spark, tmp_path):
     """60% of the rows are one tag: no task of the session scan reads over twice the mean."""
     from postscope.operators.sessions import merged_intervals
